@@ -1,0 +1,23 @@
+"""Join helpers with an explicit size check before broadcasting."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# Largest build side we are willing to ship to every executor.
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+def broadcast_if_small(df: DataFrame, byte_size: Column,
+                       max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Return `broadcast(df)` when its measured size is under `max_bytes`.
+
+    `byte_size` is a per-row size estimate (e.g. `length(text) + 16`).  The
+    measurement is one small aggregate over `df` (meant for inputs already
+    bounded by a pushed-down filter).  Beyond the limit the frame is returned
+    as is, and the planner falls back to a shuffled join with adaptive skew
+    splitting.
+    """
+    total = df.agg(F.coalesce(F.sum(byte_size.cast("long")), F.lit(0))).first()[0]
+    return F.broadcast(df) if total <= max_bytes else df

@@ -1,0 +1,107 @@
+"""Model DAG: bronze -> staging -> core -> gold, lazily or materialized.
+
+`build_models` wires every model as one lazy plan per table (nothing runs).
+`run_pipeline` materializes layer by layer: each layer is written as a table
+in a shared folder and the next layer reads the written table back, which
+cuts lineage (an executor lost late in the gold layer recomputes from the
+core tables, not from the raw files) and lets the scan of a written table
+prune columns and push filters.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Mapping
+
+from pyspark.sql import DataFrame, SparkSession
+
+from marketlake.plans import core, gold
+from marketlake.plans.staging import build_staging
+
+CORE = ["dim_customers", "dim_dates", "dim_products", "dim_sellers", "fct_order_items",
+        "fct_order_payments", "fct_order_reviews", "fct_orders", "int_seller_performance"]
+GOLD = ["gold_category_performance", "gold_customer_cohorts", "gold_executive_overview",
+        "gold_payment_analysis", "gold_regional_logistics", "gold_review_text_signals",
+        "gold_seller_scorecard", "gold_spatial_routing"]
+
+
+def build_core(stg: Mapping[str, DataFrame], bounds: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Core models from staging.  `bounds` = one-row (start_date, end_date);
+    default: whole years spanned by the orders."""
+    items = core.fct_order_items(stg["stg_order_items"], stg["stg_orders"])
+    orders = core.fct_orders(stg["stg_orders"], stg["stg_order_items"])
+    return {
+        "dim_customers": core.dim_customers(stg["stg_customers"], stg["stg_geolocation"]),
+        "dim_dates": core.dim_dates(bounds if bounds is not None else core.data_bounds(stg["stg_orders"])),
+        "dim_products": core.dim_products(stg["stg_products"], stg["stg_category_translation"]),
+        "dim_sellers": core.dim_sellers(stg["stg_sellers"], stg["stg_geolocation"]),
+        "fct_order_items": items,
+        "fct_order_payments": core.fct_order_payments(stg["stg_order_payments"]),
+        "fct_order_reviews": core.fct_order_reviews(stg["stg_order_reviews"], stg["stg_orders"]),
+        "fct_orders": orders,
+        "int_seller_performance": core.int_seller_performance(items, orders),
+    }
+
+
+GOLD_BUILDERS: dict[str, Callable[[Mapping[str, DataFrame]], DataFrame]] = {
+    "gold_category_performance": lambda m: gold.category_performance(
+        m["fct_order_items"], m["dim_products"], m["fct_order_reviews"]),
+    "gold_customer_cohorts": lambda m: gold.customer_cohorts(
+        m["fct_orders"], m["dim_customers"], m["dim_dates"]),
+    "gold_executive_overview": lambda m: gold.executive_overview(
+        m["fct_orders"], m["fct_order_items"], m["dim_customers"]),
+    "gold_payment_analysis": lambda m: gold.payment_analysis(
+        m["fct_order_payments"], m["fct_orders"]),
+    "gold_regional_logistics": lambda m: gold.regional_logistics(
+        m["fct_order_items"], m["fct_orders"], m["dim_sellers"], m["dim_customers"]),
+    "gold_review_text_signals": lambda m: gold.review_text_signals(m["fct_order_reviews"]),
+    "gold_seller_scorecard": lambda m: gold.seller_scorecard(
+        m["int_seller_performance"], m["dim_sellers"], m["fct_order_items"],
+        m["dim_customers"], m["fct_order_reviews"]),
+    "gold_spatial_routing": lambda m: gold.spatial_routing(
+        m["fct_order_items"], m["dim_sellers"], m["dim_customers"]),
+}
+
+
+def build_gold(core_models: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    return {name: GOLD_BUILDERS[name](core_models) for name in GOLD}
+
+
+def build_models(bronze: Mapping[str, DataFrame], bounds: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Every staging, core and gold model as a lazy DataFrame."""
+    stg = build_staging(dict(bronze))
+    cm = build_core(stg, bounds)
+    return {**stg, **cm, **build_gold(cm)}
+
+
+def _materialize(spark: SparkSession, models: Mapping[str, DataFrame], out_dir: str,
+                 fmt: str) -> dict[str, DataFrame]:
+    from marketlake.sources.sinks import write_table
+    out = {}
+    for name, df in models.items():
+        path = write_table(df, f"{out_dir.rstrip('/')}/{name}", fmt)
+        out[name] = spark.read.format(fmt).load(path)
+    return out
+
+
+def run_pipeline(spark: SparkSession, bronze: Mapping[str, DataFrame], out_dir: str,
+                 bounds: DataFrame | None = None, fmt: str | None = None,
+                 checks: bool = True) -> dict[str, DataFrame]:
+    """Build and write every model layer by layer, then run the quality suite.
+
+    Returns the written tables (as DataFrames reading them back) plus
+    `quality_report`.  Raises `QualityError` when any check fails and
+    `checks` is true, mirroring a test step that gates the next task.
+    """
+    from marketlake.plans.quality import assert_passed, run_checks
+    from marketlake.sources.sinks import default_format
+    fmt = fmt or default_format(spark)
+    stg = _materialize(spark, build_staging(dict(bronze)), out_dir, fmt)
+    cm = _materialize(spark, build_core(stg, bounds), out_dir, fmt)
+    gm = _materialize(spark, build_gold(cm), out_dir, fmt)
+    tables = {**stg, **cm, **gm}
+    if checks:
+        report = run_checks(tables)
+        report = _materialize(spark, {"quality_report": report}, out_dir, fmt)["quality_report"]
+        tables["quality_report"] = report
+        assert_passed(report)
+    return tables
