@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -27,9 +29,10 @@ def distinct_then_avg(df: DataFrame, keys: Sequence[str], grain: Sequence[str],
 
 def histogram(df: DataFrame, series: Mapping[str, Column], width: float,
               lo: float, hi: float) -> DataFrame:
-    """Fixed-width bins [lo + i*width, lo + (i+1)*width) over lo <= x <= hi.
+    """Fixed-width bins [lo + i*width, lo + (i+1)*width).
 
-    All series are stacked in one pass (explode of a struct array, no union
+    Edges step from `lo` by `width` until they reach or pass `hi`; values in
+    [lo, last edge) are counted.  All series are stacked in one pass (explode of a struct array, no union
     re-scan) and counted with a partial aggregate; only non-empty bins appear.
     Output: series, bin_index, bin_start, bin_end, n.
     """
@@ -37,10 +40,11 @@ def histogram(df: DataFrame, series: Mapping[str, Column], width: float,
         F.struct(F.lit(name).alias("series"), col.cast("double").alias("x"))
         for name, col in series.items()
     ])).alias("s")
+    last_edge = lo + math.ceil((hi - lo) / width) * width
     idx = F.floor((F.col("s.x") - F.lit(lo)) / F.lit(width)).cast("int")
     return (
         df.select(stacked)
-        .filter(F.col("s.x").between(lo, hi))
+        .filter((F.col("s.x") >= F.lit(lo)) & (F.col("s.x") < F.lit(last_edge)))
         .groupBy(F.col("s.series").alias("series"), idx.alias("bin_index"))
         .agg(F.count(F.lit(1)).alias("n"))
         .select(

@@ -27,19 +27,10 @@ GOLD = ["gold_category_performance", "gold_customer_cohorts", "gold_executive_ov
 def build_core(stg: Mapping[str, DataFrame], bounds: DataFrame | None = None) -> dict[str, DataFrame]:
     """Core models from staging.  `bounds` = one-row (start_date, end_date);
     default: whole years spanned by the orders."""
-    items = core.fct_order_items(stg["stg_order_items"], stg["stg_orders"])
-    orders = core.fct_orders(stg["stg_orders"], stg["stg_order_items"])
-    return {
-        "dim_customers": core.dim_customers(stg["stg_customers"], stg["stg_geolocation"]),
-        "dim_dates": core.dim_dates(bounds if bounds is not None else core.data_bounds(stg["stg_orders"])),
-        "dim_products": core.dim_products(stg["stg_products"], stg["stg_category_translation"]),
-        "dim_sellers": core.dim_sellers(stg["stg_sellers"], stg["stg_geolocation"]),
-        "fct_order_items": items,
-        "fct_order_payments": core.fct_order_payments(stg["stg_order_payments"]),
-        "fct_order_reviews": core.fct_order_reviews(stg["stg_order_reviews"], stg["stg_orders"]),
-        "fct_orders": orders,
-        "int_seller_performance": core.int_seller_performance(items, orders),
-    }
+    out: dict[str, DataFrame] = {}
+    for name in CORE:
+        out[name] = _CORE_BUILDERS[name](stg, bounds, out)
+    return out
 
 
 GOLD_BUILDERS: dict[str, Callable[[Mapping[str, DataFrame]], DataFrame]] = {
@@ -73,6 +64,65 @@ def build_models(bronze: Mapping[str, DataFrame], bounds: DataFrame | None = Non
     return {**stg, **cm, **build_gold(cm)}
 
 
+class Models(Mapping):
+    """Models built on first access (each DataFrame is still lazy).
+
+    Building a DataFrame analyzes its plan; a query that needs three tables
+    should not pay for analyzing all twenty-six.
+    """
+
+    def __init__(self, bronze: Mapping[str, DataFrame], bounds: DataFrame | None = None):
+        self.bronze = dict(bronze)
+        self._bounds = bounds
+        self._cache: dict[str, DataFrame] = {}
+
+    def _build(self, name: str) -> DataFrame:
+        from marketlake.plans.staging import STAGING
+        if name in STAGING:
+            src, fn = STAGING[name]
+            return fn(self.bronze[src])
+        stg = _StagingView(self)
+        if name in CORE:
+            return _CORE_BUILDERS[name](stg, self._bounds, self)
+        if name in GOLD_BUILDERS:
+            return GOLD_BUILDERS[name](self)
+        raise KeyError(name)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._cache:
+            self._cache[name] = self._build(name)
+        return self._cache[name]
+
+    def __iter__(self):
+        from marketlake.plans.staging import STAGING
+        return iter([*STAGING, *CORE, *GOLD])
+
+    def __len__(self) -> int:
+        return len(list(iter(self)))
+
+
+class _StagingView:
+    def __init__(self, models: Models):
+        self.models = models
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self.models[name]
+
+
+_CORE_BUILDERS = {
+    "dim_customers": lambda s, b, m: core.dim_customers(s["stg_customers"], s["stg_geolocation"]),
+    "dim_dates": lambda s, b, m: core.dim_dates(b if b is not None else core.data_bounds(s["stg_orders"])),
+    "dim_products": lambda s, b, m: core.dim_products(s["stg_products"], s["stg_category_translation"]),
+    "dim_sellers": lambda s, b, m: core.dim_sellers(s["stg_sellers"], s["stg_geolocation"]),
+    "fct_order_items": lambda s, b, m: core.fct_order_items(s["stg_order_items"], s["stg_orders"]),
+    "fct_order_payments": lambda s, b, m: core.fct_order_payments(s["stg_order_payments"]),
+    "fct_order_reviews": lambda s, b, m: core.fct_order_reviews(s["stg_order_reviews"], s["stg_orders"]),
+    "fct_orders": lambda s, b, m: core.fct_orders(s["stg_orders"], s["stg_order_items"]),
+    "int_seller_performance": lambda s, b, m: core.int_seller_performance(
+        m["fct_order_items"], m["fct_orders"]),
+}
+
+
 def _materialize(spark: SparkSession, models: Mapping[str, DataFrame], out_dir: str,
                  fmt: str) -> dict[str, DataFrame]:
     from marketlake.sources.sinks import write_table
