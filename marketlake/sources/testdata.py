@@ -34,6 +34,7 @@ Rules (the DuckDB oracle implements the same rules independently):
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -65,22 +66,57 @@ def _zip(nation: Column) -> Column:
     return F.lpad(nation.cast("string"), 5, "0")
 
 
-def bronze_from_testdata(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The nine bronze frames derived from the driver tables in `sf_dir`."""
+class LazyFrames(Mapping):
+    """name -> DataFrame, each built on first access."""
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
+        self._builders = builders
+        self._cache: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._cache:
+            self._cache[name] = self._builders[name]()
+        return self._cache[name]
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
+def bronze_from_testdata(spark: SparkSession, sf_dir: str) -> LazyFrames:
+    """The nine bronze frames derived from the driver tables in `sf_dir`
+    (each built on first access)."""
     def t(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
-    orders, lineitem, customer = t("orders"), t("lineitem"), t("customer")
-    supplier, part, nation, documents = t("supplier"), t("part"), t("nation"), t("documents")
+    return LazyFrames({
+        "customers": lambda: _customers(t("customer")),
+        "geolocation": lambda: _geolocation(t("nation")),
+        "order_items": lambda: _order_items(t("lineitem")),
+        "order_payments": lambda: _payments(t("orders")),
+        "order_reviews": lambda: _reviews(t("orders"), t("documents")),
+        "orders": lambda: _orders(t("orders")),
+        "category_translation": lambda: _translation(t("part")),
+        "products": lambda: _products(t("part")),
+        "sellers": lambda: _sellers(t("supplier")),
+    })
+
+
+def _status(k: Column) -> Column:
+    return (F.when(F.col("o_orderstatus") == "F", F.lit("delivered"))
+            .when(F.col("o_orderstatus") == "O", F.lit("shipped"))
+            .when(F.col("o_orderstatus") == "P",
+                  F.when(k % 10 == 0, F.lit("canceled")).otherwise(F.lit("delivered")))
+            .otherwise(F.lit("unavailable")))
 
+
+def _orders(orders: DataFrame) -> DataFrame:
     k = F.col("o_orderkey")
     p = F.col("o_orderdate")
-    status = (F.when(F.col("o_orderstatus") == "F", F.lit("delivered"))
-              .when(F.col("o_orderstatus") == "O", F.lit("shipped"))
-              .when(F.col("o_orderstatus") == "P",
-                    F.when(k % 10 == 0, F.lit("canceled")).otherwise(F.lit("delivered")))
-              .otherwise(F.lit("unavailable")))
-    b_orders = orders.select(
+    status = _status(k)
+    return orders.select(
         _s(k).alias("order_id"),
         _s(F.col("o_custkey")).alias("customer_id"),
         status.alias("order_status"),
@@ -91,8 +127,10 @@ def bronze_from_testdata(spark: SparkSession, sf_dir: str) -> dict[str, DataFram
         _s(_plus_days(p, 15 + k % 13)).alias("order_estimated_delivery_date"),
     )
 
+
+def _order_items(lineitem: DataFrame) -> DataFrame:
     price = F.col("l_extendedprice").cast("decimal(18,2)")
-    b_items = lineitem.select(
+    return lineitem.select(
         _s(F.col("l_orderkey")).alias("order_id"),
         _s(F.col("l_linenumber")).alias("order_item_id"),
         _s(F.col("l_partkey")).alias("product_id"),
@@ -102,8 +140,10 @@ def bronze_from_testdata(spark: SparkSession, sf_dir: str) -> dict[str, DataFram
         _s((price * F.col("l_tax").cast("decimal(4,2)")).cast("decimal(18,2)")).alias("freight_value"),
     )
 
+
+def _customers(customer: DataFrame) -> DataFrame:
     ck = F.col("c_custkey")
-    b_customers = customer.select(
+    return customer.select(
         _s(ck).alias("customer_id"),
         _s(ck - ck % 2).alias("customer_unique_id"),
         _zip(F.col("c_nationkey")).alias("customer_zip_code_prefix"),
@@ -111,17 +151,21 @@ def bronze_from_testdata(spark: SparkSession, sf_dir: str) -> dict[str, DataFram
         _state(F.col("c_nationkey")).alias("customer_state"),
     )
 
-    b_sellers = supplier.select(
+
+def _sellers(supplier: DataFrame) -> DataFrame:
+    return supplier.select(
         _s(F.col("s_suppkey")).alias("seller_id"),
         _zip(F.col("s_nationkey")).alias("seller_zip_code_prefix"),
         F.col("s_name").alias("seller_city"),
         _state(F.col("s_nationkey")).alias("seller_state"),
     )
 
+
+def _geolocation(nation: DataFrame) -> DataFrame:
     n = F.col("n_nationkey")
     j = F.col("j")
     offset = F.lit(Decimal("0.01")) * (j % 2)
-    b_geo = (nation.select(n, F.col("n_name"), F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("j"))
+    return (nation.select(n, F.col("n_name"), F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("j"))
              .select(
                  _zip(n).alias("geolocation_zip_code_prefix"),
                  _s(F.lit(Decimal("-33.5")) + F.lit(Decimal("1.7")) * n + offset).alias("geolocation_lat"),
@@ -130,8 +174,10 @@ def bronze_from_testdata(spark: SparkSession, sf_dir: str) -> dict[str, DataFram
                  _state(n).alias("geolocation_state"),
              ))
 
+
+def _products(part: DataFrame) -> DataFrame:
     size = F.col("p_size")
-    b_products = part.select(
+    return part.select(
         _s(F.col("p_partkey")).alias("product_id"),
         F.when(size % 10 != 0, F.col("p_type")).alias("product_category_name"),
         _s(F.length("p_name")).alias("product_name_lenght"),
@@ -143,15 +189,20 @@ def bronze_from_testdata(spark: SparkSession, sf_dir: str) -> dict[str, DataFram
         _s(2 + size % 11).alias("product_width_cm"),
     )
 
-    b_translation = (part.filter(~F.col("p_type").startswith("PROMO"))
-                     .select(F.col("p_type").alias("product_category_name"),
-                             F.lower("p_type").alias("product_category_name_english")))
 
+def _translation(part: DataFrame) -> DataFrame:
+    return (part.filter(~F.col("p_type").startswith("PROMO"))
+            .select(F.col("p_type").alias("product_category_name"),
+                    F.lower("p_type").alias("product_category_name_english")))
+
+
+def _payments(orders: DataFrame) -> DataFrame:
+    k = F.col("o_orderkey")
     split = k % 7 == 0
     seq = F.col("seq")
     total = F.col("o_totalprice").cast("decimal(18,2)")
     ten = F.lit(Decimal("10.00"))
-    b_payments = (orders.select(k, total.alias("total"),
+    return (orders.select(k, total.alias("total"),
                                 F.explode(F.when(split, F.array(F.lit(1), F.lit(2)))
                                           .otherwise(F.array(F.lit(1)))).alias("seq"))
                   .select(
@@ -166,6 +217,10 @@ def bronze_from_testdata(spark: SparkSession, sf_dir: str) -> dict[str, DataFram
                          .cast("decimal(18,2)")).alias("payment_value"),
                   ))
 
+
+def _reviews(orders: DataFrame, documents: DataFrame) -> DataFrame:
+    k = F.col("o_orderkey")
+    p = F.col("o_orderdate")
     # Review messages: fixed complaints, or the whole text of one of the first
     # REVIEW_DOCS documents.  The document side is bounded by the pushed-down
     # key filter; it is broadcast only after its measured size is checked.
@@ -198,16 +253,4 @@ def bronze_from_testdata(spark: SparkSession, sf_dir: str) -> dict[str, DataFram
         _s(_plus_days(p, F.lit(29))).alias("review_creation_date"),
         _s(_plus_days(p, F.lit(29))).alias("review_answer_timestamp"),
     )
-    b_reviews = main.unionByName(older)
-
-    return {
-        "customers": b_customers,
-        "geolocation": b_geo,
-        "order_items": b_items,
-        "order_payments": b_payments,
-        "order_reviews": b_reviews,
-        "orders": b_orders,
-        "category_translation": b_translation,
-        "products": b_products,
-        "sellers": b_sellers,
-    }
+    return main.unionByName(older)
