@@ -2,8 +2,10 @@
 
 Everything here returns a `pyspark.sql.Column`; nothing touches data.  Money
 arrives as double (the staging contract) but carries at most two decimals, so
-sums and averages are taken over `decimal(18,2)`: exact, hence independent of
-partitioning and summation order, and cast back to double at the end.
+sums are taken over integer cents in a `long`: exact, independent of
+partitioning and summation order, and as cheap as a double sum (a fixed-width
+aggregation buffer; overflow raises under ANSI mode instead of wrapping).
+Results are converted back to double (a correctly rounded division by 100).
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 __all__ = [
     "CANCELED_STATUSES", "DELIVERY_STATUSES", "KEYWORD_GROUPS", "HUBS",
     "DEFAULT_HUB", "HUB_STATES", "STATE_BY_NATION",
-    "money", "money_sum", "round_money_sum", "exact_avg", "exact_ratio", "pct",
+    "money", "cents", "cents_sum", "from_cents", "money_sum", "round_money_sum", "exact_avg", "exact_ratio", "pct",
     "days_between", "surrogate_key", "contains_any", "hub_for_state", "as_double",
     "count_if",
 ]
@@ -65,14 +67,32 @@ def money(c: Column | str) -> Column:
     return c.cast("decimal(18,2)")
 
 
+def cents(c: Column | str) -> Column:
+    """A two-decimal money value as integer cents (long)."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.rint(c * F.lit(100.0)).cast("long")
+
+
+def cents_sum(c: Column | str) -> Column:
+    """Exact sum of a money column in cents (long)."""
+    return F.sum(cents(c))
+
+
+def from_cents(total_cents: Column) -> Column:
+    """Cents (long) back to a double amount."""
+    return total_cents.cast("double") / F.lit(100.0)
+
+
 def money_sum(c: Column | str) -> Column:
-    """Exact sum of a money column: decimal(28,2)."""
-    return F.sum(money(c))
+    """Exact sum of a money column, as double."""
+    return from_cents(cents_sum(c))
 
 
 def round_money_sum(c: Column | str, scale: int = 2) -> Column:
     """`round(sum(x), scale)` computed exactly, returned as double."""
-    return F.round(money_sum(c), scale).cast("double")
+    if scale >= 2:
+        return money_sum(c)
+    return F.round(cents_sum(c).cast("decimal(20,0)") / F.lit(100), scale).cast("double")
 
 
 def exact_ratio(numerator: Column, denominator: Column, scale: int) -> Column:
@@ -90,10 +110,8 @@ def exact_avg(c: Column | str, scale: int, is_money: bool = False) -> Column:
     """round(avg(x), scale) over non-null x, computed exactly."""
     c = F.col(c) if isinstance(c, str) else c
     if is_money:
-        total = F.sum(money(c)).cast("decimal(28,2)")
-    else:
-        total = F.sum(c.cast("long")).cast("decimal(20,0)")
-    return exact_ratio(total, F.count(c), scale)
+        return exact_ratio(cents_sum(c).cast("decimal(20,0)"), F.count(c) * F.lit(100), scale)
+    return exact_ratio(F.sum(c.cast("long")).cast("decimal(20,0)"), F.count(c), scale)
 
 
 def count_if(cond: Column) -> Column:

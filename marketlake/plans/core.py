@@ -129,8 +129,8 @@ def fct_orders(orders: DataFrame, items: DataFrame) -> DataFrame:
     per_order = items.groupBy("order_key").agg(
         F.count(F.lit(1)).alias("n_items"),
         F.count_distinct("seller_key").alias("n_sellers"),
-        money_sum("price").cast("double").alias("revenue"),
-        money_sum("freight_value").cast("double").alias("freight"))
+        money_sum("price").alias("revenue"),
+        money_sum("freight_value").alias("freight"))
     delivered = F.col("delivered_customer_timestamp")
     estimated = F.col("estimated_delivery_timestamp")
     canceled, on_time, late, in_flight = DELIVERY_STATUSES

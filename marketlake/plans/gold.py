@@ -1,6 +1,6 @@
 """Gold marts: business aggregates, the hub what-if projection and routing.
 
-Money is summed exactly (decimal) and rounded half-up; averages are exact
+Money is summed exactly (integer cents) and rounded half-up; averages are exact
 quotients rounded half-up.  Hot keys (one seller, buyer or order holding a
 large share of rows) are handled by pre-aggregating below every join that
 would otherwise fan them into a single task, by map-side partial aggregation
@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlake.functions.expressions import (
-    KEYWORD_GROUPS, contains_any, count_if, days_between, exact_avg, exact_ratio, hub_for_state,
-    money, money_sum, pct, round_money_sum,
+    KEYWORD_GROUPS, cents_sum, contains_any, count_if, days_between, exact_avg, exact_ratio,
+    from_cents, hub_for_state, pct, round_money_sum,
 )
 from marketlake.operators.aggregates import distinct_then_avg, top_k
 
@@ -37,8 +37,10 @@ def category_performance(items: DataFrame, products: DataFrame, reviews: DataFra
         round_money_sum("freight_value").alias("total_freight_revenue"),
         F.count(F.lit(1)).alias("units_sold"),
         F.count_distinct("order_key").alias("total_orders"),
-        exact_ratio(money_sum("total_item_value"), F.count(F.lit(1)), 2).alias("revenue_per_unit"),
-        exact_ratio(money_sum("freight_value"), F.count(F.lit(1)), 2).alias("freight_per_unit"))
+        exact_ratio(cents_sum("total_item_value").cast("decimal(20,0)"), F.count(F.lit(1)) * 100, 2)
+        .alias("revenue_per_unit"),
+        exact_ratio(cents_sum("freight_value").cast("decimal(20,0)"), F.count(F.lit(1)) * 100, 2)
+        .alias("freight_per_unit"))
     return totals.join(review_avg, "category_name", "left").select(
         "category_name", "total_category_revenue", "total_merchandise_revenue",
         "total_freight_revenue", "units_sold", "total_orders", "revenue_per_unit",
@@ -60,9 +62,10 @@ def customer_cohorts(orders: DataFrame, customers: DataFrame, dates: DataFrame)
                     .select("order_key", "customer_unique_id",
                             F.to_date("purchased_at").alias("purchase_date"),
                             "total_order_value"))
+    # gmv in exact integer cents until the final roll-up.
     daily = buyer_orders.groupBy("customer_unique_id", "purchase_date").agg(
         F.count(F.lit(1)).alias("n_orders"),
-        money_sum("total_order_value").alias("gmv"))
+        cents_sum("total_order_value").alias("gmv"))
     first = F.min("purchase_date").over(Window.partitionBy("customer_unique_id"))
     daily = (daily.withColumn("first_purchase_date", first)
              .withColumn("is_new", F.col("purchase_date") == F.col("first_purchase_date"))
@@ -82,9 +85,9 @@ def customer_cohorts(orders: DataFrame, customers: DataFrame, dates: DataFrame)
         F.count(F.lit(1)).alias("total_unique_buyers"),
         count_if(F.col("has_new") == 1).alias("new_buyers_count"),
         count_if(F.col("has_returning") == 1).alias("returning_buyers_count"),
-        F.round(F.sum("gmv"), 2).cast("double").alias("total_gmv"),
-        F.round(F.sum("gmv_new"), 2).cast("double").alias("new_buyer_gmv"),
-        F.round(F.sum("gmv_returning"), 2).cast("double").alias("returning_buyer_gmv"),
+        from_cents(F.sum("gmv")).alias("total_gmv"),
+        from_cents(F.sum("gmv_new")).alias("new_buyer_gmv"),
+        from_cents(F.sum("gmv_returning")).alias("returning_buyer_gmv"),
         pct(count_if(F.col("has_returning") == 1), F.count(F.lit(1)), 2).alias("repeat_buyer_rate_pct"),
         exact_ratio(F.sum("days_sum").cast("decimal(20,0)"), F.sum("days_n"), 1)
         .alias("avg_days_since_first_purchase"))
@@ -142,7 +145,7 @@ def payment_analysis(payments: DataFrame, orders: DataFrame) -> DataFrame:
         round_money_sum("payment_amount").alias("total_captured_payment_value"),
         exact_avg("payment_amount", 2, is_money=True).alias("avg_payment_transaction_value"),
         round_money_sum("total_order_value").alias("total_associated_order_gmv"),
-        F.round(money_sum("payment_amount") - money_sum("total_order_value"), 2).cast("double")
+        from_cents(cents_sum("payment_amount") - cents_sum("total_order_value"))
         .alias("payment_reconciliation_discrepancy"))
 
 
@@ -248,4 +251,4 @@ def spatial_routing(items: DataFrame, sellers: DataFrame, customers: DataFrame,
 
 __all__ = ["category_performance", "customer_cohorts", "executive_overview", "payment_analysis",
            "regional_logistics", "review_text_signals", "seller_scorecard", "spatial_routing",
-           "money"]
+]

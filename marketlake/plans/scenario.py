@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from marketlake.functions.expressions import HUBS, count_if, exact_ratio, hub_for_state, money_sum
+from marketlake.functions.expressions import (
+    HUBS, cents_sum, count_if, exact_ratio, from_cents, hub_for_state, money_sum,
+)
 from marketlake.operators.aggregates import histogram, top_k
 
 DEFAULT_STATE_COUNT = 5
@@ -62,12 +64,12 @@ def filter_routes(routes: DataFrame, executive: DataFrame,
 
 def scenario_kpis(filtered: DataFrame) -> DataFrame:
     """V2: one row of headline numbers for the filtered what-if lines."""
-    base = money_sum("actual_freight")
-    opt = money_sum("optimized_freight")
+    base = cents_sum("actual_freight")
+    opt = cents_sum("optimized_freight")
     agg = filtered.agg(
-        base.cast("double").alias("total_baseline_freight"),
-        opt.cast("double").alias("total_optimized_freight"),
-        (base - opt).cast("double").alias("freight_savings"),
+        from_cents(base).alias("total_baseline_freight"),
+        from_cents(opt).alias("total_optimized_freight"),
+        from_cents(base - opt).alias("freight_savings"),
         F.avg("days_saved").alias("avg_days_saved"),
         F.count(F.lit(1)).alias("n_lines"),
         count_if(F.col("actual_shipping_days") <= SLA_DAYS).alias("baseline_on_time"),
@@ -125,8 +127,8 @@ def corridor_top_k(filtered: DataFrame, routes: DataFrame, k: int = 5) -> DataFr
     savings; rounding is half-even; ties broken by the state pair."""
     merged = filtered.join(routes.select("order_key", "seller_state", "seller_city", "customer_city"),
                            "order_key", "inner").dropna(subset=["seller_state", "customer_state"])
-    saved = money_sum("freight_dollars_saved").cast("double")
-    actual = money_sum("actual_freight").cast("double")
+    saved = money_sum("freight_dollars_saved")
+    actual = money_sum("actual_freight")
     corridors = merged.groupBy("seller_state", "customer_state").agg(
         F.count_distinct("order_key").alias("total_orders"),
         F.bround(F.avg("days_saved"), 1).alias("avg_days_saved"),
