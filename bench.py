@@ -12,14 +12,14 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from marketlake.plans.build import run_pipeline  # noqa: E402
 from marketlake.plans.registry import QUERIES  # noqa: E402
-from marketlake.session import local_session  # noqa: E402
+from marketlake.session import checkpoint_dir, local_session  # noqa: E402
 from marketlake.sources.testdata import bronze_from_testdata  # noqa: E402
 
 
@@ -49,7 +49,7 @@ def main() -> None:
         print(f"# {name}: {results[name]}s", file=sys.stderr, flush=True)
 
     if not only or "full_build" in only:
-        out = tempfile.mkdtemp(prefix="marketlake-bench-", dir=os.environ.get("BENCH_TMP"))
+        out = f"{checkpoint_dir(spark).rstrip('/')}/marketlake-bench-{uuid.uuid4().hex}"
         t0 = time.perf_counter()
         run_pipeline(spark, bronze_from_testdata(spark, sf_dir), out, checks=True, gate=False)
         results["full_build"] = round(time.perf_counter() - t0, 3)

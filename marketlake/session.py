@@ -42,22 +42,32 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_CHECKPOINT_ROOTS: dict[int, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for checkpoints and intermediate tables.
+    """Shared root folder for checkpoints and intermediate tables.
 
     Read from `spark.checkpoint.dir` (the cluster names a shared, fault
-    tolerant folder there).  Only when it is unset, as in local tests, a fresh
-    scratch folder is created and registered.
+    tolerant folder there).  Only when it is unset, as in local tests, a
+    scratch folder is created once per SparkContext.  The RDD checkpoint
+    directory is registered under the root if the context has none yet.
     """
     sc = spark.sparkContext
-    path = sc.getCheckpointDir()
-    if path is None:
-        path = sc.getConf().get("spark.checkpoint.dir", None)
-    if path is None:
+    key = id(sc)
+    if key in _CHECKPOINT_ROOTS:
+        return _CHECKPOINT_ROOTS[key]
+    root = sc.getConf().get("spark.checkpoint.dir", None)
+    if root is None and sc.getCheckpointDir() is not None:
+        # setCheckpointDir() appends a unique subfolder; its parent is the root.
+        root = os.path.dirname(sc.getCheckpointDir().rstrip("/"))
+    if root is None:
         # Local runs only: a cluster always names a shared folder.
-        path = tempfile.mkdtemp(prefix="marketlake-ckpt-")
-    sc.setCheckpointDir(path)
-    return path
+        root = tempfile.mkdtemp(prefix="marketlake-ckpt-")
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(f"{root.rstrip('/')}/rdd")
+    _CHECKPOINT_ROOTS[key] = root
+    return root
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
