@@ -138,6 +138,22 @@ def corridor_top_k(filtered: DataFrame, routes: DataFrame, k: int = 5) -> DataFr
     return top_k(corridors, order, k)
 
 
+# Display labels of the corridor scorecard, in column order.
+CORRIDOR_LABELS = {
+    "seller_state": "Origin (Seller)",
+    "customer_state": "Destination (Customer)",
+    "total_orders": "Orders Handled",
+    "avg_days_saved": "Avg Days Saved",
+    "total_freight_saved": "Total Saved ($)",
+    "freight_pct": "Cost Reduced (%)",
+}
+
+
+def corridor_display(corridors: DataFrame) -> DataFrame:
+    """The corridor table with display labels, in display order."""
+    return corridors.select(*[F.col(c).alias(label) for c, label in CORRIDOR_LABELS.items()])
+
+
 def route_centroid(routes: DataFrame, default: tuple[float, float] = DEFAULT_CENTER) -> DataFrame:
     """V6: mean customer coordinates of the routes (6 decimals), or the
     default centre when there is no route."""
