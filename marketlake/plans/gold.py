@@ -27,8 +27,11 @@ def category_performance(items: DataFrame, products: DataFrame, reviews: DataFra
     """G1: revenue, units, orders and unit economics per category, plus the
     review average over distinct (order, category, score)."""
     lines = items.join(products.select("product_key", "category_name"), "product_key", "inner")
-    scored = lines.select("order_key", "category_name").join(
-        reviews.select("order_key", "review_score"), "order_key", "inner")
+    # Both sides are made distinct before the join: the result is the same
+    # distinct (order, category, score) set, but a hot order with many lines
+    # and many reviews no longer emits lines x reviews rows.
+    scored = lines.select("order_key", "category_name").distinct().join(
+        reviews.select("order_key", "review_score").distinct(), "order_key", "inner")
     review_avg = distinct_then_avg(scored, ["category_name"], ["order_key"], "review_score", 2,
                                    "avg_review_score")
     totals = lines.groupBy("category_name").agg(
@@ -201,8 +204,8 @@ def seller_scorecard(perf: DataFrame, sellers: DataFrame, items: DataFrame,
                   F.count_distinct("customer_unique_id").alias("unique_buyers_served"),
                   round_money_sum("total_item_value").alias("total_gross_revenue"),
                   F.count(F.lit(1)).alias("total_items_sold")))
-    scored = items.select("seller_key", "order_key").join(
-        reviews.select("order_key", "review_score"), "order_key", "inner")
+    scored = items.select("seller_key", "order_key").distinct().join(
+        reviews.select("order_key", "review_score").distinct(), "order_key", "inner")
     review_avg = distinct_then_avg(scored, ["seller_key"], ["order_key"], "review_score", 2,
                                    "avg_review_score")
     s = sellers.select("seller_key", F.col("city").alias("seller_city"),

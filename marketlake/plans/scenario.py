@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from marketlake.functions.expressions import (
-    HUBS, cents_sum, count_if, exact_ratio, from_cents, hub_for_state, money_sum,
+    HUBS, cents_sum, count_if, exact_ratio, from_cents, hub_for_state,
 )
 from marketlake.operators.aggregates import histogram, top_k
 
@@ -124,14 +124,30 @@ def hub_load(filtered: DataFrame, hubs: DataFrame | None = None) -> DataFrame:
 def corridor_top_k(filtered: DataFrame, routes: DataFrame, k: int = 5) -> DataFrame:
     """V5: busiest (seller state, customer state) corridors of the filtered
     lines matched to routes by order (many-to-many, as in the source), with
-    savings; rounding is half-even; ties broken by the state pair."""
-    merged = filtered.join(routes.select("order_key", "seller_state", "seller_city", "customer_city"),
-                           "order_key", "inner").dropna(subset=["seller_state", "customer_state"])
-    saved = money_sum("freight_dollars_saved")
-    actual = money_sum("actual_freight")
-    corridors = merged.groupBy("seller_state", "customer_state").agg(
+    savings; rounding is half-even; ties broken by the state pair.
+
+    Each side is first reduced per order (line count and exact cent sums on
+    one side, route count on the other); sums and averages over the
+    many-to-many matches are then weighted by the counts.  The result equals
+    aggregating the matched rows, without materializing lines x routes rows
+    for an order that is hot on both sides.
+    """
+    lines = (filtered.filter(F.col("customer_state").isNotNull())
+             .groupBy("order_key", "customer_state").agg(
+                 F.count(F.lit(1)).alias("n_lines"),
+                 F.sum("days_saved").alias("days"),
+                 F.count("days_saved").alias("days_n"),
+                 cents_sum("freight_dollars_saved").alias("saved"),
+                 cents_sum("actual_freight").alias("actual")))
+    legs = (routes.filter(F.col("seller_state").isNotNull())
+            .groupBy("order_key", "seller_state").agg(F.count(F.lit(1)).alias("n_routes")))
+    w = F.col("n_routes")
+    saved = from_cents(F.sum(F.col("saved") * w))
+    actual = from_cents(F.sum(F.col("actual") * w))
+    corridors = lines.join(legs, "order_key", "inner").groupBy("seller_state", "customer_state").agg(
         F.count_distinct("order_key").alias("total_orders"),
-        F.bround(F.avg("days_saved"), 1).alias("avg_days_saved"),
+        F.bround(F.sum(F.col("days") * w).cast("double") / F.sum(F.col("days_n") * w), 1)
+        .alias("avg_days_saved"),
         F.bround(saved, 2).alias("total_freight_saved"),
         F.bround(saved / actual * 100, 1).alias("freight_pct"))
     order = [F.col("total_orders").desc(), F.col("seller_state"), F.col("customer_state")]
@@ -154,15 +170,19 @@ def corridor_display(corridors: DataFrame) -> DataFrame:
     return corridors.select(*[F.col(c).alias(label) for c, label in CORRIDOR_LABELS.items()])
 
 
-def route_centroid(routes: DataFrame, default: tuple[float, float] = DEFAULT_CENTER) -> DataFrame:
-    """V6: mean customer coordinates of the routes (6 decimals), or the
-    default centre when there is no route."""
+def route_centroid(routes: DataFrame, default: tuple[float, float] = DEFAULT_CENTER,
+                   selected_states: int = DEFAULT_STATE_COUNT) -> DataFrame:
+    """V6: mean customer coordinates of the routes (6 decimals) and the map
+    zoom (5 when more than 3 states are selected, else 6); the default centre
+    and zoom 5 when there is no route."""
     def mean(c: str):
         return exact_ratio(F.sum(F.col(c).cast("decimal(20,10)")), F.count(c), 6)
+    n = F.count(F.lit(1))
     return routes.agg(
         F.coalesce(mean("customer_lat"), F.lit(default[0])).alias("center_lat"),
         F.coalesce(mean("customer_lon"), F.lit(default[1])).alias("center_lon"),
-        F.count(F.lit(1)).alias("n_routes"))
+        n.alias("n_routes"),
+        F.when((n > 0) & F.lit(selected_states <= 3), F.lit(6)).otherwise(F.lit(5)).alias("zoom"))
 
 
 def route_legs(routes: DataFrame, mode: str = "both") -> DataFrame:

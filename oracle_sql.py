@@ -582,7 +582,7 @@ ORDER BY total_orders DESC, seller_state, customer_state LIMIT 5""",
     "route_centroid": f"""
 SELECT coalesce({R('sum(CAST(customer_lat AS DECIMAL(20,10))) / count(customer_lat)', 6)}, -22.5) AS center_lat,
   coalesce({R('sum(CAST(customer_lon AS DECIMAL(20,10))) / count(customer_lon)', 6)}, -45.0) AS center_lon,
-  count(*) AS n_routes
+  count(*) AS n_routes, 5 AS zoom
 FROM routes_filtered""",
     "route_legs": """
 SELECT order_key, 'baseline' AS leg, seller_lat AS src_lat, seller_lon AS src_lon,
