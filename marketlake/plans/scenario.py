@@ -56,10 +56,20 @@ def scenario_filter(executive: DataFrame, states: Sequence[str] | None = None,
         F.col("optimized_shipping_days") <= max_days)
 
 
+COORDINATES = ("seller_lat", "seller_lon", "customer_lat", "customer_lon", "hub_lat", "hub_lon")
+
+
+def coerce_coordinates(routes: DataFrame) -> DataFrame:
+    """Coordinates as double, unparsable values -> null (C4); a no-op on
+    columns that are already double."""
+    return routes.withColumns({c: F.col(c).try_cast("double") for c in COORDINATES if c in routes.columns})
+
+
 def filter_routes(routes: DataFrame, executive: DataFrame,
                   states: Sequence[str] | None = None) -> DataFrame:
-    """Routes in the selected customer states (same selection as V1)."""
-    return _select_states(routes, executive, states)
+    """Routes in the selected customer states (same selection as V1), with
+    coordinates coerced to double."""
+    return coerce_coordinates(_select_states(routes, executive, states))
 
 
 def scenario_kpis(filtered: DataFrame) -> DataFrame:
