@@ -57,3 +57,23 @@ def test_scenario_filter_pushes_into_gold_table_scan(spark, tmpdir_fresh):
     assert "LessThanOrEqual(optimized_shipping_days,30)" in pushed
     schema = [line for line in text.splitlines() if line.strip().startswith("ReadSchema")][0]
     assert "purchased_at" not in schema and "seller_key" not in schema   # KPIs prune unused columns
+
+
+def test_bucketed_build_joins_without_shuffle(spark, tmpdir_fresh):
+    from marketlake.plans import gold
+    from marketlake.plans.build import run_pipeline
+    from marketlake.sources.testdata import bronze_from_testdata
+    tables = run_pipeline(spark, bronze_from_testdata(spark, SF_SMOKE), tmpdir_fresh, gate=False, buckets=4)
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")                       # behave as at scale: no side is small
+    try:
+        ex = gold.executive_overview(tables["fct_orders"], tables["fct_order_items"], tables["dim_customers"])
+        plan = spark._jvm.PythonSQLUtils.explainString(ex._jdf.queryExecution(), "simple")
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert "Bucketed: true" in plan
+    assert "hashpartitioning(order_key" not in plan    # the order_key join reads co-partitioned buckets
+    assert "hashpartitioning(customer_key" in plan     # the customer join still shuffles
