@@ -77,3 +77,38 @@ def test_bucketed_build_joins_without_shuffle(spark, tmpdir_fresh):
     assert "Bucketed: true" in plan
     assert "hashpartitioning(order_key" not in plan    # the order_key join reads co-partitioned buckets
     assert "hashpartitioning(customer_key" in plan     # the customer join still shuffles
+
+
+def test_hot_order_key_is_split_by_adaptive_skew_join(spark):
+    """One order holds a third of all lines: the shuffled join splits it."""
+    from pyspark.sql import functions as F
+
+    from marketlake.plans import core
+    n = 30000
+    items = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.col("id").cast("string")).alias("order_key"),
+        F.lit(1).alias("order_item_id"), F.lit("p").alias("product_key"), F.lit("s").alias("seller_key"),
+        F.lit(None).cast("timestamp_ntz").alias("shipping_limit_timestamp"),
+        (F.rand(7) * 100).alias("price"), F.rand(8).alias("freight_value"))   # incompressible payload
+    orders = spark.range(n).select(
+        F.when(F.col("id") == 0, F.lit("HOT")).otherwise(F.col("id").cast("string")).alias("order_key"),
+        F.lit("c").alias("customer_key"), F.lit("delivered").alias("order_status"),
+        F.lit(None).cast("timestamp_ntz").alias("purchase_timestamp"))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+                "spark.sql.shuffle.partitions": "8"}
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        df = core.fct_order_items(items, orders)
+        assert len(df.collect()) == n                 # runs this plan; AQE finalizes it
+        final = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "isFinalPlan=true" in final
+    assert "SortMergeJoin" in final and "skew=true" in final
