@@ -2,6 +2,5 @@
 
 from marketlake.operators.aggregates import distinct_then_avg, histogram, top_k
 from marketlake.operators.dedup import keep_first
-from marketlake.operators.joins import broadcast_if_small
 
-__all__ = ["keep_first", "distinct_then_avg", "histogram", "top_k", "broadcast_if_small"]
+__all__ = ["keep_first", "distinct_then_avg", "histogram", "top_k"]

@@ -32,8 +32,9 @@ Rules (the DuckDB oracle implements the same rules independently):
 * payments: sequence 1 for every order, plus sequence 2 of 10.00 when k%7=0
   (taken off sequence 1); type by k%4; installments 1 + k%10.
 * reviews: orders with k%3 != 0; score 1 + (k%16)%5 ('n/a' when k%97=0);
-  message by k%8: null, blanks, four fixed complaints, else the full text of
-  document k%200; created = purchase + 30 days; answered = created + k%9 days,
+  message by k%8: null, blanks, four fixed complaints, else the full text of a
+  document (text-carrying orders numbered consecutively, wrapped at the
+  document-id range, so every document is used); created = purchase + 30 days; answered = created + k%9 days,
   null when k%11=0, unparsable when k%89=0; an older duplicate review for
   k%30=1.
 """
@@ -47,13 +48,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.functions.expressions import STATE_BY_NATION
-from marketlake.operators.joins import broadcast_if_small
 
 # Fixed values of the adapter.
 PAYMENT_TYPES = ("credit_card", "boleto", "voucher", "debit_card")
 REVIEW_MESSAGES = (None, "   ", "Entrega com ATRASO", "produto quebrado", "muito ruim",
                    "Late delivery and broken")
-REVIEW_DOCS = 200
+# Keys modulo 24 that are reviewed (k % 3 != 0) and carry a document text (k % 8 >= 6).
+TEXT_SLOTS = tuple(r for r in range(24) if r % 3 != 0 and r % 8 >= len(REVIEW_MESSAGES))
 
 
 def _s(c: Column) -> Column:
@@ -227,14 +228,19 @@ def _payments(orders: DataFrame) -> DataFrame:
 def _reviews(orders: DataFrame, documents: DataFrame) -> DataFrame:
     k = F.col("o_orderkey")
     p = F.col("o_orderdate")
-    # Review messages: fixed complaints, or the whole text of one of the first
-    # REVIEW_DOCS documents.  The document side is bounded by the pushed-down
-    # key filter; it is broadcast only after its measured size is checked.
-    docs = (documents.filter(F.col("doc_id").between(0, REVIEW_DOCS - 1))
-            .select(F.col("doc_id"), F.col("text").alias("doc_text")))
-    docs = broadcast_if_small(docs, F.length("doc_text") + F.lit(16))
+    # Review messages: fixed complaints, or the whole text of a document.  The
+    # orders carrying a text are TEXT_SLOTS of every 24 keys; numbering them
+    # consecutively and wrapping at the document-id range (a scalar subquery,
+    # evaluated once) spreads them over every document of the table.  The
+    # join is an ordinary equi-join; its strategy follows the measured sizes.
+    slot = None
+    for j, r in enumerate(TEXT_SLOTS):
+        slot = F.when(k % 24 == r, F.lit(j)) if slot is None else slot.when(k % 24 == r, F.lit(j))
+    n_docs = documents.agg(F.max("doc_id") + 1).scalar()
+    text_index = ((k - k % 24) / 24).cast("long") * len(TEXT_SLOTS) + slot
+    docs = documents.select(F.col("doc_id"), F.col("text").alias("doc_text"))
     reviewed = orders.filter(k % 3 != 0).select(
-        k, p, F.when(k % 8 >= len(REVIEW_MESSAGES), k % REVIEW_DOCS).alias("doc_id"))
+        k, p, F.when(k % 8 >= len(REVIEW_MESSAGES), text_index % n_docs).alias("doc_id"))
     msg = None
     for i, text in enumerate(REVIEW_MESSAGES):
         value = F.lit(text).cast("string")

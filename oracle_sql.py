@@ -131,7 +131,9 @@ SELECT 'rev-' || CAST(k AS VARCHAR) AS review_id, CAST(k AS VARCHAR) AS order_id
   CAST({PLUS('o_orderdate', '30')} AS VARCHAR) AS review_creation_date,
   CASE WHEN k % 89 = 0 THEN 'not a date'
        WHEN k % 11 <> 0 THEN CAST({PLUS('o_orderdate', '30 + k % 9')} AS VARCHAR) END AS review_answer_timestamp
-FROM o_src LEFT JOIN documents d ON k % 8 >= 6 AND d.doc_id = k % 200
+FROM o_src LEFT JOIN documents d ON k % 8 >= 6
+  AND d.doc_id = (4 * (k // 24) + CASE k % 24 WHEN 7 THEN 0 WHEN 14 THEN 1 WHEN 22 THEN 2 WHEN 23 THEN 3 END)
+                 % (SELECT max(doc_id) + 1 FROM documents)
 WHERE k % 3 <> 0
 UNION ALL
 SELECT 'rev-' || CAST(k AS VARCHAR), CAST(k AS VARCHAR), CAST(1 + ((k + 1) % 16) % 5 AS VARCHAR), NULL,
