@@ -31,7 +31,7 @@ Rules (the DuckDB oracle implements the same rules independently):
   collapse in staging); English = lower(type).
 * payments: sequence 1 for every order, plus sequence 2 of 10.00 when k%7=0
   (taken off sequence 1); type by k%4; installments 1 + k%10.
-* reviews: orders with k%3 != 0; score 1 + (k%16)%5 ('n/a' when k%97=0);
+* reviews: one per order; score 1 + (k%16)%5 ('n/a' when k%97=0);
   message by k%8: null, blanks, four fixed complaints, else the full text of a
   document (text-carrying orders numbered consecutively, wrapped at the
   document-id range, so every document is used); created = purchase + 30 days; answered = created + k%9 days,
@@ -53,8 +53,9 @@ from marketlake.functions.expressions import STATE_BY_NATION
 PAYMENT_TYPES = ("credit_card", "boleto", "voucher", "debit_card")
 REVIEW_MESSAGES = (None, "   ", "Entrega com ATRASO", "produto quebrado", "muito ruim",
                    "Late delivery and broken")
-# Keys modulo 24 that are reviewed (k % 3 != 0) and carry a document text (k % 8 >= 6).
-TEXT_SLOTS = tuple(r for r in range(24) if r % 3 != 0 and r % 8 >= len(REVIEW_MESSAGES))
+# Keys modulo 8 whose review carries a document text (after the fixed messages).
+TEXT_PERIOD = 8
+TEXT_SLOTS = tuple(range(len(REVIEW_MESSAGES), TEXT_PERIOD))
 
 
 def _s(c: Column) -> Column:
@@ -229,18 +230,19 @@ def _reviews(orders: DataFrame, documents: DataFrame) -> DataFrame:
     k = F.col("o_orderkey")
     p = F.col("o_orderdate")
     # Review messages: fixed complaints, or the whole text of a document.  The
-    # orders carrying a text are TEXT_SLOTS of every 24 keys; numbering them
+    # orders carrying a text are TEXT_SLOTS of every TEXT_PERIOD keys; numbering them
     # consecutively and wrapping at the document-id range (a scalar subquery,
     # evaluated once) spreads them over every document of the table.  The
     # join is an ordinary equi-join; its strategy follows the measured sizes.
     slot = None
     for j, r in enumerate(TEXT_SLOTS):
-        slot = F.when(k % 24 == r, F.lit(j)) if slot is None else slot.when(k % 24 == r, F.lit(j))
+        cond = k % TEXT_PERIOD == r
+        slot = F.when(cond, F.lit(j)) if slot is None else slot.when(cond, F.lit(j))
     n_docs = documents.agg(F.max("doc_id") + 1).scalar()
-    text_index = ((k - k % 24) / 24).cast("long") * len(TEXT_SLOTS) + slot
+    text_index = ((k - k % TEXT_PERIOD) / TEXT_PERIOD).cast("long") * len(TEXT_SLOTS) + slot
     docs = documents.select(F.col("doc_id"), F.col("text").alias("doc_text"))
-    reviewed = orders.filter(k % 3 != 0).select(
-        k, p, F.when(k % 8 >= len(REVIEW_MESSAGES), text_index % n_docs).alias("doc_id"))
+    reviewed = orders.select(
+        k, p, F.when(k % TEXT_PERIOD >= len(REVIEW_MESSAGES), text_index % n_docs).alias("doc_id"))
     msg = None
     for i, text in enumerate(REVIEW_MESSAGES):
         value = F.lit(text).cast("string")
@@ -256,7 +258,7 @@ def _reviews(orders: DataFrame, documents: DataFrame) -> DataFrame:
         F.when(k % 89 == 0, F.lit("not a date"))
          .when(k % 11 != 0, _s(_plus_days(p, 30 + k % 9))).alias("review_answer_timestamp"),
     )
-    older = orders.filter((k % 3 != 0) & (k % 30 == 1)).select(
+    older = orders.filter(k % 30 == 1).select(
         F.concat(F.lit("rev-"), _s(k)).alias("review_id"),
         _s(k).alias("order_id"),
         _s(1 + ((k + 1) % 16) % 5).alias("review_score"),
