@@ -50,21 +50,30 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     Read from `spark.checkpoint.dir` (the cluster names a shared, fault
     tolerant folder there).  Only when it is unset, as in local tests, a
-    scratch folder is created once per SparkContext.  The RDD checkpoint
-    directory is registered under the root if the context has none yet.
+    scratch folder is created once per session.  The RDD checkpoint
+    directory is registered under the root if the context has none yet
+    (skipped on sessions without a local SparkContext, e.g. Spark Connect).
     """
-    sc = spark.sparkContext
-    key = id(sc)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote sessions expose no SparkContext
+        sc = None
+    key = id(sc) if sc is not None else id(spark)
     if key in _CHECKPOINT_ROOTS:
         return _CHECKPOINT_ROOTS[key]
-    root = sc.getConf().get("spark.checkpoint.dir", None)
-    if root is None and sc.getCheckpointDir() is not None:
+    root = sc.getConf().get("spark.checkpoint.dir", None) if sc is not None else None
+    if root is None:
+        try:
+            root = spark.conf.get("spark.checkpoint.dir", None)
+        except Exception:  # noqa: BLE001
+            root = None
+    if root is None and sc is not None and sc.getCheckpointDir() is not None:
         # setCheckpointDir() appends a unique subfolder; its parent is the root.
         root = os.path.dirname(sc.getCheckpointDir().rstrip("/"))
     if root is None:
         # Local runs only: a cluster always names a shared folder.
         root = tempfile.mkdtemp(prefix="marketlake-ckpt-")
-    if sc.getCheckpointDir() is None:
+    if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(f"{root.rstrip('/')}/rdd")
     _CHECKPOINT_ROOTS[key] = root
     return root
