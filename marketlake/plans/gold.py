@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlake.functions.expressions import (
-    KEYWORD_GROUPS, cents_sum, contains_any, count_if, days_between, exact_avg, exact_ratio,
+    KEYWORD_GROUPS, cents, cents_sum, contains_any, count_if, days_between, exact_avg, exact_ratio,
     from_cents, hub_for_state, pct, round_money_sum,
 )
 from marketlake.operators.aggregates import distinct_then_avg, top_k
@@ -137,19 +137,35 @@ def executive_overview(orders: DataFrame, items: DataFrame, customers: DataFrame
         .alias("is_optimized_late"))
 
 
-def payment_analysis(payments: DataFrame, orders: DataFrame) -> DataFrame:
+def payment_analysis(payments: DataFrame, orders: DataFrame, dedupe_orders: bool = False) -> DataFrame:
     """Per payment type, transactions, installments, captured value and the
-    associated order GMV (repeated per payment row, as in the source model)."""
-    j = payments.join(orders.select("order_key", "total_order_value"), "order_key", "left")
+    associated order GMV.
+
+    As in the source model, an order's value is counted once per payment row
+    (an order split over two payments of one type counts twice), which biases
+    the discrepancy; `dedupe_orders=True` counts it once per (type, order).
+    Payments are first aggregated per (type, order), so the order join sees
+    one row per pair and the value is weighted by the payment count.
+    """
+    per_order = payments.groupBy("payment_type", "order_key").agg(
+        F.count(F.lit(1)).alias("n_payments"),
+        F.sum("installment_count").alias("inst_sum"),
+        F.count("installment_count").alias("inst_n"),
+        cents_sum("payment_amount").alias("amount"),
+        F.count("payment_amount").alias("amount_n"))
+    value = orders.select("order_key", cents("total_order_value").alias("order_value"))
+    j = per_order.join(value, "order_key", "left")
+    gmv = F.col("order_value") * (F.lit(1) if dedupe_orders else F.col("n_payments"))
     return j.groupBy("payment_type").agg(
         F.count_distinct("order_key").alias("total_orders_using_payment_type"),
-        F.count(F.lit(1)).alias("total_payment_transactions"),
-        exact_avg("installment_count", 1).alias("avg_installment_count"),
-        round_money_sum("payment_amount").alias("total_captured_payment_value"),
-        exact_avg("payment_amount", 2, is_money=True).alias("avg_payment_transaction_value"),
-        round_money_sum("total_order_value").alias("total_associated_order_gmv"),
-        from_cents(cents_sum("payment_amount") - cents_sum("total_order_value"))
-        .alias("payment_reconciliation_discrepancy"))
+        F.sum("n_payments").alias("total_payment_transactions"),
+        exact_ratio(F.sum("inst_sum").cast("decimal(20,0)"), F.sum("inst_n"), 1)
+        .alias("avg_installment_count"),
+        from_cents(F.sum("amount")).alias("total_captured_payment_value"),
+        exact_ratio(F.sum("amount").cast("decimal(20,0)"), F.sum("amount_n") * 100, 2)
+        .alias("avg_payment_transaction_value"),
+        from_cents(F.sum(gmv)).alias("total_associated_order_gmv"),
+        from_cents(F.sum("amount") - F.sum(gmv)).alias("payment_reconciliation_discrepancy"))
 
 
 def regional_logistics(items: DataFrame, orders: DataFrame, sellers: DataFrame,

@@ -75,6 +75,9 @@ def test_payment_analysis_repeats_gmv_per_payment(spark):
     assert r.total_associated_order_gmv == 200.0                  # repeated for each payment row
     assert r.payment_reconciliation_discrepancy == -95.0
     assert r.avg_installment_count == 1.3 and r.avg_payment_transaction_value == 35.0
+    d = gold.payment_analysis(pay, orders, dedupe_orders=True).first()
+    assert (d.total_associated_order_gmv, d.payment_reconciliation_discrepancy) == (100.0, 5.0)
+    assert d.total_payment_transactions == 3
 
 
 def test_category_performance_distinct_review_average(spark):
