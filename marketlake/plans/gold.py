@@ -242,12 +242,13 @@ ROUTE_COLUMNS = ["order_key", "seller_city", "seller_state", "seller_lat", "sell
 
 
 def spatial_routing(items: DataFrame, sellers: DataFrame, customers: DataFrame,
-                    n: int | None = 3000) -> DataFrame:
+                    n: int | None = 3000, keys: bool = False) -> DataFrame:
     """Seller -> customer routes with the serving hub (by customer state).
 
     `n` keeps a deterministic sample: the first n routes by (order, seller,
     customer) key (each task keeps its own n best, the driver merges n * tasks
-    rows at most).  `n=None` returns every route.
+    rows at most).  `n=None` returns every route.  `keys=True` also returns
+    seller_key and customer_key (needed to match routes by seller).
     """
     i = items.select("order_key", "seller_key", "customer_key").distinct()
     s = sellers.select("seller_key", F.col("city").alias("seller_city"),
@@ -265,7 +266,7 @@ def spatial_routing(items: DataFrame, sellers: DataFrame, customers: DataFrame,
                       "hub.hub_name", "hub.hub_lat", "hub.hub_lon"))
     if n is not None:
         routes = top_k(routes, [F.col("order_key"), F.col("seller_key"), F.col("customer_key")], n)
-    return routes.select(*ROUTE_COLUMNS)
+    return routes.select(*ROUTE_COLUMNS, *(["seller_key", "customer_key"] if keys else []))
 
 
 __all__ = ["category_performance", "customer_cohorts", "executive_overview", "payment_analysis",

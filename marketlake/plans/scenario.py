@@ -131,10 +131,14 @@ def hub_load(filtered: DataFrame, hubs: DataFrame | None = None) -> DataFrame:
                     F.coalesce("orders_handled", F.lit(0)).alias("orders_handled")))
 
 
-def corridor_top_k(filtered: DataFrame, routes: DataFrame, k: int = 5) -> DataFrame:
+def corridor_top_k(filtered: DataFrame, routes: DataFrame, k: int = 5,
+                   match_seller: bool = False) -> DataFrame:
     """V5: busiest (seller state, customer state) corridors of the filtered
     lines matched to routes by order (many-to-many, as in the source), with
     savings; rounding is half-even; ties broken by the state pair.
+    `match_seller=True` matches by (order, seller) instead, so an order with
+    two sellers no longer mixes their corridors (routes need `seller_key`,
+    see `spatial_routing(keys=True)`).
 
     Each side is first reduced per order (line count and exact cent sums on
     one side, route count on the other); sums and averages over the
@@ -142,19 +146,20 @@ def corridor_top_k(filtered: DataFrame, routes: DataFrame, k: int = 5) -> DataFr
     aggregating the matched rows, without materializing lines x routes rows
     for an order that is hot on both sides.
     """
+    on = ["order_key", "seller_key"] if match_seller else ["order_key"]
     lines = (filtered.filter(F.col("customer_state").isNotNull())
-             .groupBy("order_key", "customer_state").agg(
+             .groupBy(*on, "customer_state").agg(
                  F.count(F.lit(1)).alias("n_lines"),
                  F.sum("days_saved").alias("days"),
                  F.count("days_saved").alias("days_n"),
                  cents_sum("freight_dollars_saved").alias("saved"),
                  cents_sum("actual_freight").alias("actual")))
     legs = (routes.filter(F.col("seller_state").isNotNull())
-            .groupBy("order_key", "seller_state").agg(F.count(F.lit(1)).alias("n_routes")))
+            .groupBy(*on, "seller_state").agg(F.count(F.lit(1)).alias("n_routes")))
     w = F.col("n_routes")
     saved = from_cents(F.sum(F.col("saved") * w))
     actual = from_cents(F.sum(F.col("actual") * w))
-    corridors = lines.join(legs, "order_key", "inner").groupBy("seller_state", "customer_state").agg(
+    corridors = lines.join(legs, on, "inner").groupBy("seller_state", "customer_state").agg(
         F.count_distinct("order_key").alias("total_orders"),
         F.bround(F.sum(F.col("days") * w).cast("double") / F.sum(F.col("days_n") * w), 1)
         .alias("avg_days_saved"),

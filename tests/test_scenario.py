@@ -52,3 +52,18 @@ def test_corridor_top_k_and_centroid(spark):
     assert (c.center_lat, c.center_lon) == (-22.333333, -44.0)
     e = scenario.route_centroid(routes.filter("false")).first()
     assert (e.center_lat, e.center_lon, e.n_routes) == (-22.5, -45.0, 0)
+
+
+def test_corridor_match_by_seller(spark):
+    ex = spark.createDataFrame(
+        [("o1", "s_sp", "RJ", 5, 2.0, 1.0), ("o1", "s_mg", "RJ", 1, 4.0, 2.0)],
+        "order_key string, seller_key string, customer_state string, days_saved int, "
+        "actual_freight double, freight_dollars_saved double")
+    routes = spark.createDataFrame([("o1", "s_sp", "SP"), ("o1", "s_mg", "MG")],
+                                   "order_key string, seller_key string, seller_state string")
+    by_order = {(r.seller_state, r.customer_state): r for r in scenario.corridor_top_k(ex, routes).collect()}
+    assert by_order[("SP", "RJ")].avg_days_saved == 3.0             # both lines mixed into each corridor
+    by_seller = {(r.seller_state, r.customer_state): r
+                 for r in scenario.corridor_top_k(ex, routes, match_seller=True).collect()}
+    assert by_seller[("SP", "RJ")].avg_days_saved == 5.0 and by_seller[("MG", "RJ")].avg_days_saved == 1.0
+    assert by_seller[("MG", "RJ")].freight_pct == 50.0
