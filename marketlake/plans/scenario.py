@@ -125,8 +125,8 @@ def hub_load(filtered: DataFrame, hubs: DataFrame | None = None) -> DataFrame:
     hubs = hubs if hubs is not None else hub_table(filtered.sparkSession)
     counts = (filtered.select(hub_for_state("customer_state").hub_name.alias("hub_name"))
               .groupBy("hub_name").agg(F.count(F.lit(1)).alias("orders_handled")))
-    # Both sides are bounded by the number of hubs.
-    return (F.broadcast(hubs).join(counts, "hub_name", "left")
+    # `counts` has at most one row per hub name: a bounded broadcast build side.
+    return (hubs.join(F.broadcast(counts), "hub_name", "left")
             .select("hub_name", "hub_lat", "hub_lon", "capacity",
                     F.coalesce("orders_handled", F.lit(0)).alias("orders_handled")))
 
