@@ -7,6 +7,10 @@ Commands
                                               then the quality checks (fails when a check fails
                                               unless --no-gate)
   check   --out DIR                           quality report over tables already written in DIR
+  scenario --out DIR [--states SP RJ ...] [--max-days 30]
+                                              the what-if analytics over the written gold tables:
+                                              KPIs, lead-time histogram, hub load, top corridors,
+                                              map centre (default states: first 5 in sort order)
 
 On a cluster the session comes from spark-submit; `--local N` starts a local
 session instead.
@@ -58,6 +62,11 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--no-gate", action="store_true")
     p = sub.add_parser("check")
     p.add_argument("--out", required=True)
+    p = sub.add_parser("scenario")
+    p.add_argument("--out", required=True)
+    p.add_argument("--states", nargs="*", default=None)
+    p.add_argument("--max-days", type=int, default=30)
+    p.add_argument("--top", type=int, default=5)
     args = parser.parse_args(argv)
 
     spark = _session(args)
@@ -84,6 +93,24 @@ def main(argv: list[str] | None = None) -> int:
         report.filter("violations > 0").show(100, truncate=False)
         assert_passed(report)
         return 0
+    if args.command == "scenario":
+        from marketlake.plans import scenario
+        out = args.out.rstrip("/")
+        executive = spark.read.parquet(f"{out}/gold_executive_overview")
+        routes = spark.read.parquet(f"{out}/gold_spatial_routing")
+        filtered = scenario.scenario_filter(executive, args.states, args.max_days)
+        selected = scenario.filter_routes(routes, executive, args.states)
+        for title, df in (("kpis", scenario.scenario_kpis(filtered)),
+                          ("lead time histogram", scenario.lead_time_histogram(filtered)
+                           .orderBy("series", "bin_index")),
+                          ("hub load", scenario.hub_load(filtered)),
+                          ("top corridors", scenario.corridor_display(
+                              scenario.corridor_top_k(filtered, selected, args.top))),
+                          ("map centre", scenario.route_centroid(
+                              selected, selected_states=len(args.states) if args.states else 5))):
+            print(f"== {title}")
+            df.show(100, truncate=False)
+        return 0
     return 2
 
 

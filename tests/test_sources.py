@@ -68,3 +68,4 @@ def test_job_entry_point_build_and_check(spark, tmpdir_fresh):
     assert spark.read.parquet(os.path.join(out, "gold_executive_overview")).count() > 0
     with pytest.raises(QualityError, match="stg_order_reviews__review_score"):
         main(["check", "--out", out])          # the unparsable review scores fail not_null
+    assert main(["scenario", "--out", out, "--states", "SP", "RJ", "--max-days", "25"]) == 0
