@@ -69,3 +69,19 @@ def test_job_entry_point_build_and_check(spark, tmpdir_fresh):
     with pytest.raises(QualityError, match="stg_order_reviews__review_score"):
         main(["check", "--out", out])          # the unparsable review scores fail not_null
     assert main(["scenario", "--out", out, "--states", "SP", "RJ", "--max-days", "25"]) == 0
+
+
+def test_write_table_partitioned_bucketed_and_views(spark, tmpdir_fresh):
+    df = spark.createDataFrame([("o1", "SP", 1), ("o2", "RJ", 2), ("o3", "SP", 3)],
+                               "order_key string, state string, n int")
+    part = sinks.write_table(df, os.path.join(tmpdir_fresh, "by_state"), "parquet", partition_by=["state"])
+    assert {d for d in os.listdir(os.path.join(tmpdir_fresh, "by_state")) if d.startswith("state=")} == \
+        {"state=SP", "state=RJ"}
+    assert part.filter("state = 'SP'").count() == 2
+    bucketed = sinks.write_table(df, os.path.join(tmpdir_fresh, "bucketed"), "parquet",
+                                 bucket_by=("order_key", 2), table="t_bucketed_test")
+    assert bucketed.count() == 3
+    detail = spark.sql("DESCRIBE TABLE EXTENDED t_bucketed_test").collect()
+    assert any(r.col_name == "Num Buckets" and r.data_type == "2" for r in detail)
+    sinks.register_views({"v_orders_test": df})
+    assert spark.sql("SELECT sum(n) AS s FROM v_orders_test").first().s == 6
