@@ -58,7 +58,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--landing")
     p.add_argument("--bronze", help="read landed bronze tables instead of the CSV landing folder")
     p.add_argument("--out", required=True)
-    p.add_argument("--buckets", type=int, default=None)
+    p.add_argument("--buckets", type=int, default=0,
+                   help="bucket order-grain tables by order_key (off by default: see run_pipeline)")
     p.add_argument("--no-gate", action="store_true")
     p = sub.add_parser("check")
     p.add_argument("--out", required=True)

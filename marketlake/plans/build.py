@@ -123,8 +123,9 @@ _CORE_BUILDERS = {
 }
 
 
-# Order-grain tables, bucketed by order_key with one bucket count so that the
-# order_key joins and aggregations of the next layer need no shuffle.
+# Order-grain tables that `run_pipeline(buckets=N)` buckets by order_key with one
+# bucket count, so that the order_key joins and aggregations of the next layer
+# need no shuffle.
 ORDER_BUCKETED = ("stg_order_items", "stg_orders", "stg_order_reviews", "stg_order_payments",
                   "fct_order_items", "fct_orders", "fct_order_reviews", "fct_order_payments")
 
@@ -143,20 +144,23 @@ def _materialize(spark: SparkSession, models: Mapping[str, DataFrame], out_dir:
 def run_pipeline(spark: SparkSession, bronze: Mapping[str, DataFrame], out_dir: str,
                  bounds: DataFrame | None = None, fmt: str | None = None,
                  checks: bool = True, gate: bool = True,
-                 buckets: int | None = None) -> dict[str, DataFrame]:
+                 buckets: int = 0) -> dict[str, DataFrame]:
     """Build and write every model layer by layer, then run the quality suite.
 
     Returns the written tables (as DataFrames reading them back) plus
     `quality_report`.  With `gate`, raises `QualityError` when any check
-    fails, mirroring a test step that gates the next task.  Order-grain
-    tables are bucketed by order_key into `buckets` buckets (default: the
-    session's shuffle partition count; 0 disables bucketing).
+    fails, mirroring a test step that gates the next task.
+
+    `buckets=N` writes the order-grain tables bucketed by order_key, which
+    removes the order_key shuffles of the next layer.  It is off by default:
+    a bucket holds every row of its keys, so an order holding a large share of
+    all lines would pin that share to one task in each co-partitioned join,
+    where adaptive skew splitting (which works on shuffled joins) cannot help.
+    Enable it when order keys are known to be spread.
     """
     from marketlake.plans.quality import assert_passed, run_checks
     from marketlake.sources.sinks import default_format
     fmt = fmt or default_format(spark)
-    if buckets is None:
-        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     stg = _materialize(spark, build_staging(dict(bronze)), out_dir, fmt, buckets)
     cm = _materialize(spark, build_core(stg, bounds), out_dir, fmt, buckets)
     gm = _materialize(spark, build_gold(cm), out_dir, fmt, buckets)
