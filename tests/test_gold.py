@@ -89,3 +89,48 @@ def test_category_performance_distinct_review_average(spark):
     assert (r.units_sold, r.total_orders, r.total_category_revenue) == (3, 2, 27.5)
     assert r.avg_review_score == 3.5                               # per order, not per line
     assert r.revenue_per_unit == 9.17
+
+
+def test_customer_cohorts_equals_join_back_formulation_on_dirty_rows(spark):
+    """Duplicated order rows, a buyer without id, a null purchase date: the
+    (buyer, day) rewrite equals the join-back SQL formulation (run in DuckDB)."""
+    import duckdb
+
+    from marketlake.plans.core import dim_dates, fixed_bounds
+    orders_rows = [("o1", "k1", D(2018, 1, 5, 9), 10.0), ("o1", "k1", D(2018, 1, 5, 9), 10.0),
+                   ("o2", "k2", D(2018, 2, 7), 5.5), ("o3", "k3", D(2018, 2, 9), 7.25),
+                   ("o4", "k1", None, 3.0), ("o5", "k4", D(2018, 3, 1), 1.0), ("o6", "k3", D(2018, 1, 2), 2.0)]
+    cust_rows = [("k1", "h1"), ("k2", "h1"), ("k3", "h2"), ("k4", None)]
+    orders = spark.createDataFrame(orders_rows, "order_key string, customer_key string, "
+                                                "purchased_at timestamp_ntz, total_order_value double")
+    customers = spark.createDataFrame(cust_rows, "customer_key string, customer_unique_id string")
+    got = sorted(tuple(r) for r in gold.customer_cohorts(orders, customers,
+                                                         dim_dates(fixed_bounds(spark))).collect())
+    con = duckdb.connect()
+    con.execute("CREATE TABLE o (order_key VARCHAR, customer_key VARCHAR, purchased_at TIMESTAMP, total_order_value DOUBLE)")
+    con.executemany("INSERT INTO o VALUES (?, ?, ?, ?)", orders_rows)
+    con.execute("CREATE TABLE c (customer_key VARCHAR, customer_unique_id VARCHAR)")
+    con.executemany("INSERT INTO c VALUES (?, ?)", cust_rows)
+    want = con.execute("""
+      WITH fo AS (SELECT c.customer_unique_id, min(CAST(o.purchased_at AS DATE)) AS first_purchase_date
+                  FROM o JOIN c ON o.customer_key = c.customer_key GROUP BY 1),
+      ob AS (SELECT o.order_key, c.customer_unique_id, CAST(o.purchased_at AS DATE) AS purchase_date,
+               o.total_order_value,
+               CASE WHEN CAST(o.purchased_at AS DATE) = fo.first_purchase_date THEN 'New' ELSE 'Returning' END AS t,
+               date_diff('day', fo.first_purchase_date, CAST(o.purchased_at AS DATE)) AS days
+             FROM o JOIN c ON o.customer_key = c.customer_key
+             JOIN fo ON c.customer_unique_id = fo.customer_unique_id)
+      SELECT year(purchase_date)::INT, month(purchase_date)::INT, monthname(purchase_date),
+        'Q' || quarter(purchase_date) || '-' || year(purchase_date),
+        count(DISTINCT customer_unique_id), count(DISTINCT CASE WHEN t = 'New' THEN customer_unique_id END),
+        count(DISTINCT CASE WHEN t = 'Returning' THEN customer_unique_id END), count(DISTINCT order_key),
+        round(sum(total_order_value::DECIMAL(18,2)), 2)::DOUBLE,
+        round(sum(CASE WHEN t = 'New' THEN total_order_value::DECIMAL(18,2) ELSE 0 END), 2)::DOUBLE,
+        round(sum(CASE WHEN t = 'Returning' THEN total_order_value::DECIMAL(18,2) ELSE 0 END), 2)::DOUBLE,
+        round(count(DISTINCT CASE WHEN t = 'Returning' THEN customer_unique_id END) * 100.0
+              / nullif(count(DISTINCT customer_unique_id), 0), 2)::DOUBLE,
+        round(avg(CASE WHEN t = 'Returning' THEN days END), 1)::DOUBLE
+      FROM ob WHERE purchase_date IS NOT NULL GROUP BY 1, 2, 3, 4""").fetchall()
+    assert got == sorted(want)
+    jan = [r for r in got if r[1] == 1][0]
+    assert jan[7] == 2 and jan[8] == 22.0        # o1 counted once as an order, twice in GMV
