@@ -134,3 +134,31 @@ def test_customer_cohorts_equals_join_back_formulation_on_dirty_rows(spark):
     assert got == sorted(want)
     jan = [r for r in got if r[1] == 1][0]
     assert jan[7] == 2 and jan[8] == 22.0        # o1 counted once as an order, twice in GMV
+
+
+def test_payment_analysis_equals_source_formulation_on_dirty_rows(spark):
+    import duckdb
+    pay_rows = [("o1", "credit_card", 2, 60.0), ("o1", "credit_card", 1, 40.0), ("o1", "voucher", 1, 10.0),
+                ("o2", "boleto", None, None), ("o9", "boleto", 1, 5.0), (None, "boleto", 3, 1.25)]
+    order_rows = [("o1", 100.0), ("o1", 100.0), ("o2", 33.33)]          # o1 duplicated
+    pay = spark.createDataFrame(pay_rows, "order_key string, payment_type string, installment_count int, "
+                                          "payment_amount double")
+    orders = spark.createDataFrame(order_rows, "order_key string, total_order_value double")
+    cols = ["payment_type", "total_orders_using_payment_type", "total_payment_transactions",
+            "avg_installment_count", "total_captured_payment_value", "avg_payment_transaction_value",
+            "total_associated_order_gmv", "payment_reconciliation_discrepancy"]
+    got = sorted(tuple(r[c] for c in cols) for r in gold.payment_analysis(pay, orders).collect())
+    con = duckdb.connect()
+    con.execute("CREATE TABLE p (order_key VARCHAR, payment_type VARCHAR, installment_count INT, payment_amount DOUBLE)")
+    con.executemany("INSERT INTO p VALUES (?, ?, ?, ?)", pay_rows)
+    con.execute("CREATE TABLE o (order_key VARCHAR, total_order_value DOUBLE)")
+    con.executemany("INSERT INTO o VALUES (?, ?)", order_rows)
+    want = con.execute("""
+      SELECT p.payment_type, count(DISTINCT p.order_key), count(*),
+        round(avg(p.installment_count), 1)::DOUBLE,
+        round(sum(p.payment_amount::DECIMAL(18,2)), 2)::DOUBLE,
+        round(sum(p.payment_amount::DECIMAL(18,2)) / count(p.payment_amount), 2)::DOUBLE,
+        round(sum(o.total_order_value::DECIMAL(18,2)), 2)::DOUBLE,
+        round(sum(p.payment_amount::DECIMAL(18,2)) - sum(o.total_order_value::DECIMAL(18,2)), 2)::DOUBLE
+      FROM p LEFT JOIN o ON p.order_key = o.order_key GROUP BY 1""").fetchall()
+    assert got == sorted(want)

@@ -67,3 +67,37 @@ def test_corridor_match_by_seller(spark):
                  for r in scenario.corridor_top_k(ex, routes, match_seller=True).collect()}
     assert by_seller[("SP", "RJ")].avg_days_saved == 5.0 and by_seller[("MG", "RJ")].avg_days_saved == 1.0
     assert by_seller[("MG", "RJ")].freight_pct == 50.0
+
+
+def test_corridor_rewrite_equals_direct_merge(spark):
+    """Per-order pre-aggregation weighted by counts == merge every line with
+    every route of its order, then group (the source's formulation)."""
+    import duckdb
+    ex_rows = [("o1", "RJ", 5, 10.0, 3.5), ("o1", "RJ", 1, 2.0, 0.7), ("o2", "SP", 2, 4.0, 1.4),
+               ("o3", None, 3, 1.0, 0.35), ("o4", "MG", None, 8.0, 2.8), ("o5", "SP", 7, 3.0, 1.05)]
+    rt_rows = [("o1", "SP"), ("o1", "SP"), ("o1", "MG"), ("o2", "SP"), ("o3", "SP"), ("o4", None),
+               ("o4", "RJ"), ("o5", "SP"), ("o6", "SP")]
+    ex = spark.createDataFrame(ex_rows, "order_key string, customer_state string, days_saved int, "
+                                        "actual_freight double, freight_dollars_saved double")
+    routes = spark.createDataFrame(rt_rows, "order_key string, seller_state string")
+    cols = ["seller_state", "customer_state", "total_orders", "avg_days_saved", "total_freight_saved", "freight_pct"]
+    got = [tuple(r[c] for c in cols) for r in scenario.corridor_top_k(ex, routes, k=10).collect()]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE e (order_key VARCHAR, customer_state VARCHAR, days_saved INT, "
+                "actual_freight DOUBLE, freight_dollars_saved DOUBLE)")
+    con.executemany("INSERT INTO e VALUES (?, ?, ?, ?, ?)", ex_rows)
+    con.execute("CREATE TABLE r (order_key VARCHAR, seller_state VARCHAR)")
+    con.executemany("INSERT INTO r VALUES (?, ?)", rt_rows)
+    want = con.execute("""
+      SELECT seller_state, customer_state, n,
+        round_even(avg_days::VARCHAR::DECIMAL(38,15), 1)::DOUBLE,
+        round_even(saved::VARCHAR::DECIMAL(38,15), 2)::DOUBLE,
+        round_even((saved / actual * 100)::VARCHAR::DECIMAL(38,15), 1)::DOUBLE
+      FROM (SELECT r.seller_state, e.customer_state, count(DISTINCT e.order_key) AS n,
+              avg(e.days_saved) AS avg_days,
+              sum(e.freight_dollars_saved::DECIMAL(18,2))::DOUBLE AS saved,
+              sum(e.actual_freight::DECIMAL(18,2))::DOUBLE AS actual
+            FROM e JOIN r ON e.order_key = r.order_key
+            WHERE r.seller_state IS NOT NULL AND e.customer_state IS NOT NULL GROUP BY 1, 2)
+      ORDER BY n DESC, seller_state, customer_state""").fetchall()
+    assert got == want
