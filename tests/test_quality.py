@@ -46,3 +46,26 @@ def test_full_report_on_smoke_tables_fails_only_the_unparsable_scores(spark):
     failed = {r.check_name for r in report if r.violations > 0}
     assert failed == {"not_null__stg_order_reviews__review_score",
                       "not_null__gold_review_text_signals__review_score"}
+
+
+def test_accounting_invariants_on_smoke_tables(spark):
+    from pyspark.sql import functions as F
+
+    from conftest import SF_SMOKE
+    from marketlake.plans.registry import models
+    m = models(spark, SF_SMOKE)
+    cohorts = m["gold_customer_cohorts"]
+    assert cohorts.filter(F.abs(F.col("new_buyer_gmv") + F.col("returning_buyer_gmv") - F.col("total_gmv"))
+                          > 0.005).count() == 0
+    categories = m["gold_category_performance"]
+    assert categories.filter(F.abs(F.col("total_merchandise_revenue") + F.col("total_freight_revenue")
+                                   - F.col("total_category_revenue")) > 0.005).count() == 0
+    executive = m["gold_executive_overview"]
+    assert executive.filter((F.col("actual_shipping_days") >= 0) & (F.col("days_saved") < 0)).count() == 0
+    assert executive.filter(F.col("optimized_freight") > F.col("actual_freight")).count() == 0
+    # every order's value equals its items' value (orders with items) and 0 otherwise
+    orders, items = m["fct_orders"], m["fct_order_items"]
+    per_order = items.groupBy("order_key").agg(F.sum("total_item_value").alias("v"))
+    diff = orders.join(per_order, "order_key", "left").filter(
+        F.abs(F.coalesce("v", F.lit(0.0)) - F.col("total_order_value")) > 0.005)
+    assert diff.count() == 0
