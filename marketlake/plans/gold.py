@@ -214,12 +214,16 @@ def seller_scorecard(perf: DataFrame, sellers: DataFrame, items: DataFrame,
                      customers: DataFrame, reviews: DataFrame) -> DataFrame:
     """Seller profile, velocity, distinct human buyers, revenue and the
     review average over distinct (seller, order, score)."""
-    buyers = (items.select("seller_key", "customer_key", "total_item_value")
+    # Lines are collapsed to (seller, customer) before the customer join; the
+    # line count and cent sums carry through, so the totals are unchanged.
+    seller_customers = items.groupBy("seller_key", "customer_key").agg(
+        F.count(F.lit(1)).alias("n_lines"), cents_sum("total_item_value").alias("value"))
+    buyers = (seller_customers
               .join(customers.select("customer_key", "customer_unique_id"), "customer_key", "inner")
               .groupBy("seller_key").agg(
                   F.count_distinct("customer_unique_id").alias("unique_buyers_served"),
-                  round_money_sum("total_item_value").alias("total_gross_revenue"),
-                  F.count(F.lit(1)).alias("total_items_sold")))
+                  from_cents(F.sum("value")).alias("total_gross_revenue"),
+                  F.sum("n_lines").alias("total_items_sold")))
     scored = items.select("seller_key", "order_key").distinct().join(
         reviews.select("order_key", "review_score").distinct(), "order_key", "inner")
     review_avg = distinct_then_avg(scored, ["seller_key"], ["order_key"], "review_score", 2,
