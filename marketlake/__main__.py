@@ -38,24 +38,39 @@ def _session(args) -> SparkSession:
     return configure(SparkSession.builder.getOrCreate())
 
 
+def _files(args) -> dict[str, str]:
+    """`--file orders=my_orders.csv` pairs -> {source: file name}."""
+    out = {}
+    for pair in getattr(args, "file", None) or []:
+        name, _, file_name = pair.partition("=")
+        if name not in SOURCES or not file_name:
+            raise SystemExit(f"--file expects SOURCE=FILE with SOURCE in {sorted(SOURCES)}: {pair!r}")
+        out[name] = file_name
+    return out
+
+
 def _bronze(spark: SparkSession, args):
     if args.bronze:  # previously landed bronze tables
         return {name: spark.read.parquet(f"{args.bronze.rstrip('/')}/{name}") for name in SOURCES}
-    return read_bronze_all(spark, args.landing)
+    return read_bronze_all(spark, args.landing, _files(args))
 
 
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="marketlake")
     parser.add_argument("--local", type=int, default=0, help="start a local session with N cores")
     sub = parser.add_subparsers(dest="command", required=True)
+    file_help = "landing file name of a source, e.g. orders=my_orders.csv (repeatable)"
     p = sub.add_parser("ingest")
     p.add_argument("--landing", required=True)
     p.add_argument("--bronze", required=True)
+    p.add_argument("--file", action="append", help=file_help)
     p = sub.add_parser("land")
     p.add_argument("--landing", required=True)
     p.add_argument("--bronze", required=True)
+    p.add_argument("--file", action="append", help=file_help + "; used as a glob pattern")
     p = sub.add_parser("build")
     p.add_argument("--landing")
+    p.add_argument("--file", action="append", help=file_help)
     p.add_argument("--bronze", help="read landed bronze tables instead of the CSV landing folder")
     p.add_argument("--out", required=True)
     p.add_argument("--buckets", type=int, default=0,
@@ -72,13 +87,14 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = _session(args)
     if args.command == "ingest":
-        manifest = ingest_bronze(spark, args.landing, args.bronze)
+        manifest = ingest_bronze(spark, args.landing, args.bronze, _files(args))
         manifest.show(truncate=False)
         return 0 if manifest.filter("status != 'succeeded'").isEmpty() else 1
     if args.command == "land":
         from marketlake.streaming import land_new_files
+        files = _files(args)
         for name in SOURCES:
-            print(name, land_new_files(spark, args.landing, args.bronze, name))
+            print(name, land_new_files(spark, args.landing, args.bronze, name, pattern=files.get(name)))
         return 0
     if args.command == "build":
         if not (args.landing or args.bronze):

@@ -60,9 +60,12 @@ def test_job_entry_point_build_and_check(spark, tmpdir_fresh):
     land = os.path.join(tmpdir_fresh, "landing")
     bronze = bronze_from_testdata(spark, SF_SMOKE)
     for name, src in SOURCES.items():
+        file_name = "my_orders.csv" if name == "orders" else src.file_name
         (bronze[name].write.option("header", "true").option("quote", '"').option("escape", '"')
-         .csv(os.path.join(land, src.file_name)))
-    assert main(["ingest", "--landing", land, "--bronze", os.path.join(tmpdir_fresh, "bronze")]) == 0
+         .csv(os.path.join(land, file_name)))
+    assert main(["ingest", "--landing", land, "--bronze", os.path.join(tmpdir_fresh, "bronze")]) == 1
+    assert main(["ingest", "--landing", land, "--bronze", os.path.join(tmpdir_fresh, "bronze"),
+                 "--file", "orders=my_orders.csv"]) == 0
     out = os.path.join(tmpdir_fresh, "marts")
     assert main(["build", "--bronze", os.path.join(tmpdir_fresh, "bronze"), "--out", out, "--no-gate"]) == 0
     assert spark.read.parquet(os.path.join(out, "gold_executive_overview")).count() > 0
