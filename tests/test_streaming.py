@@ -19,3 +19,16 @@ def test_land_new_files_is_incremental(spark, tmpdir_fresh):
     assert landed.count() == 3
     assert {r._source_file for r in landed.collect()} == {"part1-sellers.csv", "part2-sellers.csv"}
     assert landed.filter("seller_id = 's1'").first().seller_zip_code_prefix == "01001"
+
+
+def test_land_multiline_reviews(spark, tmpdir_fresh):
+    land, bronze = os.path.join(tmpdir_fresh, "landing"), os.path.join(tmpdir_fresh, "bronze")
+    os.makedirs(land)
+    with open(os.path.join(land, "batch1-order_reviews.csv"), "w") as f:
+        f.write('review_id,order_id,review_score,review_comment_title,review_comment_message,'
+                'review_creation_date,review_answer_timestamp\n'
+                'r1,o1,5,,"linha um\nlinha ""dois""",2018-01-18 00:00:00,2018-01-19 00:00:00\n'
+                'r2,o2,1,,,2018-01-20 00:00:00,\n')
+    assert land_new_files(spark, land, bronze, "order_reviews") == 2
+    row = spark.read.parquet(os.path.join(bronze, "order_reviews")).filter("review_id = 'r1'").first()
+    assert row.review_comment_message == 'linha um\nlinha "dois"'
