@@ -25,29 +25,42 @@ MONTH_KEYS = ["calendar_year", "calendar_month", "month_name", "quarter_year"]
 
 def category_performance(items: DataFrame, products: DataFrame, reviews: DataFrame) -> DataFrame:
     """G1: revenue, units, orders and unit economics per category, plus the
-    review average over distinct (order, category, score)."""
-    lines = items.join(products.select("product_key", "category_name"), "product_key", "inner")
-    # Both sides are made distinct before the join: the result is the same
-    # distinct (order, category, score) set, but a hot order with many lines
-    # and many reviews no longer emits lines x reviews rows.
-    scored = lines.select("order_key", "category_name").distinct().join(
-        reviews.select("order_key", "review_score").distinct(), "order_key", "inner")
+    review average over distinct (order, category, score).
+
+    Money and units are aggregated per product before the product join, so
+    that join sees one row per product instead of one per line.  The distinct
+    (category, order) pairs are built once and feed both the order count and
+    the review join (with distinct (order, score) pairs on the other side, so a
+    hot order with many lines and reviews never emits lines x reviews rows).
+    """
+    categories = products.select("product_key", "category_name")
+    per_product = items.groupBy("product_key").agg(
+        F.count(F.lit(1)).alias("units"),
+        cents_sum("total_item_value").alias("value"),
+        cents_sum("price").alias("merchandise"),
+        cents_sum("freight_value").alias("freight"))
+    totals = per_product.join(categories, "product_key", "inner").groupBy("category_name").agg(
+        from_cents(F.sum("value")).alias("total_category_revenue"),
+        from_cents(F.sum("merchandise")).alias("total_merchandise_revenue"),
+        from_cents(F.sum("freight")).alias("total_freight_revenue"),
+        F.sum("units").alias("units_sold"),
+        exact_ratio(F.sum("value").cast("decimal(20,0)"), F.sum("units") * 100, 2).alias("revenue_per_unit"),
+        exact_ratio(F.sum("freight").cast("decimal(20,0)"), F.sum("units") * 100, 2).alias("freight_per_unit"))
+    category_orders = (items.select("order_key", "product_key")
+                       .join(categories, "product_key", "inner")
+                       .select("category_name", "order_key").distinct())
+    order_counts = category_orders.groupBy("category_name").agg(
+        F.count("order_key").alias("total_orders"))
+    scored = category_orders.join(reviews.select("order_key", "review_score").distinct(), "order_key", "inner")
     review_avg = distinct_then_avg(scored, ["category_name"], ["order_key"], "review_score", 2,
                                    "avg_review_score")
-    totals = lines.groupBy("category_name").agg(
-        round_money_sum("total_item_value").alias("total_category_revenue"),
-        round_money_sum("price").alias("total_merchandise_revenue"),
-        round_money_sum("freight_value").alias("total_freight_revenue"),
-        F.count(F.lit(1)).alias("units_sold"),
-        F.count_distinct("order_key").alias("total_orders"),
-        exact_ratio(cents_sum("total_item_value").cast("decimal(20,0)"), F.count(F.lit(1)) * 100, 2)
-        .alias("revenue_per_unit"),
-        exact_ratio(cents_sum("freight_value").cast("decimal(20,0)"), F.count(F.lit(1)) * 100, 2)
-        .alias("freight_per_unit"))
-    return totals.join(review_avg, "category_name", "left").select(
-        "category_name", "total_category_revenue", "total_merchandise_revenue",
-        "total_freight_revenue", "units_sold", "total_orders", "revenue_per_unit",
-        "freight_per_unit", F.coalesce("avg_review_score", F.lit(0.0)).alias("avg_review_score"))
+    return (totals.join(order_counts, "category_name", "left")
+            .join(review_avg, "category_name", "left")
+            .select("category_name", "total_category_revenue", "total_merchandise_revenue",
+                    "total_freight_revenue", "units_sold",
+                    F.coalesce("total_orders", F.lit(0)).alias("total_orders"),
+                    "revenue_per_unit", "freight_per_unit",
+                    F.coalesce("avg_review_score", F.lit(0.0)).alias("avg_review_score")))
 
 
 def customer_cohorts(orders: DataFrame, customers: DataFrame, dates: DataFrame) -> DataFrame:
