@@ -131,20 +131,30 @@ ORDER_BUCKETED = ("stg_order_items", "stg_orders", "stg_order_reviews", "stg_ord
 
 
 def _materialize(spark: SparkSession, models: Mapping[str, DataFrame], out_dir: str,
-                 fmt: str, buckets: int | None) -> dict[str, DataFrame]:
+                 fmt: str, buckets: int | None, parallel: int = 1) -> dict[str, DataFrame]:
+    """Write the models of one layer; they are independent, so up to
+    `parallel` write jobs are submitted at once (Spark runs jobs from several
+    driver threads concurrently, filling executors during each job's tail)."""
+    from concurrent.futures import ThreadPoolExecutor
+
     from marketlake.sources.sinks import write_table
-    out = {}
-    for name, df in models.items():
+
+    def write(item):
+        name, df = item
         bucket = ("order_key", buckets) if buckets and name in ORDER_BUCKETED else None
-        out[name] = write_table(df, f"{out_dir.rstrip('/')}/{name}", fmt, bucket_by=bucket,
-                                table=f"{name}_{abs(hash(out_dir)) % 10**8}")
-    return out
+        return name, write_table(df, f"{out_dir.rstrip('/')}/{name}", fmt, bucket_by=bucket,
+                                 table=f"{name}_{abs(hash(out_dir)) % 10**8}")
+
+    if parallel <= 1:
+        return dict(map(write, models.items()))
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        return dict(pool.map(write, models.items()))
 
 
 def run_pipeline(spark: SparkSession, bronze: Mapping[str, DataFrame], out_dir: str,
                  bounds: DataFrame | None = None, fmt: str | None = None,
                  checks: bool = True, gate: bool = True,
-                 buckets: int = 0) -> dict[str, DataFrame]:
+                 buckets: int = 0, parallel: int = 4) -> dict[str, DataFrame]:
     """Build and write every model layer by layer, then run the quality suite.
 
     Returns the written tables (as DataFrames reading them back) plus
@@ -156,14 +166,15 @@ def run_pipeline(spark: SparkSession, bronze: Mapping[str, DataFrame], out_dir:
     a bucket holds every row of its keys, so an order holding a large share of
     all lines would pin that share to one task in each co-partitioned join,
     where adaptive skew splitting (which works on shuffled joins) cannot help.
-    Enable it when order keys are known to be spread.
+    Enable it when order keys are known to be spread.  `parallel` bounds the
+    number of write jobs of one layer submitted at once.
     """
     from marketlake.plans.quality import assert_passed, run_checks
     from marketlake.sources.sinks import default_format
     fmt = fmt or default_format(spark)
-    stg = _materialize(spark, build_staging(dict(bronze)), out_dir, fmt, buckets)
-    cm = _materialize(spark, build_core(stg, bounds), out_dir, fmt, buckets)
-    gm = _materialize(spark, build_gold(cm), out_dir, fmt, buckets)
+    stg = _materialize(spark, build_staging(dict(bronze)), out_dir, fmt, buckets, parallel)
+    cm = _materialize(spark, build_core(stg, bounds), out_dir, fmt, buckets, parallel)
+    gm = _materialize(spark, build_gold(cm), out_dir, fmt, buckets, parallel)
     tables = {**stg, **cm, **gm}
     if checks:
         report = run_checks(tables)
