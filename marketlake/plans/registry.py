@@ -70,12 +70,19 @@ def bronze_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from marketlake.sources.catalog import SOURCES
     from marketlake.sources.sinks import ingest_bronze
 
+    from concurrent.futures import ThreadPoolExecutor
+
     root = f"{checkpoint_dir(spark).rstrip('/')}/marketlake-landing-{uuid.uuid4().hex}"
     bronze = bronze_from_testdata(spark, sf_dir)
-    for name, src in SOURCES.items():
+
+    def write(item):
+        name, src = item
         (bronze[name].write.mode("overwrite")
          .option("header", "true").option("quote", '"').option("escape", '"')
          .csv(f"{root}/landing/{src.file_name}"))
+
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        list(pool.map(write, SOURCES.items()))
     # Spark writes a folder of part files per source; the readers take folders.
     return ingest_bronze(spark, f"{root}/landing", f"{root}/bronze", fmt="parquet")
 
