@@ -76,6 +76,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--buckets", type=int, default=0,
                    help="bucket order-grain tables by order_key (off by default: see run_pipeline)")
     p.add_argument("--no-gate", action="store_true")
+    p.add_argument("--parallel", type=int, default=4, help="write jobs of one layer submitted at once")
     p = sub.add_parser("check")
     p.add_argument("--out", required=True)
     p = sub.add_parser("scenario")
@@ -100,7 +101,7 @@ def main(argv: list[str] | None = None) -> int:
         if not (args.landing or args.bronze):
             parser.error("build needs --landing or --bronze")
         tables = run_pipeline(spark, _bronze(spark, args), args.out, buckets=args.buckets,
-                              gate=not args.no_gate)
+                              gate=not args.no_gate, parallel=args.parallel)
         tables["quality_report"].filter("violations > 0").show(100, truncate=False)
         return 0
     if args.command == "check":
