@@ -32,3 +32,13 @@ def test_land_multiline_reviews(spark, tmpdir_fresh):
     assert land_new_files(spark, land, bronze, "order_reviews") == 2
     row = spark.read.parquet(os.path.join(bronze, "order_reviews")).filter("review_id = 'r1'").first()
     assert row.review_comment_message == 'linha um\nlinha "dois"'
+
+
+def test_cli_land_with_file_pattern(spark, tmpdir_fresh):
+    from marketlake.__main__ import main
+    land, bronze = os.path.join(tmpdir_fresh, "landing"), os.path.join(tmpdir_fresh, "bronze")
+    os.makedirs(land)
+    with open(os.path.join(land, "vendors-2018.csv"), "w") as f:
+        f.write("seller_id,seller_zip_code_prefix,seller_city,seller_state\ns9,09000,santo andre,SP\n")
+    assert main(["land", "--landing", land, "--bronze", bronze, "--file", "sellers=vendors-*.csv"]) == 0
+    assert spark.read.parquet(os.path.join(bronze, "sellers")).count() == 1
