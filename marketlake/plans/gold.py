@@ -83,9 +83,9 @@ def customer_cohorts(orders: DataFrame, customers: DataFrame, dates: DataFrame)
         F.count(F.lit(1)).alias("n_orders"),
         cents_sum("total_order_value").alias("gmv"))
     first = F.min("purchase_date").over(Window.partitionBy("customer_unique_id"))
-    daily = (daily.withColumn("first_purchase_date", first)
-             .withColumn("is_new", F.col("purchase_date") == F.col("first_purchase_date"))
-             .withColumn("days_since", days_between("purchase_date", "first_purchase_date")))
+    daily = daily.select("*", first.alias("first_purchase_date")).select(
+        "*", (F.col("purchase_date") == F.col("first_purchase_date")).alias("is_new"),
+        days_between("purchase_date", "first_purchase_date").alias("days_since"))
     calendar = dates.select(F.col("date_key").alias("purchase_date"), *MONTH_KEYS)
     returning = ~F.col("is_new")
     per_buyer = (daily.join(calendar, "purchase_date", "inner")
