@@ -123,3 +123,34 @@ def test_concurrent_layered_build_equals_lazy_models(spark, tmpdir_fresh):
         a, b = built[name], lazy[name].select(*built[name].columns)
         assert a.count() == b.count()
         assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty(), name
+
+
+def _shuffle_records(plan) -> list[int]:
+    """`records written` of every shuffle in an executed (adaptive) plan."""
+    out = []
+    cls = plan.getClass().getSimpleName()
+    if cls == "AdaptiveSparkPlanExec":
+        out += _shuffle_records(plan.executedPlan())
+    if cls.endswith("QueryStageExec"):
+        out += _shuffle_records(plan.plan())
+    if cls == "ShuffleExchangeExec":
+        out.append(int(plan.metrics().apply("shuffleRecordsWritten").value()))
+    children = plan.children()
+    for i in range(children.size()):
+        out += _shuffle_records(children.apply(i))
+    return out
+
+
+def test_hot_dedup_key_is_cut_before_the_shuffle(spark):
+    """A key holding a third of the rows crosses the shuffle once per map task."""
+    from pyspark.sql import functions as F
+
+    from marketlake.operators import keep_first
+    n, tasks = 30000, 6
+    df = spark.range(0, n, 1, tasks).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.col("id").cast("string")).alias("k"),
+        (F.col("id") % 97).alias("t"), F.col("id").alias("v"))
+    out = keep_first(df, ["k"], [F.col("t").desc()])
+    rows = out.collect()
+    assert len(rows) == n - n // 3 + 1
+    assert _shuffle_records(out._jdf.queryExecution().executedPlan()) == [n - n // 3 + tasks]
