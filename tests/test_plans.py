@@ -154,3 +154,51 @@ def test_hot_dedup_key_is_cut_before_the_shuffle(spark):
     rows = out.collect()
     assert len(rows) == n - n // 3 + 1
     assert _shuffle_records(out._jdf.queryExecution().executedPlan()) == [n - n // 3 + tasks]
+
+
+def _window_input_records(plan, under_window=False) -> list[int]:
+    """Records written by the first shuffle below each Window operator."""
+    out = []
+    cls = plan.getClass().getSimpleName()
+    if cls == "AdaptiveSparkPlanExec":
+        return _window_input_records(plan.executedPlan(), under_window)
+    if cls.endswith("QueryStageExec"):
+        return _window_input_records(plan.plan(), under_window)
+    if cls == "ShuffleExchangeExec" and under_window:
+        return [int(plan.metrics().apply("shuffleRecordsWritten").value())]
+    is_window = cls == "WindowExec"
+    children = plan.children()
+    for i in range(children.size()):
+        out += _window_input_records(children.apply(i), under_window or is_window)
+    return out
+
+
+def test_hot_buyer_reaches_the_cohort_window_once_per_day(spark):
+    """A buyer with a third of all orders (on 5 days) adds 5 rows to the window shuffle."""
+    from datetime import datetime
+
+    from pyspark.sql import functions as F
+
+    from marketlake.plans import gold
+    from marketlake.plans.core import dim_dates, fixed_bounds
+    n = 30000
+    orders = spark.range(0, n, 1, 6).select(
+        F.col("id").cast("string").alias("order_key"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("customer_key"),
+        (F.lit(datetime(2018, 1, 1)) + F.make_dt_interval((F.col("id") % 5).cast("int"))).alias("purchased_at"),
+        F.lit(1.0).alias("total_order_value"))
+    customers = orders.select("customer_key").distinct().select(
+        "customer_key", F.concat(F.lit("u-"), "customer_key").alias("customer_unique_id"))
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")                       # as at scale: neither side is broadcast
+    try:
+        out = gold.customer_cohorts(orders, customers, dim_dates(fixed_bounds(spark)))
+        assert out.collect()[0].total_orders == n
+        records = _window_input_records(out._jdf.queryExecution().executedPlan())
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    other_buyers = n - n // 3
+    assert records == [other_buyers + 5]
