@@ -162,3 +162,42 @@ def test_payment_analysis_equals_source_formulation_on_dirty_rows(spark):
         round(sum(p.payment_amount::DECIMAL(18,2)) - sum(o.total_order_value::DECIMAL(18,2)), 2)::DOUBLE
       FROM p LEFT JOIN o ON p.order_key = o.order_key GROUP BY 1""").fetchall()
     assert got == sorted(want)
+
+
+def test_regional_logistics_equals_source_formulation_on_dirty_rows(spark):
+    import duckdb
+    item_rows = [("o1", "s1", "c1", 10.0), ("o1", "s1", "c1", 10.0), ("o1", "s1", "c1", 12.5),
+                 ("o2", "s2", "c1", 7.25), ("o3", "s1", "c2", 3.0), ("o4", "s3", "c1", 1.0), ("o5", "s1", "c1", None)]
+    order_rows = [("o1", 10, "Late", D(2018, 1, 11)), ("o2", None, "In Flight", None),
+                  ("o3", 4, "On Time / Early", D(2018, 1, 5)), ("o4", 3, "Late", D(2018, 1, 4)),
+                  ("o5", 2, "On Time / Early", D(2018, 1, 3))]
+    seller_rows = [("s1", "SP"), ("s2", "RJ"), ("s3", None)]
+    customer_rows = [("c1", "MG"), ("c2", "SP")]
+    items = spark.createDataFrame(item_rows, "order_key string, seller_key string, customer_key string, freight_value double")
+    orders = spark.createDataFrame(order_rows, "order_key string, actual_delivery_days int, "
+                                               "delivery_performance_status string, delivered_to_customer_at timestamp_ntz")
+    sellers = spark.createDataFrame(seller_rows, "seller_key string, state string")
+    customers = spark.createDataFrame(customer_rows, "customer_key string, state string")
+    cols = ["origin_state", "destination_state", "total_orders_shipped", "fulfilled_orders_count",
+            "sla_breach_rate_pct", "avg_delivery_days", "avg_freight_cost_per_item"]
+    got = sorted(tuple(r[c] for c in cols) for r in gold.regional_logistics(items, orders, sellers, customers).collect())
+    con = duckdb.connect()
+    for name, ddl, rows in (("i", "order_key VARCHAR, seller_key VARCHAR, customer_key VARCHAR, freight_value DOUBLE", item_rows),
+                            ("o", "order_key VARCHAR, actual_delivery_days INT, delivery_performance_status VARCHAR, "
+                                  "delivered_to_customer_at TIMESTAMP", order_rows),
+                            ("s", "seller_key VARCHAR, state VARCHAR", seller_rows),
+                            ("c", "customer_key VARCHAR, state VARCHAR", customer_rows)):
+        con.execute(f"CREATE TABLE {name} ({ddl})")
+        con.executemany(f"INSERT INTO {name} VALUES ({', '.join('?' * len(rows[0]))})", rows)
+    want = con.execute("""
+      SELECT s.state, c.state, count(DISTINCT i.order_key),
+        count(CASE WHEN o.delivered_to_customer_at IS NOT NULL THEN 1 END),
+        round(count(CASE WHEN o.delivery_performance_status = 'Late' THEN 1 END) * 100.0
+              / nullif(count(CASE WHEN o.delivered_to_customer_at IS NOT NULL THEN 1 END), 0), 2)::DOUBLE,
+        round(avg(o.actual_delivery_days), 1)::DOUBLE,
+        round(sum(i.freight_value::DECIMAL(18,2)) / count(i.freight_value), 2)::DOUBLE
+      FROM (SELECT DISTINCT order_key, seller_key, customer_key, freight_value FROM i) i
+      JOIN o ON i.order_key = o.order_key JOIN s ON i.seller_key = s.seller_key
+      JOIN c ON i.customer_key = c.customer_key
+      WHERE s.state IS NOT NULL AND c.state IS NOT NULL GROUP BY 1, 2""").fetchall()
+    assert got == sorted(want)
