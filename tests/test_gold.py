@@ -201,3 +201,39 @@ def test_regional_logistics_equals_source_formulation_on_dirty_rows(spark):
       JOIN c ON i.customer_key = c.customer_key
       WHERE s.state IS NOT NULL AND c.state IS NOT NULL GROUP BY 1, 2""").fetchall()
     assert got == sorted(want)
+
+
+def test_seller_scorecard_equals_source_formulation_on_dirty_rows(spark):
+    import duckdb
+    item_rows = [("o1", "s1", "c1", 11.0), ("o1", "s1", "c1", 5.5), ("o2", "s1", "c2", 3.25),
+                 ("o3", "s2", "c9", 8.0), ("o4", "s2", "c3", 1.0)]
+    perf_rows = [("s1", 2, 1, 4.5), ("s2", 2, 2, 3.0)]
+    seller_rows = [("s1", "campinas", "SP", -22.9, -47.0), ("s2", "rio", "RJ", None, None), ("s3", "bh", "MG", 1.0, 1.0)]
+    customer_rows = [("c1", "h1"), ("c2", "h1"), ("c3", "h2"), ("c3", "h2")]          # c9 missing, c3 duplicated
+    review_rows = [("o1", 5), ("o1", 5), ("o1", 3), ("o3", 1)]
+    items = spark.createDataFrame(item_rows, "order_key string, seller_key string, customer_key string, total_item_value double")
+    perf = spark.createDataFrame(perf_rows, "seller_key string, historical_orders_handled long, "
+                                            "unique_products_cataloged long, merchant_avg_delivery_days double")
+    sellers = spark.createDataFrame(seller_rows, "seller_key string, city string, state string, latitude double, longitude double")
+    customers = spark.createDataFrame(customer_rows, "customer_key string, customer_unique_id string")
+    reviews = spark.createDataFrame(review_rows, "order_key string, review_score int")
+    cols = ["seller_key", "unique_buyers_served", "total_items_sold", "total_gross_revenue", "avg_review_score"]
+    got = sorted(tuple(r[c] for c in cols)
+                 for r in gold.seller_scorecard(perf, sellers, items, customers, reviews).collect())
+    con = duckdb.connect()
+    for name, ddl, rows in (("i", "order_key VARCHAR, seller_key VARCHAR, customer_key VARCHAR, total_item_value DOUBLE", item_rows),
+                            ("p", "seller_key VARCHAR", [(r[0],) for r in perf_rows]),
+                            ("c", "customer_key VARCHAR, customer_unique_id VARCHAR", customer_rows),
+                            ("r", "order_key VARCHAR, review_score INT", review_rows)):
+        con.execute(f"CREATE TABLE {name} ({ddl})")
+        con.executemany(f"INSERT INTO {name} VALUES ({', '.join('?' * len(rows[0]))})", rows)
+    want = con.execute("""
+      SELECT p.seller_key, b.n_buyers, b.n_items, b.revenue, coalesce(a.avg_score, 0.0)
+      FROM p
+      LEFT JOIN (SELECT i.seller_key, count(DISTINCT c.customer_unique_id) AS n_buyers, count(*) AS n_items,
+                   round(sum(i.total_item_value::DECIMAL(18,2)), 2)::DOUBLE AS revenue
+                 FROM i JOIN c ON i.customer_key = c.customer_key GROUP BY 1) b ON b.seller_key = p.seller_key
+      LEFT JOIN (SELECT seller_key, round(avg(review_score), 2)::DOUBLE AS avg_score
+                 FROM (SELECT DISTINCT i.seller_key, i.order_key, r.review_score FROM i JOIN r ON i.order_key = r.order_key)
+                 GROUP BY 1) a ON a.seller_key = p.seller_key""").fetchall()
+    assert got == sorted(want)
