@@ -237,3 +237,35 @@ def test_seller_scorecard_equals_source_formulation_on_dirty_rows(spark):
                  FROM (SELECT DISTINCT i.seller_key, i.order_key, r.review_score FROM i JOIN r ON i.order_key = r.order_key)
                  GROUP BY 1) a ON a.seller_key = p.seller_key""").fetchall()
     assert got == sorted(want)
+
+
+def test_category_performance_equals_source_formulation_on_dirty_rows(spark):
+    import duckdb
+    item_rows = [("o1", "p1", 10.0, 1.0), ("o1", "p2", 4.5, 0.5), ("o2", "p1", 10.0, 1.25), ("o3", "p3", 2.0, 0.2),
+                 ("o4", "p9", 1.0, 0.1), (None, "p2", 3.0, 0.3), ("o5", "p2", 2.5, None)]
+    product_rows = [("p1", "toys"), ("p2", "toys"), ("p3", "books"), ("p3", "books")]   # p9 missing, p3 duplicated
+    review_rows = [("o1", 4), ("o1", 4), ("o2", 1), ("o3", 5), ("o3", 2)]
+    items = spark.createDataFrame([(o, p, pr, fr, None if fr is None else pr + fr) for o, p, pr, fr in item_rows],
+                                  "order_key string, product_key string, price double, freight_value double, "
+                                  "total_item_value double")
+    products = spark.createDataFrame(product_rows, "product_key string, category_name string")
+    reviews = spark.createDataFrame(review_rows, "order_key string, review_score int")
+    got = sorted(tuple(r) for r in gold.category_performance(items, products, reviews).collect())
+    con = duckdb.connect()
+    con.execute("CREATE TABLE i (order_key VARCHAR, product_key VARCHAR, price DOUBLE, freight_value DOUBLE)")
+    con.executemany("INSERT INTO i VALUES (?, ?, ?, ?)", item_rows)
+    con.execute("CREATE TABLE p (product_key VARCHAR, category_name VARCHAR)")
+    con.executemany("INSERT INTO p VALUES (?, ?)", product_rows)
+    con.execute("CREATE TABLE r (order_key VARCHAR, review_score INT)")
+    con.executemany("INSERT INTO r VALUES (?, ?)", review_rows)
+    want = con.execute("""
+      WITH l AS (SELECT i.*, i.price + i.freight_value AS tiv, p.category_name FROM i JOIN p USING (product_key)),
+      ra AS (SELECT category_name, round(avg(review_score), 2)::DOUBLE AS a
+             FROM (SELECT DISTINCT l.order_key, l.category_name, r.review_score FROM l JOIN r ON l.order_key = r.order_key)
+             GROUP BY 1)
+      SELECT l.category_name, round(sum(tiv::DECIMAL(18,2)), 2)::DOUBLE, round(sum(price::DECIMAL(18,2)), 2)::DOUBLE,
+        round(sum(freight_value::DECIMAL(18,2)), 2)::DOUBLE, count(*), count(DISTINCT order_key),
+        round(sum(tiv::DECIMAL(18,2)) / count(*), 2)::DOUBLE, round(sum(freight_value::DECIMAL(18,2)) / count(*), 2)::DOUBLE,
+        coalesce(any_value(ra.a), 0.0)
+      FROM l LEFT JOIN ra ON l.category_name = ra.category_name GROUP BY l.category_name""").fetchall()
+    assert got == sorted(want)
