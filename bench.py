@@ -39,23 +39,32 @@ def main() -> None:
     for name, fn in QUERIES.items():
         if only and name not in only:
             continue
-        _run(fn(spark, sf_dir))  # warm-up (JIT, file listing, codegen cache)
-        times = []
-        for _ in range(repeat):
-            t0 = time.perf_counter()
-            _run(fn(spark, sf_dir))
-            times.append(time.perf_counter() - t0)
-        results[name] = round(statistics.median(times), 3)
+        try:
+            _run(fn(spark, sf_dir))  # warm-up (JIT, file listing, codegen cache)
+            times = []
+            for _ in range(repeat):
+                t0 = time.perf_counter()
+                _run(fn(spark, sf_dir))
+                times.append(time.perf_counter() - t0)
+            results[name] = round(statistics.median(times), 3)
+        except Exception as exc:  # noqa: BLE001 - one failing query must not lose the others
+            results[name] = None
+            print(f"# {name}: FAILED {str(exc).splitlines()[0][:300]}", file=sys.stderr, flush=True)
+            continue
         print(f"# {name}: {results[name]}s", file=sys.stderr, flush=True)
 
     if not only or "full_build" in only:
         out = f"{checkpoint_dir(spark).rstrip('/')}/marketlake-bench-{uuid.uuid4().hex}"
-        t0 = time.perf_counter()
-        run_pipeline(spark, bronze_from_testdata(spark, sf_dir), out, checks=True, gate=False)
-        results["full_build"] = round(time.perf_counter() - t0, 3)
+        try:
+            t0 = time.perf_counter()
+            run_pipeline(spark, bronze_from_testdata(spark, sf_dir), out, checks=True, gate=False)
+            results["full_build"] = round(time.perf_counter() - t0, 3)
+        except Exception as exc:  # noqa: BLE001
+            results["full_build"] = None
+            print(f"# full_build: FAILED {str(exc).splitlines()[0][:300]}", file=sys.stderr, flush=True)
         print(f"# full_build: {results['full_build']}s", file=sys.stderr, flush=True)
 
-    per_query = {k: v for k, v in results.items() if k != "full_build"}
+    per_query = {k: v for k, v in results.items() if k != "full_build" and v is not None}
     print(json.dumps({
         "metric": "sum_sec_per_query_median",
         "value": round(sum(per_query.values()), 3),
@@ -64,6 +73,7 @@ def main() -> None:
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": cpus,
         "repeat": repeat,
+        "failed": sorted(k for k, v in results.items() if v is None),
     }))
     spark.stop()
 
