@@ -269,3 +269,51 @@ def test_category_performance_equals_source_formulation_on_dirty_rows(spark):
         coalesce(any_value(ra.a), 0.0)
       FROM l LEFT JOIN ra ON l.category_name = ra.category_name GROUP BY l.category_name""").fetchall()
     assert got == sorted(want)
+
+
+def test_orders_and_what_if_equal_source_formulation_on_dirty_rows(spark):
+    import duckdb
+
+    from marketlake.plans import core
+    order_rows = [("o1", "c1", "delivered", D(2018, 1, 1), D(2018, 1, 11), D(2018, 1, 20)),
+                  ("o1", "c1", "delivered", D(2018, 1, 1), D(2018, 1, 11), D(2018, 1, 20)),
+                  ("o2", "c2", "delivered", D(2018, 1, 10), D(2018, 1, 7), D(2018, 1, 12)),      # delivered before purchase
+                  ("o3", "c1", "canceled", D(2018, 2, 1), None, D(2018, 2, 9)),
+                  ("o4", "c9", "delivered", D(2018, 2, 3), D(2018, 3, 30), D(2018, 2, 20))]
+    item_rows = [("o1", 1, "p", "s1", 10.0, 3.33), ("o1", 2, "p", "s2", 5.0, None), ("o2", 1, "p", "s1", 7.0, 0.01),
+                 ("o4", 1, "p", "s3", 9.0, 2.5), ("o9", 1, "p", "s1", 1.0, 1.0)]
+    cust_rows = [("c1", "SP"), ("c2", "RJ"), ("c9", "BA")]
+    orders = spark.createDataFrame(
+        [(o, c, st, p, None, None, d, e) for o, c, st, p, d, e in order_rows],
+        "order_key string, customer_key string, order_status string, purchase_timestamp timestamp_ntz, "
+        "approved_at_timestamp timestamp_ntz, delivered_carrier_timestamp timestamp_ntz, "
+        "delivered_customer_timestamp timestamp_ntz, estimated_delivery_timestamp timestamp_ntz")
+    items = spark.createDataFrame([(o, n, p, s, None, pr, fr) for o, n, p, s, pr, fr in item_rows],
+                                  "order_key string, order_item_id int, product_key string, seller_key string, "
+                                  "shipping_limit_timestamp timestamp_ntz, price double, freight_value double")
+    customers = spark.createDataFrame(cust_rows, "customer_key string, state string")
+    fo = core.fct_orders(orders, items)
+    fi = core.fct_order_items(items, orders)
+    ex = gold.executive_overview(fo, fi, customers)
+    cols = ["order_key", "seller_key", "customer_state", "actual_shipping_days", "actual_freight",
+            "optimized_shipping_days", "optimized_freight", "days_saved", "freight_dollars_saved", "is_optimized_late"]
+    got = sorted(tuple(r[c] for c in cols) for r in ex.collect())
+    con = duckdb.connect()
+    con.execute("CREATE TABLE o (order_key VARCHAR, customer_key VARCHAR, order_status VARCHAR, p TIMESTAMP, d TIMESTAMP, e TIMESTAMP)")
+    con.executemany("INSERT INTO o VALUES (?, ?, ?, ?, ?, ?)", order_rows)
+    con.execute("CREATE TABLE i (order_key VARCHAR, n INT, product_key VARCHAR, seller_key VARCHAR, price DOUBLE, freight_value DOUBLE)")
+    con.executemany("INSERT INTO i VALUES (?, ?, ?, ?, ?, ?)", item_rows)
+    con.execute("CREATE TABLE c (customer_key VARCHAR, state VARCHAR)")
+    con.executemany("INSERT INTO c VALUES (?, ?)", cust_rows)
+    want = con.execute("""
+      WITH fo AS (SELECT order_key, customer_key, p, e, date_diff('day', p::DATE, d::DATE)::INT AS days FROM o),
+      fi AS (SELECT i.order_key, i.seller_key, i.freight_value FROM i JOIN o USING (order_key)),
+      sim AS (SELECT fo.order_key, fi.seller_key, c.state, fo.days AS a, fi.freight_value AS f,
+                coalesce(least(fo.days, greatest(1, round(fo.days * 0.65))), 0)::INT AS od,
+                coalesce(round(fi.freight_value * 0.65, 2), 0.0) AS ofr, fo.p, fo.e
+              FROM fo JOIN fi ON fo.order_key = fi.order_key JOIN c ON fo.customer_key = c.customer_key
+              WHERE fo.days IS NOT NULL AND fi.freight_value IS NOT NULL)
+      SELECT order_key, seller_key, state, a, f, od, ofr, a - od, round(f - ofr, 2),
+        CASE WHEN od > date_diff('day', p::DATE, e::DATE) THEN 1 ELSE 0 END FROM sim""").fetchall()
+    assert got == sorted(want)
+    assert any(r[3] == -3 and r[5] == -3 for r in got)            # negative days pass through, as in the source
