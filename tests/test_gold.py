@@ -317,3 +317,28 @@ def test_orders_and_what_if_equal_source_formulation_on_dirty_rows(spark):
         CASE WHEN od > date_diff('day', p::DATE, e::DATE) THEN 1 ELSE 0 END FROM sim""").fetchall()
     assert got == sorted(want)
     assert any(r[3] == -3 and r[5] == -3 for r in got)            # negative days pass through, as in the source
+
+
+def test_review_text_signals_equal_source_formulation_on_dirty_text(spark):
+    import duckdb
+    rows = [(5, "ATRASO e demora", 1), (5, "\t", 2), (5, "   ", None), (None, "bad and poor", 3),
+            (None, None, 4), (1, "PÉSSIMO", 0), (1, "chocolate broken", 2), (1, "", 1)]
+    reviews = spark.createDataFrame(rows, "review_score int, comment_message string, review_response_delay_days int")
+    got = sorted((tuple(r) for r in gold.review_text_signals(reviews).collect()),
+                 key=lambda t: (t[0] is None, t[0] or 0))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE r (review_score INT, comment_message VARCHAR, review_response_delay_days INT)")
+    con.executemany("INSERT INTO r VALUES (?, ?, ?)", rows)
+    like = lambda words: " OR ".join(f"lower(coalesce(comment_message, '')) LIKE '%{w}%'" for w in words)
+    want = con.execute(f"""
+      SELECT review_score, count(*),
+        count(CASE WHEN comment_message IS NOT NULL AND trim(comment_message) != '' THEN 1 END),
+        round(count(CASE WHEN comment_message IS NOT NULL AND trim(comment_message) != '' THEN 1 END) * 100.0
+              / count(*), 2)::DOUBLE,
+        round(avg(review_response_delay_days), 1)::DOUBLE,
+        count(CASE WHEN {like(('atraso', 'demor', 'late', 'delay'))} THEN 1 END),
+        count(CASE WHEN {like(('estragad', 'quebrad', 'damag', 'broken'))} THEN 1 END),
+        count(CASE WHEN {like(('pessim', 'ruim', 'bad', 'poor'))} THEN 1 END)
+      FROM r GROUP BY 1""").fetchall()
+    assert got == sorted(want, key=lambda t: (t[0] is None, t[0] or 0))
+    assert [t for t in got if t[0] == 1][0][7] == 0              # accented word misses its ASCII stem
