@@ -6,7 +6,7 @@ import math
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlake.functions.expressions import exact_avg
@@ -56,6 +56,22 @@ def histogram(df: DataFrame, series: Mapping[str, Column], width: float,
     )
 
 
-def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
-    """First k rows under a total order (TakeOrderedAndProject: each task keeps k)."""
+def top_k(df: DataFrame, order: Sequence[Column], k: int, pre_reduce: bool = False) -> DataFrame:
+    """First k rows under a total order.
+
+    Spark's top-k keeps k rows per input partition and merges them in one
+    task, i.e. k x partitions rows.  For inputs with many partitions,
+    `pre_reduce=True` first cuts every input partition to its own k best rows
+    with `row_number() <= k` over the partition index, which Catalyst runs as
+    a map-side partial WindowGroupLimit; the survivors are shuffled in
+    parallel, and the final merge reads k rows per post-shuffle partition.
+    The result is the same: every global top-k row is in its partition's
+    top k.
+    """
+    if pre_reduce:
+        pid, rn = "__pid", "__rn"
+        w = Window.partitionBy(pid).orderBy(*order)
+        df = (df.select("*", F.spark_partition_id().alias(pid))
+              .select("*", F.row_number().over(w).alias(rn))
+              .filter(F.col(rn) <= k).drop(pid, rn))
     return df.orderBy(*order).limit(k)

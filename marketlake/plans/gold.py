@@ -263,8 +263,7 @@ def spatial_routing(items: DataFrame, sellers: DataFrame, customers: DataFrame,
     """Seller -> customer routes with the serving hub (by customer state).
 
     `n` keeps a deterministic sample: the first n routes by (order, seller,
-    customer) key (each task keeps its own n best, the driver merges n * tasks
-    rows at most).  `n=None` returns every route.  `keys=True` also returns
+    customer) key, cut per partition before the final merge (see `top_k`).  `n=None` returns every route.  `keys=True` also returns
     seller_key and customer_key (needed to match routes by seller).
     """
     i = items.select("order_key", "seller_key", "customer_key").distinct()
@@ -282,7 +281,8 @@ def spatial_routing(items: DataFrame, sellers: DataFrame, customers: DataFrame,
               .select("order_key", "seller_key", "customer_key", *ROUTE_COLUMNS[1:9],
                       "hub.hub_name", "hub.hub_lat", "hub.hub_lon"))
     if n is not None:
-        routes = top_k(routes, [F.col("order_key"), F.col("seller_key"), F.col("customer_key")], n)
+        routes = top_k(routes, [F.col("order_key"), F.col("seller_key"), F.col("customer_key")], n,
+                       pre_reduce=True)
     return routes.select(*ROUTE_COLUMNS, *(["seller_key", "customer_key"] if keys else []))
 
 

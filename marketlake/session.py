@@ -29,6 +29,9 @@ _DEFAULTS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
     "spark.sql.files.maxPartitionBytes": "128MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Let `row_number() <= k` run as a map-side partial group limit for the
+    # route sample's k (the default only covers k <= 1000).
+    "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
 }
 
 
