@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import marketlake
 from marketlake.session import checkpoint_dir
 
+_SHIPPED: set[str] = set()
+
 #: One word: a run of anything but the six ASCII white-space characters (Java and Python syntax).
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
@@ -28,14 +34,28 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
     return by.select(*[by[own[df.columns.index(n)]].alias(n) for n in names])
 
 
-def arrow_batches(spark: SparkSession, rows: int = 512) -> None:
-    """Keep Arrow batches small, so that a run of long texts stays within a worker's memory."""
+def prepare_python(spark: SparkSession, rows: int = 512) -> None:
+    """Make the package known to the executors' Python workers, and keep Arrow batches small.
+
+    Small batches bound a worker's memory when long texts follow each other.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        home = os.path.dirname(os.path.dirname(os.path.abspath(marketlake.__file__)))
+        archive = shutil.make_archive(os.path.join(os.path.realpath(tempfile.mkdtemp()), "marketlake_package"), "zip", home, "marketlake")
+        sc.addPyFile(archive)
+        _SHIPPED.add(sc.applicationId)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(key))
     if now <= 0 or now > rows:
         spark.conf.set(key, str(rows))
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """`df` dealt anew over all shuffle partitions: for few rows that each make many."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """`df` written to the shared checkpoint folder: lineage is cut, lost executors lose nothing."""
     checkpoint_dir(df.sparkSession)

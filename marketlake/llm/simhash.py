@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import arrow_batches, byte_values, checkpointed, pick, word_pieces
+from marketlake.llm.common import prepare_python, byte_values, checkpointed, pick, word_pieces
 from marketlake.llm.components import connected_components
 
 SHINGLE_WORDS = 4
@@ -79,7 +79,7 @@ def simhash(data: bytes, shingle: int = SHINGLE_WORDS) -> int:
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE_WORDS) -> DataFrame:
     """(doc_id, fp): the fingerprint of each row's whole text, as a signed long."""
-    arrow_batches(docs.sparkSession)
+    prepare_python(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -210,7 +210,7 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int = MAX_
 
 def _with_print(rows: DataFrame, text: str, shingle: int) -> DataFrame:
     """`rows` and the fingerprint fp of column `text`."""
-    arrow_batches(rows.sparkSession)
+    prepare_python(rows.sparkSession)
     at = rows.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
