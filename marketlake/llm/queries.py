@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlake.llm import sentencepiece_scan, simhash, syncmers
+from marketlake.llm import mixing, secrets, sentencepiece_scan, simhash, syncmers
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +15,8 @@ QUERIES = {
     "op1_simhash_near_dedup": lambda spark, d: simhash.near_duplicate_query(_table(spark, d, "documents")),
     "op2_sentencepiece": lambda spark, d: sentencepiece_scan.sentencepiece_query(_table(spark, d, "documents")),
     "op3_document_fingerprints": lambda spark, d: syncmers.fingerprint_query(_table(spark, d, "documents")),
+    "op4_secret_scans": lambda spark, d: secrets.find_secrets(_table(spark, d, "documents")),
+    "op7_mixing": lambda spark, d: mixing.mixing_query(_table(spark, d, "documents")),
 }
 
 ORACLE_SQL: dict[str, str] = {}
