@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlake.llm import chat, mixing, secrets, sentencepiece_scan, simhash, syncmers
+from marketlake.llm import chat, langid, mixing, neighbours, quality_rules, secrets, sentencepiece_scan, simhash, syncmers
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,11 @@ QUERIES = {
     "op4_secret_scans": lambda spark, d: secrets.find_secrets(_table(spark, d, "documents")),
     "op6_chat_formatting": lambda spark, d: chat.chat_query(_table(spark, d, "conversations")),
     "op7_mixing": lambda spark, d: mixing.mixing_query(_table(spark, d, "documents")),
+    "op8_quality_rules": lambda spark, d: quality_rules.quality_query(
+        _table(spark, d, "documents"), _table(spark, d, "labels")),
+    "op9_quality_classifier": lambda spark, d: neighbours.classifier_query(
+        _table(spark, d, "documents"), _table(spark, d, "labels")),
+    "op10_language_id": lambda spark, d: langid.language_query(_table(spark, d, "documents")),
 }
 
 ORACLE_SQL: dict[str, str] = {"op6_chat_formatting": chat.CHAT_SQL}
