@@ -5,13 +5,12 @@ XXH64 hashes (seed 42) of its word shingles have it set.  Two fingerprints
 link at `max_bits` or fewer differing bits; groups are the connected
 components of the links.
 
-Search.  The 64 bits are cut into segments.  With r = q*m + a allowed bits and m
-segments, two fingerprints within r bits differ by at most q bits in one of
-the first a+1 segments, or by at most q-1 bits in one of the others (otherwise
-they would differ by (q+1)(a+1) + q(m-a-1) = r+1 bits at least).  Every distinct
-fingerprint is stored under each of its segment values, every fingerprint probes
-the small Hamming ball around each of its segment values, and the fetched
-pairs are verified over all 64 bits.  Nothing is sampled or capped.
+Search.  The 64 bits are cut into four segments (`_segments`; they overlap) such that two
+fingerprints within four bits are within one bit in one of them at least.  Every distinct
+fingerprint is stored under its value in each segment, every fingerprint probes
+the Hamming ball of radius 1 around each of its values, and the fetched
+pairs are verified over all 64 bits.  A segment has about 26 bits, so chance
+hits stay few.  Nothing is sampled or capped.
 
 Dense groups.  Thousands of copies with a few edits have fingerprints
 within a few bits of each other, and their pairs must not be enumerated.
@@ -37,12 +36,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import prepare_python, byte_values, checkpointed, pick, word_pieces
+from marketlake.llm.common import byte_values, checkpointed, pick, prepare_python, spread, word_pieces
 from marketlake.llm.components import connected_components
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
-SEGMENTS = 3
 SEED = 42
 
 
@@ -90,18 +88,27 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE_WORDS) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp long")
 
 
-def _segments(count: int) -> list[tuple[int, int]]:
-    """(offset, width) of each segment of the 64 bits."""
-    edges = [64 * i // count for i in range(count + 1)]
-    return [(lo, hi - lo) for lo, hi in zip(edges, edges[1:])]
+def _segments(bits: list[int], radius: int) -> list[tuple[list[int], int]]:
+    """Bit sets with a radius of 1 at most, one of which any two words within `radius` bits stay within.
+
+    Within r >= 3 bits: a first part within 1 bit, or the rest within r-2.  Within 2: cut in
+    thirds, some two of them within 1 together.  The parts are sized for keys of equal width.
+    """
+    if radius <= 1:
+        return [(bits, radius)]
+    n = len(bits)
+    if radius == 2:
+        thirds = [bits[n * i // 3:n * (i + 1) // 3] for i in range(3)]
+        return [(thirds[i] + thirds[j], 1) for i, j in ((0, 1), (0, 2), (1, 2))]
+    share = {0: 1.0, 1: 1.0, 2: 2 / 3}
+    for r in range(3, radius + 1):
+        share[r] = share[r - 2] / (1 + share[r - 2])
+    cut = round(n * share[radius])
+    return [(bits[:cut], 1), *_segments(bits[cut:], radius - 2)]
 
 
-def _ball(width: int, radius: int) -> list[int]:
-    """All masks of `width` bits with at most `radius` of them set."""
-    masks = [0]
-    for _ in range(max(radius, 0)):
-        masks = sorted({m ^ (1 << i) for m in masks for i in range(width)} | set(masks))
-    return masks if radius >= 0 else []
+def _signed(word: int) -> int:
+    return word - (1 << 64) if word >> 63 else word
 
 
 def near_groups(prints: DataFrame) -> DataFrame:
@@ -110,7 +117,7 @@ def near_groups(prints: DataFrame) -> DataFrame:
     The members around a midpoint are kept as a bit mask, so a group is one
     row of two longs however many members it has (65 at most).
     """
-    around = prints.select(
+    around = spread(prints, "fp").select(
         "fp", F.explode(F.sequence(F.lit(-1), F.lit(63))).alias("i")
     ).select(
         F.when(F.col("i") < 0, F.col("fp")).otherwise(F.expr("fp ^ shiftleft(1L, i)")).alias("z"),
@@ -125,33 +132,34 @@ def near_groups(prints: DataFrame) -> DataFrame:
     return connected_components(edges)
 
 
-def links_between(groups: DataFrame, max_bits: int, segments: int) -> DataFrame:
+def links_between(groups: DataFrame, max_bits: int) -> DataFrame:
     """(a, b): pairs of different `grp` values of `groups` (fp, grp) with fingerprints within `max_bits`."""
-    q, a = divmod(max_bits, segments)
-    parts = _segments(segments)
-    key = lambda no, offset, width, mask=0: F.expr(
-        f"{no}L * 4294967296L + ((shiftrightunsigned(fp, {offset}) & {(1 << width) - 1}L) ^ {mask}L)")
+    parts = [(sum(1 << i for i in bits), bits, radius) for bits, radius in _segments(list(range(64)), max_bits)]
+    entry = lambda no, mask, flip=0: F.expr(
+        f"struct({no} as seg, (fp & {_signed(mask)}L) ^ {_signed(flip)}L as key)")
     stored = groups.select("fp", "grp", F.explode(F.array(
-        *[key(no, lo, w) for no, (lo, w) in enumerate(parts)])).alias("key"))
-    probes = groups.select("fp", "grp", F.explode(F.array(
-        *[key(no, lo, w, mask) for no, (lo, w) in enumerate(parts)
-          for mask in _ball(w, q if no <= a else q - 1)])).alias("key"))
-    main = stored.groupBy("key", "grp").agg(F.count("*").alias("n")).groupBy("key").agg(
+        *[entry(no, mask) for no, (mask, _, _) in enumerate(parts)])).alias("at")).select("fp", "grp", "at.*")
+    probes = spread(groups, "fp").select("fp", "grp", F.explode(F.array(
+        *[entry(no, mask, flip) for no, (mask, bits, radius) in enumerate(parts)
+          for flip in [0, *[1 << i for i in bits if radius]]])).alias("at")).select("fp", "grp", "at.*")
+    where = ["seg", "key"]
+    main = stored.groupBy(*where, "grp").agg(F.count("*").alias("n")).groupBy(*where).agg(
         F.max_by("grp", F.struct("n", "grp")).alias("main"), F.count("*").alias("groups"))
-    table = stored.join(main, "key").select(
-        "key", F.col("fp").alias("other"), F.col("grp").alias("other_grp"),
+    table = stored.join(main, where).select(
+        *where, F.col("fp").alias("other"), F.col("grp").alias("other_grp"),
         (F.col("grp") != F.col("main")).cast("int").alias("minor"))
     # a probe of the bucket's main group meets the other groups only
-    asked = probes.join(main, "key").where((F.col("groups") > 1) | (F.col("grp") != F.col("main"))).select(
-        "key", "fp", "grp",
+    asked = probes.join(main, where).where((F.col("groups") > 1) | (F.col("grp") != F.col("main"))).select(
+        *where, "fp", "grp",
         F.explode(F.when(F.col("grp") == F.col("main"), F.array(F.lit(1))).otherwise(F.array(F.lit(0), F.lit(1)))).alias("minor"))
-    met = asked.join(table, (asked["key"] == table["key"]) & (asked["minor"] == table["minor"])
+    met = asked.join(table, (asked["seg"] == table["seg"]) & (asked["key"] == table["key"])
+                     & (asked["minor"] == table["minor"])
                      & (F.col("grp") != F.col("other_grp"))
                      & (F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= max_bits))
     return met.select(F.least("grp", "other_grp").alias("a"), F.greatest("grp", "other_grp").alias("b")).distinct()
 
 
-def fingerprint_components(prints: DataFrame, max_bits: int = MAX_BITS, segments: int = SEGMENTS) -> DataFrame:
+def fingerprint_components(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """(fp, grp): the component of every distinct fingerprint of `prints` (column fp)."""
     distinct = checkpointed(prints.select("fp").distinct())
     if max_bits >= 2:
@@ -160,16 +168,15 @@ def fingerprint_components(prints: DataFrame, max_bits: int = MAX_BITS, segments
             "fp", F.coalesce("component", "fp").alias("grp")))
     else:
         groups = distinct.select("fp", F.col("fp").alias("grp"))
-    joined = connected_components(links_between(groups, max_bits, segments))
+    joined = connected_components(links_between(groups, max_bits))
     return groups.join(joined.withColumnRenamed("node", "grp"), "grp", "left").select(
         "fp", F.coalesce("component", "grp").alias("grp"))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
-                    segments: int = SEGMENTS) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """One row per document: doc_id, fp, grp (component as a fingerprint), component_id (smallest doc_id)."""
     prints = checkpointed(fingerprints(docs, shingle))
-    grouped = checkpointed(fingerprint_components(prints, max_bits, segments))
+    grouped = checkpointed(fingerprint_components(prints, max_bits))
     ids = prints.groupBy("fp").agg(F.min("doc_id").alias("least")).join(grouped, "fp")
     first = ids.groupBy("grp").agg(F.min("least").alias("component_id"))
     names = grouped.join(first, "grp").select("fp", "grp", "component_id")
