@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlake.llm import chat, langid, mixing, neighbours, quality_rules, secrets, sentencepiece_scan, simhash, syncmers
+from marketlake.llm import chat, ctw, langid, mixing, neighbours, quality_rules, secrets, sentencepiece_scan, simhash, syncmers
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,7 @@ QUERIES = {
     "op2_sentencepiece": lambda spark, d: sentencepiece_scan.sentencepiece_query(_table(spark, d, "documents")),
     "op3_document_fingerprints": lambda spark, d: syncmers.fingerprint_query(_table(spark, d, "documents")),
     "op4_secret_scans": lambda spark, d: secrets.find_secrets(_table(spark, d, "documents")),
+    "op5_lm_scoring": lambda spark, d: ctw.scoring_query(_table(spark, d, "documents")),
     "op6_chat_formatting": lambda spark, d: chat.chat_query(_table(spark, d, "conversations")),
     "op7_mixing": lambda spark, d: mixing.mixing_query(_table(spark, d, "documents")),
     "op8_quality_rules": lambda spark, d: quality_rules.quality_query(
