@@ -167,7 +167,7 @@ def fitted(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Space:
     named = pick(labels, "doc_id", "quality").where("doc_id is not null and quality is not null").groupBy("doc_id").agg(
         F.max("quality").alias("quality"))
     chosen = named.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = pick(docs, "doc_id", "text").join(chosen, "doc_id").select("doc_id", "quality", "text")
+    rows = pick(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "quality", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -322,23 +322,28 @@ def _long_ids(rows: DataFrame, encoder, chunk_chars: int) -> DataFrame:
 
 
 def encode(docs: DataFrame, model_file: str = MODEL_FILE, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
-    """(doc_id, text, ids): the ids of every row's whole text."""
+    """`docs` and ids, the ids of every row's whole text (a further column of that name gives way)."""
     spark = docs.sparkSession
     prepare_python(spark)
     encoder = spark.sparkContext.broadcast(Encoder.load(model_file))
-    rows = pick(docs, "doc_id", "text")
-    size = F.char_length(F.coalesce("text", F.lit("")))
-    kind = rows.schema["doc_id"].dataType.simpleString()
+    columns = docs.columns
+    own = [f"c{i}" for i in range(len(columns))]
+    rows = docs.toDF(*own)
+    at = columns.index("text")
+    text = F.col(own[at])
+    size = F.char_length(F.coalesce(text, F.lit("")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            packed = [encoder.value.encode(x or "") for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, _id_lists(packed)], ["doc_id", "text", "ids"])
+            packed = [encoder.value.encode(x or "") for x in batch.column(at).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, _id_lists(packed)], [*own, "ids"])
 
-    short = rows.where(size <= chunk_chars).mapInArrow(run, f"doc_id {kind}, text string, ids array<int>")
-    giant = rows.where(size > chunk_chars).withColumn("digest", F.sha2(F.col("text").cast("binary"), 256))
-    long = giant.join(_long_ids(giant.select("digest", "text"), encoder, chunk_chars), "digest")
-    return short.unionByName(long.select("doc_id", "text", "ids"))
+    schema = rows.select("*", F.array().cast("array<int>").alias("ids")).schema
+    short = rows.where(size <= chunk_chars).mapInArrow(run, schema)
+    giant = rows.where(size > chunk_chars).withColumn("digest", F.sha2(text.cast("binary"), 256))
+    long = giant.join(_long_ids(giant.select("digest", text.alias("text")), encoder, chunk_chars), "digest")
+    keep = [c for i, c in enumerate(own) if columns[i] != "ids"]
+    return short.unionByName(long.drop("digest")).select(*keep, "ids").toDF(*[c for c in columns if c != "ids"], "ids")
 
 
 def decode(rows: DataFrame, model_file: str = MODEL_FILE) -> DataFrame:
@@ -361,6 +366,6 @@ def decode(rows: DataFrame, model_file: str = MODEL_FILE) -> DataFrame:
 
 def sentencepiece_query(docs: DataFrame) -> DataFrame:
     """doc_id, n_tokens, ids, and whether decoding gives the text back."""
-    return decode(encode(docs)).select(
+    return decode(encode(pick(docs, "doc_id", "text"))).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
         (F.col("decoded") == F.translate(F.coalesce("text", F.lit("")), SPACE, " ")).alias("round_trip"))
