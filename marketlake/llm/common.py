@@ -29,9 +29,13 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
     Columns are taken by position, so further columns whose names differ only
     in case, or repeat a name (the first wins), cause no ambiguity.
     """
-    own = [f"c{i}" for i in range(len(df.columns))]
-    by = df.toDF(*own)
-    return by.select(*[by[own[df.columns.index(n)]].alias(n) for n in names])
+    by = positional(df)
+    return by.select(*[by[f"c{df.columns.index(n)}"].alias(n) for n in names])
+
+
+def positional(df: DataFrame) -> DataFrame:
+    """`df` with its columns named c0, c1, ...: no two clash."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
 
 
 def prepare_python(spark: SparkSession, rows: int = 512) -> None:

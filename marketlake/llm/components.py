@@ -12,11 +12,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component): component is the smallest node reachable, for every node of `edges`.
 
     `edges` has columns a, b of one orderable type; loops and repeated edges
-    are allowed.  Each round hooks every node to its smallest neighbour and
-    rewrites the edges between the merged nodes.  Every node left with an edge
-    either hooks or is hooked to, so the nodes at least halve each round.  Hub nodes
-    are pre-aggregated map-side (`min`), and the rewriting joins may be split
-    by adaptive execution.  Each round is cut by a reliable checkpoint.
+    are allowed.  Each round hooks every node to its smallest neighbour, follows the
+    hooks to their ends (doubling the step each time), and rewrites the edges between
+    the merged nodes.  Only nodes smaller than all their neighbours are left, at most half of
+    them.  Hub nodes are pre-aggregated map-side (`min`), and the joins may be split
+    by adaptive execution.  Each step is cut by a reliable checkpoint.
     """
     links = checkpointed(
         edges.where(F.col("a") != F.col("b"))
@@ -26,6 +26,12 @@ def connected_components(edges: DataFrame) -> DataFrame:
         both = links.union(links.select("b", "a"))
         hooks = checkpointed(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least"))
                              .select("node", F.least("node", "least").alias("root")))
+        while True:
+            ahead = hooks.select(F.col("node").alias("root"), F.col("root").alias("next"))
+            step = checkpointed(hooks.join(ahead, "root").select("node", "root", "next"))
+            hooks = step.select("node", F.col("next").alias("root"))
+            if step.where("root != next").isEmpty():
+                break
         if labels is None:
             labels = hooks.select("node", F.col("root").alias("component"))
         else:

@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import WORD_PATTERN, checkpointed, pick, spread
+from marketlake.llm.common import WORD_PATTERN, checkpointed, pick, positional, spread
 
 BLOCK = 256
 BUCKETS = 1024
@@ -170,7 +170,7 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     columns = docs.columns
     own = [f"c{i}" for i in range(len(columns))]
     name = dict(zip(reversed(columns), reversed(own)))
-    by = docs.toDF(*own)
+    by = positional(docs)
     text = by[name["text"]]
     keyed = by.withColumns({"doc_id": by[name["doc_id"]], "source": by[name["source"]], "tie": F.xxhash64(text)})
     # equal rows (id, source, text) have a take of their own each: number them on both sides

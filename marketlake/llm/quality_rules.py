@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import byte_values, pick, prepare_python, word_pieces
+from marketlake.llm.common import byte_values, pick, positional, prepare_python, word_pieces
 
 SAMPLE = 20_000
 TREES = 60
@@ -220,7 +220,8 @@ def keep_good(docs: DataFrame, trees: Trees, threshold: float = THRESHOLD) -> Da
         for batch in batches:
             yield batch.filter(pa.array(verdicts(byte_values(batch.column(at)), trees, threshold)[2]))
 
-    return docs.mapInArrow(run, docs.schema)
+    rows = positional(docs)
+    return rows.mapInArrow(run, rows.schema).toDF(*docs.columns)
 
 
 def quality_query(docs: DataFrame, labels: DataFrame) -> DataFrame:

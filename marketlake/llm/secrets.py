@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from marketlake.llm.common import byte_values, pick, prepare_python
+from marketlake.llm.common import byte_values, pick, positional, prepare_python
 
 
 @dataclass(frozen=True)
@@ -342,4 +342,5 @@ def mask_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
             columns[at] = pa.array(texts, columns[at].type)
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
 
-    return docs.mapInArrow(run, docs.schema)
+    rows = positional(docs)
+    return rows.mapInArrow(run, rows.schema).toDF(*docs.columns)

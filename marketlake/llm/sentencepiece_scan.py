@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import prepare_python, pick
+from marketlake.llm.common import pick, positional, prepare_python
 
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK_CHARS = 1 << 15
@@ -328,7 +328,7 @@ def encode(docs: DataFrame, model_file: str = MODEL_FILE, chunk_chars: int = CHU
     encoder = spark.sparkContext.broadcast(Encoder.load(model_file))
     columns = docs.columns
     own = [f"c{i}" for i in range(len(columns))]
-    rows = docs.toDF(*own)
+    rows = positional(docs)
     at = columns.index("text")
     text = F.col(own[at])
     size = F.char_length(F.coalesce(text, F.lit("")))

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import byte_values, checkpointed, pick, prepare_python, spread, word_pieces
+from marketlake.llm.common import byte_values, checkpointed, pick, positional, prepare_python, spread, word_pieces
 from marketlake.llm.components import connected_components
 
 SHINGLE_WORDS = 4
@@ -200,7 +200,7 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int = MAX_
                          .groupBy("grp", "doc_id").agg(F.count("*").alias("rows")))
     columns = docs.columns
     own = [f"c{i}" for i in range(len(columns))]
-    by = docs.toDF(*own)
+    by = positional(docs)
     key = by[own[columns.index("doc_id")]]
     alone = heads.where((F.col("rows") == 1) & F.col("doc_id").isNotNull())
     repeated = heads.where((F.col("rows") > 1) & F.col("doc_id").isNotNull())
