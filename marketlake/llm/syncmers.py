@@ -9,17 +9,20 @@ hashes of a text's anchors (all, if there are fewer), a bottom-k sketch: the lik
 two fingerprints is the share of the smallest hashes of their union that both have, an
 unbiased estimate of the Jaccard likeness of the anchor sets, and exact for short texts.
 
-Null is the empty text.  A text without words has an empty fingerprint; one with too
-few words for an anchor has the hash of all its tokens as its only anchor.
+Null is the empty text.  A text without words has an empty fingerprint; one without
+an anchor (it has few words) has the hashes of its tokens in their place.
 Two empty fingerprints have likeness 1, an empty and another one 0.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import pick
+from marketlake.llm.common import checkpointed, pick
+from marketlake.session import checkpoint_dir
 
 K = 5
 S = 2
@@ -51,8 +54,8 @@ def with_anchors(df: DataFrame, text: str, out: str, k: int = K, s: int = S, ske
                      i -> cast(shiftrightunsigned(xxhash64({window}), 33) as int)))"""))
     return df.withColumn(out, F.expr(f"""
         case when size({out}) > 0 then slice(sort_array(array_distinct({out})), 1, {sketch})
-             when size({h}) > 0 then array(cast(shiftrightunsigned(xxhash64({h}), 33) as int))
-             else cast(array() as array<int>) end""")).drop(h, g)
+             else slice(sort_array(array_distinct(transform({h}, x -> cast(shiftrightunsigned(x, 33) as int)))), 1, {sketch})
+             end""")).drop(h, g)
 
 
 def as_text(anchors: Column) -> Column:
@@ -87,27 +90,38 @@ def _groups_in_order(groups: DataFrame) -> DataFrame:
         F.coalesce("next_grp", "then.top").alias("next_grp"))
 
 
+def _ordered(df: DataFrame) -> DataFrame:
+    """`df` with kind (1: it has an id), ord (what it is ordered by, descending) and grp (neighbours in that order)."""
+    bare = F.xxhash64("text")
+    return df.withColumns({
+        "kind": F.col("doc_id").isNotNull().cast("int"), "ord": F.coalesce(F.col("doc_id").cast("long"), bare)}).withColumn(
+        "grp", F.when(F.col("kind") == 1, F.shiftright("ord", GROUP_BITS)).otherwise(F.shiftright("ord", 64 - 2 * GROUP_BITS)))
+
+
 def with_next(rows: DataFrame, *carried: str) -> DataFrame:
     """`rows` and, as column next, the struct of `carried` of the next row by descending doc_id.
 
-    The first row follows the last.  Equal ids go by descending text, null ids come last, by
-    a hash of the text.  Neighbouring ids meet in groups of at most 2^GROUP_BITS ids;
-    only the rows at the groups' ends (one in 2^GROUP_BITS) are joined across.
+    The first row follows the last.  Equal ids go by descending text; null ids come last, by
+    a hash of the text.  Neighbours meet in groups of 2^GROUP_BITS ids at most (repeated ones aside), and
+    each group gets a copy of the next group's first row, so the texts are shuffled once.  The list of
+    first ids has one row in 2^GROUP_BITS; it is written and read again, so that Spark knows its size
+    and broadcasts it only below its threshold.
     """
-    grouped = rows.withColumns({
-        "kind": F.col("doc_id").isNotNull().cast("int"),
-        "grp": F.coalesce(F.shiftright(F.col("doc_id").cast("long"), GROUP_BITS),
-                          F.pmod(F.xxhash64("text"), F.lit(1 << GROUP_BITS)))})
-    w = Window.partitionBy("kind", "grp").orderBy(F.desc("doc_id"), F.desc("text"))
-    sorted_ = grouped.withColumns({"next": F.lead(F.struct(*carried)).over(w), "behind": F.lag(F.lit(1)).over(w)})
-    inside = sorted_.where(F.col("next").isNotNull())
-    last = sorted_.where(F.col("next").isNull()).drop("next")
-    heads = sorted_.where(F.col("behind").isNull())
-    order = _groups_in_order(grouped.select("kind", "grp").distinct())
-    first = order.join(heads.select(F.col("kind").alias("next_kind"), F.col("grp").alias("next_grp"),
-                                    F.struct(*carried).alias("next")), ["next_kind", "next_grp"]).drop("next_kind", "next_grp")
-    across = last.join(first, ["kind", "grp"])
-    return inside.unionByName(across).drop("kind", "grp", "behind")
+    spark = rows.sparkSession
+    groups = _ordered(rows.where("doc_id is not null").select("doc_id", F.lit("").alias("text"))).unionByName(
+        _ordered(rows.where("doc_id is null").select("doc_id", "text"))).groupBy("kind", "grp").agg(F.max("ord").alias("ord"))
+    groups = checkpointed(groups)
+    firsts = _groups_in_order(groups.select("kind", "grp")).join(
+        groups.withColumnsRenamed({"kind": "next_kind", "grp": "next_grp"}), ["next_kind", "next_grp"]).select(
+        F.col("next_kind").alias("kind"), "ord", F.struct("kind", "grp").alias("ahead"))
+    place = f"{checkpoint_dir(spark).rstrip('/')}/neighbours-{uuid.uuid4().hex}"
+    firsts.write.parquet(place)
+    placed = _ordered(rows).join(spark.read.parquet(place), ["kind", "ord"], "left").withColumn("at", F.explode(F.filter(F.array(
+        F.struct(F.lit(0).alias("copy"), "kind", "grp"),
+        F.when(F.col("ahead").isNotNull(), F.struct(F.lit(1).alias("copy"), F.col("ahead.kind"), F.col("ahead.grp")))),
+        lambda x: x.isNotNull()))).drop("kind", "grp", "ahead").select("*", "at.*").drop("at")
+    w = Window.partitionBy("kind", "grp").orderBy("copy", F.desc("ord"), F.desc("text"))
+    return placed.withColumn("next", F.lead(F.struct(*carried)).over(w)).where("copy = 0").drop("kind", "grp", "ord", "copy")
 
 
 def fingerprint_query(docs: DataFrame) -> DataFrame:
