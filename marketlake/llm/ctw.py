@@ -132,14 +132,15 @@ def _log_gamma(x: np.ndarray) -> np.ndarray:
     """log of the gamma function for x >= 1/2: shifted by 6, then Stirling's series."""
     shift = x * (x + 1) * (x + 2) * (x + 3) * (x + 4) * (x + 5)
     y = x + 6
-    return (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + 1 / (12 * y) - 1 / (360 * y ** 3) + 1 / (1260 * y ** 5) - np.log(shift)
+    return (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + (
+        1 / (12 * y) - 1 / (360 * y ** 3) + 1 / (1260 * y ** 5) - 1 / (1680 * y ** 7)) - np.log(shift)
 
 
 def _nodes(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Counts of bits 0 and 1 in each of a byte's 255 binary decisions (heap order), from counts of bytes."""
     levels = [counts]
     while levels[0].shape[1] > 1:
-        levels.insert(0, levels[0].reshape(len(counts), -1, 2).sum(axis=2))
+        levels.insert(0, levels[0].reshape(len(counts), levels[0].shape[1] // 2, 2).sum(axis=2))
     return (np.concatenate([level[:, 0::2] for level in levels[1:]], axis=1),
             np.concatenate([level[:, 1::2] for level in levels[1:]], axis=1))
 

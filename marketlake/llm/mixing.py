@@ -71,11 +71,12 @@ def targets(sums: DataFrame, share: float = 1.5, most: float = 2.0, weights: tup
     levels = weighed.withColumns({
         "_stopped": most * F.coalesce(F.sum("source_size").over(before), F.lit(0)),
         "_open": F.sum("weight").over(rest),
+        "_no": F.row_number().over(Window.orderBy(stop, F.col("source").asc_nulls_last())),
         "_all": share * F.sum("source_size").over(every)})
     levels = levels.withColumn("_level", (F.col("_all") - F.col("_stopped")) / F.col("_open"))
     # the level is that of the first source that it does not stop
     level = F.min(F.when(F.col("_level") * F.col("weight") <= most * F.col("source_size"),
-                         F.struct(stop.alias("stop"), F.col("_level").alias("level")))).over(every)["level"]
+                         F.struct("_no", F.col("_level").alias("level")))).over(every)["level"]
     return levels.withColumn("_at", level).withColumn("target", F.when(
         F.col("_at").isNull(), most * F.col("source_size")).otherwise(
         F.least(most * F.col("source_size"), F.col("_at") * F.col("weight")))).select(
@@ -104,7 +105,7 @@ def slots(plan: DataFrame, block: int = BLOCK, shards: int = SHARDS) -> DataFram
 
     `plan` has source and source_size, and target as whole words.
     """
-    part = plan.withColumn("part", F.col("target") % F.col("source_size")).where("part > 0").withColumns({
+    part = plan.withColumn("part", F.when(F.col("source_size") > 0, F.col("target") % F.col("source_size"))).where("part > 0").withColumns({
         "full": F.floor(F.col("source_size") / block).cast("long"),
         "key": F.xxhash64("source", F.col("source").isNull()),
         "slots": F.ceil(F.col("part") / block).cast("long")})

@@ -1,0 +1,71 @@
+import re
+from collections import Counter
+
+import numpy as np
+
+from marketlake.llm import quality_rules as q
+
+from .conftest import SF
+
+
+def brute(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    windows = Counter(zip(words, words[1:], words[2:]))
+    covered = {i + k for i in range(len(words) - 2) if windows[tuple(words[i:i + 3])] > 1 for k in range(3)}
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            dup += line in seen
+            seen.add(line)
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), dup, len(covered)
+
+
+def test_counts(sample):
+    odd = ["", None, "a b c a b c", "a a a a", "x\n\nx\n x\r\nx", "é # <|>\n", "one", "\x0b\x0c"]
+    for text in [t for _, t in sample] + odd:
+        assert q.statistics((text or "").encode())[0] == brute(text)
+
+
+def test_trees_keep_to_the_constraint():
+    rng = np.random.default_rng(1)
+    x = rng.random((2000, 3))
+    y = (x[:, 0] + 0.3 * np.sin(9 * x[:, 1]) + 0.2 * rng.random(2000) < 0.8).astype(float)
+    trees = q.fit(x, y, (False, True, False))
+    assert ((trees.score(x) > 0.5) == y).mean() > 0.8
+    for _ in range(50):
+        rows = np.repeat(rng.random((1, 3)), 40, axis=0)
+        rows[:, 1] = np.linspace(0, 1, 40)
+        assert (np.diff(trees.score(rows)) <= 1e-9).all()
+
+
+def test_flat_trees_equal_a_walk():
+    rng = np.random.default_rng(2)
+    x = rng.random((300, 4))
+    trees = q.fit(x, (x[:, 2] > 0.4).astype(float), (False,) * 4, trees=5)
+    for row, got in zip(x[:40], trees.score(x[:40])):
+        total = trees.start
+        for feature, cut, value in zip(trees.feature, trees.cut, trees.value):
+            node = 0
+            while 2 * node + 2 < len(value):
+                node = 2 * node + (2 if row[feature[node]] > cut[node] else 1)
+            total += value[node]
+        assert np.isclose(got, 1 / (1 + np.exp(-total)))
+
+
+def test_query(spark, docs):
+    table, labels = (spark.read.parquet(f"{SF}/{n}.parquet") for n in ("documents", "labels"))
+    got = {r.doc_id: r for r in q.quality_query(table, labels).collect()}
+    for d, text in table.select("doc_id", "text").collect():
+        n, _, _, _, repeat = brute(text)
+        assert tuple(got[d][c] for c in q.COUNTS) == brute(text)
+        assert got[d].base_failed == (n < 50 or 100 * repeat > 50 * n) and not (got[d].base_failed and got[d].kept)
+    good = [got[r.doc_id] for r in labels.collect() if r.quality == 1 and not got[r.doc_id].base_failed]
+    assert np.mean([r.kept for r in good]) > 0.95
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    rows = [(1, " ".join(f"w{i}" for i in range(60))), (1, None), (None, ""), (2, "#")]
+    assert sorted((str(r.doc_id), r.kept) for r in q.quality_query(docs(rows), none).collect()) == [
+        ("1", False), ("1", True), ("2", False), ("None", False)]
+    kept = q.keep_good(docs(rows), q.fitted(docs(rows), none))
+    assert kept.columns == docs([]).columns and [r[0] for r in kept.collect()] == [1]
+    assert q.quality_query(docs([]), none).count() == 0
