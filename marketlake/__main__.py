@@ -10,7 +10,7 @@ Commands
   scenario --out DIR [--states SP RJ ...] [--max-days 30]
                                               the what-if analytics over the written gold tables:
                                               KPIs, lead-time histogram, hub load, top corridors,
-                                              map centre (default states: first 5 in sort order)
+                                              map centre (all states unless some are named)
 
 On a cluster the session comes from spark-submit; `--local N` starts a local
 session instead.
@@ -29,7 +29,7 @@ from marketlake.plans.staging import STAGING
 from marketlake.session import configure, local_session
 from marketlake.sources.catalog import SOURCES
 from marketlake.sources.csv import read_bronze_all
-from marketlake.sources.sinks import ingest_bronze
+from marketlake.sources.sinks import default_format, ingest_bronze
 
 
 def _session(args) -> SparkSession:
@@ -51,7 +51,7 @@ def _files(args) -> dict[str, str]:
 
 def _bronze(spark: SparkSession, args):
     if args.bronze:  # previously landed bronze tables
-        return {name: spark.read.parquet(f"{args.bronze.rstrip('/')}/{name}") for name in SOURCES}
+        return {name: spark.read.format(default_format(spark)).load(f"{args.bronze.rstrip('/')}/{name}") for name in SOURCES}
     return read_bronze_all(spark, args.landing, _files(args))
 
 
@@ -106,7 +106,7 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     if args.command == "check":
         names = [*STAGING, *CORE, *GOLD]
-        tables = {n: spark.read.parquet(f"{args.out.rstrip('/')}/{n}") for n in names}
+        tables = {n: spark.read.format(default_format(spark)).load(f"{args.out.rstrip('/')}/{n}") for n in names}
         report = run_checks(tables)
         report.filter("violations > 0").show(100, truncate=False)
         assert_passed(report)
@@ -114,10 +114,10 @@ def main(argv: list[str] | None = None) -> int:
     if args.command == "scenario":
         from marketlake.plans import scenario
         out = args.out.rstrip("/")
-        executive = spark.read.parquet(f"{out}/gold_executive_overview")
-        routes = spark.read.parquet(f"{out}/gold_spatial_routing")
+        executive, routes = (spark.read.format(default_format(spark)).load(f"{out}/{n}")
+                             for n in ("gold_executive_overview", "gold_spatial_routing"))
         filtered = scenario.scenario_filter(executive, args.states, args.max_days)
-        selected = scenario.filter_routes(routes, executive, args.states)
+        selected = scenario.filter_routes(routes, args.states)
         for title, df in (("kpis", scenario.scenario_kpis(filtered)),
                           ("lead time histogram", scenario.lead_time_histogram(filtered)
                            .orderBy("series", "bin_index")),
@@ -125,9 +125,9 @@ def main(argv: list[str] | None = None) -> int:
                           ("top corridors", scenario.corridor_display(
                               scenario.corridor_top_k(filtered, selected, args.top))),
                           ("map centre", scenario.route_centroid(
-                              selected, selected_states=len(args.states) if args.states else 5))):
+                              selected, selected_states=len(args.states) if args.states else None))):
             print(f"== {title}")
-            df.show(100, truncate=False)
+            df.show(max(args.top, 100), truncate=False)
         return 0
     return 2
 

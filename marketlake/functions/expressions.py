@@ -17,11 +17,27 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 __all__ = [
-    "CANCELED_STATUSES", "DELIVERY_STATUSES", "KEYWORD_GROUPS", "HUBS",
-    "DEFAULT_HUB", "HUB_STATES", "STATE_BY_NATION",
-    "money", "cents", "cents_sum", "from_cents", "money_sum", "round_money_sum", "exact_avg", "exact_ratio", "pct",
-    "days_between", "surrogate_key", "contains_any", "hub_for_state", "as_double",
+    "CANCELED_STATUSES",
+    "DEFAULT_HUB",
+    "DELIVERY_STATUSES",
+    "HUBS",
+    "KEYWORD_GROUPS",
+    "STATE_BY_NATION",
+    "UNITS",
+    "contains_any",
     "count_if",
+    "days_between",
+    "exact_avg",
+    "exact_ratio",
+    "from_units",
+    "hub_for_state",
+    "money_sum",
+    "pct",
+    "round_money_sum",
+    "rounded_units",
+    "surrogate_key",
+    "units",
+    "units_sum",
 ]
 
 # ---------------------------------------------------------------------------
@@ -49,50 +65,46 @@ HUBS = (
     ("Belo Horizonte Hub", Decimal("-19.9167"), Decimal("-43.9345"), 60000, "MG"),
 )
 DEFAULT_HUB = HUBS[0]
-HUB_STATES = tuple(h[4] for h in HUBS)
 
 # Test-data adapter: state assigned by nation key modulo 5.
-STATE_BY_NATION = ("SP", "RJ", "MG", "RS", "BA")
+STATE_BY_NATION = ("SP", "RJ", "MG", "RS", "BA", "PR", "SC", "PE")
 
 # ---------------------------------------------------------------------------
 
 
-def as_double(c: Column) -> Column:
-    return c.cast("double")
+#: Amounts are summed as whole millionths: exact for inputs with up to six decimals.
+UNITS = 1_000_000
 
 
-def money(c: Column | str) -> Column:
-    """A two-decimal money value as exact decimal(18,2)."""
+def units(c: Column | str) -> Column:
+    """An amount as integer millionths (long)."""
     c = F.col(c) if isinstance(c, str) else c
-    return c.cast("decimal(18,2)")
+    return F.rint(c * F.lit(float(UNITS))).cast("long")
 
 
-def cents(c: Column | str) -> Column:
-    """A two-decimal money value as integer cents (long)."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.rint(c * F.lit(100.0)).cast("long")
+def units_sum(c: Column | str) -> Column:
+    """Exact sum of an amount in millionths (long; an overflow is an error in ANSI mode)."""
+    return F.sum(units(c))
 
 
-def cents_sum(c: Column | str) -> Column:
-    """Exact sum of a money column in cents (long)."""
-    return F.sum(cents(c))
+def from_units(total: Column) -> Column:
+    """Millionths (long) back to a double amount."""
+    return total.cast("double") / F.lit(float(UNITS))
 
 
-def from_cents(total_cents: Column) -> Column:
-    """Cents (long) back to a double amount."""
-    return total_cents.cast("double") / F.lit(100.0)
+def rounded_units(total: Column, scale: int = 2) -> Column:
+    """Millionths (long) as an amount rounded half-up, as double."""
+    return F.round(total.cast("decimal(20,0)") / F.lit(Decimal(UNITS)), scale).cast("double")
 
 
 def money_sum(c: Column | str) -> Column:
-    """Exact sum of a money column, as double."""
-    return from_cents(cents_sum(c))
+    """Exact sum of an amount, as double."""
+    return from_units(units_sum(c))
 
 
 def round_money_sum(c: Column | str, scale: int = 2) -> Column:
     """`round(sum(x), scale)` computed exactly, returned as double."""
-    if scale >= 2:
-        return money_sum(c)
-    return F.round(cents_sum(c).cast("decimal(20,0)") / F.lit(100), scale).cast("double")
+    return rounded_units(units_sum(c), scale)
 
 
 def exact_ratio(numerator: Column, denominator: Column, scale: int) -> Column:
@@ -110,7 +122,7 @@ def exact_avg(c: Column | str, scale: int, is_money: bool = False) -> Column:
     """round(avg(x), scale) over non-null x, computed exactly."""
     c = F.col(c) if isinstance(c, str) else c
     if is_money:
-        return exact_ratio(cents_sum(c).cast("decimal(20,0)"), F.count(c) * F.lit(100), scale)
+        return exact_ratio(units_sum(c).cast("decimal(20,0)"), F.count(c) * F.lit(UNITS), scale)
     return exact_ratio(F.sum(c.cast("long")).cast("decimal(20,0)"), F.count(c), scale)
 
 

@@ -31,8 +31,10 @@ def histogram(df: DataFrame, series: Mapping[str, Column], width: float,
               lo: float, hi: float) -> DataFrame:
     """Fixed-width bins [lo + i*width, lo + (i+1)*width).
 
-    Edges step from `lo` by `width` until they reach or pass `hi`; values in
-    [lo, last edge) are counted.  All series are stacked in one pass (explode of a struct array, no union
+    Edges step from `lo` by `width` until they reach or pass `hi`.  Values below
+    `lo` are counted as bin -1 (no start), values from the last edge on as the bin after
+    the last (no end), so that the counts add up; nulls and NaN are in no bin.  All series are
+    stacked in one pass (explode of a struct array, no union
     re-scan) and counted with a partial aggregate; only non-empty bins appear.
     Output: series, bin_index, bin_start, bin_end, n.
     """
@@ -40,38 +42,24 @@ def histogram(df: DataFrame, series: Mapping[str, Column], width: float,
         F.struct(F.lit(name).alias("series"), col.cast("double").alias("x"))
         for name, col in series.items()
     ])).alias("s")
-    last_edge = lo + math.ceil((hi - lo) / width) * width
-    idx = F.floor((F.col("s.x") - F.lit(lo)) / F.lit(width)).cast("int")
+    bins = math.ceil((hi - lo) / width)
+    x = F.col("s.x")
+    idx = (F.when(x < F.lit(lo), F.lit(-1)).when(x >= F.lit(lo + bins * width), F.lit(bins))
+           .otherwise(F.floor((x - F.lit(lo)) / F.lit(width)).cast("int")))
     return (
         df.select(stacked)
-        .filter((F.col("s.x") >= F.lit(lo)) & (F.col("s.x") < F.lit(last_edge)))
+        .filter(x.isNotNull() & ~F.isnan(x))
         .groupBy(F.col("s.series").alias("series"), idx.alias("bin_index"))
         .agg(F.count(F.lit(1)).alias("n"))
         .select(
             "series", "bin_index",
-            (F.lit(lo) + F.col("bin_index") * F.lit(width)).alias("bin_start"),
-            (F.lit(lo) + (F.col("bin_index") + 1) * F.lit(width)).alias("bin_end"),
+            F.when(F.col("bin_index") >= 0, F.lit(lo) + F.col("bin_index") * F.lit(width)).alias("bin_start"),
+            F.when(F.col("bin_index") < bins, F.lit(lo) + (F.col("bin_index") + 1) * F.lit(width)).alias("bin_end"),
             "n",
         )
     )
 
 
-def top_k(df: DataFrame, order: Sequence[Column], k: int, pre_reduce: bool = False) -> DataFrame:
-    """First k rows under a total order.
-
-    Spark's top-k keeps k rows per input partition and merges them in one
-    task, i.e. k x partitions rows.  For inputs with many partitions,
-    `pre_reduce=True` first cuts every input partition to its own k best rows
-    with `row_number() <= k` over the partition index, which Catalyst runs as
-    a map-side partial WindowGroupLimit; the survivors are shuffled in
-    parallel, and the final merge reads k rows per post-shuffle partition.
-    The result is the same: every global top-k row is in its partition's
-    top k.
-    """
-    if pre_reduce:
-        pid, rn = "__pid", "__rn"
-        w = Window.partitionBy(pid).orderBy(*order)
-        df = (df.select("*", F.spark_partition_id().alias(pid))
-              .select("*", F.row_number().over(w).alias(rn))
-              .filter(F.col(rn) <= k).drop(pid, rn))
+def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
+    """First k rows under a total order (each input partition sends its own k best)."""
     return df.orderBy(*order).limit(k)

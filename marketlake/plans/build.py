@@ -10,6 +10,7 @@ prune columns and push filters.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -143,7 +144,7 @@ def _materialize(spark: SparkSession, models: Mapping[str, DataFrame], out_dir:
         name, df = item
         bucket = ("order_key", buckets) if buckets and name in ORDER_BUCKETED else None
         return name, write_table(df, f"{out_dir.rstrip('/')}/{name}", fmt, bucket_by=bucket,
-                                 table=f"{name}_{abs(hash(out_dir)) % 10**8}")
+                                 table=f"{name}_{hashlib.sha256(out_dir.encode()).hexdigest()[:8]}")
 
     if parallel <= 1:
         return dict(map(write, models.items()))

@@ -59,11 +59,12 @@ def fixed_bounds(spark: SparkSession, start: str | date = "2016-01-01",
 
 
 def data_bounds(orders: DataFrame) -> DataFrame:
-    """One-row frame spanning whole years from the first purchase to the last
-    estimated delivery (a partial aggregate over the orders, no collect)."""
+    """One-row frame spanning the whole years of all purchases and estimated
+    deliveries (a partial aggregate over the orders, no collect)."""
+    bought, due = "purchase_timestamp", "estimated_delivery_timestamp"
     return orders.agg(
-        F.trunc(F.to_date(F.min("purchase_timestamp")), "year").alias("start_date"),
-        F.last_day(F.make_date(F.year(F.max("estimated_delivery_timestamp")),
+        F.trunc(F.to_date(F.least(F.min(bought), F.min(due))), "year").alias("start_date"),
+        F.last_day(F.make_date(F.year(F.greatest(F.max(bought), F.max(due))),
                                F.lit(12), F.lit(1))).alias("end_date"))
 
 

@@ -7,18 +7,27 @@ DataFrame over the whole input.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.functions.expressions import exact_avg, round_money_sum
-from marketlake.plans import quality, scenario
+from marketlake.plans import core, gold, quality, scenario
 from marketlake.plans.build import Models
+from marketlake.session import checkpoint_dir
+from marketlake.sources.catalog import SOURCES
+from marketlake.sources.sinks import ingest_bronze
 from marketlake.sources.testdata import bronze_from_testdata
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: Fixed value: rows of the route sample.
+ROUTE_SAMPLE = 3000
+
 
 def models(spark: SparkSession, sf_dir: str) -> Models:
     return Models(bronze_from_testdata(spark, sf_dir))
@@ -60,31 +69,39 @@ def optimizer_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landing round trip: the derived bronze frames are written as landing
-    CSV files (under the shared checkpoint root), discovered, and ingested
-    back through the CSV readers into bronze tables.  Returns the ingest
-    manifest (one row per source)."""
-    import uuid
-
-    from marketlake.session import checkpoint_dir
-    from marketlake.sources.catalog import SOURCES
-    from marketlake.sources.sinks import ingest_bronze
-
-    from concurrent.futures import ThreadPoolExecutor
+    """Landing round trip: rows landed from each source, and how many differ.
 
+    The derived bronze frames are written as landing CSV files (under the shared
+    checkpoint root) and ingested through the CSV readers.  The result compares the ingested
+    tables with their sources by a hash of whole rows: rows missing and rows that
+    should not be there.
+    """
     root = f"{checkpoint_dir(spark).rstrip('/')}/marketlake-landing-{uuid.uuid4().hex}"
     bronze = bronze_from_testdata(spark, sf_dir)
+    texts = {n: bronze[n].select(*[F.col(c).cast("string").alias(c) for c in s.columns]) for n, s in SOURCES.items()}
 
     def write(item):
         name, src = item
-        (bronze[name].write.mode("overwrite")
-         .option("header", "true").option("quote", '"').option("escape", '"')
+        (texts[name].write.option("header", "true").option("quote", '"').option("escape", '"')
+         .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
          .csv(f"{root}/landing/{src.file_name}"))
 
     with ThreadPoolExecutor(max_workers=4) as pool:
         list(pool.map(write, SOURCES.items()))
     # Spark writes a folder of part files per source; the readers take folders.
-    return ingest_bronze(spark, f"{root}/landing", f"{root}/bronze", fmt="parquet")
+    ingest_bronze(spark, f"{root}/landing", f"{root}/bronze", fmt="parquet")
+    parts = []
+    for name, src in SOURCES.items():
+        row = F.xxhash64(*[F.coalesce(c, F.lit("\x00")) for c in src.columns])
+        landed = spark.read.parquet(f"{root}/bronze/{name}")
+        parts += [df.groupBy(F.lit(name).alias("source"), row.alias("row")).agg(F.count(F.lit(1)).alias("n")).select(
+            "source", "row", F.lit(sign).alias("sign"), (F.col("n") * sign).alias("n")) for df, sign in ((landed, 1), (texts[name], -1))]
+    every = reduce(DataFrame.unionByName, parts)
+    per_row = every.groupBy("source", "row").agg(
+        F.sum("n").alias("over"), F.sum(F.when(F.col("sign") > 0, F.col("n")).otherwise(0)).alias("rows"))
+    return per_row.groupBy("source").agg(
+        F.sum("rows").alias("rows"), F.sum(F.greatest(-F.col("over"), F.lit(0))).alias("rows_missing"),
+        F.sum(F.greatest("over", F.lit(0))).alias("rows_extra"))
 
 
 def _scenario(fn: Callable[[Models], DataFrame]) -> Query:
@@ -96,7 +113,39 @@ def _filtered(m: Models) -> DataFrame:
 
 
 def _routes(m: Models) -> DataFrame:
-    return scenario.filter_routes(m["gold_spatial_routing"], m["gold_executive_overview"])
+    return scenario.filter_routes(m["gold_spatial_routing"])
+
+
+def spatial_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The route sample: its 3,000 rows are the feature (O1); the written table has every route."""
+    m = models(spark, sf_dir)
+    return gold.spatial_routing(m["fct_order_items"], m["dim_sellers"], m["dim_customers"], n=ROUTE_SAMPLE)
+
+
+def fixed_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The calendar of the source's own years, with the orders bought on each day."""
+    days = core.dim_dates(core.fixed_bounds(spark))
+    bought = models(spark, sf_dir)["stg_orders"].groupBy(F.to_date("purchase_timestamp").alias("date_key")).agg(
+        F.count(F.lit(1)).alias("orders"))
+    return days.join(bought, "date_key", "left").withColumn("orders", F.coalesce("orders", F.lit(0)))
+
+
+def default_scenario(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headline numbers of the default selection: the first five states, taken once."""
+    executive = models(spark, sf_dir)["gold_executive_overview"]
+    chosen = [r[0] for r in scenario.default_states(executive).collect()]  # five rows at most
+    return scenario.scenario_kpis(scenario.scenario_filter(executive, chosen))
+
+
+def planted_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The invariant over a projection with known bad rows: some orders slower than before, some below zero."""
+    executive = models(spark, sf_dir)["gold_executive_overview"]
+    key = F.col("order_key").cast("long")
+    bad = executive.withColumns({
+        "optimized_shipping_days": F.when(key % 11 == 0, F.col("actual_shipping_days") + 1)
+        .when(key % 13 == 0, -1).otherwise(F.col("optimized_shipping_days")),
+        "optimized_freight": F.when(key % 17 == 0, -0.5).otherwise(F.col("optimized_freight"))})
+    return quality.optimizer_violations(bad)
 
 
 QUERIES: dict[str, Query] = {
@@ -116,6 +165,7 @@ QUERIES: dict[str, Query] = {
     "dim_sellers_geo": _model("dim_sellers"),
     "dim_products_category": _model("dim_products"),
     "dim_dates_calendar": _model("dim_dates"),
+    "dim_dates_fixed": fixed_calendar,
     "fct_order_items": _model("fct_order_items"),
     "fct_order_payments": _model("fct_order_payments"),
     "fct_order_reviews": _model("fct_order_reviews"),
@@ -130,9 +180,11 @@ QUERIES: dict[str, Query] = {
     "regional_logistics": _model("gold_regional_logistics"),
     "review_text_signals": _model("gold_review_text_signals"),
     "seller_scorecard": _model("gold_seller_scorecard"),
-    "spatial_routing": _model("gold_spatial_routing"),
+    "spatial_routing": spatial_routing,
+    "spatial_routes_all": _model("gold_spatial_routing"),
     # scenario analytics
     "state_list": _scenario(lambda m: scenario.state_list(m["gold_executive_overview"])),
+    "scenario_kpis_default": default_scenario,
     "scenario_kpis": _scenario(lambda m: scenario.scenario_kpis(_filtered(m))),
     "lead_time_histogram": _scenario(lambda m: scenario.lead_time_histogram(_filtered(m))),
     "hub_load": _scenario(lambda m: scenario.hub_load(_filtered(m))),
@@ -141,9 +193,10 @@ QUERIES: dict[str, Query] = {
     "route_legs": _scenario(lambda m: scenario.route_legs(_routes(m))),
     "corridor_display": _scenario(
         lambda m: scenario.corridor_display(scenario.corridor_top_k(_filtered(m), _routes(m)))),
-    # sources and sinks (rows-only check: no SQL equivalent of a file round trip)
+    # sources and sinks
     "bronze_manifest": bronze_manifest,
     # data quality
     "quality_report": quality_report,
     "optimizer_violations": optimizer_violations,
+    "optimizer_violations_planted": planted_violations,
 }

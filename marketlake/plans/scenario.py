@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from marketlake.functions.expressions import (
-    HUBS, cents_sum, count_if, exact_ratio, from_cents, hub_for_state,
+    HUBS, units_sum, count_if, exact_ratio, from_units, hub_for_state,
 )
 from marketlake.operators.aggregates import histogram, top_k
 
@@ -42,17 +42,16 @@ def default_states(executive: DataFrame, count: int = DEFAULT_STATE_COUNT) -> Da
     return top_k(states, [F.col("customer_state")], count)
 
 
-def _select_states(df: DataFrame, executive: DataFrame, states: Sequence[str] | None) -> DataFrame:
-    if states is not None:
-        return df.filter(F.col("customer_state").isin(*states))
-    return df.join(F.broadcast(default_states(executive)), "customer_state", "left_semi")
+def _select_states(df: DataFrame, states: Sequence[str] | None) -> DataFrame:
+    return df if states is None else df.filter(F.col("customer_state").isin(*states))
 
 
 def scenario_filter(executive: DataFrame, states: Sequence[str] | None = None,
                     max_days: int = DEFAULT_MAX_DAYS) -> DataFrame:
     """V1: lines in the selected customer states whose optimized transit time
-    is within `max_days`.  `states=None` selects the default states."""
-    return _select_states(executive, executive, states).filter(
+    is within `max_days`.  `states=None` selects all (a caller who wants the
+    default selection asks `default_states` for it)."""
+    return _select_states(executive, states).filter(
         F.col("optimized_shipping_days") <= max_days)
 
 
@@ -65,21 +64,20 @@ def coerce_coordinates(routes: DataFrame) -> DataFrame:
     return routes.withColumns({c: F.col(c).try_cast("double") for c in COORDINATES if c in routes.columns})
 
 
-def filter_routes(routes: DataFrame, executive: DataFrame,
-                  states: Sequence[str] | None = None) -> DataFrame:
+def filter_routes(routes: DataFrame, states: Sequence[str] | None = None) -> DataFrame:
     """Routes in the selected customer states (same selection as V1), with
     coordinates coerced to double."""
-    return coerce_coordinates(_select_states(routes, executive, states))
+    return coerce_coordinates(_select_states(routes, states))
 
 
 def scenario_kpis(filtered: DataFrame) -> DataFrame:
     """V2: one row of headline numbers for the filtered what-if lines."""
-    base = cents_sum("actual_freight")
-    opt = cents_sum("optimized_freight")
+    base = units_sum("actual_freight")
+    opt = units_sum("optimized_freight")
     agg = filtered.agg(
-        from_cents(base).alias("total_baseline_freight"),
-        from_cents(opt).alias("total_optimized_freight"),
-        from_cents(base - opt).alias("freight_savings"),
+        from_units(base).alias("total_baseline_freight"),
+        from_units(opt).alias("total_optimized_freight"),
+        from_units(base - opt).alias("freight_savings"),
         F.avg("days_saved").alias("avg_days_saved"),
         F.count(F.lit(1)).alias("n_lines"),
         count_if(F.col("actual_shipping_days") <= SLA_DAYS).alias("baseline_on_time"),
@@ -100,7 +98,8 @@ def lead_time_histogram(filtered: DataFrame, width: float = HISTOGRAM[0],
     """V3: transit-day histogram of the baseline and optimized series.
 
     Bin edges run from `lo` in steps of `width` until they reach `hi`; values
-    from `lo` up to (not including) the last edge are counted.
+    from `lo` up to (not including) the last edge are counted in bins, values below and
+    above in one row each.
     """
     return histogram(filtered, {"baseline": F.col("actual_shipping_days"),
                                 "optimized": F.col("optimized_shipping_days")}, width, lo, hi)
@@ -152,13 +151,13 @@ def corridor_top_k(filtered: DataFrame, routes: DataFrame, k: int = 5,
                  F.count(F.lit(1)).alias("n_lines"),
                  F.sum("days_saved").alias("days"),
                  F.count("days_saved").alias("days_n"),
-                 cents_sum("freight_dollars_saved").alias("saved"),
-                 cents_sum("actual_freight").alias("actual")))
+                 units_sum("freight_dollars_saved").alias("saved"),
+                 units_sum("actual_freight").alias("actual")))
     legs = (routes.filter(F.col("seller_state").isNotNull())
             .groupBy(*on, "seller_state").agg(F.count(F.lit(1)).alias("n_routes")))
     w = F.col("n_routes")
-    saved = from_cents(F.sum(F.col("saved") * w))
-    actual = from_cents(F.sum(F.col("actual") * w))
+    saved = from_units(F.sum(F.col("saved") * w))
+    actual = from_units(F.sum(F.col("actual") * w))
     corridors = lines.join(legs, on, "inner").groupBy("seller_state", "customer_state").agg(
         F.count_distinct("order_key").alias("total_orders"),
         F.bround(F.sum(F.col("days") * w).cast("double") / F.sum(F.col("days_n") * w), 1)
@@ -186,18 +185,20 @@ def corridor_display(corridors: DataFrame) -> DataFrame:
 
 
 def route_centroid(routes: DataFrame, default: tuple[float, float] = DEFAULT_CENTER,
-                   selected_states: int = DEFAULT_STATE_COUNT) -> DataFrame:
+                   selected_states: int | None = None) -> DataFrame:
     """V6: mean customer coordinates of the routes (6 decimals) and the map
     zoom (5 when more than 3 states are selected, else 6); the default centre
-    and zoom 5 when there is no route."""
+    and zoom 5 when there is no route.  Without `selected_states` the customer
+    states of the routes are counted."""
     def mean(c: str):
         return exact_ratio(F.sum(F.col(c).cast("decimal(20,10)")), F.count(c), 6)
     n = F.count(F.lit(1))
+    chosen = F.count_distinct("customer_state") if selected_states is None else F.lit(selected_states)
     return routes.agg(
         F.coalesce(mean("customer_lat"), F.lit(default[0])).alias("center_lat"),
         F.coalesce(mean("customer_lon"), F.lit(default[1])).alias("center_lon"),
         n.alias("n_routes"),
-        F.when((n > 0) & F.lit(selected_states <= 3), F.lit(6)).otherwise(F.lit(5)).alias("zoom"))
+        F.when((n > 0) & (chosen <= 3), F.lit(6)).otherwise(F.lit(5)).alias("zoom"))
 
 
 def route_legs(routes: DataFrame, mode: str = "both") -> DataFrame:

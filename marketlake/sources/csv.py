@@ -8,27 +8,40 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from marketlake.sources.catalog import SOURCES, bronze_schema
+from marketlake.sources.catalog import SOURCES
+
+
+#: Bronze column that keeps the raw text of a row with too few or too many fields; null for good rows.
+CORRUPT = "_corrupt_record"
 
 
 def read_bronze(spark: SparkSession, folder: str, name: str,
                 file_name: str | None = None, repartition: int | None = None) -> DataFrame:
-    """Read one landing CSV as its all-string bronze frame.
+    """Read one landing CSV as its all-string bronze frame, columns found by header name.
 
-    Plain CSVs are split by the reader.  Multi-line CSVs (reviews) cannot be
-    split inside a file, so they arrive one task per file; `repartition`
-    spreads them before the expensive typed work downstream.
+    A missing column is an error; further columns are left out.  Rows with too few or too many fields stay, with
+    their raw text in `_corrupt_record`.  Plain CSVs are split by the
+    reader.  Multi-line CSVs (reviews) cannot be split inside a file, so they arrive one task per
+    file; they are dealt anew over `repartition` partitions (the session's shuffle partitions if not given).
     """
     src = SOURCES[name]
-    reader = (spark.read.schema(bronze_schema(name))
-              .option("header", "true")
-              .option("mode", "PERMISSIVE"))
-    for key, value in src.options.items():
-        reader = reader.option(key, value)
-    df = reader.csv(f"{folder.rstrip('/')}/{file_name or src.file_name}")
-    if repartition:
-        df = df.repartition(repartition)
-    return df
+    path = f"{folder.rstrip('/')}/{file_name or src.file_name}"
+
+    def reader():
+        out = spark.read.option("header", "true").option("mode", "PERMISSIVE")
+        for key, value in src.options.items():
+            out = out.option(key, value)
+        return out
+
+    header = reader().csv(path).columns
+    if missing := [c for c in src.columns if c not in header]:
+        raise ValueError(f"{path}: no column {', '.join(missing)}")
+    schema = StructType([StructField(c, StringType()) for c in [*header, CORRUPT]])
+    df = (reader().schema(schema).option("enforceSchema", "false").option("columnNameOfCorruptRecord", CORRUPT)
+          .csv(path).select(*src.columns, CORRUPT))
+    if repartition is None and src.options.get("multiLine") == "true":
+        repartition = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(repartition) if repartition else df
 
 
 def read_bronze_all(spark: SparkSession, folder: str,

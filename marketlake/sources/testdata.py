@@ -67,7 +67,7 @@ def _plus_days(ts: Column, days: Column) -> Column:
 
 
 def _state(nation: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(s) for s in STATE_BY_NATION]), (nation % 5 + 1).cast("int"))
+    return F.element_at(F.array(*[F.lit(s) for s in STATE_BY_NATION]), (nation % len(STATE_BY_NATION) + 1).cast("int"))
 
 
 def _zip(nation: Column) -> Column:
@@ -248,7 +248,10 @@ def _reviews(orders: DataFrame, documents: DataFrame) -> DataFrame:
         value = F.lit(text).cast("string")
         msg = F.when(k % 8 == i, value) if msg is None else msg.when(k % 8 == i, value)
     msg = msg.otherwise(F.col("doc_text"))
-    main = reviewed.join(docs, "doc_id", "left").select(
+    # orders without a text have no key: they are no part of the join
+    matched = reviewed.filter(F.col("doc_id").isNotNull()).join(docs, "doc_id", "left").unionByName(
+        reviewed.filter(F.col("doc_id").isNull()).withColumn("doc_text", F.lit(None).cast("string")))
+    main = matched.select(
         F.concat(F.lit("rev-"), _s(k)).alias("review_id"),
         _s(k).alias("order_id"),
         F.when(k % 97 == 0, F.lit("n/a")).otherwise(_s(1 + (k % 16) % 5)).alias("review_score"),

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from marketlake.session import checkpoint_dir
 from marketlake.sources.catalog import SOURCES, bronze_schema
+from marketlake.sources.csv import CORRUPT
+from marketlake.sources.sinks import exists
 
 
 def land_new_files(spark: SparkSession, landing: str, bronze_dir: str, name: str,
@@ -18,13 +18,15 @@ def land_new_files(spark: SparkSession, landing: str, bronze_dir: str, name: str
     bronze folder; return the number of rows landed by this run.
 
     Each landed row carries `_source_file` (from the file metadata column) so
-    lineage back to the landing file is kept.  The stream checkpoint defaults
-    to a folder under the shared checkpoint root keyed by the target table, so
-    two landings never share progress.
+    lineage back to the landing file is kept.  The stream's progress stands beside the
+    target table by default, so every process that lands there goes on from it.  A file whose header
+    is not the declared one is an error.  A folder that `ingest_bronze` wrote is refused.
     """
     src = SOURCES[name]
-    reader = (spark.readStream.schema(bronze_schema(name))
-              .option("header", "true")
+    schema = StructType([*bronze_schema(name).fields, StructField(CORRUPT, StringType())])
+    reader = (spark.readStream.schema(schema)
+              .option("header", "true").option("enforceSchema", "false")
+              .option("columnNameOfCorruptRecord", CORRUPT)
               .option("pathGlobFilter", pattern or f"*{src.file_name}"))
     for key, value in src.options.items():
         reader = reader.option(key, value)
@@ -32,8 +34,11 @@ def land_new_files(spark: SparkSession, landing: str, bronze_dir: str, name: str
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = reader.csv(landing).withColumn("_source_file", F.col("_metadata.file_name"))
     target = f"{bronze_dir.rstrip('/')}/{name}"
-    key = hashlib.sha1(f"{landing}|{target}".encode()).hexdigest()[:16]
-    ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/marketlake-landing/{name}-{key}"
+    owned = exists(spark, f"{target}/_spark_metadata")
+    if not owned and exists(spark, target):
+        raise ValueError(f"{target} belongs to a full ingest")
+    before = spark.read.parquet(target).count() if owned else 0
+    ckpt = checkpoint or f"{bronze_dir.rstrip('/')}/_landing/{name}"
     query = (stream.writeStream.format("parquet")
              .option("checkpointLocation", ckpt)
              .option("path", target)
@@ -43,4 +48,5 @@ def land_new_files(spark: SparkSession, landing: str, bronze_dir: str, name: str
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
-    return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
+    # counted in the table: the query keeps only its last updates
+    return (spark.read.parquet(target).count() if exists(spark, f"{target}/_spark_metadata") else 0) - before
