@@ -37,7 +37,8 @@ def land_new_files(spark: SparkSession, landing: str, bronze_dir: str, name: str
     owned = exists(spark, f"{target}/_spark_metadata")
     if not owned and exists(spark, target):
         raise ValueError(f"{target} belongs to a full ingest")
-    before = spark.read.parquet(target).count() if owned else 0
+    landed = spark.read.schema(schema).parquet
+    before = landed(target).count() if owned else 0
     ckpt = checkpoint or f"{bronze_dir.rstrip('/')}/_landing/{name}"
     query = (stream.writeStream.format("parquet")
              .option("checkpointLocation", ckpt)
@@ -49,4 +50,4 @@ def land_new_files(spark: SparkSession, landing: str, bronze_dir: str, name: str
     if query.exception() is not None:
         raise query.exception()
     # counted in the table: the query keeps only its last updates
-    return (spark.read.parquet(target).count() if exists(spark, f"{target}/_spark_metadata") else 0) - before
+    return (landed(target).count() if exists(spark, f"{target}/_spark_metadata") else 0) - before

@@ -31,7 +31,8 @@ def test_histogram_bins(spark):
     rows = {(r.series, r.bin_index): r.n for r in scenario.lead_time_histogram(_exec(spark)).collect()}
     assert rows[("baseline", 6)] == 1                              # 10 days -> [9, 10.5)
     assert rows[("baseline", 26)] == 1                             # 40 days -> last bin [39, 40.5)
-    assert ("baseline", 33) not in rows                            # 50 days beyond the last edge
+    assert rows[("baseline", 27)] == 1                             # 50 days: the row beyond the last edge
+    assert sum(n for (series, _), n in rows.items() if series == "baseline") == 5
     assert rows[("optimized", 0)] == 1                             # 1 day
 
 
@@ -48,9 +49,9 @@ def test_corridor_top_k_and_centroid(spark):
     top = scenario.corridor_top_k(ex, routes, k=2).collect()
     assert [(r.seller_state, r.customer_state) for r in top] == [("MG", "RJ"), ("SP", "RJ")]
     assert top[0].freight_pct == 35.0
-    c = scenario.route_centroid(routes).first()
+    c = scenario.route_centroid(routes, selected_states=5).first()
     assert (c.center_lat, c.center_lon) == (-22.333333, -44.0)
-    e = scenario.route_centroid(routes.filter("false")).first()
+    e = scenario.route_centroid(routes.filter("false"), selected_states=5).first()
     assert (e.center_lat, e.center_lon, e.n_routes) == (-22.5, -45.0, 0)
 
 
@@ -101,3 +102,16 @@ def test_corridor_rewrite_equals_direct_merge(spark):
             WHERE r.seller_state IS NOT NULL AND e.customer_state IS NOT NULL GROUP BY 1, 2)
       ORDER BY n DESC, seller_state, customer_state""").fetchall()
     assert got == want
+
+
+def test_zoom_counts_the_states_of_the_routes(spark):
+    one = spark.createDataFrame([("SP", -23.0, -46.0)], "customer_state string, customer_lat double, customer_lon double")
+    assert scenario.route_centroid(one).first().zoom == 6
+    four = spark.createDataFrame([(s, -23.0, -46.0) for s in ("SP", "RJ", "MG", "BA")], "customer_state string, customer_lat double, customer_lon double")
+    assert scenario.route_centroid(four).first().zoom == 5
+
+
+def test_no_selection_means_all_states(spark):
+    ex = spark.createDataFrame([(f"S{i}", 3) for i in range(9)], "customer_state string, optimized_shipping_days int")
+    assert scenario.scenario_filter(ex).count() == 9
+    assert [r[0] for r in scenario.default_states(ex).collect()] == ["S0", "S1", "S2", "S3", "S4"]

@@ -42,3 +42,41 @@ def test_cli_land_with_file_pattern(spark, tmpdir_fresh):
         f.write("seller_id,seller_zip_code_prefix,seller_city,seller_state\ns9,09000,santo andre,SP\n")
     assert main(["land", "--landing", land, "--bronze", bronze, "--file", "sellers=vendors-*.csv"]) == 0
     assert spark.read.parquet(os.path.join(bronze, "sellers")).count() == 1
+
+
+def _land(folder, name, text):
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, name), "w") as f:
+        f.write(text)
+
+
+HEADER = "seller_id,seller_zip_code_prefix,seller_city,seller_state\n"
+
+
+def test_rows_are_counted_beyond_the_kept_updates(spark, tmpdir_fresh):
+    land, bronze = os.path.join(tmpdir_fresh, "landing"), os.path.join(tmpdir_fresh, "bronze")
+    for i in range(6):
+        _land(land, f"{i}-sellers.csv", HEADER + f"s{i},1,a,SP\n")
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    spark.conf.set(key, "2")
+    try:
+        assert land_new_files(spark, land, bronze, "sellers", max_files_per_trigger=1) == 6
+    finally:
+        spark.conf.unset(key)
+    assert os.path.isdir(os.path.join(bronze, "_landing", "sellers"))    # progress beside the table
+
+
+def test_ingest_and_land_do_not_share_a_folder(spark, tmpdir_fresh):
+    import pytest
+
+    from marketlake.sources.sinks import ingest_bronze
+    land, bronze = os.path.join(tmpdir_fresh, "landing"), os.path.join(tmpdir_fresh, "bronze")
+    _land(land, "sellers.csv", HEADER + "s1,1,a,SP\n")
+    assert land_new_files(spark, land, bronze, "sellers") == 1
+    row = ingest_bronze(spark, land, bronze, fmt="parquet").filter("source = 'sellers'").first()
+    assert row.status == "failed" and "incremental" in row.error
+    assert spark.read.parquet(os.path.join(bronze, "sellers")).count() == 1
+    other = os.path.join(tmpdir_fresh, "other")
+    assert ingest_bronze(spark, land, other, fmt="parquet").filter("source = 'sellers'").first().status == "succeeded"
+    with pytest.raises(ValueError, match="full ingest"):
+        land_new_files(spark, land, other, "sellers")
