@@ -41,10 +41,11 @@ def duck():
     return con
 
 
+from marketlake.plans.registry import QUERIES
 from oracle_sql import NO_ORACLE
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - set(NO_ORACLE)))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(NO_ORACLE)))
 def test_query_matches_oracle(spark, duck, name):
     sql = E.oracle_sql()
     assert name in sql

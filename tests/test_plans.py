@@ -7,14 +7,14 @@ import __spark_entry__ as E
 from conftest import SF_SMOKE
 
 from marketlake.plans import scenario
-from marketlake.plans.registry import models
+from marketlake.plans.registry import QUERIES, models
 
 
 def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - {"bronze_manifest"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"bronze_manifest"}))
 def test_no_cartesian_or_nested_loop_join(spark, name):
     plan = _plan(E.queries()[name](spark, SF_SMOKE))
     assert "CartesianProduct" not in plan
