@@ -180,9 +180,11 @@ def fitted(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Trees:
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int32()), pa.array(
                 [statistics(x)[1] for x in byte_values(batch.column(1))], pa.list_(pa.float64()))], ["quality", "x"])
 
-    got = sorted((r["quality"], r["x"]) for r in rows.mapInArrow(run, "quality int, x array<double>").collect())
-    x = np.array([r[1] for r in got]).reshape(len(got), len(FEATURES))
-    return fit(x, np.array([r[0] for r in got], float), tuple(f in FALLING for f in FEATURES))
+    got = rows.mapInArrow(run, "quality int, x array<double>").toArrow()
+    y = got["quality"].to_numpy().astype(float)
+    x = got["x"].combine_chunks().flatten().to_numpy().reshape(len(y), len(FEATURES))
+    order = np.lexsort([*x.T[::-1], y])  # the same trees whatever order the rows came in
+    return fit(x[order], y[order], tuple(f in FALLING for f in FEATURES))
 
 
 def judged(docs: DataFrame, trees: Trees, threshold: float = THRESHOLD) -> DataFrame:

@@ -31,7 +31,6 @@ from array import array
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -297,14 +296,14 @@ def _long_ids(rows: DataFrame, encoder, chunk_chars: int) -> DataFrame:
                 pa.array([[[a, *sorted(to)] for a, to in sorted(m.items())] for m in found], pa.list_(pa.list_(pa.int32())))],
                 ["digest", "no", "matrix"])
 
-    def combine(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("no")
-        path = borders([{int(r[0]): {int(x) for x in r[1:]} for r in m} for m in pdf["matrix"]])
-        return pd.DataFrame({"digest": pdf["digest"].to_numpy(), "no": pdf["no"].to_numpy(),
-                             "enters": [a for a, _ in path], "leaves": [b for _, b in path]})
+    def combine(group: pa.Table) -> pa.Table:
+        group = group.sort_by("no")
+        path = borders([{r[0]: set(r[1:]) for r in m} for m in group["matrix"].to_pylist()])
+        return pa.table({"digest": group["digest"], "no": group["no"], "enters": pa.array([a for a, _ in path], pa.int32()),
+                         "leaves": pa.array([b for _, b in path], pa.int32())})
 
     states = chunks.mapInArrow(transfers, "digest string, no long, matrix array<array<int>>").groupBy(
-        "digest").applyInPandas(combine, "digest string, no long, enters int, leaves int")
+        "digest").applyInArrow(combine, "digest string, no long, enters int, leaves int")
 
     def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
