@@ -135,13 +135,17 @@ def near_groups(prints: DataFrame) -> DataFrame:
 def links_between(groups: DataFrame, max_bits: int) -> DataFrame:
     """(a, b): pairs of different `grp` values of `groups` (fp, grp) with fingerprints within `max_bits`."""
     parts = [(sum(1 << i for i in bits), bits, radius) for bits, radius in _segments(list(range(64)), max_bits)]
-    entry = lambda no, mask, flip=0: F.expr(
-        f"struct({no} as seg, (fp & {_signed(mask)}L) ^ {_signed(flip)}L as key)")
-    stored = groups.select("fp", "grp", F.explode(F.array(
-        *[entry(no, mask) for no, (mask, _, _) in enumerate(parts)])).alias("at")).select("fp", "grp", "at.*")
-    probes = spread(groups, "fp").select("fp", "grp", F.explode(F.array(
-        *[entry(no, mask, flip) for no, (mask, bits, radius) in enumerate(parts)
-          for flip in [0, *[1 << i for i in bits if radius]]])).alias("at")).select("fp", "grp", "at.*")
+    def keyed(rows: DataFrame, entries: list[tuple[int, int, int]]) -> DataFrame:
+        """(fp, grp, seg, key) of each row for each (segment, its mask, bits to flip); the list is a literal, not code."""
+        listed = F.array(*[F.struct(F.lit(no).alias("seg"), F.lit(_signed(mask)).cast("long").alias("mask"),
+                                    F.lit(_signed(flip)).cast("long").alias("flip")) for no, mask, flip in entries])
+        return rows.select("fp", "grp", F.explode(listed).alias("e")).select(
+            "fp", "grp", F.col("e.seg").alias("seg"),
+            F.col("fp").bitwiseAND(F.col("e.mask")).bitwiseXOR(F.col("e.flip")).alias("key"))
+
+    stored = keyed(groups, [(no, mask, 0) for no, (mask, _, _) in enumerate(parts)])
+    probes = keyed(spread(groups, "fp"), [(no, mask, flip) for no, (mask, bits, radius) in enumerate(parts)
+                                          for flip in [0, *[1 << i for i in bits if radius]]])
     where = ["seg", "key"]
     main = stored.groupBy(*where, "grp").agg(F.count("*").alias("n")).groupBy(*where).agg(
         F.max_by("grp", F.struct("n", "grp")).alias("main"), F.count("*").alias("groups"))
