@@ -196,27 +196,28 @@ def near_duplicate_query(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """`docs` with one document of each near-duplicate group: that of the smallest doc_id.
 
-    Of several rows with that id one stays.  Documents without an id stay only
-    in groups where no document has one, again one row for each group.
+    Of several rows of the group with that id one stays, of the smallest fingerprint.  Documents without an id
+    stay only in groups where no document has one, again one row for each group.  An id that stands on
+    several rows says nothing about the group: such rows (and those without id) are found by id and fingerprint.
     """
     prints = near_duplicates(docs, shingle, max_bits)
+    totals = prints.groupBy("doc_id").agg(F.count("*").alias("rows")).withColumnRenamed("doc_id", "id")
     heads = checkpointed(prints.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-                         .groupBy("grp", "doc_id").agg(F.count("*").alias("rows")))
+                         .groupBy("grp", "doc_id").agg(F.min("fp").alias("head_fp"))
+                         .join(totals, F.col("doc_id").eqNullSafe(F.col("id")))
+                         .select("grp", F.col("doc_id").alias("head"), "head_fp", "rows"))
     columns = docs.columns
     own = [f"c{i}" for i in range(len(columns))]
     by = positional(docs)
     key = by[own[columns.index("doc_id")]]
-    alone = heads.where((F.col("rows") == 1) & F.col("doc_id").isNotNull())
-    repeated = heads.where((F.col("rows") > 1) & F.col("doc_id").isNotNull())
-    one = by.join(alone.select(F.col("doc_id").alias("head")), key == F.col("head"), "left_semi")
-    some = by.join(repeated.select(F.col("doc_id").alias("head")), key == F.col("head"), "left_semi").dropDuplicates(
-        [own[columns.index("doc_id")]])
-    bare = by.where(key.isNull())
-    marked = _with_print(bare, own[columns.index("text")], shingle)
-    nameless = heads.where(F.col("doc_id").isNull()).select("grp").join(
-        prints.where(F.col("doc_id").isNull()).select("fp", "grp").distinct(), "grp")
-    none = marked.join(nameless, "fp").dropDuplicates(["grp"]).select(*own)
-    return one.unionByName(some).unionByName(none).toDF(*columns)
+    alone = heads.where((F.col("rows") == 1) & F.col("head").isNotNull())
+    shared = heads.where((F.col("rows") > 1) | F.col("head").isNull())
+    one = by.join(alone.select("head"), key == F.col("head"), "left_semi")
+    unclear = by.join(shared.select("head").distinct(), key == F.col("head"), "left_semi").unionByName(by.where(key.isNull()))
+    marked = _with_print(unclear, own[columns.index("text")], shingle)
+    some = marked.join(shared, marked[own[columns.index("doc_id")]].eqNullSafe(F.col("head"))
+                       & (F.col("fp") == F.col("head_fp"))).dropDuplicates(["grp"]).select(*own)
+    return one.unionByName(some).toDF(*columns)
 
 
 def _with_print(rows: DataFrame, text: str, shingle: int) -> DataFrame:

@@ -99,3 +99,12 @@ def test_keep_one(docs, sample):
     assert kept.columns == docs([]).columns
     assert sorted(((r[0], r[1]) for r in kept.collect()), key=str) == sorted(
         [(3, text), (9, None), (None, "alone here it is"), (11, "some other words")], key=str)
+
+
+def test_keep_one_when_an_id_has_several_texts(docs, sample):
+    texts = [t for _, t in sample if t and len(t) > 300]
+    (a, b, c, d, e, f), near = texts[:6], texts[4].replace(" ", "  ")  # the same fingerprint, another text
+    assert len(set(brute_components([brute_print(t) for t in (a, b, c, d, e, f)], 4))) == 6
+    rows = [(5, a), (5, a), (5, b), (5, b), (None, b), (6, c), (6, c), (6, d), (7, e), (8, near), (8, f)]
+    got = [(r[0], r[1]) for r in simhash.keep_one(docs(rows)).collect()]
+    assert sorted(got) == sorted([(5, a), (5, b), (6, c), (6, d), (7, e), (8, f)])
