@@ -141,3 +141,31 @@ def test_without_rows(docs):
     held = next(d for d in range(50) if zlib.crc32(str(d).encode()) % 7 == 2)
     r = ctw.scoring_query(docs([(held, "ab")])).first()
     assert r.held_out and r.n_known == 0 and r.base_score == 0 and math.isclose(r.score, -24 * math.log10(2), rel_tol=1e-5)
+
+
+def test_every_context_counts(docs, sample, monkeypatch):
+    """Scores of the whole query against the recursion and the model in memory, most positions by the join."""
+    rows = [(d, (t or "")[:120]) for d, t in sample[:30]] + [(4001, "abracadabra"), (4002, "abab"), (4003, None)]
+    held = lambda d: zlib.crc32(str(d).encode()) % 7 == 2
+    training = [(t or "").encode().lower() for d, t in rows if not held(d)]
+    want = ctw.Model(levels(training, ctw.DEPTH)).score([(t or "").encode().lower() for _, t in rows])
+    monkeypatch.setattr(ctw, "FREQUENT_GRAMS", 200)
+    monkeypatch.setattr(ctw, "CHUNK", 100)
+    got = {r.doc_id: r for r in ctw.scoring_query(docs(rows)).collect()}
+    assert any(held(d) for d, _ in rows)
+    for (d, t), w in zip(rows, want):
+        assert math.isclose(got[d].score, w, rel_tol=1e-5)
+        assert math.isclose(got[d].bits_per_byte, -got[d].score / math.log10(2) / (len((t or "").encode()) + 1), rel_tol=1e-9)
+    for d, t in [rows[0], *[r for r in rows if held(r[0])][:1]]:
+        assert math.isclose(got[d].score, brute_scores(training, (t or "").encode().lower(), ctw.DEPTH), rel_tol=1e-5)
+
+
+def test_frequent_share_of_a_large_table_leaves_no_context_out(spark, monkeypatch):
+    """A context seen once in 100,000 places keeps its own estimate."""
+    texts = ["ab" * 50_000, "qzxwvk"]
+    rows = spark.createDataFrame([(False, t) for t in texts], "held_out boolean, text string")
+    scores = {r.gram: r.score for r in ctw.gram_scores(ctw.gram_counts(rows)).collect()}
+    want = ctw.Model(levels([t.encode() for t in texts], ctw.DEPTH))
+    assert math.isclose(scores[int.from_bytes(b"qzxwvk", "big")], want.score([b"qzxwvk"])[0] - sum(
+        scores[int.from_bytes((b"\xff" * 5 + b"qzxwvk\xff")[i:i + 6], "big")] for i in (0, 1, 2, 3, 4, 6)), rel_tol=1e-4)
+    assert scores[int.from_bytes(b"qzxwvk", "big")] > -0.8
