@@ -11,12 +11,14 @@ that a source with a third of all rows is no single task.  The stream is cut int
 words, the last one shorter.
 
 Draws.  A source gives target / size whole passes, and then a part of one more.  Slot
-n of a pass takes the block at index P(n), P being the source's own pseudorandom permutation of
-its full blocks (swap-or-not, exact for any number of blocks); the short block comes last, and the last slot of
-the last pass is cut so that the words reach the target to the word.  Each slot
+n of a pass takes the block at index P(n), P being the pass's own pseudorandom permutation of
+the source's full blocks (swap-or-not, exact for any number of blocks); the short block comes last, and the last slot of
+the last pass is cut so that the words reach the target to the word.  Each slot of every pass
 falls on one of `shards` output shards by its hash, so a shard's counts are a multinomial
 draw given the sources' totals: the totals would otherwise miss the targets by chance, and
-a capped source would be read a third time.  Slots join blocks by source and index.
+a capped source would be read a third time.  Slots join blocks by source and index; what each document
+is taken is summed from that join.  The query's column `slots` has the content of every slot: the parts (start, words) of each
+document with pass, slot and shard.
 
 No document is taken more often than its source has passes, whole or part (`most` = 2).
 All draws are hashes of the seed: reruns agree.  Null texts and texts without words have
@@ -100,52 +102,63 @@ def offsets(sized: DataFrame, buckets: int = BUCKETS) -> tuple[DataFrame, DataFr
     return placed, sums.groupBy("source").agg(F.sum("words").alias("source_size"))
 
 
-def slots(plan: DataFrame, block: int = BLOCK, shards: int = SHARDS) -> DataFrame:
-    """(source, slot, index, words, shard): the blocks of the part pass of each source, and how much of each.
+def every_slot(plan: DataFrame, block: int = BLOCK, shards: int = SHARDS) -> DataFrame:
+    """(source, pass, complete, slot, index, words, shard): the blocks of every pass of each source, and how much of each.
 
-    `plan` has source and source_size, and target as whole words.
+    `plan` has source and source_size, and target as whole words; the last pass may be a part (not `complete`).
     """
-    part = plan.withColumn("part", F.when(F.col("source_size") > 0, F.col("target") % F.col("source_size"))).where("part > 0").withColumns({
-        "full": F.floor(F.col("source_size") / block).cast("long"),
-        "key": F.xxhash64("source", F.col("source").isNull()),
-        "slots": F.ceil(F.col("part") / block).cast("long")})
+    whole = plan.where("source_size > 0").withColumn("whole", F.floor(F.col("target") / F.col("source_size")).cast("long"))
+    named = F.xxhash64("source", F.col("source").isNull())
+    part = whole.withColumn("pass", F.explode(F.sequence(F.lit(0).cast("long"), "whole"))).withColumn(
+        "complete", F.col("pass") < F.col("whole")).withColumn(
+        "part", F.when(F.col("complete"), F.col("source_size")).otherwise(F.col("target") % F.col("source_size"))).where("part > 0").withColumns({
+            "full": F.floor(F.col("source_size") / block).cast("long"),
+            "key": F.when(F.col("complete"), F.xxhash64(named, "pass")).otherwise(named),
+            "slots": F.ceil(F.col("part") / block).cast("long")})
     runs = spread(part.withColumn("run", F.explode(F.sequence(
-        F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / RUN).cast("long")))), "source", "run")
+        F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / RUN).cast("long")))), "source", "pass", "run")
     every = runs.withColumn("slot", F.explode(F.sequence(
         F.col("run") * RUN, F.least(F.col("run") * RUN + RUN, F.col("slots")) - 1)))
     return every.select(
-        "source", "slot",
+        "source", "pass", "complete", "slot",
         F.when(F.col("slot") < F.col("full"), permuted("slot", "full", "key")).otherwise(F.col("full")).alias("index"),
         F.least(F.lit(block).cast("long"), F.col("part") - F.col("slot") * block).alias("words"),
         F.pmod(F.xxhash64("key", "slot", F.lit(SEED)), F.lit(shards)).alias("shard"))
 
 
+def slots(plan: DataFrame, block: int = BLOCK, shards: int = SHARDS) -> DataFrame:
+    """(source, slot, index, words, shard): the slots of each source's part pass alone."""
+    return every_slot(plan, block, shards).where("not complete").drop("pass", "complete")
+
+
 def mix(sized: DataFrame, block: int = BLOCK, share: float = 1.5, most: float = 2.0,
         weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
-    """Each row of `sized` (doc_id, source, size, tie) with source_size, target, passes and pieces.
+    """Each row of `sized` (doc_id, source, size, tie) with source_size, target, slots, passes and pieces.
 
-    `passes` counts the whole passes over the document; `pieces` are the parts (start, words,
-    shard) of the document that the last, partial pass takes, by their place in the document.
+    `slots` are the parts (pass, start, words, shard, slot, complete) of the document that the slots of all
+    passes take, by pass and place in the document.  From them, `passes` counts the whole passes over the
+    document, and `pieces` are the parts (start, words, shard) that the last, partial pass takes.
     """
     placed, sums = offsets(sized)
     plan = checkpointed(targets(sums, share, most, weights))
-    whole = plan.withColumn("target", F.floor(F.col("target") + 0.5).cast("long"))
-    drawn = slots(whole, block)
+    drawn = every_slot(plan.withColumn("target", F.floor(F.col("target") + 0.5).cast("long")), block)
     word = placed.where("size > 0").withColumn("index", F.explode(F.sequence(
         F.floor(F.col("offset") / block).cast("long"), F.floor((F.col("offset") + F.col("size") - 1) / block).cast("long"))))
     start = F.greatest(F.col("offset"), F.col("index") * block)
     end = F.least(F.col("offset") + F.col("size"), F.col("index") * block + F.col("words"))
     taken = word.join(drawn.withColumnsRenamed({"source": "s", "index": "i"}),
                       F.col("source").eqNullSafe(F.col("s")) & (F.col("index") == F.col("i"))).where(end > start)
-    pieces = taken.groupBy("source", "offset").agg(F.sort_array(F.collect_list(F.struct(
-        (start - F.col("offset")).alias("start"), (end - start).alias("words"), F.col("shard").alias("shard")))).alias("pieces"))
+    parts = taken.groupBy("source", "offset").agg(F.sort_array(F.collect_list(F.struct(
+        "pass", (start - F.col("offset")).alias("start"), (end - start).alias("words"), "shard", "slot", "complete"))).alias("slots"))
     found = placed.where("size > 0").join(
-        pieces.withColumnsRenamed({"source": "s", "offset": "o"}),
+        parts.withColumnsRenamed({"source": "s", "offset": "o"}),
         F.col("source").eqNullSafe(F.col("s")) & (F.col("offset") == F.col("o")), "left").drop("s", "o")
-    none = placed.where("size = 0").withColumn("pieces", F.lit(None).cast(found.schema["pieces"].dataType))
-    bounds = plan.select(F.col("source").alias("s"), "source_size", "target", F.when(
-        F.col("source_size") > 0, F.floor(F.floor(F.col("target") + 0.5) / F.col("source_size"))).otherwise(0).cast("long").alias("passes"))
-    return found.unionByName(none).join(bounds, F.col("source").eqNullSafe(F.col("s"))).drop("s", "offset")
+    none = placed.where("size = 0").withColumn("slots", F.lit(None).cast(found.schema["slots"].dataType))
+    both = found.unionByName(none).withColumn("slots", F.expr("coalesce(slots, array())")).withColumns({
+        "passes": F.expr("if(size > 0, aggregate(filter(slots, p -> p.complete), 0L, (n, p) -> n + p.words) div greatest(size, 1L), 0L)"),
+        "pieces": F.expr("transform(filter(slots, p -> not p.complete), p -> struct(p.start, p.words, p.shard))")})
+    return both.join(plan.select(F.col("source").alias("s"), "source_size", "target"),
+                     F.col("source").eqNullSafe(F.col("s"))).drop("s", "offset")
 
 
 def sizes(docs: DataFrame) -> DataFrame:
@@ -155,10 +168,10 @@ def sizes(docs: DataFrame) -> DataFrame:
 
 
 def mixing_query(docs: DataFrame) -> DataFrame:
-    """The contract's columns for `op7_mixing`."""
-    partial = F.expr("aggregate(coalesce(pieces, array()), 0L, (n, p) -> n + p.words)")
+    """The contract's columns for `op7_mixing`, and the document's parts in the slots of all passes."""
     return mix(sizes(docs)).select(
-        "doc_id", "size", "source_size", "target", (F.col("passes") * F.col("size") + partial).alias("taken"))
+        "doc_id", "size", "source_size", "target", F.expr("aggregate(slots, 0L, (n, p) -> n + p.words)").alias("taken"),
+        F.expr("transform(slots, p -> struct(p.pass, p.slot, p.shard, p.start, p.words))").alias("slots"))
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:

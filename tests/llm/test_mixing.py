@@ -99,3 +99,23 @@ def test_mixed_documents(docs):
 def test_native(docs):
     plan = mixing.mixing_query(docs([(1, "a b")]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
+
+
+def test_slots_of_every_pass(docs):
+    """All words of all passes lie in slots: each slot full, each pass a permutation of its source's words."""
+    rows = [(i, " ".join(f"w{k}" for k in range(90 + 37 * (i % 5))), "en", "abc"[i % 3]) for i in range(24)]
+    source = {r[0]: r[3] for r in rows}
+    passes, slots, shards = {}, {}, set()
+    for r in mixing.mixing_query(docs(rows)).collect():
+        assert sum(p.words for p in r.slots) == r.taken
+        for p in r.slots:
+            key = (source[r.doc_id], p["pass"])
+            passes.setdefault(key, []).extend((r.doc_id, p.start + k) for k in range(p.words))
+            slots[(*key, p.slot)] = slots.get((*key, p.slot), 0) + p.words
+            assert slots[(*key, p.slot)] <= mixing.BLOCK
+            shards.add(((*key, p.slot), p.shard))
+    words = {s: sum(90 + 37 * (i % 5) for i in source if source[i] == s) for s in "abc"}
+    assert len(shards) == len(slots) and len({s for _, s in shards}) > 1
+    assert all(len(set(taken)) == len(taken) for taken in passes.values())
+    assert all(len(passes[s, n]) == words[s] for s, n in passes if (s, n + 1) in passes)
+    assert any((s, 1) in passes for s in "abc")
