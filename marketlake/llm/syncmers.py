@@ -4,9 +4,10 @@ A text is cut into tokens: its words, longer ones in pieces of 24 characters.  O
 each window of K tokens the hashes of its inner windows of S tokens are compared; the window
 is an anchor (a closed syncmer) if the smallest stands at its left or right
 edge.  Whether a window is an anchor depends on that window alone, so a passage
-has the same anchors wherever it stands.  The fingerprint holds the `SKETCH` smallest distinct
-hashes of a text's anchors (all, if there are fewer), a bottom-k sketch: the likeness of
-two fingerprints is the share of the smallest hashes of their union that both have, an
+has the same anchors wherever it stands.  The fingerprint holds every anchor of the text with the place of its
+first token, in order; `placed` matches two fingerprints by anchor and difference of places.  Beside it
+stands a bottom-k sketch, the `SKETCH` smallest distinct hashes of the anchors (all, if there are fewer): the likeness of
+two sketches is the share of the smallest hashes of their union that both have, an
 unbiased estimate of the Jaccard likeness of the anchor sets, and exact for short texts.
 
 Null is the empty text.  A text without words has an empty fingerprint; one without
@@ -38,8 +39,8 @@ def _hashes(text: str) -> Column:
     return F.transform(F.regexp_extract_all(F.col(text), F.lit(TOKEN), F.lit(1)), lambda x: F.xxhash64(x))
 
 
-def with_anchors(df: DataFrame, text: str, out: str, k: int = K, s: int = S, sketch: int = SKETCH) -> DataFrame:
-    """`df` and column `out`: the fingerprint of column `text` as a sorted array of 31-bit hashes."""
+def with_places(df: DataFrame, text: str, out: str, k: int = K, s: int = S) -> DataFrame:
+    """`df` and column `out`: all anchors of column `text` in order, each a long: 31-bit hash << 32 | place of its first token."""
     h, g = f"{out}_h", f"{out}_g"
     inner = k - s + 1
     edge = " least(" + ", ".join(f"{g}[i + {j}]" for j in (0, inner - 1)) + ")"
@@ -51,20 +52,43 @@ def with_anchors(df: DataFrame, text: str, out: str, k: int = K, s: int = S, ske
     df = df.withColumn(out, F.expr(f"""
         if(size({h}) < {k}, array(),
            transform(filter(sequence(0, size({h}) - {k}), i -> {edge} <= {middle}),
-                     i -> cast(shiftrightunsigned(xxhash64({window}), 33) as int)))"""))
+                     i -> shiftleft(shiftrightunsigned(xxhash64({window}), 33), 32) | bigint(i)))"""))
     return df.withColumn(out, F.expr(f"""
-        case when size({out}) > 0 then slice(sort_array(array_distinct({out})), 1, {sketch})
-             else slice(sort_array(array_distinct(transform({h}, x -> cast(shiftrightunsigned(x, 33) as int)))), 1, {sketch})
-             end""")).drop(h, g)
+        case when size({out}) > 0 then {out}
+             else transform({h}, (x, i) -> shiftleft(shiftrightunsigned(x, 33), 32) | bigint(i)) end""")).drop(h, g)
+
+
+def with_anchors(df: DataFrame, text: str, out: str, k: int = K, s: int = S, sketch: int = SKETCH) -> DataFrame:
+    """`df` and column `out`: the sketch of column `text` as a sorted array of 31-bit hashes."""
+    return with_sketch(with_places(df, text, out, k, s), out, out, sketch)
+
+
+def with_sketch(df: DataFrame, places: str, out: str, sketch: int = SKETCH) -> DataFrame:
+    """`df` and column `out`: the sketch of the anchors in column `places`."""
+    return df.withColumn(out, F.expr(
+        f"slice(sort_array(array_distinct(transform({places}, p -> int(shiftright(p, 32))))), 1, {sketch})"))
+
+
+def placed(pairs: DataFrame, key: str, a: str, b: str) -> DataFrame:
+    """(key, shift, anchors, first, last): how many anchors of `a` stand in `b` just `shift` tokens further on.
+
+    Each row of `pairs` has a key of its own and two arrays of anchors and places.  All anchors and all differences
+    count; first and last are the outermost matching places in `a`.
+    """
+    sides = [pairs.select(key, F.explode(c).alias("p")).select(
+        key, F.shiftright("p", 32).alias("hash"), F.col("p").bitwiseAND(F.lit((1 << 32) - 1)).alias(f"at_{n}"))
+        for n, c in (("a", a), ("b", b))]
+    return sides[0].join(sides[1], [key, "hash"]).groupBy(key, (F.col("at_b") - F.col("at_a")).alias("shift")).agg(
+        F.count("*").alias("anchors"), F.min("at_a").alias("first"), F.max("at_a").alias("last"))
 
 
-def as_text(anchors: Column) -> Column:
-    """The fingerprint as lowercase hex, eight digits for each hash."""
-    return F.array_join(F.transform(anchors, lambda x: F.lower(F.lpad(F.hex(x), 8, "0"))), "")
+def as_text(anchors: Column, digits: int = 16) -> Column:
+    """Anchors as lowercase hex: eight digits of hash and eight of place, or (8) those of a sketch's hash."""
+    return F.lower(F.array_join(F.transform(anchors, lambda x: F.lpad(F.hex(x), digits, "0")), ""))
 
 
 def likeness(a: str, b: str, sketch: int = SKETCH) -> Column:
-    """Likeness (0 to 1) of two fingerprint columns."""
+    """Likeness (0 to 1) of two sketch columns."""
     union = f"slice(sort_array(array_union({a}, {b})), 1, {sketch})"
     return F.expr(f"""
         case when {a} = {b} then 1.0D
@@ -132,7 +156,10 @@ def fingerprint_query(docs: DataFrame) -> DataFrame:
         "swap", F.floor(F.col("n_chars") / 3).cast("int")).withColumn(
         "edited", F.concat(F.expr("left(text, int(n_chars) - swap)"), F.expr("left(next.text, swap)"))).withColumn(
         "next_anchors", F.col("next.anchors"))
-    return with_anchors(edited, "edited", "edited_anchors").select(
+    # places are made from the text again: they need not go through the shuffle
+    both = with_places(with_places(edited, "text", "places"), "edited", "edited_places")
+    return with_sketch(both, "edited_places", "edited_anchors").select(
         "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        as_text(F.col("anchors")).alias("fingerprint"), as_text(F.col("edited_anchors")).alias("edited_fingerprint"),
-        likeness("anchors", "edited_anchors").alias("near_edited"), likeness("anchors", "next_anchors").alias("near_next"))
+        as_text(F.col("places")).alias("fingerprint"), as_text(F.col("edited_places")).alias("edited_fingerprint"),
+        likeness("anchors", "edited_anchors").alias("near_edited"), likeness("anchors", "next_anchors").alias("near_next"),
+        as_text(F.col("anchors"), 8).alias("sketch"))

@@ -55,3 +55,20 @@ def test_anchors_do_not_depend_on_context(spark, shift):
 def test_native(docs):
     plan = syncmers.fingerprint_query(docs([(1, "a b")]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
+
+
+def test_shared_passage_of_long_texts_is_placed(spark, docs):
+    """50 words at places 2,000 and 700 of two long texts: all their anchors are in the fingerprints, at their places."""
+    passage = [f"p{i}" for i in range(50)]
+    a, b = [f"a{i}" for i in range(4000)], [f"b{i}" for i in range(4000)]
+    a[2000:2050], b[700:750] = passage, passage
+    rows = [(1, " ".join(a)), (2, " ".join(b))]
+    prints = {r.doc_id: r.fingerprint for r in syncmers.fingerprint_query(docs(rows)).collect()}
+    places = {d: [int(f[i:i + 16], 16) for i in range(0, len(f), 16)] for d, f in prints.items()}
+    alone = [r >> 32 for r in syncmers.with_places(spark.createDataFrame([(" ".join(passage),)], "t string"), "t", "p").first().p]
+    assert len(alone) > 10 and len(places[1]) > 1000
+    for d, at in ((1, 2000), (2, 700)):
+        assert [p >> 32 for p in places[d] if at <= p & 0xFFFFFFFF <= at + 45] == alone
+    pairs = spark.createDataFrame([(7, places[1], places[2])], "k long, a array<long>, b array<long>")
+    found = {r["shift"]: r for r in syncmers.placed(pairs, "k", "a", "b").collect()}
+    assert found[-1300].anchors == len(alone) and 2000 <= found[-1300]["first"] <= found[-1300]["last"] <= 2045
