@@ -44,3 +44,10 @@ def test_edges(spark, docs):
     one = spark.createDataFrame([(3, 0, 0), (3, None, 0), (None, 1, 0), (2, 1, 0)], "doc_id long, quality int, toxic int")
     assert nb.classifier_query(docs(rows), one).count() == 5
     assert nb.classifier_query(docs([]), one).count() == 0
+
+
+def test_a_repeated_id_is_fitted_once(spark, docs, sample, monkeypatch):
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    table = docs([(1, sample[k % 3][1]) for k in range(60)] + [(2, sample[5][1])])
+    monkeypatch.setattr(nb, "Space", lambda rows, quality: (len(rows), quality.tolist()))
+    assert nb.fitted(table, labels) == (2, [1.0, 0.0])

@@ -69,3 +69,10 @@ def test_query(spark, docs):
     kept = q.keep_good(docs(rows), q.fitted(docs(rows), none))
     assert kept.columns == docs([]).columns and [r[0] for r in kept.collect()] == [1]
     assert q.quality_query(docs([]), none).count() == 0
+
+
+def test_a_repeated_id_is_fitted_once(spark, docs, sample, monkeypatch):
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    table = docs([(1, sample[k % 3][1]) for k in range(60)] + [(2, sample[5][1])])
+    monkeypatch.setattr(q, "fit", lambda x, y, falling: (len(x), y.tolist()))
+    assert q.fitted(table, labels) == (2, [0.0, 1.0])
