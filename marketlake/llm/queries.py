@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlake.llm import chat, ctw, langid, mixing, neighbours, quality_rules, secrets, sentencepiece_scan, simhash, syncmers
+from marketlake.llm import (
+    chat, ctw, langid, mixing, neighbours, quality_rules, secrets, sentencepiece_scan, simhash, syncmers,
+    token_files,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +27,7 @@ QUERIES = {
     "op9_quality_classifier": lambda spark, d: neighbours.classifier_query(
         _table(spark, d, "documents"), _table(spark, d, "labels")),
     "op10_language_id": lambda spark, d: langid.language_query(_table(spark, d, "documents")),
+    "op11_token_files": lambda spark, d: token_files.token_file_query(_table(spark, d, "documents")),
 }
 
 ORACLE_SQL: dict[str, str] = {"op6_chat_formatting": chat.CHAT_SQL}
