@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.llm.common import pick, prepare_python
-from marketlake.llm.units import Pool, Store, cuts, encode_units, pieces, text_buffers
+from marketlake.llm.units import Pool, Store, cuts, encode_units, gathered, pieces, text_buffers
 from marketlake.session import checkpoint_dir
 
 TOKENIZER_FILE = "/opt/tokenizers/byte_bpe_50k.json"
@@ -114,9 +114,7 @@ def encode_ordered(docs: DataFrame, tokenizer_file: str = TOKENIZER_FILE, end_id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before, encoder = 0, _unit_ids(content.value)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in gathered(batches):
             flat, sizes = encoder.encode(batch.column(1))
             ends = np.cumsum(sizes + 1)
             ids = np.full(ends[-1], end_id, np.int32)
