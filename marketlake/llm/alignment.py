@@ -30,12 +30,13 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.llm.common import pick, prepare_python
 from marketlake.llm.token_files import TOKENIZER_FILE, ByteTokenizer
-from marketlake.llm.units import Pool, Store, cuts, encode_units, gathered, pieces, spans, text_buffers
+from marketlake.llm.units import Pool, Store, cuts, encode_units, gathered, pieces, room, spans, text_buffers
 from marketlake.session import checkpoint_dir
 
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
@@ -103,7 +104,7 @@ class PieceTokenizer:
         names = [self.model.id_to_piece(i) for i in ids]
         own = [None if self.model.is_byte(i) or self.model.is_control(i) or self.model.is_unknown(i) else names[i].replace(SPACE, " ")
                for i in ids]
-        if any(p and (re.search("[^ ] ", p) or "\n" in p) for p in own):
+        if any(p and re.search("[^ ] |\n|[A-Za-zÀ-ÖØ-öø-ÿ][.,;:!?]", p) for p in own):
             raise ValueError("a piece crosses the places where texts are cut")
         self.bytes_of = [bytes([int(n[1:-1], 16)]) if self.model.is_byte(i) else (p or "").encode()
                          for i, n, p in zip(ids, names, own)]
@@ -118,7 +119,7 @@ def links(sizes_a: np.ndarray, ends_a: np.ndarray, sizes_b: np.ndarray, ends_b:
     """(overlap links, shared-group links, group ends) of tokens with these byte sizes and ends over the same bytes."""
     width = int(ends_a[-1]) if len(ends_a) else 0
     overlap = Csr.ranges(ends_a - sizes_a, sizes_a, width).multiply(Csr.ranges(ends_b - sizes_b, sizes_b, width).transposed())
-    groups = np.intersect1d(ends_a, ends_b)
+    groups = np.intersect1d(ends_a, ends_b, assume_unique=True)
     one_a, one_b = np.ones(len(ends_a), np.int64), np.ones(len(ends_b), np.int64)
     grouped = Csr.ranges(np.searchsorted(groups, ends_a), one_a, len(groups)).multiply(
         Csr.ranges(np.searchsorted(groups, ends_b), one_b, len(groups)).transposed())
@@ -136,8 +137,8 @@ class Aligner:
         self.store = Store(self.learn, self.forget, STORE)
 
     def forget(self) -> None:
-        self.numbers = {c: Pool(np.int32) for c in self.COLUMNS}
-        self.pairs, self.same, self.texts = Pool(np.int64), Pool(np.bool_), []
+        self.numbers = np.zeros((1 << 10, len(self.COLUMNS)), np.int32)
+        self.pairs, self.same, self.texts = Pool(np.int64), np.zeros(1 << 10, bool), []
 
     def learn(self, units: list[bytes]) -> None:
         """Encode the units by both, and take the products over all of them at once."""
@@ -156,10 +157,11 @@ class Aligner:
         of_group = np.searchsorted(unit_end, groups)
         columns = (np.bincount(of_a, minlength=n), np.bincount(of_b, minlength=n), np.bincount(of_group, minlength=n), n_links,
                    np.bincount(of_a[grouped.rows()], minlength=n))
-        for name, values in zip(self.COLUMNS, columns):
-            self.numbers[name].add(values, np.ones(n, np.int64))
+        known = len(self.texts)
+        self.numbers, self.same = room(self.numbers, known + n), room(self.same, known + n)
+        self.numbers[known:known + n] = np.stack(columns, axis=1)
+        self.same[known:known + n] = same
         self.pairs.add((ids_a[overlap.rows()] << SHIFT) | ids_b[overlap.columns], n_links)
-        self.same.add(same, np.ones(n, np.int64))
         self.texts += _group_texts(n, ids_a, ids_b, np.searchsorted(groups, ends_a), np.searchsorted(groups, ends_b), of_group)
 
     def _same_bytes(self, units: list[bytes], ids_b: np.ndarray, count_b: np.ndarray) -> np.ndarray:
@@ -169,20 +171,18 @@ class Aligner:
         return np.array([b"".join(map(self.b.bytes_of.__getitem__, flat[e - c:e])) == u
                          for u, e, c in zip(units, ends.tolist(), count_b.tolist())], bool)
 
-    def values(self, name: str, numbers: np.ndarray) -> np.ndarray:
-        return self.numbers[name].values[numbers].astype(np.int64)
-
 
 def _group_texts(n: int, ids_a: np.ndarray, ids_b: np.ndarray, group_a: np.ndarray, group_b: np.ndarray,
                  of_group: np.ndarray) -> list[bytes]:
     """`a1,a2|b1;...` of each unit's groups."""
-    count = len(of_group)
-    cut_a = np.searchsorted(group_a, np.arange(count + 1)).tolist()
-    cut_b = np.searchsorted(group_b, np.arange(count + 1)).tolist()
-    a, b = [b"%d" % i for i in ids_a.tolist()], [b"%d" % i for i in ids_b.tolist()]
-    each = [b",".join(a[w:x]) + b"|" + b",".join(b[y:z]) for w, x, y, z in zip(cut_a, cut_a[1:], cut_b, cut_b[1:])]
-    cut = np.searchsorted(of_group, np.arange(n + 1)).tolist()
-    return [b";".join(each[x:y]) for x, y in zip(cut, cut[1:])]
+    def lists(of: np.ndarray, count: int, items: pa.Array) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(np.searchsorted(of, np.arange(count + 1)).astype(np.int32)), items)
+
+    def joined(ids: np.ndarray, group: np.ndarray) -> pa.Array:
+        return pc.binary_join(lists(group, len(of_group), pa.array(ids).cast(pa.string())), ",")
+
+    each = pc.binary_join_element_wise(joined(ids_a, group_a), joined(ids_b, group_b), "|")
+    return pc.binary_join(lists(of_group, n, each), ";").cast(pa.binary()).to_pylist()
 
 
 @lru_cache(maxsize=2)
@@ -195,21 +195,24 @@ def _files(spark: SparkSession, tokenizer_file: str, model_file: str):
         return spark.sparkContext.broadcast((f.read(), g.read()))
 
 
-def _stretches(column: pa.Array, aligner: Aligner) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(unit numbers, text of each unit, unit times) of a column's texts, piece by piece."""
+def _stretches(column: pa.Array, aligner: Aligner) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(unit numbers, text of each unit) of a column's texts, piece by piece."""
+    aligner.store.renew()
     data, offsets = text_buffers(column, b" ")
-    at = cuts(data, offsets, punctuation=False)
+    at = cuts(data, offsets)
+    out = []
     for lo, hi in pieces(at, PIECE_BYTES):
         first, end = at[lo], at[hi]
         numbers = aligner.store.look_up(data[first:end], at[lo:hi + 1] - first)
-        yield numbers, np.searchsorted(offsets, at[lo:hi], "right") - 1, at[lo:hi]
+        out.append((numbers, np.searchsorted(offsets, at[lo:hi], "right") - 1))
+    return out
 
 
-def _good_texts(column: pa.Array, aligner: Aligner) -> np.ndarray:
+def _good_texts(stretches: list, n: int, aligner: Aligner) -> np.ndarray:
     """Whether each text's tokens give its bytes."""
-    bad = np.zeros(len(column), bool)
-    for numbers, texts, _ in _stretches(column, aligner):
-        bad[texts[~aligner.same.values[numbers]]] = True
+    bad = np.zeros(n, bool)
+    for numbers, texts in stretches:
+        bad[texts[~aligner.same[numbers]]] = True
     return ~bad
 
 
@@ -223,10 +226,10 @@ def _distinct(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return left[at], right[at], np.diff(at, append=len(left))
 
 
-def _document_pairs(column: pa.Array, good: np.ndarray, aligner: Aligner) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _document_pairs(stretches: list, good: np.ndarray, aligner: Aligner) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, id pair, links) of the texts of a column: one row for each pair a text holds."""
     texts, pairs, times = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for numbers, of, _ in _stretches(column, aligner):
+    for numbers, of in stretches:
         keep = good[of]
         text, unit, count = _distinct(of[keep], numbers[keep])
         flat, size = aligner.pairs.take(unit)
@@ -266,9 +269,9 @@ def pair_counts(docs: DataFrame, tokenizer_file: str = TOKENIZER_FILE, model_fil
             own, inverse = np.unique(key, return_inverse=True)
             return own, np.bincount(inverse, number, len(own)).astype(np.int64)
 
-        for batch in gathered(batches):
-            column = batch.column(0)
-            _, pair, _ = _document_pairs(column, _good_texts(column, aligner), aligner)
+        for batch in gathered(batches, PIECE_BYTES):
+            stretches = _stretches(batch.column(0), aligner)
+            _, pair, _ = _document_pairs(stretches, _good_texts(stretches, batch.num_rows, aligner), aligner)
             fresh.append(np.unique(pair, return_counts=True))
             if sum(len(f[0]) for f in fresh) > HELD_PAIRS:
                 pairs, counts = folded()
@@ -315,20 +318,20 @@ def align(docs: DataFrame, counts: DataFrame, frequent: int = FREQUENT, tokenize
     known = spark.sparkContext.broadcast((pairs, numbers, top))
     rows = pick(docs, "doc_id", "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
-    names = ("n_a", "n_b", "n_groups", "n_links", "n_shared")
+    names = Aligner.COLUMNS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = _aligner(*files.value)
         pairs, numbers, top = known.value
-        for batch in gathered(batches):
-            column = batch.column(1)
-            n = len(column)
-            good = _good_texts(column, aligner)
+        for batch in gathered(batches, PIECE_BYTES):
+            n = batch.num_rows
+            stretches = _stretches(batch.column(1), aligner)
+            good = _good_texts(stretches, n, aligner)
             sums = {c: np.zeros(n, np.int64) for c in names}
             hashes = [None] * n
-            for units, of, _ in _stretches(column, aligner):
-                for c in names:
-                    sums[c] += np.bincount(of, aligner.values(c, units), n).astype(np.int64)
+            for units, of in stretches:
+                for c, values in zip(names, aligner.numbers[units].T):
+                    sums[c] += np.bincount(of, values, n).astype(np.int64)
                 texts = list(map(aligner.texts.__getitem__, units.tolist()))
                 cut = np.flatnonzero(np.diff(of, prepend=-1)).tolist()
                 for k, lo, hi in zip(of[cut].tolist(), cut, [*cut[1:], len(of)]):
@@ -338,7 +341,7 @@ def align(docs: DataFrame, counts: DataFrame, frequent: int = FREQUENT, tokenize
                             hashes[k] = hashlib.sha256(stretch)
                         else:
                             hashes[k].update(b";" + stretch)
-            text, pair, times = _document_pairs(column, good, aligner)
+            text, pair, times = _document_pairs(stretches, good, aligner)
             place = np.minimum(np.searchsorted(pairs, pair), max(len(pairs) - 1, 0))
             hit = pairs[place] == pair if len(pairs) else np.zeros(len(pair), bool)
             count = numbers[place[hit]]

@@ -88,11 +88,12 @@ class UnitIds:
     def encode(self, column: pa.Array, piece_bytes: int = PIECE_BYTES) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of ids of each)."""
         data, offsets = text_buffers(column)
-        at = cuts(data, offsets, punctuation=True)
+        at = cuts(data, offsets)
         flats, sizes = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
         for lo, hi in pieces(at, piece_bytes):
             first, end = at[lo], at[hi]
-            numbers = self.store.look_up(data[first:end], at[lo:hi + 1] - first)  # may renew the pool
+            self.store.renew()
+            numbers = self.store.look_up(data[first:end], at[lo:hi + 1] - first)
             flat, size = self.pool.take(numbers)
             flats.append(flat)
             sizes.append(size)

@@ -4,9 +4,10 @@ A unit is a stretch of bytes between two cuts.  Cuts stand only where no token o
 where what follows cannot change what comes before:
 
 * before a space or newline that follows a visible ASCII character or a letter of U+00C0-U+00FF.  A byte-level
-  pre-tokenizer never joins visible characters to white space behind them; of the piece model `Pieces` checks that no
-  piece holds a space behind another character, nor a newline;
-* with `punctuation`, for the byte-level tokenizer only, between such a letter and one of `.,;:!?`.
+  pre-tokenizer never joins visible characters to white space behind them, and no piece of the piece model (which is
+  checked when it is loaded) holds a space behind another character, nor a newline;
+* between such a letter (or an ASCII one) and one of `.,;:!?`: other classes of characters to the pre-tokenizer, and no piece
+  holds such a pair.
 
 Cuts are found on the bytes of a whole batch at once; a batch's distinct units are looked up in the worker's store, and only
 new ones are encoded: many joined to one string where that is safe, their borders then found by byte lengths.
@@ -60,7 +61,7 @@ def text_buffers(column: pa.Array, lead: bytes = b"") -> tuple[np.ndarray, np.nd
     return np.frombuffer(b"".join(values), np.uint8), offsets
 
 
-def cuts(data: np.ndarray, offsets: np.ndarray, punctuation: bool) -> np.ndarray:
+def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Sorted places at which units start, each text's first byte among them, and the end of the data."""
     if not len(data):
         return np.zeros(1, np.int64)
@@ -68,21 +69,26 @@ def cuts(data: np.ndarray, offsets: np.ndarray, punctuation: bool) -> np.ndarray
     latin = np.zeros(len(before), bool)  # the last byte of U+00C0-U+00FF without U+00D7 and U+00F7
     latin[1:] = (data[:-2] == 0xC3) & (before[1:] >= 0x80) & (before[1:] != 0x97) & (before[1:] != 0xB7)
     at = _BLANK[data[1:]] & (_GRAPH[before] | latin)
-    if punctuation:
-        at |= _STOP[data[1:]] & (_LETTER[before] | latin)
+    at |= _STOP[data[1:]] & (_LETTER[before] | latin)
     starts = np.zeros(len(data) + 1, bool)
     starts[1:-1] = at
     starts[offsets] = True
     return np.flatnonzero(starts)
 
 
-def joinable(unit: bytes) -> bool:
-    """Whether such units may stand one behind another without changing each other's tokens.
+def joinable(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Which units (not empty, one behind another in `data`) may stand in any order without changing each other's tokens.
 
-    U+2581, which piece models write as one space, would shift the borders.
+    They begin with white space and end in a character that cuts may follow.  U+2581, which piece models write
+    as one space, would shift borders.
     """
-    return b"\xe2\x96\x81" not in unit and unit[0] in b" \n" and len(unit) > 1 and (0x21 <= unit[-1] < 0x7F or (
-        unit[-2] == 0xC3 and 0x80 <= unit[-1] and unit[-1] not in (0x97, 0xB7)))
+    sizes = np.diff(ends, prepend=0)
+    last, before = data[ends - 1], data[np.maximum(ends - 2, 0)]
+    latin = (before == 0xC3) & (last >= 0x80) & (last != 0x97) & (last != 0xB7)
+    good = _BLANK[data[ends - sizes]] & (sizes > 1) & (_GRAPH[last] | latin)
+    marks = np.flatnonzero((data[:-2] == 0xE2) & (data[1:-1] == 0x96) & (data[2:] == 0x81)) if len(data) > 2 else []
+    good[np.searchsorted(ends, marks, "right")] = False
+    return good
 
 
 def encode_units(units: list[bytes], encode: Callable[[list[str]], list[list[int]]], size_of: np.ndarray,
@@ -92,42 +98,32 @@ def encode_units(units: list[bytes], encode: Callable[[list[str]], list[list[int
     `guard` is a unit that stands in front of each string, for tokenizers that treat a string's start in a way of their
     own; an empty guard leaves units that start otherwise as they are.
     """
-    counts = np.zeros(len(units), np.int64)
-    parts: list[tuple[int, np.ndarray]] = []
-    blocks: list[list[int]] = [[]]
-    room = BLOCK
-    for i, unit in enumerate(units):
-        if not joinable(unit):
-            continue
-        if room < len(unit) and blocks[-1]:
-            blocks.append([])
-            room = BLOCK
-        blocks[-1].append(i)
-        room -= len(unit)
-    blocks += [[i] for i, unit in enumerate(units) if not joinable(unit)]
-    blocks = [b for b in blocks if b]
-    texts = [(guard + b"".join([units[i] for i in block])).decode("utf-8") for block in blocks]
-    skip = len(guard)
+    lengths = np.fromiter(map(len, units), np.int64, len(units))
+    good = joinable(np.frombuffer(b"".join(units), np.uint8), np.cumsum(lengths))
+    together, alone = np.flatnonzero(good), np.flatnonzero(~good)
+    cut = np.flatnonzero(np.diff(np.cumsum(lengths[together]) // BLOCK)) + 1
+    blocks = [*np.split(together, cut), *alone[:, None]] if len(together) else [*alone[:, None]]
+    texts = [(guard + b"".join([units[i] for i in block.tolist()])).decode("utf-8") for block in blocks]
+    counts, parts, skip = np.zeros(len(units), np.int64), [], len(guard)
     for block, ids in zip(blocks, encode(texts)):
-        ids = np.asarray(ids, np.int64)
-        ends = np.cumsum(size_of[ids])
-        first = int(np.searchsorted(ends, skip, "right")) if skip else 0
-        borders = skip + np.cumsum([len(units[i]) for i in block])
+        ids = np.array(ids, np.int64)
         if len(block) == 1:  # the bytes of ids may differ from the unit's
-            sizes = np.array([len(ids) - first])
+            first = int(np.searchsorted(np.cumsum(size_of[ids[:8]]), skip, "right")) if skip else 0
+            counts[block] = len(ids) - first
         else:
+            ends = np.cumsum(size_of[ids])
+            first = int(np.searchsorted(ends, skip, "right"))
+            borders = skip + np.cumsum(lengths[block])
             stops = np.searchsorted(ends, borders)
-            if not np.array_equal(ends[stops], borders):
+            if ends[-1] != borders[-1] or not np.array_equal(ends[stops], borders):
                 raise ValueError("a token crosses two units")
-            sizes = np.diff(stops + 1, prepend=first)
-        counts[block] = sizes
-        parts.append((block, ids[first:]))
-    starts = np.zeros(len(units) + 1, np.int64)
-    np.cumsum(counts, out=starts[1:])
-    flat = np.empty(starts[-1], np.int64)
-    for block, ids in parts:
-        lengths = counts[block]
-        flat[spans(starts[block], lengths)] = ids
+            counts[block] = np.diff(stops + 1, prepend=first)
+        parts.append(ids[first:])
+    starts = np.cumsum(counts) - counts
+    flat = np.empty(counts.sum(), np.int64)
+    if blocks:
+        order = np.concatenate(blocks)
+        flat[spans(starts[order], counts[order])] = np.concatenate(parts)
     return flat, counts
 
 
@@ -148,10 +144,10 @@ class Pool:
         self.starts, self.sizes, self.count = np.empty(1 << 10, np.int64), np.empty(1 << 10, np.int64), 0
 
     def add(self, flat: np.ndarray, sizes: np.ndarray) -> None:
-        self.values = _room(self.values, self.used + len(flat))
+        self.values = room(self.values, self.used + len(flat))
         self.values[self.used:self.used + len(flat)] = flat
-        self.starts = _room(self.starts, self.count + len(sizes))
-        self.sizes = _room(self.sizes, self.count + len(sizes))
+        self.starts = room(self.starts, self.count + len(sizes))
+        self.sizes = room(self.sizes, self.count + len(sizes))
         self.sizes[self.count:self.count + len(sizes)] = sizes
         self.starts[self.count:self.count + len(sizes)] = self.used + np.cumsum(sizes) - sizes
         self.used, self.count = self.used + len(flat), self.count + len(sizes)
@@ -162,41 +158,44 @@ class Pool:
         return self.values[spans(self.starts[numbers], sizes)], sizes
 
 
-def _room(array: np.ndarray, size: int) -> np.ndarray:
+def room(array: np.ndarray, size: int) -> np.ndarray:
+    """`array`, or a larger copy, with at least `size` rows."""
     if size <= len(array):
         return array
-    grown = np.empty(max(size, 2 * len(array)), array.dtype)
+    grown = np.empty((max(size, 2 * len(array)), *array.shape[1:]), array.dtype)
     grown[:len(array)] = array
     return grown
 
 
 class Store:
-    """Numbers of known units; `learn` is called with the new units of a batch, in the order of their numbers."""
+    """Numbers of known units; `learn` is called with new units, in the order of their numbers."""
 
     def __init__(self, learn: Callable[[list[bytes]], None], forget: Callable[[], None], limit: int = STORE):
         self.learn, self.forget, self.limit = learn, forget, limit
         self.numbers: dict[bytes, int] = {}
 
-    def look_up(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """The number of each unit of a batch; numbers hold until the next call."""
+    def renew(self) -> None:
+        """Start anew if there are too many units: numbers given before hold no longer."""
         if len(self.numbers) > self.limit:
             self.numbers.clear()
             self.forget()
+
+    def look_up(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The number of each unit between the places `at`."""
         if len(at) < 2:
             return np.zeros(0, np.int64)
         array = pa.Array.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(data)])
         coded = array.dictionary_encode()
-        known, new = self.numbers, []
         own = coded.dictionary.to_pylist()
-        numbers = []
-        for unit in own:
-            number = known.get(unit)
-            if number is None:
-                number = known[unit] = len(known)
-                new.append(unit)
-            numbers.append(number)
+        known = self.numbers
+        numbers = list(map(known.get, own))
+        new = [unit for unit, number in zip(own, numbers) if number is None]
         if new:
+            first = len(known)
+            known.update(zip(new, range(first, first + len(new))))
             self.learn(new)
+            fresh = iter(range(first, first + len(new)))
+            numbers = [next(fresh) if n is None else n for n in numbers]
         return np.array(numbers, np.int64)[coded.indices.to_numpy()]
 
 

@@ -105,16 +105,18 @@ def test_given_texts_equal_brute_force(spark, sample, pair):
 def test_pieces_and_a_store_that_starts_anew(monkeypatch, pair):
     monkeypatch.setattr(alignment, "PIECE_BYTES", 40)
     with open(TOKENIZER_FILE, encoding="utf-8") as f, open(alignment.MODEL_FILE, "rb") as g:
-        small, large = (alignment.Aligner(f.read(), g.read()) for _ in range(1)), None
-        small = next(small)
-    small.store.limit = 5
+        aligner = alignment.Aligner(f.read(), g.read())
+    aligner.store.limit = 5
     text = "the cat sat on the mat, and the dog lay on the rug. " * 20
     column = pa.array([text, None, "short", text[:100]])
-    got = alignment._document_pairs(column, alignment._good_texts(column, small), small)
-    small.store.limit = 1 << 20
+
+    def found():
+        stretches = alignment._stretches(column, aligner)
+        return len(stretches), alignment._document_pairs(stretches, alignment._good_texts(stretches, 4, aligner), aligner)
+    many, got = found()
     monkeypatch.setattr(alignment, "PIECE_BYTES", 1 << 20)
-    large = alignment._document_pairs(column, alignment._good_texts(column, small), small)
-    assert all(np.array_equal(x, y) for x, y in zip(got, large))
+    one, large = found()
+    assert many > 20 and one == 1 and all(np.array_equal(x, y) for x, y in zip(got, large))
 
 
 def test_long_text_and_empty_table(spark, docs, pair):
