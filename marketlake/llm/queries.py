@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from marketlake.llm import (
-    alignment, chat, ctw, langid, mixing, neighbours, quality_rules, secrets, sentencepiece_scan, simhash, syncmers,
+    alignment, chat, ctw, langid, mixing, neighbours, phrases, quality_rules, secrets, sentencepiece_scan, simhash, syncmers,
     token_files,
 )
 
@@ -29,6 +29,7 @@ QUERIES = {
     "op10_language_id": lambda spark, d: langid.language_query(_table(spark, d, "documents")),
     "op11_token_files": lambda spark, d: token_files.token_file_query(_table(spark, d, "documents")),
     "op12_tokenizer_alignment": lambda spark, d: alignment.alignment_query(_table(spark, d, "documents")),
+    "op13_phrase_mining": lambda spark, d: phrases.phrase_query(_table(spark, d, "documents")),
 }
 
-ORACLE_SQL: dict[str, str] = {"op6_chat_formatting": chat.CHAT_SQL}
+ORACLE_SQL: dict[str, str] = {"op6_chat_formatting": chat.CHAT_SQL, "op13_phrase_mining": phrases.PHRASE_SQL}
