@@ -49,8 +49,8 @@ LONGEST = 4
 LEAST, TOP = 30, 2000
 
 #: Words of a shard, and n-grams that a range should have.
-SHARD_WORDS = 1 << 21
-RANGE_WORDS = 1 << 21
+SHARD_WORDS = 3 << 19
+RANGE_WORDS = 1 << 20
 
 #: Documents and n-grams a document from which borders are drawn.
 SAMPLE_DOCS, SAMPLE_GRAMS = 4000, 32

@@ -21,10 +21,10 @@ import numpy as np
 import pyarrow as pa
 
 #: Units kept by a worker; beyond, its store starts anew.
-STORE = 3 << 19
+STORE = 1 << 20
 
 #: Bytes of rows handled at once, where many small batches follow each other.
-GATHER = 8 << 20
+GATHER = 4 << 20
 
 #: Bytes of units joined for one call of a tokenizer.
 BLOCK = 1 << 15
