@@ -7,6 +7,7 @@ Commands
                                               then the quality checks (fails when a check fails
                                               unless --no-gate)
   check   --out DIR                           quality report over tables already written in DIR
+  vacuum  --out DIR [--keep 2]                remove old versions that no kept commit names
   scenario --out DIR [--states SP RJ ...] [--max-days 30]
                                               the what-if analytics over the written gold tables:
                                               KPIs, lead-time histogram, hub load, top corridors,
@@ -29,7 +30,8 @@ from marketlake.plans.staging import STAGING
 from marketlake.session import configure, local_session
 from marketlake.sources.catalog import SOURCES
 from marketlake.sources.csv import read_bronze_all
-from marketlake.sources.sinks import default_format, ingest_bronze
+from marketlake.sources.lake import Lake
+from marketlake.sources.sinks import default_format, ingest_bronze, read_bronze_tables
 
 
 def _session(args) -> SparkSession:
@@ -51,10 +53,18 @@ def _files(args) -> dict[str, str]:
 
 def _bronze(spark: SparkSession, args):
     if args.bronze:  # previously landed bronze tables
-        return {name: spark.read.format(default_format(spark)).load(f"{args.bronze.rstrip('/')}/{name}") for name in SOURCES}
+        return read_bronze_tables(spark, args.bronze)
     return read_bronze_all(spark, args.landing, _files(args))
 
 
+def _published(spark: SparkSession, out: str, names: list[str]):
+    """Tables of the latest build, all of one and the same commit."""
+    fmt = default_format(spark)
+    if fmt == "delta":
+        return {n: spark.read.format(fmt).load(f"{out.rstrip('/')}/{n}") for n in names}
+    return Lake(spark, out, fmt).read_all(names)
+
+
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="marketlake")
     parser.add_argument("--local", type=int, default=0, help="start a local session with N cores")
@@ -79,6 +89,9 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--parallel", type=int, default=4, help="write jobs of one layer submitted at once")
     p = sub.add_parser("check")
     p.add_argument("--out", required=True)
+    p = sub.add_parser("vacuum")
+    p.add_argument("--out", required=True)
+    p.add_argument("--keep", type=int, default=2, help="commits whose tables stay")
     p = sub.add_parser("scenario")
     p.add_argument("--out", required=True)
     p.add_argument("--states", nargs="*", default=None)
@@ -106,16 +119,18 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     if args.command == "check":
         names = [*STAGING, *CORE, *GOLD]
-        tables = {n: spark.read.format(default_format(spark)).load(f"{args.out.rstrip('/')}/{n}") for n in names}
+        tables = _published(spark, args.out, names)
         report = run_checks(tables)
         report.filter("violations > 0").show(100, truncate=False)
         assert_passed(report)
         return 0
+    if args.command == "vacuum":
+        for name in Lake(spark, args.out).vacuum(args.keep):
+            print(name)
+        return 0
     if args.command == "scenario":
         from marketlake.plans import scenario
-        out = args.out.rstrip("/")
-        executive, routes = (spark.read.format(default_format(spark)).load(f"{out}/{n}")
-                             for n in ("gold_executive_overview", "gold_spatial_routing"))
+        executive, routes = _published(spark, args.out, ["gold_executive_overview", "gold_spatial_routing"]).values()
         filtered = scenario.scenario_filter(executive, args.states, args.max_days)
         selected = scenario.filter_routes(routes, args.states)
         for title, df in (("kpis", scenario.scenario_kpis(filtered)),

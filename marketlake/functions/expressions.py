@@ -1,11 +1,11 @@
 """Scalar and aggregate expression builders.
 
 Everything here returns a `pyspark.sql.Column`; nothing touches data.  Money
-arrives as double (the staging contract) but carries at most two decimals, so
-sums are taken over integer cents in a `long`: exact, independent of
-partitioning and summation order, and as cheap as a double sum (a fixed-width
-aggregation buffer; overflow raises under ANSI mode instead of wrapping).
-Results are converted back to double (a correctly rounded division by 100).
+arrives as double (the staging contract) with up to six decimals.  A sum is
+taken over two longs, whole amounts and millionths: exact, independent of
+partitioning and summation order, with fixed-width aggregation buffers, and
+with room for totals up to 9.2e18.  Results are converted back to double at
+the end (a correctly rounded division by 10^6).
 """
 
 from __future__ import annotations
@@ -23,7 +23,11 @@ __all__ = [
     "HUBS",
     "KEYWORD_GROUPS",
     "STATE_BY_NATION",
+    "TOTAL",
     "UNITS",
+    "amount",
+    "amount_sum",
+    "amount_total",
     "contains_any",
     "count_if",
     "days_between",
@@ -31,13 +35,12 @@ __all__ = [
     "exact_ratio",
     "from_units",
     "hub_for_state",
+    "in_units",
     "money_sum",
     "pct",
     "round_money_sum",
     "rounded_units",
     "surrogate_key",
-    "units",
-    "units_sum",
 ]
 
 # ---------------------------------------------------------------------------
@@ -75,36 +78,67 @@ STATE_BY_NATION = ("SP", "RJ", "MG", "RS", "BA", "PR", "SC", "PE")
 #: Amounts are summed as whole millionths: exact for inputs with up to six decimals.
 UNITS = 1_000_000
 
+#: Type of a total in millionths: amounts up to 10^18.
+TOTAL = "decimal(25,0)"
 
-def units(c: Column | str) -> Column:
-    """An amount as integer millionths (long)."""
+
+def amount(c: Column | str) -> Column:
+    """An amount as two longs: whole amounts and millionths (both with the amount's sign)."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.rint(c * F.lit(float(UNITS))).cast("long")
+    u = F.rint(c * F.lit(float(UNITS))).cast("long")
+    return F.struct(_div(u).alias("whole"), (u % UNITS).alias("part"))
+
+
+def _div(u: Column) -> Column:
+    """Whole amounts in millionths, towards zero; `div` keeps longs, `/` would not."""
+    return F.call_function("div", u, F.lit(UNITS).cast("long"))
+
+
+def amount_total(a: Column | str, weight: Column | None = None, when: Column | None = None) -> Column:
+    """Exact sum of amounts (see `amount`), each `weight` times; rows where `when` does not hold add 0.
+
+    Both longs are summed on their own, so aggregation buffers stay two longs wide, and the sum holds
+    10^6 times as much as a sum of millionths would: whole amounts up to 9.2e18, over up to 9.2e12 rows.
+    """
+    a = F.col(a) if isinstance(a, str) else a
+
+    def total(limb: str) -> Column:
+        x = a.getField(limb)
+        x = x if weight is None else x * weight
+        return F.sum(x if when is None else F.when(when, x).otherwise(F.lit(0).cast("long")))
+
+    whole, part = total("whole"), total("part")
+    return F.struct((whole + _div(part)).alias("whole"), (part % UNITS).alias("part"))
+
+
+def amount_sum(c: Column | str) -> Column:
+    """Exact sum of a double amount, as two longs."""
+    return amount_total(amount(c))
 
 
-def units_sum(c: Column | str) -> Column:
-    """Exact sum of an amount in millionths (long; an overflow is an error in ANSI mode)."""
-    return F.sum(units(c))
+def in_units(total: Column) -> Column:
+    """A total of two longs as millionths (decimal)."""
+    return (total.getField("whole").cast("decimal(19,0)") * F.lit(Decimal(UNITS)) + total.getField("part").cast("decimal(19,0)")).cast(TOTAL)
 
 
 def from_units(total: Column) -> Column:
-    """Millionths (long) back to a double amount."""
+    """Millionths (decimal) back to a double amount."""
     return total.cast("double") / F.lit(float(UNITS))
 
 
 def rounded_units(total: Column, scale: int = 2) -> Column:
-    """Millionths (long) as an amount rounded half-up, as double."""
-    return F.round(total.cast("decimal(20,0)") / F.lit(Decimal(UNITS)), scale).cast("double")
+    """Millionths (decimal) as an amount rounded half-up, as double."""
+    return F.round(total / F.lit(Decimal(UNITS)), scale).cast("double")
 
 
 def money_sum(c: Column | str) -> Column:
     """Exact sum of an amount, as double."""
-    return from_units(units_sum(c))
+    return from_units(in_units(amount_sum(c)))
 
 
 def round_money_sum(c: Column | str, scale: int = 2) -> Column:
     """`round(sum(x), scale)` computed exactly, returned as double."""
-    return rounded_units(units_sum(c), scale)
+    return rounded_units(in_units(amount_sum(c)), scale)
 
 
 def exact_ratio(numerator: Column, denominator: Column, scale: int) -> Column:
@@ -122,7 +156,7 @@ def exact_avg(c: Column | str, scale: int, is_money: bool = False) -> Column:
     """round(avg(x), scale) over non-null x, computed exactly."""
     c = F.col(c) if isinstance(c, str) else c
     if is_money:
-        return exact_ratio(units_sum(c).cast("decimal(20,0)"), F.count(c) * F.lit(UNITS), scale)
+        return exact_ratio(in_units(amount_sum(c)), F.count(c).cast("decimal(20,0)") * F.lit(Decimal(UNITS)), scale)
     return exact_ratio(F.sum(c.cast("long")).cast("decimal(20,0)"), F.count(c), scale)
 
 

@@ -1,8 +1,8 @@
 """Model DAG: bronze -> staging -> core -> gold, lazily or materialized.
 
 `build_models` wires every model as one lazy plan per table (nothing runs).
-`run_pipeline` materializes layer by layer: each layer is written as a table
-in a shared folder and the next layer reads the written table back, which
+`run_pipeline` materializes layer by layer: each layer is written as tables
+of a version that readers do not see before it has passed its checks, and the next layer reads the written table back, which
 cuts lineage (an executor lost late in the gold layer recomputes from the
 core tables, not from the raw files) and lets the scan of a written table
 prune columns and push filters.
@@ -11,7 +11,7 @@ prune columns and push filters.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -131,20 +131,32 @@ ORDER_BUCKETED = ("stg_order_items", "stg_orders", "stg_order_reviews", "stg_ord
                   "fct_order_items", "fct_orders", "fct_order_reviews", "fct_order_payments")
 
 
-def _materialize(spark: SparkSession, models: Mapping[str, DataFrame], out_dir: str,
-                 fmt: str, buckets: int | None, parallel: int = 1) -> dict[str, DataFrame]:
+class _InPlace:
+    """Tables of a format with transactions of its own, written where readers find them."""
+
+    def __init__(self, root: str, fmt: str):
+        self.root, self.fmt = root.rstrip("/"), fmt
+        self.folder = self.root
+
+    def write(self, name: str, df: DataFrame, **options) -> DataFrame:
+        from marketlake.sources.sinks import write_table
+        return write_table(df, f"{self.root}/{name}", self.fmt, **options)
+
+    def commit(self) -> None:
+        """Nothing to do: each table's write was its own transaction."""
+
+
+def _materialize(refresh, models: Mapping[str, DataFrame], buckets: int | None, parallel: int = 1) -> dict[str, DataFrame]:
     """Write the models of one layer; they are independent, so up to
     `parallel` write jobs are submitted at once (Spark runs jobs from several
     driver threads concurrently, filling executors during each job's tail)."""
     from concurrent.futures import ThreadPoolExecutor
 
-    from marketlake.sources.sinks import write_table
-
     def write(item):
         name, df = item
         bucket = ("order_key", buckets) if buckets and name in ORDER_BUCKETED else None
-        return name, write_table(df, f"{out_dir.rstrip('/')}/{name}", fmt, bucket_by=bucket,
-                                 table=f"{name}_{hashlib.sha256(out_dir.encode()).hexdigest()[:8]}")
+        return name, refresh.write(name, df, bucket_by=bucket,
+                                   table=f"{name}_{hashlib.sha256(refresh.folder.encode()).hexdigest()[:8]}")
 
     if parallel <= 1:
         return dict(map(write, models.items()))
@@ -152,15 +164,45 @@ def _materialize(spark: SparkSession, models: Mapping[str, DataFrame], out_dir:
         return dict(pool.map(write, models.items()))
 
 
+Layer = Callable[[Mapping[str, DataFrame]], Mapping[str, DataFrame]]
+
+
+def publish(spark: SparkSession, layers: Sequence[Layer], out_dir: str, fmt: str | None = None, checks: bool = True,
+            gate: bool = True, buckets: int = 0, parallel: int = 4) -> dict[str, DataFrame]:
+    """Write the tables of each layer, built from the layers before it, check them, and publish all of them at once.
+
+    Tables go into a version folder that no reader sees (`sources.lake`).  The checks read that version; only
+    if they pass (or without `gate`) is it committed.  A build that fails in a task, is killed, or fails a check
+    leaves every published table as it was; `QualityError` then names the folder with the refused tables and their report.
+    """
+    from marketlake.plans.quality import QualityError, assert_passed, run_checks
+    from marketlake.sources.lake import Lake
+    from marketlake.sources.sinks import default_format
+    fmt = fmt or default_format(spark)
+    refresh = _InPlace(out_dir, fmt) if fmt == "delta" else Lake(spark, out_dir, fmt).refresh()
+    tables: dict[str, DataFrame] = {}
+    for layer in layers:
+        tables.update(_materialize(refresh, layer(tables), buckets, parallel))
+    if checks:
+        tables["quality_report"] = refresh.write("quality_report", run_checks(tables))
+        if gate:
+            try:
+                assert_passed(tables["quality_report"])
+            except QualityError as exc:
+                raise QualityError(f"{exc} (not published: {refresh.folder})") from None
+    refresh.commit()
+    return tables
+
+
 def run_pipeline(spark: SparkSession, bronze: Mapping[str, DataFrame], out_dir: str,
                  bounds: DataFrame | None = None, fmt: str | None = None,
                  checks: bool = True, gate: bool = True,
                  buckets: int = 0, parallel: int = 4) -> dict[str, DataFrame]:
-    """Build and write every model layer by layer, then run the quality suite.
+    """Build every model layer by layer, run the quality suite on what was written, and publish (see `publish`).
 
     Returns the written tables (as DataFrames reading them back) plus
     `quality_report`.  With `gate`, raises `QualityError` when any check
-    fails, mirroring a test step that gates the next task.
+    fails, and nothing is published.
 
     `buckets=N` writes the order-grain tables bucketed by order_key, which
     removes the order_key shuffles of the next layer.  It is off by default:
@@ -170,17 +212,5 @@ def run_pipeline(spark: SparkSession, bronze: Mapping[str, DataFrame], out_dir:
     Enable it when order keys are known to be spread.  `parallel` bounds the
     number of write jobs of one layer submitted at once.
     """
-    from marketlake.plans.quality import assert_passed, run_checks
-    from marketlake.sources.sinks import default_format
-    fmt = fmt or default_format(spark)
-    stg = _materialize(spark, build_staging(dict(bronze)), out_dir, fmt, buckets, parallel)
-    cm = _materialize(spark, build_core(stg, bounds), out_dir, fmt, buckets, parallel)
-    gm = _materialize(spark, build_gold(cm), out_dir, fmt, buckets, parallel)
-    tables = {**stg, **cm, **gm}
-    if checks:
-        report = run_checks(tables)
-        report = _materialize(spark, {"quality_report": report}, out_dir, fmt, None)["quality_report"]
-        tables["quality_report"] = report
-        if gate:
-            assert_passed(report)
-    return tables
+    layers = [lambda t: build_staging(dict(bronze)), lambda t: build_core(t, bounds), build_gold]
+    return publish(spark, layers, out_dir, fmt, checks, gate, buckets, parallel)

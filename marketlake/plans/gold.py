@@ -1,6 +1,6 @@
 """Gold marts: business aggregates, the hub what-if projection and routing.
 
-Money is summed exactly (integer millionths) and rounded half-up; averages are exact
+Money is summed exactly (whole amounts and millionths, two longs) and rounded half-up; averages are exact
 quotients rounded half-up.  Hot keys (one seller, buyer or order holding a
 large share of rows) are handled by pre-aggregating below every join that
 would otherwise fan them into a single task, by map-side partial aggregation
@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlake.functions.expressions import (
-    KEYWORD_GROUPS, UNITS, units, units_sum, contains_any, count_if, days_between, exact_avg, exact_ratio,
-    hub_for_state, rounded_units, pct, round_money_sum,
+    KEYWORD_GROUPS, UNITS, amount, amount_sum, amount_total, contains_any, count_if, days_between, exact_avg, exact_ratio,
+    hub_for_state, in_units, pct, rounded_units,
 )
 from marketlake.operators.aggregates import distinct_then_avg, top_k
 
@@ -36,16 +36,16 @@ def category_performance(items: DataFrame, products: DataFrame, reviews: DataFra
     categories = products.select("product_key", "category_name")
     per_product = items.groupBy("product_key").agg(
         F.count(F.lit(1)).alias("units"),
-        units_sum("total_item_value").alias("value"),
-        units_sum("price").alias("merchandise"),
-        units_sum("freight_value").alias("freight"))
+        amount_sum("total_item_value").alias("value"),
+        amount_sum("price").alias("merchandise"),
+        amount_sum("freight_value").alias("freight"))
     totals = per_product.join(categories, "product_key", "inner").groupBy("category_name").agg(
-        rounded_units(F.sum("value")).alias("total_category_revenue"),
-        rounded_units(F.sum("merchandise")).alias("total_merchandise_revenue"),
-        rounded_units(F.sum("freight")).alias("total_freight_revenue"),
+        rounded_units(in_units(amount_total("value"))).alias("total_category_revenue"),
+        rounded_units(in_units(amount_total("merchandise"))).alias("total_merchandise_revenue"),
+        rounded_units(in_units(amount_total("freight"))).alias("total_freight_revenue"),
         F.sum("units").alias("units_sold"),
-        exact_ratio(F.sum("value").cast("decimal(20,0)"), F.sum("units") * UNITS, 2).alias("revenue_per_unit"),
-        exact_ratio(F.sum("freight").cast("decimal(20,0)"), F.sum("units") * UNITS, 2).alias("freight_per_unit"))
+        exact_ratio(in_units(amount_total("value")), F.sum("units").cast("decimal(20,0)") * F.lit(Decimal(UNITS)), 2).alias("revenue_per_unit"),
+        exact_ratio(in_units(amount_total("freight")), F.sum("units").cast("decimal(20,0)") * F.lit(Decimal(UNITS)), 2).alias("freight_per_unit"))
     category_orders = (items.select("order_key", "product_key")
                        .join(categories, "product_key", "inner")
                        .select("category_name", "order_key").distinct())
@@ -78,10 +78,10 @@ def customer_cohorts(orders: DataFrame, customers: DataFrame, dates: DataFrame)
                     .select("order_key", "customer_unique_id",
                             F.to_date("purchased_at").alias("purchase_date"),
                             "total_order_value"))
-    # gmv in exact integer units until the final roll-up.
+    # gmv as two exact longs until the final roll-up.
     daily = buyer_orders.groupBy("customer_unique_id", "purchase_date").agg(
         F.count(F.lit(1)).alias("n_orders"),
-        units_sum("total_order_value").alias("gmv"))
+        amount_sum("total_order_value").alias("gmv"))
     first = F.min("purchase_date").over(Window.partitionBy("customer_unique_id"))
     daily = daily.select("*", first.alias("first_purchase_date")).select(
         "*", (F.col("purchase_date") == F.col("first_purchase_date")).alias("is_new"),
@@ -92,18 +92,18 @@ def customer_cohorts(orders: DataFrame, customers: DataFrame, dates: DataFrame)
                  .groupBy(*MONTH_KEYS, "customer_unique_id").agg(
                      F.max(F.col("is_new").cast("int")).alias("has_new"),
                      F.max(returning.cast("int")).alias("has_returning"),
-                     F.sum("gmv").alias("gmv"),
-                     F.sum(F.when(F.col("is_new"), F.col("gmv")).otherwise(0)).alias("gmv_new"),
-                     F.sum(F.when(returning, F.col("gmv")).otherwise(0)).alias("gmv_returning"),
+                     amount_total("gmv").alias("gmv"),
+                     amount_total("gmv", when=F.col("is_new")).alias("gmv_new"),
+                     amount_total("gmv", when=returning).alias("gmv_returning"),
                      F.sum(F.when(returning, F.col("days_since") * F.col("n_orders"))).alias("days_sum"),
                      F.sum(F.when(returning, F.col("n_orders"))).alias("days_n")))
     monthly = per_buyer.groupBy(*MONTH_KEYS).agg(
         F.count(F.lit(1)).alias("total_unique_buyers"),
         count_if(F.col("has_new") == 1).alias("new_buyers_count"),
         count_if(F.col("has_returning") == 1).alias("returning_buyers_count"),
-        rounded_units(F.sum("gmv")).alias("total_gmv"),
-        rounded_units(F.sum("gmv_new")).alias("new_buyer_gmv"),
-        rounded_units(F.sum("gmv_returning")).alias("returning_buyer_gmv"),
+        rounded_units(in_units(amount_total("gmv"))).alias("total_gmv"),
+        rounded_units(in_units(amount_total("gmv_new"))).alias("new_buyer_gmv"),
+        rounded_units(in_units(amount_total("gmv_returning"))).alias("returning_buyer_gmv"),
         pct(count_if(F.col("has_returning") == 1), F.count(F.lit(1)), 2).alias("repeat_buyer_rate_pct"),
         exact_ratio(F.sum("days_sum").cast("decimal(20,0)"), F.sum("days_n"), 1)
         .alias("avg_days_since_first_purchase"))
@@ -164,21 +164,21 @@ def payment_analysis(payments: DataFrame, orders: DataFrame, dedupe_orders: bool
         F.count(F.lit(1)).alias("n_payments"),
         F.sum("installment_count").alias("inst_sum"),
         F.count("installment_count").alias("inst_n"),
-        units_sum("payment_amount").alias("amount"),
+        amount_sum("payment_amount").alias("amount"),
         F.count("payment_amount").alias("amount_n"))
-    value = orders.select("order_key", units("total_order_value").alias("order_value"))
+    value = orders.select("order_key", amount("total_order_value").alias("order_value"))
     j = per_order.join(value, "order_key", "left")
-    gmv = F.col("order_value") * (F.lit(1) if dedupe_orders else F.col("n_payments"))
+    gmv = in_units(amount_total("order_value", weight=None if dedupe_orders else F.col("n_payments")))
     return j.groupBy("payment_type").agg(
         F.count_distinct("order_key").alias("total_orders_using_payment_type"),
         F.sum("n_payments").alias("total_payment_transactions"),
         exact_ratio(F.sum("inst_sum").cast("decimal(20,0)"), F.sum("inst_n"), 1)
         .alias("avg_installment_count"),
-        rounded_units(F.sum("amount")).alias("total_captured_payment_value"),
-        exact_ratio(F.sum("amount").cast("decimal(20,0)"), F.sum("amount_n") * UNITS, 2)
+        rounded_units(in_units(amount_total("amount"))).alias("total_captured_payment_value"),
+        exact_ratio(in_units(amount_total("amount")), F.sum("amount_n").cast("decimal(20,0)") * F.lit(Decimal(UNITS)), 2)
         .alias("avg_payment_transaction_value"),
-        rounded_units(F.sum(gmv)).alias("total_associated_order_gmv"),
-        rounded_units(F.sum("amount") - F.sum(gmv)).alias("payment_reconciliation_discrepancy"))
+        rounded_units(gmv).alias("total_associated_order_gmv"),
+        rounded_units(in_units(amount_total("amount")) - gmv).alias("payment_reconciliation_discrepancy"))
 
 
 def regional_logistics(items: DataFrame, orders: DataFrame, sellers: DataFrame,
@@ -228,14 +228,14 @@ def seller_scorecard(perf: DataFrame, sellers: DataFrame, items: DataFrame,
     """Seller profile, velocity, distinct human buyers, revenue and the
     review average over distinct (seller, order, score)."""
     # Lines are collapsed to (seller, customer) before the customer join; the
-    # line count and cent sums carry through, so the totals are unchanged.
+    # line count and exact sums carry through, so the totals are unchanged.
     seller_customers = items.groupBy("seller_key", "customer_key").agg(
-        F.count(F.lit(1)).alias("n_lines"), units_sum("total_item_value").alias("value"))
+        F.count(F.lit(1)).alias("n_lines"), amount_sum("total_item_value").alias("value"))
     buyers = (seller_customers
               .join(customers.select("customer_key", "customer_unique_id"), "customer_key", "inner")
               .groupBy("seller_key").agg(
                   F.count_distinct("customer_unique_id").alias("unique_buyers_served"),
-                  rounded_units(F.sum("value")).alias("total_gross_revenue"),
+                  rounded_units(in_units(amount_total("value"))).alias("total_gross_revenue"),
                   F.sum("n_lines").alias("total_items_sold")))
     scored = items.select("seller_key", "order_key").distinct().join(
         reviews.select("order_key", "review_score").distinct(), "order_key", "inner")

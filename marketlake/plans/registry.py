@@ -15,12 +15,14 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.functions.expressions import exact_avg, round_money_sum
+from marketlake.functions.expressions import amount_sum, exact_avg, in_units, round_money_sum
 from marketlake.plans import core, gold, quality, scenario
-from marketlake.plans.build import Models
+from marketlake.plans.build import Models, publish
+from marketlake.plans.staging import build_staging
 from marketlake.session import checkpoint_dir
 from marketlake.sources.catalog import SOURCES
-from marketlake.sources.sinks import ingest_bronze
+from marketlake.sources.lake import Lake
+from marketlake.sources.sinks import ingest_bronze, read_bronze_tables
 from marketlake.sources.testdata import bronze_from_testdata
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +61,14 @@ def delivery_status_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
         exact_avg("actual_delivery_days", 1).alias("avg_actual_delivery_days"))
 
 
+def scaled_money_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact totals of order values a million times as large, in millionths: far beyond what a long holds."""
+    orders = models(spark, sf_dir)["fct_orders"]
+    return orders.groupBy("delivery_performance_status").agg(
+        F.count(F.lit(1)).alias("total_orders"),
+        in_units(amount_sum(F.col("total_order_value") * F.lit(1e6))).cast("string").alias("total_millionths"))
+
+
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = models(spark, sf_dir)
     return quality.run_checks({name: m[name] for name in m})
@@ -90,10 +100,11 @@ def bronze_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         list(pool.map(write, SOURCES.items()))
     # Spark writes a folder of part files per source; the readers take folders.
     ingest_bronze(spark, f"{root}/landing", f"{root}/bronze", fmt="parquet")
+    bronze_tables = read_bronze_tables(spark, f"{root}/bronze", "parquet")
     parts = []
     for name, src in SOURCES.items():
         row = F.xxhash64(*[F.coalesce(c, F.lit("\x00")) for c in src.columns])
-        landed = spark.read.parquet(f"{root}/bronze/{name}")
+        landed = bronze_tables[name]
         parts += [df.groupBy(F.lit(name).alias("source"), row.alias("row")).agg(F.count(F.lit(1)).alias("n")).select(
             "source", "row", F.lit(sign).alias("sign"), (F.col("n") * sign).alias("n")) for df, sign in ((landed, 1), (texts[name], -1))]
     every = reduce(DataFrame.unionByName, parts)
@@ -104,6 +115,49 @@ def bronze_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum(F.greatest("over", F.lit(0))).alias("rows_extra"))
 
 
+def atomic_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What readers see after four builds of one folder: the first, one that fails in a task of its last layer, one whose
+    check fails, and one that succeeds.  All but the first have doubled amounts.
+
+    One row a build and table: the commit that readers got, and rows and total amount of the table as of then.
+    """
+    root = f"{checkpoint_dir(spark).rstrip('/')}/marketlake-refresh-{uuid.uuid4().hex}"
+    bronze = bronze_from_testdata(spark, sf_dir)
+
+    def layers(factor: int, broken_task: bool = False, broken_check: bool = False) -> list:
+        def staging(_):
+            stg = build_staging({n: bronze[n] for n in SOURCES})
+            items = stg["stg_order_items"].withColumns({c: F.col(c) * factor for c in ("price", "freight_value")})
+            return {"stg_orders": stg["stg_orders"], "stg_order_items": items, "stg_order_payments": stg["stg_order_payments"]}
+
+        def facts(t):
+            orders = core.fct_orders(t["stg_orders"], t["stg_order_items"])
+            return {"fct_orders": orders.unionByName(orders) if broken_check else orders,
+                    "fct_order_payments": core.fct_order_payments(t["stg_order_payments"])}
+
+        def marts(t):
+            mart = gold.payment_analysis(t["fct_order_payments"], t["fct_orders"])
+            poison = F.when(F.col("payment_type").isNotNull(), F.raise_error(F.lit("planted"))).otherwise(F.col("payment_type"))
+            return {"gold_payment_analysis": mart.withColumn("payment_type", poison) if broken_task else mart}
+        return [staging, facts, marts]
+
+    parts = []
+    for step, options in (("built", {"factor": 1}), ("task failed", {"factor": 2, "broken_task": True}),
+                          ("check failed", {"factor": 2, "broken_check": True}), ("repeated", {"factor": 2})):
+        try:
+            publish(spark, layers(**options), root, "parquet")
+        except Exception as exc:  # noqa: BLE001 - the planted failures; any other is raised
+            if not ("planted" in str(exc) and step == "task failed" or isinstance(exc, quality.QualityError) and step == "check failed"):
+                raise
+        lake = Lake(spark, root)
+        seen = lake.commit()
+        for name, amounts in (("stg_order_items", "price"), ("fct_orders", "total_order_value"),
+                              ("gold_payment_analysis", "total_associated_order_gmv")):
+            parts.append(lake.read(name, seen).agg(F.count(F.lit(1)).alias("rows"), round_money_sum(amounts).alias("total")).select(
+                F.lit(step).alias("step"), F.lit(seen.number).cast("long").alias("commit"), F.lit(name).alias("table_name"), "rows", "total"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _scenario(fn: Callable[[Models], DataFrame]) -> Query:
     return lambda spark, sf_dir: fn(models(spark, sf_dir))
 
@@ -172,6 +226,7 @@ QUERIES: dict[str, Query] = {
     "fct_orders": _model("fct_orders"),
     "seller_performance": _model("int_seller_performance"),
     "delivery_status_summary": delivery_status_summary,
+    "scaled_money_totals": scaled_money_totals,
     # gold
     "category_performance": _model("gold_category_performance"),
     "customer_cohorts": _model("gold_customer_cohorts"),
@@ -195,6 +250,7 @@ QUERIES: dict[str, Query] = {
         lambda m: scenario.corridor_display(scenario.corridor_top_k(_filtered(m), _routes(m)))),
     # sources and sinks
     "bronze_manifest": bronze_manifest,
+    "atomic_refresh": atomic_refresh,
     # data quality
     "quality_report": quality_report,
     "optimizer_violations": optimizer_violations,

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from marketlake.functions.expressions import (
-    HUBS, units_sum, count_if, exact_ratio, from_units, hub_for_state,
+    HUBS, amount_sum, amount_total, count_if, exact_ratio, from_units, hub_for_state, in_units,
 )
 from marketlake.operators.aggregates import histogram, top_k
 
@@ -72,8 +72,8 @@ def filter_routes(routes: DataFrame, states: Sequence[str] | None = None) -> Dat
 
 def scenario_kpis(filtered: DataFrame) -> DataFrame:
     """V2: one row of headline numbers for the filtered what-if lines."""
-    base = units_sum("actual_freight")
-    opt = units_sum("optimized_freight")
+    base = in_units(amount_sum("actual_freight"))
+    opt = in_units(amount_sum("optimized_freight"))
     agg = filtered.agg(
         from_units(base).alias("total_baseline_freight"),
         from_units(opt).alias("total_optimized_freight"),
@@ -139,7 +139,7 @@ def corridor_top_k(filtered: DataFrame, routes: DataFrame, k: int = 5,
     two sellers no longer mixes their corridors (routes need `seller_key`,
     see `spatial_routing(keys=True)`).
 
-    Each side is first reduced per order (line count and exact cent sums on
+    Each side is first reduced per order (line count and exact sums on
     one side, route count on the other); sums and averages over the
     many-to-many matches are then weighted by the counts.  The result equals
     aggregating the matched rows, without materializing lines x routes rows
@@ -151,13 +151,13 @@ def corridor_top_k(filtered: DataFrame, routes: DataFrame, k: int = 5,
                  F.count(F.lit(1)).alias("n_lines"),
                  F.sum("days_saved").alias("days"),
                  F.count("days_saved").alias("days_n"),
-                 units_sum("freight_dollars_saved").alias("saved"),
-                 units_sum("actual_freight").alias("actual")))
+                 amount_sum("freight_dollars_saved").alias("saved"),
+                 amount_sum("actual_freight").alias("actual")))
     legs = (routes.filter(F.col("seller_state").isNotNull())
             .groupBy(*on, "seller_state").agg(F.count(F.lit(1)).alias("n_routes")))
     w = F.col("n_routes")
-    saved = from_units(F.sum(F.col("saved") * w))
-    actual = from_units(F.sum(F.col("actual") * w))
+    saved = from_units(in_units(amount_total("saved", weight=w)))
+    actual = from_units(in_units(amount_total("actual", weight=w)))
     corridors = lines.join(legs, on, "inner").groupBy("seller_state", "customer_state").agg(
         F.count_distinct("order_key").alias("total_orders"),
         F.bround(F.sum(F.col("days") * w).cast("double") / F.sum(F.col("days_n") * w), 1)

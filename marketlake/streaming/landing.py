@@ -8,6 +8,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from marketlake.sources.catalog import SOURCES, bronze_schema
 from marketlake.sources.csv import CORRUPT
+from marketlake.sources.lake import Lake
 from marketlake.sources.sinks import exists
 
 
@@ -35,7 +36,7 @@ def land_new_files(spark: SparkSession, landing: str, bronze_dir: str, name: str
     stream = reader.csv(landing).withColumn("_source_file", F.col("_metadata.file_name"))
     target = f"{bronze_dir.rstrip('/')}/{name}"
     owned = exists(spark, f"{target}/_spark_metadata")
-    if not owned and exists(spark, target):
+    if not owned and (exists(spark, target) or name in Lake(spark, bronze_dir).commit().tables):
         raise ValueError(f"{target} belongs to a full ingest")
     landed = spark.read.schema(schema).parquet
     before = landed(target).count() if owned else 0

@@ -513,6 +513,10 @@ FROM ({_calendar("TIMESTAMP '2016-01-01'", "TIMESTAMP '2020-12-31'")}) AS c""",
 SELECT delivery_performance_status, count(*) AS total_orders,
   {RD(f"sum({M('total_order_value')})", 2)} AS total_order_value,
   {R('avg(actual_delivery_days)', 1)} AS avg_actual_delivery_days
+FROM fct_orders GROUP BY 1""",
+    "scaled_money_totals": """
+SELECT delivery_performance_status, count(*) AS total_orders,
+  CAST(sum(CAST(total_order_value * 1e6::DOUBLE * 1e6::DOUBLE AS HUGEINT)) AS VARCHAR) AS total_millionths
 FROM fct_orders GROUP BY 1""",
     "category_performance": "SELECT * FROM gold_category_performance",
     "customer_cohorts": "SELECT * FROM gold_customer_cohorts",
@@ -602,10 +606,19 @@ def _manifest_sql() -> str:
 
 
 
+def _refresh_sql() -> str:
+    tables = {"stg_order_items": "price", "fct_orders": "total_order_value", "gold_payment_analysis": "total_associated_order_gmv"}
+    steps = (("built", 1), ("task failed", 1), ("check failed", 1), ("repeated", 2))
+    return " UNION ALL ".join(
+        f"SELECT '{step}' AS step, {n}::BIGINT AS commit, '{t}' AS table_name, count(*) AS rows, {RD(f'sum({M(c)}) * {n}', 2)} AS total FROM {t}"
+        for step, n in steps for t, c in tables.items())
+
+
 def oracle_queries() -> dict[str, str]:
     """Full DuckDB statement per registered query (all CTEs prepended)."""
     with_clause = "WITH " + ",\n".join(f"{name} AS ({sql})" for name, sql in CTES) + "\n"
     final = dict(FINAL)
     final["quality_report"] = _quality_sql()
     final["bronze_manifest"] = _manifest_sql()
+    final["atomic_refresh"] = _refresh_sql()
     return {name: with_clause + sql for name, sql in final.items()}

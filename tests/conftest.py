@@ -1,6 +1,7 @@
 import os
 import sys
 import tempfile
+from contextlib import contextmanager
 
 import pytest
 
@@ -29,3 +30,16 @@ def bronze(spark, name, rows):
     cols = SOURCES[name].columns
     data = [tuple(None if r.get(c) is None else str(r.get(c)) for c in cols) for r in rows]
     return spark.createDataFrame(data, bronze_schema(name))
+
+
+@contextmanager
+def settings(spark, values):
+    """Session settings for a while; keys that had no value have none afterwards."""
+    old = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

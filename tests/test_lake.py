@@ -1,0 +1,88 @@
+"""Versioned refreshes: seen whole or not at all."""
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from marketlake.plans import build, quality
+from marketlake.plans.build import publish, run_pipeline
+from marketlake.sources.lake import ConflictError, Lake
+from marketlake.sources.testdata import bronze_from_testdata
+
+from conftest import SF_SMOKE
+
+
+def _content(lake):
+    return {n: sorted(map(str, df.collect())) for n, df in lake.read_all(["fct_orders", "gold_payment_analysis", "dim_sellers"]).items()}
+
+
+def test_a_failed_build_leaves_every_table(spark, tmpdir_fresh, monkeypatch):
+    bronze, lake = bronze_from_testdata(spark, SF_SMOKE), Lake(spark, tmpdir_fresh)
+    run_pipeline(spark, bronze, tmpdir_fresh, gate=False)
+    assert lake.commit().number == 1 and len(lake.commit().tables) == 27
+    before = _content(lake)
+    changed = {n: bronze[n] for n in bronze}
+    changed["order_items"] = changed["order_items"].withColumn("price", F.lit("1.5"))
+
+    def failing(tables):  # a task of the gold layer fails, after the marts beside it may have been written
+        out = {n: build.GOLD_BUILDERS[n](tables) for n in build.GOLD}
+        mart = out["gold_payment_analysis"]
+        return {**out, "gold_payment_analysis": mart.withColumn("payment_type", F.raise_error(F.lit("planted")))}
+    with monkeypatch.context() as m:
+        m.setattr(build, "build_gold", failing)
+        with pytest.raises(Exception, match="planted"):
+            run_pipeline(spark, changed, tmpdir_fresh, gate=False)
+    assert _content(lake) == before
+    with pytest.raises(quality.QualityError, match="review_score.*not published"):
+        run_pipeline(spark, changed, tmpdir_fresh)          # unparsable scores fail their check
+    assert _content(lake) == before and lake.commit().number == 1
+    refused = [v for v in os.listdir(f"{tmpdir_fresh}/_versions") if v != lake.commit().version]
+    assert len(refused) == 2
+    run_pipeline(spark, changed, tmpdir_fresh, gate=False)
+    assert lake.commit().number == 2 and _content(lake) != before
+    assert sorted(lake.vacuum(keep=2, older_than_ms=0)) == sorted(refused) and len(_content(lake)) == 3
+
+
+def test_readers_keep_their_version_and_partial_refreshes_the_rest(spark, tmpdir_fresh):
+    lake = Lake(spark, tmpdir_fresh)
+    assert lake.commit().number == 0 and lake.read_all() == {}
+    publish(spark, [lambda t: {"a": spark.range(3), "b": spark.range(4)}], tmpdir_fresh, checks=False)
+    old = lake.read("a")
+    publish(spark, [lambda t: {"a": spark.range(5)}, lambda t: {"c": t["a"].filter("id > 2")}], tmpdir_fresh, checks=False)
+    assert old.count() == 3
+    assert {n: df.count() for n, df in lake.read_all().items()} == {"a": 5, "b": 4, "c": 2}
+    assert lake.read("a", lake.commit(1)).count() == 3
+    assert lake.vacuum(keep=1, older_than_ms=10 ** 9) == []     # young folders stay
+    assert lake.vacuum(keep=1, older_than_ms=0) == []           # b is still of the first version
+    with pytest.raises(KeyError):
+        lake.read("d")
+
+
+def test_of_two_refreshes_one_commits(spark, tmpdir_fresh):
+    first, second = Lake(spark, tmpdir_fresh).refresh(), Lake(spark, tmpdir_fresh).refresh()
+    first.write("a", spark.range(2))
+    second.write("a", spark.range(9))
+    second.commit()
+    with pytest.raises(ConflictError):
+        first.commit()
+    assert Lake(spark, tmpdir_fresh).read("a").count() == 9
+    assert not [f for f in os.listdir(f"{tmpdir_fresh}/_commits") if not f.endswith(".json") and not f.startswith(".")]
+
+
+def test_a_source_that_fails_keeps_its_table(spark, tmpdir_fresh):
+    from marketlake.sources.sinks import ingest_bronze
+    land, bronze = os.path.join(tmpdir_fresh, "landing"), os.path.join(tmpdir_fresh, "bronze")
+    os.makedirs(land)
+
+    def sellers(text):
+        with open(os.path.join(land, "sellers.csv"), "w") as f:
+            f.write(text)
+    sellers("seller_id,seller_zip_code_prefix,seller_city,seller_state\ns1,01037,a,SP\n")
+    ingest_bronze(spark, land, bronze, fmt="parquet")
+    sellers("seller_id,seller_city\ns2,b\n")
+    with open(os.path.join(land, "category_translation.csv"), "w") as f:
+        f.write("product_category_name,product_category_name_english\nx,y\n")
+    status = {r.source: r.status for r in ingest_bronze(spark, land, bronze, fmt="parquet").collect()}
+    assert (status["sellers"], status["category_translation"]) == ("failed", "succeeded")
+    tables = Lake(spark, bronze).read_all()
+    assert tables["sellers"].first().seller_zip_code_prefix == "01037" and tables["category_translation"].count() == 1

@@ -4,7 +4,7 @@ import os
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMOKE
+from conftest import SF_SMOKE, settings
 
 from marketlake.plans import scenario
 from marketlake.plans.registry import QUERIES, models
@@ -65,15 +65,9 @@ def test_bucketed_build_joins_without_shuffle(spark, tmpdir_fresh):
     from marketlake.sources.testdata import bronze_from_testdata
     tables = run_pipeline(spark, bronze_from_testdata(spark, SF_SMOKE), tmpdir_fresh, gate=False, buckets=4)
     keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
-    old = {k: spark.conf.get(k) for k in keys}
-    for k in keys:
-        spark.conf.set(k, "-1")                       # behave as at scale: no side is small
-    try:
+    with settings(spark, dict.fromkeys(keys, "-1")):  # behave as at scale: no side is small
         ex = gold.executive_overview(tables["fct_orders"], tables["fct_order_items"], tables["dim_customers"])
         plan = spark._jvm.PythonSQLUtils.explainString(ex._jdf.queryExecution(), "simple")
-    finally:
-        for k, v in old.items():
-            spark.conf.set(k, v)
     assert "Bucketed: true" in plan
     assert "hashpartitioning(order_key" not in plan    # the order_key join reads co-partitioned buckets
     assert "hashpartitioning(customer_key" in plan     # the customer join still shuffles
@@ -94,22 +88,16 @@ def test_hot_order_key_is_split_by_adaptive_skew_join(spark):
         F.when(F.col("id") == 0, F.lit("HOT")).otherwise(F.col("id").cast("string")).alias("order_key"),
         F.lit("c").alias("customer_key"), F.lit("delivered").alias("order_status"),
         F.lit(None).cast("timestamp_ntz").alias("purchase_timestamp"))
-    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+    values = {"spark.sql.autoBroadcastJoinThreshold": "-1",
                 "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
                 "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
                 "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
                 "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
                 "spark.sql.shuffle.partitions": "8"}
-    old = {k: spark.conf.get(k, None) for k in settings}
-    for k, v in settings.items():
-        spark.conf.set(k, v)
-    try:
+    with settings(spark, values):
         df = core.fct_order_items(items, orders)
         assert len(df.collect()) == n                 # runs this plan; AQE finalizes it
         final = df._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for k, v in old.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert "isFinalPlan=true" in final
     assert "SortMergeJoin" in final and "skew=true" in final
 
@@ -190,20 +178,15 @@ def test_hot_buyer_reaches_the_cohort_window_once_per_day(spark):
     customers = orders.select("customer_key").distinct().select(
         "customer_key", F.concat(F.lit("u-"), "customer_key").alias("customer_unique_id"))
     keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
-    old = {k: spark.conf.get(k) for k in keys}
-    for k in keys:
-        spark.conf.set(k, "-1")                       # as at scale: neither side is broadcast
-    try:
+    with settings(spark, dict.fromkeys(keys, "-1")):  # as at scale: neither side is broadcast
         out = gold.customer_cohorts(orders, customers, dim_dates(fixed_bounds(spark)))
         assert out.collect()[0].total_orders == n
         records = _window_input_records(out._jdf.queryExecution().executedPlan())
-    finally:
-        for k, v in old.items():
-            spark.conf.set(k, v)
     other_buyers = n - n // 3
     assert records == [other_buyers + 5]
 
 
 def test_only_the_route_sample_is_limited(spark):
     assert "TakeOrderedAndProject(limit=3000" in _plan(E.queries()["spatial_routing"](spark, SF_SMOKE))
-    assert "Limit" not in _plan(models(spark, SF_SMOKE)["gold_spatial_routing"])
+    plan = _plan(models(spark, SF_SMOKE)["gold_spatial_routing"])
+    assert not any(limit in plan for limit in ("GlobalLimit", "LocalLimit", "CollectLimit", "TakeOrdered"))

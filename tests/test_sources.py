@@ -1,6 +1,7 @@
 """CSV landing sources, discovery and bronze ingest."""
 import os
 
+from marketlake.sources.lake import Lake
 from marketlake.plans import staging
 from marketlake.sources import csv as csv_src
 from marketlake.sources import sinks
@@ -68,7 +69,7 @@ def test_job_entry_point_build_and_check(spark, tmpdir_fresh):
                  "--file", "orders=my_orders.csv"]) == 0
     out = os.path.join(tmpdir_fresh, "marts")
     assert main(["build", "--bronze", os.path.join(tmpdir_fresh, "bronze"), "--out", out, "--no-gate"]) == 0
-    assert spark.read.parquet(os.path.join(out, "gold_executive_overview")).count() > 0
+    assert Lake(spark, out).read("gold_executive_overview").count() > 0
     with pytest.raises(QualityError, match="stg_order_reviews__review_score"):
         main(["check", "--out", out])          # the unparsable review scores fail not_null
     assert main(["scenario", "--out", out, "--states", "SP", "RJ", "--max-days", "25"]) == 0
@@ -107,5 +108,5 @@ def test_rows_with_wrong_fields_are_kept_and_counted(spark, tmpdir_fresh):
     r = manifest.filter("source = 'sellers'").first()
     assert (r.rows, r.corrupt_rows, r.status) == (3, 2, "succeeded")
     assert manifest.filter("file_name = 'unknown.csv'").first().status == "skipped"
-    bad = spark.read.parquet(os.path.join(tmpdir_fresh, "bronze", "sellers")).filter("_corrupt_record is not null")
+    bad = Lake(spark, os.path.join(tmpdir_fresh, "bronze")).read("sellers").filter("_corrupt_record is not null")
     assert {x._corrupt_record for x in bad.collect()} == {"s2,2,b,SP,more", "s3,3"}
