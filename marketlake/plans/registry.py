@@ -22,6 +22,7 @@ from marketlake.plans.staging import build_staging
 from marketlake.session import checkpoint_dir
 from marketlake.sources.catalog import SOURCES
 from marketlake.sources.lake import Lake
+from marketlake.sources.ranges import read_csv
 from marketlake.sources.sinks import ingest_bronze, read_bronze_tables
 from marketlake.sources.testdata import bronze_from_testdata
 
@@ -115,6 +116,22 @@ def bronze_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum(F.greatest("over", F.lit(0))).alias("rows_extra"))
 
 
+#: Split size of `csv_by_ranges`: small enough that the smallest tables have several ranges a file.
+RANGE_BYTES = 1 << 20
+
+
+def csv_by_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written as quoted, multi-line CSV files and read back by byte ranges, many to a file."""
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/marketlake-ranges-{uuid.uuid4().hex}"
+    columns = ["doc_id", "text", "lang", "source", "n_chars"]
+    (spark.read.parquet(f"{sf_dir}/documents.parquet").select(*columns)
+     .write.option("header", "true").option("quote", '"').option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(folder))
+    rows = read_csv(spark, folder, columns, pattern="*.csv", range_bytes=RANGE_BYTES)
+    return rows.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "source", F.col("n_chars").cast("long").alias("n_chars"),
+                       F.char_length("text").cast("long").alias("read_chars"), F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
 def atomic_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What readers see after four builds of one folder: the first, one that fails in a task of its last layer, one whose
     check fails, and one that succeeds.  All but the first have doubled amounts.
@@ -250,6 +267,7 @@ QUERIES: dict[str, Query] = {
         lambda m: scenario.corridor_display(scenario.corridor_top_k(_filtered(m), _routes(m)))),
     # sources and sinks
     "bronze_manifest": bronze_manifest,
+    "csv_by_ranges": csv_by_ranges,
     "atomic_refresh": atomic_refresh,
     # data quality
     "quality_report": quality_report,

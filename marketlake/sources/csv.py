@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from marketlake.sources.catalog import SOURCES
+from marketlake.sources.ranges import read_csv
 
 
 #: Bronze column that keeps the raw text of a row with too few or too many fields; null for good rows.
@@ -16,13 +17,13 @@ CORRUPT = "_corrupt_record"
 
 
 def read_bronze(spark: SparkSession, folder: str, name: str,
-                file_name: str | None = None, repartition: int | None = None) -> DataFrame:
+                file_name: str | None = None, range_bytes: int | None = None) -> DataFrame:
     """Read one landing CSV as its all-string bronze frame, columns found by header name.
 
     A missing column is an error; further columns are left out.  Rows with too few or too many fields stay, with
-    their raw text in `_corrupt_record`.  Plain CSVs are split by the
-    reader.  Multi-line CSVs (reviews) cannot be split inside a file, so they arrive one task per
-    file; they are dealt anew over `repartition` partitions (the session's shuffle partitions if not given).
+    their raw text in `_corrupt_record`.  Plain CSVs are split by Spark's
+    reader; multi-line CSVs (reviews), which that reader takes one task a file, are read by byte ranges
+    (`ranges.read_csv`; `range_bytes` bounds them, the session's split size if not given).
     """
     src = SOURCES[name]
     path = f"{folder.rstrip('/')}/{file_name or src.file_name}"
@@ -36,12 +37,12 @@ def read_bronze(spark: SparkSession, folder: str, name: str,
     header = reader().csv(path).columns
     if missing := [c for c in src.columns if c not in header]:
         raise ValueError(f"{path}: no column {', '.join(missing)}")
+    if src.options.get("multiLine") == "true":
+        rows = read_csv(spark, path, header, src.options, corrupt=CORRUPT, range_bytes=range_bytes)
+        return rows.select(*src.columns, CORRUPT)
     schema = StructType([StructField(c, StringType()) for c in [*header, CORRUPT]])
-    df = (reader().schema(schema).option("enforceSchema", "false").option("columnNameOfCorruptRecord", CORRUPT)
-          .csv(path).select(*src.columns, CORRUPT))
-    if repartition is None and src.options.get("multiLine") == "true":
-        repartition = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(repartition) if repartition else df
+    return (reader().schema(schema).option("enforceSchema", "false").option("columnNameOfCorruptRecord", CORRUPT)
+            .csv(path).select(*src.columns, CORRUPT))
 
 
 def read_bronze_all(spark: SparkSession, folder: str,

@@ -531,6 +531,8 @@ FROM fct_orders GROUP BY 1""",
 SELECT s.customer_state, (d.customer_state IS NOT NULL) AS is_default
 FROM (SELECT DISTINCT customer_state FROM gold_executive_overview WHERE customer_state IS NOT NULL) s
 LEFT JOIN default_states d ON s.customer_state = d.customer_state""",
+    "csv_by_ranges": """
+SELECT doc_id, lang, source, n_chars, length(text) AS read_chars, md5(text) AS text_md5 FROM documents""",
     "scenario_kpis": KPIS + ")",
     "scenario_kpis_default": KPIS + " WHERE customer_state IN (SELECT customer_state FROM default_states))",
     "lead_time_histogram": """
