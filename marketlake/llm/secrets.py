@@ -10,6 +10,8 @@ non-overlapping matches of each rule.  That equals regular-expression search for
 where of two overlapping matches the one that starts first also ends its shortest form first, as
 all rules here do.
 
+Every byte is walked a bounded number of times, whatever the text: the work grows with its length alone.
+
 Null and empty texts have no spans.  Offsets are code points, ends exclusive.
 Repeated rows and ids are kept as they are; an empty table gives an empty result.
 """
@@ -17,12 +19,9 @@ Repeated rows and ids are kept as they are; an empty table gives an empty result
 from __future__ import annotations
 
 import hashlib
-import re._constants as op
-import re._parser
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from re import IGNORECASE
 
 import numpy as np
 import pyarrow as pa
@@ -86,38 +85,34 @@ class _Nfa:
         self.steps.append([])
         return len(self.free) - 1
 
-    def add(self, items, at: int, fold: bool, backwards: bool) -> int:
+    def add(self, items: list, at: int, backwards: bool) -> int:
         """Add a parsed sequence from state `at`; its last state."""
-        for kind, arg in reversed(list(items)) if backwards else items:
-            if kind in (op.LITERAL, op.IN, op.NOT_LITERAL):
+        for kind, *args in reversed(items) if backwards else items:
+            if kind == "bytes":
                 to = self.state()
-                self.steps[at].append((_bytes(kind, arg, fold), to))
+                self.steps[at].append((args[0], to))
                 at = to
-            elif kind is op.SUBPATTERN:
-                at = self.add(arg[3], at, fold or bool(arg[1] & IGNORECASE), backwards)
-            elif kind is op.BRANCH:
+            elif kind == "group":
                 to = self.state()
-                for branch in arg[1]:
-                    self.free[self.add(branch, at, fold, backwards)].append(to)
+                for branch in args[0]:
+                    self.free[self.add(branch, at, backwards)].append(to)
                 at = to
-            elif kind is op.MAX_REPEAT:
-                least, most, inner = arg
+            else:
+                item, least, most = args
                 for _ in range(least):
-                    at = self.add(inner, at, fold, backwards)
-                if most is op.MAXREPEAT:
+                    at = self.add([item], at, backwards)
+                if most is None:
                     loop = self.state()
                     self.free[at].append(loop)
-                    self.free[self.add(inner, loop, fold, backwards)].append(loop)
+                    self.free[self.add([item], loop, backwards)].append(loop)
                     at = loop
                 else:
                     to = self.state()
                     self.free[at].append(to)
                     for _ in range(most - least):
-                        at = self.add(inner, at, fold, backwards)
+                        at = self.add([item], at, backwards)
                         self.free[at].append(to)
                     at = to
-            else:
-                raise ValueError(f"a rule uses {kind}")
         return at
 
     def closed(self, states: set[int]) -> frozenset[int]:
@@ -130,20 +125,86 @@ class _Nfa:
         return frozenset(seen)
 
 
-def _bytes(kind, arg, fold: bool) -> frozenset[int]:
-    found: set[int] = set()
-    for k, a in ([(kind, arg)] if kind is not op.IN else arg):
-        if k is op.LITERAL:
-            found.add(a)
-        elif k is op.RANGE:
-            found.update(range(a[0], a[1] + 1))
-        else:
-            raise ValueError(f"a rule uses {k}")
+class _Pattern:
+    """The rules' small language: ASCII literals, `\\xHH` and escaped signs, classes with ranges, groups `(...)` and
+    `(?i:...)` (letters in either case), `|`, and the repeats `?`, `*`, `+`, `{n}`, `{n,}` and `{n,m}`.
+
+    `items` is a sequence of ("bytes", set), ("group", sequences) and ("repeat", item, least, most or None).
+    """
+
+    def __init__(self, text: str):
+        self.text, self.at = text, 0
+        branches = self._branches(False)
+        if self.at < len(text):
+            raise ValueError(f"a rule has an open {text[self.at]!r}: {text}")
+        self.items = branches[0] if len(branches) == 1 else [("group", branches)]
+
+    def _next(self) -> str:
+        return self.text[self.at:self.at + 1]
+
+    def _take(self, sign: str) -> bool:
+        found = self.text.startswith(sign, self.at)
+        self.at += len(sign) * found
+        return found
+
+    def _branches(self, fold: bool) -> list:
+        branches = [[]]
+        while self._next() not in ("", ")"):
+            if self._take("|"):
+                branches.append([])
+            else:
+                branches[-1].append(self._repeated(self._item(fold)))
+        return branches
+
+    def _item(self, fold: bool) -> tuple:
+        if self._take("("):
+            fold = self._take("?i:") or fold
+            branches = self._branches(fold)
+            if not self._take(")"):
+                raise ValueError(f"a group does not end: {self.text}")
+            return "group", branches
+        if not self._take("["):
+            if self._next() in "^$.*+?{":
+                raise ValueError(f"a rule uses {self._next()!r}: {self.text}")
+            return "bytes", _either_case({self._sign()}, fold)
+        if self._next() == "^":
+            raise ValueError(f"a rule uses a negated class: {self.text}")
+        found: set[int] = set()
+        while not self._take("]"):
+            first = last = self._sign()
+            if self._next() == "-" and self.text[self.at + 1:self.at + 2] not in ("]", ""):
+                self.at += 1
+                last = self._sign()
+            found.update(range(first, last + 1))
+        return "bytes", _either_case(found, fold)
+
+    def _sign(self) -> int:
+        if self._take("\\x"):
+            self.at += 2
+            return int(self.text[self.at - 2:self.at], 16)
+        escaped = self._take("\\")
+        sign = self._next()
+        if not sign or escaped and sign.isalnum():
+            raise ValueError(f"a rule uses an escape: {self.text}")
+        self.at += 1
+        return ord(sign)
+
+    def _repeated(self, item: tuple) -> tuple:
+        for sign, least, most in (("?", 0, 1), ("*", 0, None), ("+", 1, None)):
+            if self._take(sign):
+                return "repeat", item, least, most
+        if self._take("{"):
+            end = self.text.index("}", self.at)
+            least, comma, most = self.text[self.at:end].partition(",")
+            self.at = end + 1
+            return "repeat", item, int(least), int(most) if most else None if comma else int(least)
+        return item
+
+
+def _either_case(found: set[int], fold: bool) -> frozenset[int]:
     if max(found) > 127:
         raise ValueError("rules are ASCII")
-    if fold:
-        found |= {ord(c) for b in found for c in (chr(b).lower(), chr(b).upper())}
-    return frozenset(found)
+    return frozenset(found | {ord(c) for b in found for c in (chr(b).lower(), chr(b).upper())}) if fold else frozenset(found)
 
 
 def compiled(rules: tuple[Rule, ...], search: bool, backwards: bool = False) -> Automaton:
@@ -154,7 +215,7 @@ def compiled(rules: tuple[Rule, ...], search: bool, backwards: bool = False) ->
     for k, rule in enumerate(rules):
         first = nfa.state()
         nfa.free[start].append(first)
-        ends[nfa.add(re._parser.parse(rule.pattern), first, False, backwards)] = 1 << k
+        ends[nfa.add(_Pattern(rule.pattern).items, first, backwards)] = 1 << k
     if search:
         nfa.steps[start].append((frozenset(range(256)), start))
     # bytes that no step tells apart share a column
@@ -204,6 +265,7 @@ class Scanner:
         self.start = self.every.rows[0]
         self.ahead = [compiled((r,), search=False) for r in rules]
         self.back = [compiled((r,), search=False, backwards=True) for r in rules]
+        self.alone = [compiled((r,), search=True) for r in rules]
 
     def ends(self, data: bytes) -> list[tuple[int, int]]:
         """(position, mask) of all bytes at which some rule ends: the one pass."""
@@ -215,18 +277,42 @@ class Scanner:
         return found
 
     def spans(self, data: bytes) -> list[tuple[int, int, int]]:
-        """(start, number of the rule, end) in bytes, sorted."""
+        """(start, number of the rule, end) in bytes, sorted.
+
+        The combined automaton also reports ends of matches that began inside the rule's previous one.  A walk back
+        that finds no start behind that one tells so; from then on to the rule's next match, the rule's own automaton, started
+        behind the previous match, says which reports count.  So each byte is walked a bounded number of times.
+        """
         behind = [0] * len(self.rules)
+        doubt: list[tuple[int, int] | None] = [None] * len(self.rules)  # the own automaton's (place, state)
         out = []
         for at, mask in self.ends(data):
             for k, rule in enumerate(self.rules):
-                if mask >> k & 1 and at >= behind[k] and (start := self._start(k, data, at, behind[k])) is not None:
-                    complete, end = self._end(k, data, start)
-                    behind[k] = end
-                    if end - complete + 1 >= rule.tail:
-                        out.append((start, k, end))
+                if not mask >> k & 1 or at < behind[k]:
+                    continue
+                if doubt[k] is not None and not self._ends_here(k, data, at, doubt):
+                    continue
+                start = self._start(k, data, at, behind[k])
+                if start is None:
+                    doubt[k] = (behind[k], 0)
+                    self._ends_here(k, data, at, doubt)
+                    continue
+                complete, end = self._end(k, data, start)
+                behind[k], doubt[k] = end, None
+                if end - complete + 1 >= rule.tail:
+                    out.append((start, k, end))
         return sorted(out)
 
+    def _ends_here(self, k: int, data: bytes, at: int, doubt: list) -> bool:
+        """Take the rule's own automaton on to `at`: whether a match that starts behind the previous one ends there."""
+        place, state = doubt[k]
+        table = self.alone[k].table
+        while place <= at:
+            state = table[state][data[place]]
+            place += 1
+        doubt[k] = (place, state)
+        return bool(self.alone[k].ends[state])
+
     def _start(self, k: int, data: bytes, at: int, limit: int) -> int | None:
         table, ends, state, found = self.back[k].table, self.back[k].ends, 0, None
         dead = _dead(self.back[k])

@@ -58,3 +58,42 @@ def test_masking(docs):
     got = sorted(((r[0], r[1], r[4]) for r in out.collect()), key=str)
     masked = "é [assign removed]\nx"
     assert got == sorted([(1, masked, len(masked)), (None, None, None), (2, "clean", 5)], key=str)
+
+
+LONG_PARTS = ["token", "=", ":", "password", " ", '"', "x", "abcdef0123", "AKIA", "f" * 24, "secret", "-----BEGIN ", "PRIVATE KEY-----", "RSA ",
+              "xoxb-", "ghp_", "a" * 20, ",", "\n", "/"]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(LONG_PARTS), max_size=14))
+def test_all_kinds_equal_search_where_matches_overlap(parts):
+    text = "".join(parts)
+    want = []
+    for k, rule in enumerate(secrets.RULES):
+        for m in re.finditer(rule.pattern, text):
+            complete = next(e for e in range(m.start() + 1, m.end() + 1) if re.fullmatch(rule.pattern, text[m.start():e]))
+            if m.end() - complete + 1 >= rule.tail:
+                want.append((m.start(), k, m.end()))
+    assert secrets.scanner(secrets.RULES).spans(text.encode()) == sorted(want)
+
+
+def test_work_is_linear_in_the_length():
+    import time
+    scan = secrets.scanner(secrets.RULES)
+    for head, run, sparse in ((b"token=password:", b"a", 2), (b"", b"f", 1), (b"AKIAAKIA", b"A", 1), (b"xoxb-xoxb-", b"-", None),
+                              (b"", b"token=password:", None), (b"-----BEGIN PRIVATE KEY-----BEGIN ", b"PRIVATE KEY ", 1), (b'token="', b" ", 0)):
+        for size in (10 ** 4, 10 ** 5, 10 ** 6):
+            data = head + run * (size // len(run))
+            begun = time.process_time()
+            spans = scan.spans(data)
+            assert time.process_time() - begun < 10
+            assert sparse is None or len(spans) == sparse
+
+
+def test_language_of_the_rules():
+    import pytest
+    for bad in ("a^", "[^a]", "(a", "a)", r"\d", "é", "a??b("):
+        with pytest.raises(ValueError):
+            secrets.compiled((secrets.Rule("x", bad),), search=False)
+    scan = secrets.Scanner((secrets.Rule("x", r"a{2}b{1,2}\x2D[\]x-z]"),))
+    assert [s for s in scan.spans(b"aab-] aabb-y aabbb-x ab-x aab-w")] == [(0, 0, 5), (6, 0, 12)]
