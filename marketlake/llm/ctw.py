@@ -80,7 +80,7 @@ def _merged(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
 
 
 def gram_counts(rows: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(gram, n, m) over all texts of `rows` (held_out, text): n in those not held out, m in all."""
+    """(gram, n, m) over texts of `rows` (held_out, text): n in those not held out, m in all; one row a gram and stretch of a task."""
     prepare_python(rows.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,8 +105,7 @@ def gram_counts(rows: DataFrame, depth: int = DEPTH) -> DataFrame:
         if held:
             yield from out()
 
-    return rows.select("held_out", "text").mapInArrow(run, "gram long, n long, m long").groupBy("gram").agg(
-        F.sum("n").alias("n"), F.sum("m").alias("m"))
+    return rows.select("held_out", "text").mapInArrow(run, "gram long, n long, m long")
 
 
 def word_counts(training: DataFrame) -> DataFrame:
@@ -295,28 +294,37 @@ def _leaves(gram: np.ndarray, n: np.ndarray, low: int, depth: int) -> tuple[Tree
 
 def _chunks(batches: Iterator[pa.RecordBatch], low: int) -> Iterator[tuple[np.ndarray, ...]]:
     """The columns of all batches (the first: grams, sorted by their last `low` bytes of context), cut between such contexts."""
-    mask, held = (1 << 8 * low) - 1, []
+    mask, held, size, last = (1 << 8 * low) - 1, [], 0, None
     for batch in batches:
-        held.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
-        if sum(len(h[0]) for h in held) >= CHUNK:
+        columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        context = columns[0] >> 8 & mask
+        if not len(context):
+            continue
+        change = np.flatnonzero(context[1:] != context[:-1])
+        # where the batch's last context begins, counted over all held rows; 0: it began with them
+        cut = size + int(change[-1]) + 1 if len(change) else size if context[0] != last else 0
+        held.append(columns)
+        size, last = size + len(context), context[-1]
+        if size >= CHUNK and cut:
             whole = [np.concatenate(x) for x in zip(*held)]
-            last = whole[0] >> 8 & mask
-            cut = int(np.flatnonzero(last != last[-1])[-1]) + 1 if (last != last[-1]).any() else 0
-            held = [[x[cut:] for x in whole]]
-            if cut:
-                yield tuple(x[:cut] for x in whole)
-    if held and sum(len(h[0]) for h in held):
+            yield tuple(x[:cut] for x in whole)
+            held, size = [[x[cut:] for x in whole]], size - cut
+    if held:
         yield tuple(np.concatenate(x) for x in zip(*held))
 
 
 def gram_scores(counted: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(gram, m, score): the log10 probability of each gram's last byte after the others; `counted` has gram, n, m."""
+    """(gram, m, score): the log10 probability of each gram's last byte after the others; `counted` has gram, n, m,
+    where a gram may have several rows.
+
+    One exchange serves the sums and the trees: both are dealt by the contexts' last bytes.
+    """
     spark = counted.sparkSession
     top = min(TOP, depth - 1)  # the driver's depth; depth is 1 at least
     low = top + 1
     context = F.shiftright("gram", 8).bitwiseAND(F.lit((1 << 8 * low) - 1))
-    dealt = checkpointed(counted.select("gram", "n", "m", context.alias("near")).repartition("near").sortWithinPartitions(
-        "near").select("gram", "n", "m"))
+    dealt = checkpointed(counted.select("gram", "n", "m", context.alias("near")).repartition("near").groupBy("near", "gram").agg(
+        F.sum("n").alias("n"), F.sum("m").alias("m")).sortWithinPartitions("near").select("gram", "n", "m"))
 
     def rise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for gram, n, _ in _chunks(batches, low):
@@ -409,7 +417,7 @@ def score_texts(docs: DataFrame, held_out: Column) -> DataFrame:
     prepare_python(spark)
     rows = pick(docs, "doc_id", "text").select("doc_id", held_out.alias("held_out"), "text")
     training = rows.where(~F.col("held_out"))
-    table = gram_scores(checkpointed(gram_counts(rows)))
+    table = gram_scores(gram_counts(rows))
     places = table.agg(F.coalesce(F.sum("m"), F.lit(0))).first()[0]
     most = table.where(F.col("m") >= max(1, -(-places // FREQUENT_GRAMS))).select("gram", "score").toPandas()
     held = spark.sparkContext.broadcast(Lookup(most["gram"].to_numpy(np.int64), most["score"].to_numpy(np.float64)))

@@ -169,3 +169,18 @@ def test_frequent_share_of_a_large_table_leaves_no_context_out(spark, monkeypatc
     assert math.isclose(scores[int.from_bytes(b"qzxwvk", "big")], want.score([b"qzxwvk"])[0] - sum(
         scores[int.from_bytes((b"\xff" * 5 + b"qzxwvk\xff")[i:i + 6], "big")] for i in (0, 1, 2, 3, 4, 6)), rel_tol=1e-4)
     assert scores[int.from_bytes(b"qzxwvk", "big")] > -0.8
+
+
+def test_chunks_hold_whole_contexts(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+    monkeypatch.setattr(ctw, "CHUNK", 50)
+    rng = np.random.default_rng(4)
+    for hot in (5, 700):
+        context = np.sort(np.concatenate([rng.integers(0, 20, 300), np.full(hot, 7)]))
+        grams = context << 8 | rng.integers(0, 256, len(context))
+        batches = [pa.RecordBatch.from_arrays([pa.array(grams[k:k + 13])], ["gram"]) for k in range(0, len(grams), 13)]
+        parts = [c[0] for c in ctw._chunks(iter(batches), 1)]
+        assert np.array_equal(np.concatenate(parts), grams) and len(parts) > 3
+        seen = [set((p >> 8).tolist()) for p in parts]
+        assert sum(map(len, seen)) == len(set().union(*seen))
