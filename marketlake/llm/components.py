@@ -16,7 +16,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     hooks to their ends (doubling the step each time), and rewrites the edges between
     the merged nodes.  Only nodes smaller than all their neighbours are left, at most half of
     them.  Hub nodes are pre-aggregated map-side (`min`), and the joins may be split
-    by adaptive execution.  Each step is cut by a reliable checkpoint.
+    by adaptive execution; they are merge joins, so the driver builds no tables for tasks.  Each step is cut by a reliable checkpoint.
     """
     links = checkpointed(
         edges.where(F.col("a") != F.col("b"))
@@ -27,7 +27,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         hooks = checkpointed(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least"))
                              .select("node", F.least("node", "least").alias("root")))
         while True:
-            ahead = hooks.select(F.col("node").alias("root"), F.col("root").alias("next"))
+            ahead = hooks.select(F.col("node").alias("root"), F.col("root").alias("next")).hint("merge")
             step = checkpointed(hooks.join(ahead, "root").select("node", "root", "next"))
             hooks = step.select("node", F.col("next").alias("root"))
             if step.where("root != next").isEmpty():
@@ -35,11 +35,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
         if labels is None:
             labels = hooks.select("node", F.col("root").alias("component"))
         else:
-            labels = labels.join(hooks.withColumnRenamed("node", "component"), "component", "left").select(
-                "node", F.coalesce("root", "component").alias("component"))
-        labels = checkpointed(labels)
-        to_a = hooks.select(F.col("node").alias("a"), F.col("root").alias("x"))
-        to_b = hooks.select(F.col("node").alias("b"), F.col("root").alias("y"))
+            labels = checkpointed(labels.join(hooks.withColumnRenamed("node", "component").hint("merge"), "component", "left").select(
+                "node", F.coalesce("root", "component").alias("component")))
+        to_a = hooks.select(F.col("node").alias("a"), F.col("root").alias("x")).hint("merge")
+        to_b = hooks.select(F.col("node").alias("b"), F.col("root").alias("y")).hint("merge")
         links = checkpointed(
             links.join(to_a, "a").join(to_b, "b").where(F.col("x") != F.col("y"))
             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())

@@ -149,14 +149,14 @@ def links_between(groups: DataFrame, max_bits: int) -> DataFrame:
     where = ["seg", "key"]
     main = stored.groupBy(*where, "grp").agg(F.count("*").alias("n")).groupBy(*where).agg(
         F.max_by("grp", F.struct("n", "grp")).alias("main"), F.count("*").alias("groups"))
-    table = stored.join(main, where).select(
+    table = stored.join(main.hint("merge"), where).select(
         *where, F.col("fp").alias("other"), F.col("grp").alias("other_grp"),
         (F.col("grp") != F.col("main")).cast("int").alias("minor"))
     # a probe of the bucket's main group meets the other groups only
-    asked = probes.join(main, where).where((F.col("groups") > 1) | (F.col("grp") != F.col("main"))).select(
+    asked = probes.join(main.hint("merge"), where).where((F.col("groups") > 1) | (F.col("grp") != F.col("main"))).select(
         *where, "fp", "grp",
         F.explode(F.when(F.col("grp") == F.col("main"), F.array(F.lit(1))).otherwise(F.array(F.lit(0), F.lit(1)))).alias("minor"))
-    met = asked.join(table, (asked["seg"] == table["seg"]) & (asked["key"] == table["key"])
+    met = asked.join(table.hint("merge"), (asked["seg"] == table["seg"]) & (asked["key"] == table["key"])
                      & (asked["minor"] == table["minor"])
                      & (F.col("grp") != F.col("other_grp"))
                      & (F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= max_bits))
@@ -168,12 +168,12 @@ def fingerprint_components(prints: DataFrame, max_bits: int = MAX_BITS) -> DataF
     distinct = checkpointed(prints.select("fp").distinct())
     if max_bits >= 2:
         close = near_groups(distinct)
-        groups = checkpointed(distinct.join(close.withColumnRenamed("node", "fp"), "fp", "left").select(
+        groups = checkpointed(distinct.join(close.withColumnRenamed("node", "fp").hint("merge"), "fp", "left").select(
             "fp", F.coalesce("component", "fp").alias("grp")))
     else:
         groups = distinct.select("fp", F.col("fp").alias("grp"))
     joined = connected_components(links_between(groups, max_bits))
-    return groups.join(joined.withColumnRenamed("node", "grp"), "grp", "left").select(
+    return groups.join(joined.withColumnRenamed("node", "grp").hint("merge"), "grp", "left").select(
         "fp", F.coalesce("component", "grp").alias("grp"))
 
 
@@ -181,10 +181,10 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int
     """One row per document: doc_id, fp, grp (component as a fingerprint), component_id (smallest doc_id)."""
     prints = checkpointed(fingerprints(docs, shingle))
     grouped = checkpointed(fingerprint_components(prints, max_bits))
-    ids = prints.groupBy("fp").agg(F.min("doc_id").alias("least")).join(grouped, "fp")
+    ids = prints.groupBy("fp").agg(F.min("doc_id").alias("least")).join(grouped.hint("merge"), "fp")
     first = ids.groupBy("grp").agg(F.min("least").alias("component_id"))
-    names = grouped.join(first, "grp").select("fp", "grp", "component_id")
-    return prints.join(names, "fp").select("doc_id", "fp", "grp", "component_id")
+    names = grouped.join(first.hint("merge"), "grp").select("fp", "grp", "component_id")
+    return prints.join(names.hint("merge"), "fp").select("doc_id", "fp", "grp", "component_id")
 
 
 def near_duplicate_query(docs: DataFrame) -> DataFrame:
