@@ -10,10 +10,11 @@ matrices tokens x groups of A and B has an entry for each pair inside one group.
 Both tokenizers are cut at the same places (see `units`), and those places are group borders, so a text's matrices are
 block diagonal with one block a unit: products are taken once for each distinct unit of a worker.
 
-Counts.  First pass: each task counts, over whole documents, in how many of them an id pair is linked; counts are
-summed over the cluster (`pair_counts`).  Second pass (`align`): pairs that are in at least one of `FREQUENT` of all (document, pair)
-incidences, so at most that many, are sent to the tasks; all other pairs of a document are joined to the
-table of counts.  The highest count of each A id (at most one number for each id of the vocabulary) is sent too.
+Counts.  `linked` encodes each document once and writes its numbers, its digest and its distinct linked id pairs.  From that table
+`pair_counts` counts in how many documents an id pair is linked, and `align` adds the counts up: pairs
+that are in at least one of `FREQUENT` of all (document, pair) incidences, so at most that many, are sent to the tasks; all other
+pairs of a document are joined to the table of counts.  The highest count of each A id (at most one number
+for each id of the vocabulary) is sent too.
 
 Null and empty texts, and texts whose joined token bytes are not the led text (U+2581, which the
 piece model writes as a space), have no tokens: zeros and an empty digest.  Repeated rows count as often as they occur, in the
@@ -45,9 +46,6 @@ SPACE = "▁"
 #: At most so many id pairs are sent to the tasks.
 FREQUENT = 1 << 20
 
-#: Distinct id pairs a task holds before it hands its counts on.
-HELD_PAIRS = 1 << 21
-
 #: Units kept by a worker, and bytes of text whose units are taken at once.
 STORE = 1 << 19
 PIECE_BYTES = 4 << 20
@@ -253,37 +251,54 @@ def _document_pairs(stretches: list, good: np.ndarray, aligner: Aligner) -> tupl
     return text[at], pair[at], np.add.reduceat(time, at) if len(at) else time
 
 
-def pair_counts(docs: DataFrame, tokenizer_file: str = TOKENIZER_FILE, model_file: str = MODEL_FILE) -> DataFrame:
-    """(pair, n): the number of documents in which an id pair is linked."""
+def linked(docs: DataFrame, tokenizer_file: str = TOKENIZER_FILE, model_file: str = MODEL_FILE) -> DataFrame:
+    """One row a document: doc_id, numbers of tokens, groups and links, the digest of its groups, and its linked id pairs.
+
+    `pairs` holds each pair once, ascending, and `times` how often it is linked.
+    """
     spark = docs.sparkSession
     prepare_python(spark)
     files = _files(spark, tokenizer_file, model_file)
+    rows = pick(docs, "doc_id", "text")
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    names = Aligner.COLUMNS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = _aligner(*files.value)
-        pairs, counts, fresh = np.zeros(0, np.int64), np.zeros(0, np.int64), []
+        for batch in gathered(batches, PIECE_BYTES):
+            n = batch.num_rows
+            stretches = _stretches(batch.column(1), aligner)
+            good = _good_texts(stretches, n, aligner)
+            sums = {c: np.zeros(n, np.int64) for c in names}
+            hashes = [None] * n
+            for units, of in stretches:
+                for c, values in zip(names, aligner.numbers[units].T):
+                    sums[c] += np.bincount(of, values, n).astype(np.int64)
+                texts = list(map(aligner.texts.__getitem__, units.tolist()))
+                cut = np.flatnonzero(np.diff(of, prepend=-1)).tolist()
+                for k, lo, hi in zip(of[cut].tolist(), cut, [*cut[1:], len(of)]):
+                    if good[k]:
+                        stretch = b";".join(texts[lo:hi])
+                        if hashes[k] is None:
+                            hashes[k] = hashlib.sha256(stretch)
+                        else:
+                            hashes[k].update(b";" + stretch)
+            for c in names:
+                sums[c][~good] = 0
+            text, pair, times = _document_pairs(stretches, good, aligner)
+            ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(text, minlength=n))]).astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), *[pa.array(sums[c]) for c in names], pa.array([h.hexdigest() if h else "" for h in hashes]),
+                 pa.ListArray.from_arrays(ends, pa.array(pair)), pa.ListArray.from_arrays(ends, pa.array(times))],
+                ["doc_id", *names, "groups_sha256", "pairs", "times"])
 
-        def folded() -> tuple[np.ndarray, np.ndarray]:
-            key = np.concatenate([pairs] + [f[0] for f in fresh])
-            number = np.concatenate([counts] + [f[1] for f in fresh])
-            own, inverse = np.unique(key, return_inverse=True)
-            return own, np.bincount(inverse, number, len(own)).astype(np.int64)
+    return rows.mapInArrow(run, f"doc_id {kind}, " + ", ".join(f"{c} long" for c in names)
+                           + ", groups_sha256 string, pairs array<long>, times array<long>")
 
-        for batch in gathered(batches, PIECE_BYTES):
-            stretches = _stretches(batch.column(0), aligner)
-            _, pair, _ = _document_pairs(stretches, _good_texts(stretches, batch.num_rows, aligner), aligner)
-            fresh.append(np.unique(pair, return_counts=True))
-            if sum(len(f[0]) for f in fresh) > HELD_PAIRS:
-                pairs, counts = folded()
-                fresh = []
-                if len(pairs) > HELD_PAIRS:
-                    yield pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(counts)], ["pair", "n"])
-                    pairs, counts = pairs[:0], counts[:0]
-        pairs, counts = folded()
-        if len(pairs):
-            yield pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(counts)], ["pair", "n"])
-
-    return pick(docs, "text").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+
+def pair_counts(found: DataFrame) -> DataFrame:
+    """(pair, n): the number of documents of `linked` that hold an id pair."""
+    return found.select(F.explode("pairs").alias("pair")).groupBy("pair").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _best(counts: DataFrame) -> dict[int, int]:
@@ -302,85 +317,65 @@ def _frequent(counts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray, boo
     return pairs[order], table["n"].to_numpy()[order], len(pairs) == rows
 
 
-def align(docs: DataFrame, counts: DataFrame, frequent: int = FREQUENT, tokenizer_file: str = TOKENIZER_FILE,
-          model_file: str = MODEL_FILE) -> DataFrame:
-    """One row a document: numbers of tokens, groups and links, links of the highest count, sum of counts, group digest.
+def align(found: DataFrame, counts: DataFrame, frequent: int = FREQUENT) -> DataFrame:
+    """One row a document of `found` (see `linked`): numbers of tokens, groups and links, links of the highest count, sum of counts, digest.
 
-    `counts` is read several times: pass a written table.
+    `found` and `counts` (see `pair_counts`) are read several times: pass written tables.
     """
-    spark = docs.sparkSession
+    spark = found.sparkSession
     prepare_python(spark)
-    files = _files(spark, tokenizer_file, model_file)
     pairs, numbers, whole = _frequent(counts, frequent)
     best = _best(counts)
     top = np.zeros(max(best, default=0) + 1, np.int64)
     top[list(best)] = list(best.values())
     known = spark.sparkContext.broadcast((pairs, numbers, top))
-    rows = pick(docs, "doc_id", "text")
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    names = Aligner.COLUMNS
+    own = ["doc_id", *Aligner.COLUMNS, "groups_sha256"]
+    kind = found.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = _aligner(*files.value)
         pairs, numbers, top = known.value
-        for batch in gathered(batches, PIECE_BYTES):
+        for batch in batches:
             n = batch.num_rows
-            stretches = _stretches(batch.column(1), aligner)
-            good = _good_texts(stretches, n, aligner)
-            sums = {c: np.zeros(n, np.int64) for c in names}
-            hashes = [None] * n
-            for units, of in stretches:
-                for c, values in zip(names, aligner.numbers[units].T):
-                    sums[c] += np.bincount(of, values, n).astype(np.int64)
-                texts = list(map(aligner.texts.__getitem__, units.tolist()))
-                cut = np.flatnonzero(np.diff(of, prepend=-1)).tolist()
-                for k, lo, hi in zip(of[cut].tolist(), cut, [*cut[1:], len(of)]):
-                    if good[k]:
-                        stretch = b";".join(texts[lo:hi])
-                        if hashes[k] is None:
-                            hashes[k] = hashlib.sha256(stretch)
-                        else:
-                            hashes[k].update(b";" + stretch)
-            text, pair, times = _document_pairs(stretches, good, aligner)
+            lists, weights = batch.column(len(own)), batch.column(len(own) + 1)
+            text = np.repeat(np.arange(n), np.diff(lists.offsets.to_numpy()))
+            pair, times = lists.flatten().to_numpy(), weights.flatten().to_numpy()
             place = np.minimum(np.searchsorted(pairs, pair), max(len(pairs) - 1, 0))
             hit = pairs[place] == pair if len(pairs) else np.zeros(len(pair), bool)
             count = numbers[place[hit]]
-            highest = count == top[pair[hit] >> SHIFT]
-            n_best = np.bincount(text[hit], times[hit] * highest, n).astype(np.int64)
-            total = np.zeros(n, np.int64)
+            n_best, total = np.zeros(n, np.int64), np.zeros(n, np.int64)
+            np.add.at(n_best, text[hit], times[hit] * (count == top[pair[hit] >> SHIFT]))
             np.add.at(total, text[hit], times[hit] * count)
-            rare, rare_of = ~hit, text[~hit]
-            ends = np.concatenate([[0], np.cumsum(np.bincount(rare_of, minlength=n))]).astype(np.int32)
+            rare = ~hit
+            ends = np.concatenate([[0], np.cumsum(np.bincount(text[rare], minlength=n))]).astype(np.int32)
             rest = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(
                 [pa.array(pair[rare]), pa.array(times[rare])], ["pair", "times"]))
-            for c in names:
-                sums[c][~good] = 0
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *[pa.array(sums[c]) for c in names], pa.array(n_best), pa.array(total),
-                 pa.array([h.hexdigest() if h else "" for h in hashes]), rest],
-                ["doc_id", *names, "n_best", "count_sum", "groups_sha256", "rest"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(own)], pa.array(n_best), pa.array(total), rest],
+                                             [*own, "n_best", "count_sum", "rest"])
 
-    found = rows.mapInArrow(run, f"doc_id {kind}, " + ", ".join(f"{c} long" for c in names)
-                            + ", n_best long, count_sum long, groups_sha256 string, rest array<struct<pair:long,times:long>>")
+    scored = found.select(*own, "pairs", "times").mapInArrow(
+        run, f"doc_id {kind}, " + ", ".join(f"{c} long" for c in Aligner.COLUMNS)
+        + ", groups_sha256 string, n_best long, count_sum long, rest array<struct<pair:long,times:long>>")
     if whole:
-        return found.drop("rest")
+        return scored.drop("rest")
     folder = f"{checkpoint_dir(spark).rstrip('/')}/alignment-{uuid.uuid4().hex}"
-    found.withColumn("row", F.monotonically_increasing_id()).write.parquet(folder)
-    found = spark.read.parquet(folder)
+    scored.withColumn("row", F.monotonically_increasing_id()).write.parquet(folder)
+    scored = spark.read.parquet(folder)
     top_counts = counts.withColumn("a", F.expr(f"cast(shiftright(pair, {SHIFT}) as int)"))
     highest = spark.createDataFrame([(int(a), int(m)) for a, m in best.items()], "a int, top long")
-    rest = found.select("row", F.explode("rest").alias("r")).select("row", "r.pair", "r.times")
+    rest = scored.select("row", F.explode("rest").alias("r")).select("row", "r.pair", "r.times")
     more = rest.join(top_counts, "pair").join(F.broadcast(highest), "a").groupBy("row").agg(
         F.sum(F.when(F.col("n") == F.col("top"), F.col("times")).otherwise(0)).alias("more_best"),
         F.sum(F.col("times") * F.col("n")).alias("more_sum"))
-    return found.drop("rest").join(more, "row", "left").select(
-        "doc_id", *names, (F.col("n_best") + F.coalesce("more_best", F.lit(0))).alias("n_best"),
-        (F.col("count_sum") + F.coalesce("more_sum", F.lit(0))).alias("count_sum"), "groups_sha256")
+    return scored.drop("rest").join(more, "row", "left").select(
+        *own, (F.col("n_best") + F.coalesce("more_best", F.lit(0))).alias("n_best"),
+        (F.col("count_sum") + F.coalesce("more_sum", F.lit(0))).alias("count_sum"))
 
 
 def alignment_query(docs: DataFrame, frequent: int = FREQUENT) -> DataFrame:
     """The contract's columns for `op12_tokenizer_alignment`, and n_shared, the pairs inside one group."""
     spark = docs.sparkSession
     folder = f"{checkpoint_dir(spark).rstrip('/')}/alignment-{uuid.uuid4().hex}"
-    pair_counts(docs).write.parquet(f"{folder}/pairs")
-    return align(docs, spark.read.parquet(f"{folder}/pairs"), frequent)
+    linked(docs).write.option("compression", "zstd").parquet(f"{folder}/linked")
+    found = spark.read.parquet(f"{folder}/linked")
+    pair_counts(found).write.parquet(f"{folder}/pairs")
+    return align(found, spark.read.parquet(f"{folder}/pairs"), frequent)
