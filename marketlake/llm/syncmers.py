@@ -5,10 +5,12 @@ each window of K tokens the hashes of its inner windows of S tokens are compared
 is an anchor (a closed syncmer) if the smallest stands at its left or right
 edge.  Whether a window is an anchor depends on that window alone, so a passage
 has the same anchors wherever it stands.  The fingerprint holds every anchor of the text with the place of its
-first token, in order; `placed` matches two fingerprints by anchor and difference of places.  Beside it
-stands a bottom-k sketch, the `SKETCH` smallest distinct hashes of the anchors (all, if there are fewer): the likeness of
-two sketches is the share of the smallest hashes of their union that both have, an
-unbiased estimate of the Jaccard likeness of the anchor sets, and exact for short texts.
+first token, in order; `placed` matches two fingerprints by anchor and difference of places over the cluster.
+
+Likeness compares two whole fingerprints inside a row by position: a link is two neighbouring anchors and how far
+apart they stand, so links are equal where both texts have the same two anchors at the same distance, wherever the
+stretch stands.  The likeness is the share of all distinct links of both that both have (a fingerprint of one
+anchor is its own link).
 
 Null is the empty text.  A text without words has an empty fingerprint; one without
 an anchor (it has few words) has the hashes of its tokens in their place.
@@ -27,7 +29,6 @@ from marketlake.session import checkpoint_dir
 
 K = 5
 S = 2
-SKETCH = 128
 TOKEN = r"([^\x20\x09-\x0D]{1,24})"
 
 #: Neighbouring ids that are sorted together: a group has this many documents at most (ids repeated aside).
@@ -58,15 +59,12 @@ def with_places(df: DataFrame, text: str, out: str, k: int = K, s: int = S) -> D
              else transform({h}, (x, i) -> shiftleft(shiftrightunsigned(x, 33), 32) | bigint(i)) end""")).drop(h, g)
 
 
-def with_anchors(df: DataFrame, text: str, out: str, k: int = K, s: int = S, sketch: int = SKETCH) -> DataFrame:
-    """`df` and column `out`: the sketch of column `text` as a sorted array of 31-bit hashes."""
-    return with_sketch(with_places(df, text, out, k, s), out, out, sketch)
-
-
-def with_sketch(df: DataFrame, places: str, out: str, sketch: int = SKETCH) -> DataFrame:
-    """`df` and column `out`: the sketch of the anchors in column `places`."""
-    return df.withColumn(out, F.expr(
-        f"slice(sort_array(array_distinct(transform({places}, p -> int(shiftright(p, 32))))), 1, {sketch})"))
+def links(places: str) -> str:
+    """SQL of the links of the anchors in column `places`: neighbouring anchors and their distance, hashed to longs."""
+    return f"""
+        if(size({places}) < 2, transform({places}, p -> xxhash64(shiftright(p, 32))),
+           transform(sequence(0, size({places}) - 2), i -> xxhash64(
+               shiftright({places}[i], 32), shiftright({places}[i + 1], 32), ({places}[i + 1] & 4294967295) - ({places}[i] & 4294967295))))"""
 
 
 def placed(pairs: DataFrame, key: str, a: str, b: str) -> DataFrame:
@@ -82,36 +80,35 @@ def placed(pairs: DataFrame, key: str, a: str, b: str) -> DataFrame:
         F.count("*").alias("anchors"), F.min("at_a").alias("first"), F.max("at_a").alias("last"))
 
 
-def as_text(anchors: Column, digits: int = 16) -> Column:
-    """Anchors as lowercase hex: eight digits of hash and eight of place, or (8) those of a sketch's hash."""
-    return F.lower(F.array_join(F.transform(anchors, lambda x: F.lpad(F.hex(x), digits, "0")), ""))
+def as_text(anchors: Column) -> Column:
+    """Anchors as lowercase hex: eight digits of hash and eight of place."""
+    return F.lower(F.array_join(F.transform(anchors, lambda x: F.lpad(F.hex(x), 16, "0")), ""))
 
 
-def likeness(a: str, b: str, sketch: int = SKETCH) -> Column:
-    """Likeness (0 to 1) of two sketch columns."""
-    union = f"slice(sort_array(array_union({a}, {b})), 1, {sketch})"
+def likeness(a: str, b: str) -> Column:
+    """Likeness (0 to 1) of two columns of links."""
     return F.expr(f"""
-        case when {a} = {b} then 1.0D
+        case when size({a}) = 0 and size({b}) = 0 then 1.0D
              when size({a}) = 0 or size({b}) = 0 then 0.0D
-             else size(array_intersect({union}, array_intersect({a}, {b}))) / double(least({sketch}, size(array_union({a}, {b})))) end""")
+             else size(array_intersect({a}, {b})) / double(size(array_union({a}, {b}))) end""")
 
 
 def _groups_in_order(groups: DataFrame) -> DataFrame:
     """(kind, grp, next_kind, next_grp) of distinct (kind, grp), descending, the first after the last.
 
-    Two levels: within 2^GROUP_BITS neighbouring groups, then over their first ones.
+    The groups are range partitioned; only the first one of each partition is ordered globally.
     """
-    high = groups.withColumn("high", F.shiftright("grp", GROUP_BITS))
-    inside = high.withColumn("next_grp", F.lead("grp").over(
-        Window.partitionBy("kind", "high").orderBy(F.desc("grp"))))
-    every = Window.orderBy(F.desc("kind"), F.desc("high"))
-    tops = high.groupBy("kind", "high").agg(F.max("grp").alias("top")).select(
-        "kind", "high", F.struct("kind", "top").alias("here")).select(
-        "kind", "high", F.coalesce(F.lead("here").over(every), F.first("here").over(
-            every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("then"))
-    return inside.join(tops, ["kind", "high"]).select(
-        "kind", "grp", F.when(F.col("next_grp").isNotNull(), F.col("kind")).otherwise(F.col("then.kind")).alias("next_kind"),
-        F.coalesce("next_grp", "then.top").alias("next_grp"))
+    descending = [F.desc("kind"), F.desc("grp")]
+    tasks = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # written, so that a partition's number and its rows stay what they are
+    dealt = checkpointed(groups.repartitionByRange(tasks, *descending).withColumn("part", F.spark_partition_id()))
+    inside = dealt.withColumn("then", F.lead(F.struct("kind", "grp")).over(Window.partitionBy("part").orderBy(*descending)))
+    every = Window.orderBy("part")  # one row a partition
+    tops = dealt.groupBy("part").agg(F.max(F.struct("kind", "grp")).alias("here")).select(
+        "part", F.coalesce(F.lead("here").over(every), F.first("here").over(
+            every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("after"))
+    return inside.join(tops, "part").withColumn("then", F.coalesce("then", "after")).select(
+        "kind", "grp", F.col("then.kind").alias("next_kind"), F.col("then.grp").alias("next_grp"))
 
 
 def _ordered(df: DataFrame) -> DataFrame:
@@ -151,15 +148,17 @@ def with_next(rows: DataFrame, *carried: str) -> DataFrame:
 def fingerprint_query(docs: DataFrame) -> DataFrame:
     """The contract's columns for `op3_document_fingerprints`."""
     rows = pick(docs, "doc_id", "text").withColumn("text", F.coalesce("text", F.lit("")))
-    paired = with_next(with_anchors(rows, "text", "anchors"), "text", "anchors")
+    paired = with_next(rows, "text").withColumn("next_text", F.col("next.text"))
     edited = paired.withColumn("n_chars", F.char_length("text").cast("long")).withColumn(
         "swap", F.floor(F.col("n_chars") / 3).cast("int")).withColumn(
-        "edited", F.concat(F.expr("left(text, int(n_chars) - swap)"), F.expr("left(next.text, swap)"))).withColumn(
-        "next_anchors", F.col("next.anchors"))
-    # places are made from the text again: they need not go through the shuffle
-    both = with_places(with_places(edited, "text", "places"), "edited", "edited_places")
-    return with_sketch(both, "edited_places", "edited_anchors").select(
+        "edited", F.concat(F.expr("left(text, int(n_chars) - swap)"), F.expr("left(next_text, swap)")))
+    # all three fingerprints are made behind the shuffle: only texts go through it
+    placed_rows = edited
+    for text, out in (("text", "places"), ("edited", "edited_places"), ("next_text", "next_places")):
+        placed_rows = with_places(placed_rows, text, out)
+    linked = placed_rows.withColumns({f"{c}_links": F.expr(links(c)) for c in ("places", "edited_places", "next_places")})
+    return linked.select(
         "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         as_text(F.col("places")).alias("fingerprint"), as_text(F.col("edited_places")).alias("edited_fingerprint"),
-        likeness("anchors", "edited_anchors").alias("near_edited"), likeness("anchors", "next_anchors").alias("near_next"),
-        as_text(F.col("anchors"), 8).alias("sketch"))
+        likeness("places_links", "edited_places_links").alias("near_edited"),
+        likeness("places_links", "next_places_links").alias("near_next"))
