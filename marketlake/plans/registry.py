@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.functions.expressions import amount_sum, exact_avg, in_units, round_money_sum
+from marketlake.operators.digests import compare_tables
 from marketlake.plans import core, gold, quality, scenario
 from marketlake.plans.build import Models, publish
 from marketlake.plans.staging import build_staging
@@ -84,7 +85,7 @@ def bronze_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The derived bronze frames are written as landing CSV files (under the shared
     checkpoint root) and ingested through the CSV readers.  The result compares the ingested
-    tables with their sources by a hash of whole rows: rows missing and rows that
+    tables with their sources by bucketed digests of whole rows (`operators.digests`): rows missing and rows that
     should not be there.
     """
     root = f"{checkpoint_dir(spark).rstrip('/')}/marketlake-landing-{uuid.uuid4().hex}"
@@ -102,18 +103,8 @@ def bronze_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Spark writes a folder of part files per source; the readers take folders.
     ingest_bronze(spark, f"{root}/landing", f"{root}/bronze", fmt="parquet")
     bronze_tables = read_bronze_tables(spark, f"{root}/bronze", "parquet")
-    parts = []
-    for name, src in SOURCES.items():
-        row = F.xxhash64(*[F.coalesce(c, F.lit("\x00")) for c in src.columns])
-        landed = bronze_tables[name]
-        parts += [df.groupBy(F.lit(name).alias("source"), row.alias("row")).agg(F.count(F.lit(1)).alias("n")).select(
-            "source", "row", F.lit(sign).alias("sign"), (F.col("n") * sign).alias("n")) for df, sign in ((landed, 1), (texts[name], -1))]
-    every = reduce(DataFrame.unionByName, parts)
-    per_row = every.groupBy("source", "row").agg(
-        F.sum("n").alias("over"), F.sum(F.when(F.col("sign") > 0, F.col("n")).otherwise(0)).alias("rows"))
-    return per_row.groupBy("source").agg(
-        F.sum("rows").alias("rows"), F.sum(F.greatest(-F.col("over"), F.lit(0))).alias("rows_missing"),
-        F.sum(F.greatest("over", F.lit(0))).alias("rows_extra"))
+    pairs = {name: (bronze_tables[name], texts[name], list(src.columns)) for name, src in SOURCES.items()}
+    return compare_tables(pairs).withColumnRenamed("name", "source")
 
 
 #: Split size of `csv_by_ranges`: small enough that the smallest tables have several ranges a file.
