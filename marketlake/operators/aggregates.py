@@ -28,7 +28,7 @@ def distinct_then_avg(df: DataFrame, keys: Sequence[str], grain: Sequence[str],
 
 
 def histogram(df: DataFrame, series: Mapping[str, Column], width: float,
-              lo: float, hi: float) -> DataFrame:
+              lo: float, hi: float, weight: Column | None = None, by: Sequence[str] = ()) -> DataFrame:
     """Fixed-width bins [lo + i*width, lo + (i+1)*width).
 
     Edges step from `lo` by `width` until they reach or pass `hi`.  Values below
@@ -36,7 +36,8 @@ def histogram(df: DataFrame, series: Mapping[str, Column], width: float,
     the last (no end), so that the counts add up; nulls and NaN are in no bin.  All series are
     stacked in one pass (explode of a struct array, no union
     re-scan) and counted with a partial aggregate; only non-empty bins appear.
-    Output: series, bin_index, bin_start, bin_end, n.
+    With `weight` a row counts that many times; `by` counts each group of those columns on its own.
+    Output: the columns `by`, series, bin_index, bin_start, bin_end, n.
     """
     stacked = F.explode(F.array(*[
         F.struct(F.lit(name).alias("series"), col.cast("double").alias("x"))
@@ -47,12 +48,12 @@ def histogram(df: DataFrame, series: Mapping[str, Column], width: float,
     idx = (F.when(x < F.lit(lo), F.lit(-1)).when(x >= F.lit(lo + bins * width), F.lit(bins))
            .otherwise(F.floor((x - F.lit(lo)) / F.lit(width)).cast("int")))
     return (
-        df.select(stacked)
+        df.select(*by, (F.lit(1).cast("long") if weight is None else weight).alias("__weight"), stacked)
         .filter(x.isNotNull() & ~F.isnan(x))
-        .groupBy(F.col("s.series").alias("series"), idx.alias("bin_index"))
-        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy(*by, F.col("s.series").alias("series"), idx.alias("bin_index"))
+        .agg(F.sum("__weight").alias("n"))
         .select(
-            "series", "bin_index",
+            *by, "series", "bin_index",
             F.when(F.col("bin_index") >= 0, F.lit(lo) + F.col("bin_index") * F.lit(width)).alias("bin_start"),
             F.when(F.col("bin_index") < bins, F.lit(lo) + (F.col("bin_index") + 1) * F.lit(width)).alias("bin_end"),
             "n",

@@ -15,9 +15,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.functions.expressions import amount_sum, exact_avg, in_units, round_money_sum
+from marketlake.functions.expressions import STATE_BY_NATION, amount_sum, exact_avg, in_units, round_money_sum
 from marketlake.operators.digests import compare_tables
-from marketlake.plans import core, gold, quality, scenario
+from marketlake.plans import core, cube, gold, quality, scenario
 from marketlake.plans.build import Models, publish
 from marketlake.plans.staging import build_staging
 from marketlake.session import checkpoint_dir
@@ -178,6 +178,33 @@ def _routes(m: Models) -> DataFrame:
     return scenario.filter_routes(m["gold_spatial_routing"])
 
 
+#: Longest times for which the cube queries answer every selection of states.
+CUBE_DAYS = (10, 20, 30)
+
+
+def _cube_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cells of every selection of the eight states, from a written cube: the lines are read once."""
+    place = f"{checkpoint_dir(spark).rstrip('/')}/marketlake-cube-{uuid.uuid4().hex}"
+    cube.scenario_cube(models(spark, sf_dir)["gold_executive_overview"]).write.parquet(place)
+    return cube.selected(spark.read.parquet(place), STATE_BY_NATION, CUBE_DAYS)
+
+
+def cube_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headline numbers of all 2^8 selections of states and three longest times, from the cube."""
+    return cube.kpis(_cube_cells(spark, sf_dir), "selection", "max_days")
+
+
+def cube_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lead-time histograms of the same selections, from the cube."""
+    return cube.lead_times(_cube_cells(spark, sf_dir), "selection", "max_days")
+
+
+def cube_hub_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hub load of the same selections, from the cube."""
+    return cube.hub_load(_cube_cells(spark, sf_dir), "selection", "max_days").select(
+        "selection", "max_days", "hub_name", "capacity", "orders_handled")
+
+
 def spatial_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The route sample: its 3,000 rows are the feature (O1); the written table has every route."""
     m = models(spark, sf_dir)
@@ -251,6 +278,9 @@ QUERIES: dict[str, Query] = {
     "scenario_kpis": _scenario(lambda m: scenario.scenario_kpis(_filtered(m))),
     "lead_time_histogram": _scenario(lambda m: scenario.lead_time_histogram(_filtered(m))),
     "hub_load": _scenario(lambda m: scenario.hub_load(_filtered(m))),
+    "cube_kpis": cube_kpis,
+    "cube_histogram": cube_histogram,
+    "cube_hub_load": cube_hub_load,
     "corridor_top_k": _scenario(lambda m: scenario.corridor_top_k(_filtered(m), _routes(m))),
     "route_centroid": _scenario(lambda m: scenario.route_centroid(_routes(m))),
     "route_legs": _scenario(lambda m: scenario.route_legs(_routes(m))),

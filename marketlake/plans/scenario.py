@@ -82,8 +82,13 @@ def scenario_kpis(filtered: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_lines"),
         count_if(F.col("actual_shipping_days") <= SLA_DAYS).alias("baseline_on_time"),
         count_if(F.col("is_optimized_late") == 0).alias("optimized_on_time"))
+    return kpi_columns(agg)
+
+
+def kpi_columns(agg: DataFrame, *keys: str) -> DataFrame:
+    """The headline numbers, rates worked out, from their sums and counts."""
     return agg.select(
-        "total_baseline_freight", "total_optimized_freight", "freight_savings",
+        *keys, "total_baseline_freight", "total_optimized_freight", "freight_savings",
         F.when(F.col("total_baseline_freight") > 0,
                F.col("freight_savings") / F.col("total_baseline_freight") * 100)
         .otherwise(F.lit(0.0)).alias("freight_savings_pct"),

@@ -431,6 +431,12 @@ FROM (SELECT CAST(sum({M('actual_freight')}) AS DOUBLE) AS total_baseline_freigh
         count(CASE WHEN is_optimized_late = 0 THEN 1 END) AS optimized_on_time
       FROM exec_filtered"""
 
+#: Every selection of the eight states as a bit mask (0: none chosen, which means all), with the lines that it holds.
+SELECTIONS = f"""
+SELECT CAST(selection AS INTEGER) AS selection, max_days, e.* FROM range(256) AS s(selection), (VALUES (10), (20), (30)) AS d(max_days), gold_executive_overview e
+WHERE e.optimized_shipping_days <= max_days
+  AND (selection = 0 OR (selection >> (list_position({STATE[:STATE.index(']') + 1]}, e.customer_state) - 1)) & 1 = 1)"""
+
 VIOLATIONS = """
 SELECT order_key, optimized_shipping_days, optimized_freight FROM {t}
 WHERE optimized_shipping_days < 0 OR optimized_freight < 0 OR optimized_shipping_days > actual_shipping_days"""
@@ -542,6 +548,21 @@ FROM (SELECT series, CAST(greatest(-1, least(27, floor(days / 1.5::DOUBLE))) AS
   UNPIVOT (SELECT actual_shipping_days AS baseline, optimized_shipping_days AS optimized FROM exec_filtered)
   ON baseline, optimized INTO NAME series VALUE days))
 GROUP BY series, bin_index""",
+    "cube_kpis": KPIS.replace("SELECT total_baseline_freight", "SELECT selection, max_days, total_baseline_freight", 1)
+    .replace("avg(days_saved)", "CAST(sum(days_saved) AS DOUBLE) / count(days_saved)")
+    .replace("FROM (SELECT CAST", "FROM (SELECT selection, max_days, CAST", 1)
+    .replace("FROM exec_filtered", f"FROM ({SELECTIONS}) GROUP BY selection, max_days") + ")",
+    "cube_histogram": f"""
+SELECT selection, max_days, series, bin_index, if(bin_index >= 0, bin_index * 1.5::DOUBLE, NULL) AS bin_start,
+  if(bin_index < 27, (bin_index + 1) * 1.5::DOUBLE, NULL) AS bin_end, count(*) AS n
+FROM (SELECT selection, max_days, series, CAST(greatest(-1, least(27, floor(days / 1.5::DOUBLE))) AS INTEGER) AS bin_index FROM (
+  UNPIVOT (SELECT selection, max_days, actual_shipping_days AS baseline, optimized_shipping_days AS optimized FROM ({SELECTIONS}))
+  ON baseline, optimized INTO NAME series VALUE days))
+GROUP BY ALL""",
+    "cube_hub_load": f"""
+SELECT selection, max_days, hub_name, any_value(capacity) AS capacity,
+  count(*) FILTER (WHERE hub_name = {SERVES.replace('{s}', 'customer_state')}) AS orders_handled
+FROM ({SELECTIONS}) CROSS JOIN hub GROUP BY selection, max_days, hub_name""",
     "hub_load": f"""
 SELECT hub_name, any_value(hub_lat) AS hub_lat, any_value(hub_lon) AS hub_lon, any_value(capacity) AS capacity,
   count(order_key) AS orders_handled
