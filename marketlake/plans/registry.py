@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.functions.expressions import STATE_BY_NATION, amount_sum, exact_avg, in_units, round_money_sum
+from marketlake.operators import bitmaps
 from marketlake.operators.digests import compare_tables
 from marketlake.plans import core, cube, gold, quality, scenario
 from marketlake.plans.build import Models, publish
@@ -205,6 +206,52 @@ def cube_hub_load(spark: SparkSession, sf_dir: str) -> DataFrame:
         "selection", "max_days", "hub_name", "capacity", "orders_handled")
 
 
+def _corridor_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(origin_state, destination_state, bucket, bitmap) of the orders shipped on each corridor, written once."""
+    m = models(spark, sf_dir)
+    corridors = (m["fct_order_items"].select("order_key", "seller_key", "customer_key")
+                 .join(m["dim_sellers"].select("seller_key", F.col("state").alias("origin_state")), "seller_key")
+                 .join(m["dim_customers"].select("customer_key", F.col("state").alias("destination_state")), "customer_key")
+                 .where("origin_state is not null and destination_state is not null"))
+    table = bitmaps.bitmap_table(corridors, CORRIDOR, "order_key", bitmaps.numbered(m["fct_orders"], "order_key"))
+    return _written(spark, table)
+
+
+def _written(spark: SparkSession, table: DataFrame) -> DataFrame:
+    place = f"{checkpoint_dir(spark).rstrip('/')}/marketlake-bitmaps-{uuid.uuid4().hex}"
+    table.write.parquet(place)
+    return spark.read.parquet(place)
+
+
+CORRIDOR = ["origin_state", "destination_state"]
+
+
+def corridor_order_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct orders by corridor, origin, destination and in all, from one bitmap table."""
+    return bitmaps.rollups(_corridor_bitmaps(spark, sf_dir), [CORRIDOR, CORRIDOR[:1], CORRIDOR[1:], []], CORRIDOR, "total_orders")
+
+
+def origin_set_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct orders with a line from any of the chosen origin states, for all 2^8 - 1 choices: bitmaps joined, no facts read again."""
+    table = _corridor_bitmaps(spark, sf_dir)
+    states = F.array_position(F.array(*[F.lit(s) for s in STATE_BY_NATION]), F.col("origin_state"))
+    chosen = F.filter(F.sequence(F.lit(1), F.lit((1 << len(STATE_BY_NATION)) - 1)),
+                      lambda mask: F.getbit(mask, (states - 1).cast("int")) == 1)
+    merged = table.groupBy("origin_state", "bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+    return bitmaps.distinct_counts(merged.withColumn("selection", F.explode(chosen)), ["selection"], "total_orders")
+
+
+def buyer_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct buyers by month, quarter and year and in all, from one bitmap table of months."""
+    m = models(spark, sf_dir)
+    bought = (m["fct_orders"].select("customer_key", F.to_date("purchased_at").alias("date_key"))
+              .join(m["dim_customers"].select("customer_key", "customer_unique_id"), "customer_key")
+              .join(m["dim_dates"].select("date_key", "calendar_year", "quarter_year", "calendar_month"), "date_key"))
+    columns = ["calendar_year", "quarter_year", "calendar_month"]
+    table = bitmaps.bitmap_table(bought, columns, "customer_unique_id", bitmaps.numbered(m["dim_customers"], "customer_unique_id"))
+    return bitmaps.rollups(_written(spark, table), [columns, columns[:2], columns[:1], []], columns, "total_unique_buyers")
+
+
 def spatial_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The route sample: its 3,000 rows are the feature (O1); the written table has every route."""
     m = models(spark, sf_dir)
@@ -278,6 +325,9 @@ QUERIES: dict[str, Query] = {
     "scenario_kpis": _scenario(lambda m: scenario.scenario_kpis(_filtered(m))),
     "lead_time_histogram": _scenario(lambda m: scenario.lead_time_histogram(_filtered(m))),
     "hub_load": _scenario(lambda m: scenario.hub_load(_filtered(m))),
+    "corridor_order_rollup": corridor_order_rollup,
+    "origin_set_orders": origin_set_orders,
+    "buyer_rollup": buyer_rollup,
     "cube_kpis": cube_kpis,
     "cube_histogram": cube_histogram,
     "cube_hub_load": cube_hub_load,

@@ -431,6 +431,11 @@ FROM (SELECT CAST(sum({M('actual_freight')}) AS DOUBLE) AS total_baseline_freigh
         count(CASE WHEN is_optimized_late = 0 THEN 1 END) AS optimized_on_time
       FROM exec_filtered"""
 
+CORRIDORS = """
+SELECT i.order_key, s.state AS origin_state, c.state AS destination_state
+FROM fct_order_items i JOIN dim_sellers s USING (seller_key) JOIN dim_customers c USING (customer_key)
+WHERE s.state IS NOT NULL AND c.state IS NOT NULL"""
+
 #: Every selection of the eight states as a bit mask (0: none chosen, which means all), with the lines that it holds.
 SELECTIONS = f"""
 SELECT CAST(selection AS INTEGER) AS selection, max_days, e.* FROM range(256) AS s(selection), (VALUES (10), (20), (30)) AS d(max_days), gold_executive_overview e
@@ -548,6 +553,20 @@ FROM (SELECT series, CAST(greatest(-1, least(27, floor(days / 1.5::DOUBLE))) AS
   UNPIVOT (SELECT actual_shipping_days AS baseline, optimized_shipping_days AS optimized FROM exec_filtered)
   ON baseline, optimized INTO NAME series VALUE days))
 GROUP BY series, bin_index""",
+    "corridor_order_rollup": f"""
+SELECT CAST(list_position([0, 1, 2, 3], GROUPING(origin_state, destination_state)) - 1 AS INTEGER) AS level,
+  origin_state, destination_state, count(DISTINCT order_key) AS total_orders
+FROM ({CORRIDORS}) GROUP BY GROUPING SETS ((origin_state, destination_state), (origin_state), (destination_state), ())""",
+    "origin_set_orders": f"""
+SELECT CAST(selection AS INTEGER) AS selection, count(DISTINCT order_key) AS total_orders
+FROM range(1, 256) AS s(selection), ({CORRIDORS})
+WHERE (selection >> (list_position({STATE[:STATE.index(']') + 1]}, origin_state) - 1)) & 1 = 1 GROUP BY selection""",
+    "buyer_rollup": """
+SELECT CAST(CASE GROUPING(calendar_year, quarter_year, calendar_month) WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 3 THEN 2 ELSE 3 END AS INTEGER) AS level,
+  calendar_year, quarter_year, calendar_month, count(DISTINCT customer_unique_id) AS total_unique_buyers
+FROM fct_orders JOIN dim_customers USING (customer_key) JOIN dim_dates ON date_key = CAST(purchased_at AS DATE)
+WHERE customer_unique_id IS NOT NULL
+GROUP BY GROUPING SETS ((calendar_year, quarter_year, calendar_month), (calendar_year, quarter_year), (calendar_year), ())""",
     "cube_kpis": KPIS.replace("SELECT total_baseline_freight", "SELECT selection, max_days, total_baseline_freight", 1)
     .replace("avg(days_saved)", "CAST(sum(days_saved) AS DOUBLE) / count(days_saved)")
     .replace("FROM (SELECT CAST", "FROM (SELECT selection, max_days, CAST", 1)
