@@ -86,7 +86,8 @@ def format_chats(turns: DataFrame) -> DataFrame:
     rows = visited.select("conv_id", "turn", "role", _role(F.col("role")).alias("name"), F.col("flat.*"))
     name, content = (F.octet_length(c).cast("long") for c in ("name", "content"))
     fixed = len(OPEN) + len("\n") + len(CLOSE)
-    order = Window.partitionBy("conv_id").orderBy("turn", "role", "content")
+    # tied turns go by what was said, not by how it is escaped
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", unescaped(F.col("content")), "content")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     role_from = F.coalesce(F.sum(name + content + fixed).over(before), F.lit(0)) + len(OPEN)
     placed = rows.withColumns({"no": F.row_number().over(order) - 1, "role_from": role_from}).select(

@@ -139,19 +139,19 @@ def mix(sized: DataFrame, block: int = BLOCK, share: float = 1.5, most: float =
     passes take, by pass and place in the document.  From them, `passes` counts the whole passes over the
     document, and `pieces` are the parts (start, words, shard) that the last, partial pass takes.
     """
-    placed, sums = offsets(sized)
+    placed, sums = offsets(checkpointed(sized))  # texts are read once: the rest needs their sizes alone
     plan = checkpointed(targets(sums, share, most, weights))
     drawn = every_slot(plan.withColumn("target", F.floor(F.col("target") + 0.5).cast("long")), block)
     word = placed.where("size > 0").withColumn("index", F.explode(F.sequence(
         F.floor(F.col("offset") / block).cast("long"), F.floor((F.col("offset") + F.col("size") - 1) / block).cast("long"))))
     start = F.greatest(F.col("offset"), F.col("index") * block)
     end = F.least(F.col("offset") + F.col("size"), F.col("index") * block + F.col("words"))
-    taken = word.join(drawn.withColumnsRenamed({"source": "s", "index": "i"}),
+    taken = word.join(drawn.withColumnsRenamed({"source": "s", "index": "i"}).hint("merge"),
                       F.col("source").eqNullSafe(F.col("s")) & (F.col("index") == F.col("i"))).where(end > start)
     parts = taken.groupBy("source", "offset").agg(F.sort_array(F.collect_list(F.struct(
         "pass", (start - F.col("offset")).alias("start"), (end - start).alias("words"), "shard", "slot", "complete"))).alias("slots"))
     found = placed.where("size > 0").join(
-        parts.withColumnsRenamed({"source": "s", "offset": "o"}),
+        parts.withColumnsRenamed({"source": "s", "offset": "o"}).hint("merge"),
         F.col("source").eqNullSafe(F.col("s")) & (F.col("offset") == F.col("o")), "left").drop("s", "o")
     none = placed.where("size = 0").withColumn("slots", F.lit(None).cast(found.schema["slots"].dataType))
     both = found.unionByName(none).withColumn("slots", F.expr("coalesce(slots, array())")).withColumns({

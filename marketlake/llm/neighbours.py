@@ -176,11 +176,11 @@ def fitted(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Space:
         for batch in batches:
             found = [_TERMS.counts(x) for x in byte_values(batch.column(2))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int64()), batch.column(1).cast(pa.int32()),
+                [batch.column(0), batch.column(1).cast(pa.int32()),
                  pa.array([c.tolist() for c, _ in found], pa.list_(pa.int32())),
                  pa.array([n.tolist() for _, n in found], pa.list_(pa.float32()))], ["doc_id", "quality", "at", "n"])
 
-    got = rows.mapInArrow(run, "doc_id long, quality int, at array<int>, n array<float>").toPandas().sort_values(
+    got = rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, quality int, at array<int>, n array<float>").toPandas().sort_values(
         "doc_id", kind="stable")
     return Space([(np.asarray(a, np.int64), np.asarray(n, np.float64)) for a, n in zip(got["at"], got["n"])],
                  got["quality"].to_numpy(dtype=np.float64))

@@ -360,7 +360,20 @@ def decode(rows: DataFrame, model_file: str = MODEL_FILE) -> DataFrame:
                      for a, b, null in zip(ends, ends[1:], ids.is_null().to_pylist())]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"])
 
-    return rows.mapInArrow(run, rows.select("*", F.lit("").alias("decoded")).schema)
+    own = positional(rows)
+    return own.mapInArrow(run, own.select("*", F.lit("").alias("decoded")).schema).toDF(*rows.columns, "decoded")
+
+
+def round_trips(docs: DataFrame, model_file: str = MODEL_FILE) -> DataFrame:
+    """`docs` with ids, n_tokens, and round_trip: whether decoding the ids gives the text back (U+2581 as a space)."""
+    rows = decode(encode(docs, model_file), model_file)
+    names = rows.columns
+    own = positional(rows)
+    columns = [own[f"c{i}"] for i in range(len(names))]
+    ids, decoded = columns[-2], columns[-1]
+    same = decoded == F.translate(F.coalesce(columns[names.index("text")], F.lit("")), SPACE, " ")
+    kept = [c.alias(n) for c, n in zip(columns[:-1], names) if n not in ("n_tokens", "round_trip")]
+    return own.select(*kept, F.size(ids).cast("long").alias("n_tokens"), same.alias("round_trip"))
 
 
 def sentencepiece_query(docs: DataFrame) -> DataFrame:

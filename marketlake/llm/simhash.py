@@ -33,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlake.llm.common import byte_values, checkpointed, pick, positional, prepare_python, spread, word_pieces
@@ -216,7 +216,10 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int = MAX_
     unclear = by.join(shared.select("head").distinct(), key == F.col("head"), "left_semi").unionByName(by.where(key.isNull()))
     marked = _with_print(unclear, own[columns.index("text")], shingle)
     some = marked.join(shared, marked[own[columns.index("doc_id")]].eqNullSafe(F.col("head"))
-                       & (F.col("fp") == F.col("head_fp"))).dropDuplicates(["grp"]).select(*own)
+                       & (F.col("fp") == F.col("head_fp")))
+    # rows of one id and fingerprint may still differ: the choice between them does not depend on the run
+    rank = Window.partitionBy("grp").orderBy(F.xxhash64(own[columns.index("text")]), F.xxhash64(*own))
+    some = some.withColumn("__rank", F.row_number().over(rank)).where(F.col("__rank") == 1).select(*own)
     return one.unionByName(some).toDF(*columns)
 
 

@@ -58,3 +58,12 @@ def test_native(spark):
     frame = spark.createDataFrame([(1, 0, "user", "x")], "conv_id long, turn long, role string, text string")
     plan = chat.chat_query(frame)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_tied_turns_go_by_the_text_itself(spark):
+    rows = [(1, 0, "user", x) for x in ("<a", "<|", "\\", "<\\|", "a", "", "</s>", "<")] + [(1, 0, "assistant", "<|"), (1, 0, "assistant", "<a")]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    con = duckdb.connect()
+    con.register("conversations", table.toPandas())
+    want = sorted(con.sql(chat.CHAT_SQL).fetchall())
+    assert sorted(map(tuple, chat.chat_query(table).collect())) == want
