@@ -1,7 +1,9 @@
 """Corpus pipeline: five stages over `documents`, each one operator of marketlake.llm.
 
 Each stage takes what its predecessor kept, as Parquet, and returns a DataFrame with the columns
-of documents (the last one adds ids).  A null or empty text fails the first stage.
+of documents (the last one adds ids, n_tokens and round_trip).  A null or empty text fails the first stage.  Of repeated rows,
+which are near duplicates of each other, one stays; ties are broken as the operators' docstrings say.  Further columns go through all
+stages as they are.  An empty table gives an empty result; without labels the first stage's base rules decide alone.
 """
 
 from __future__ import annotations
@@ -9,7 +11,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from marketlake.llm import mixing, quality_rules, secrets, sentencepiece_scan, simhash
 from marketlake.session import checkpoint_dir, configure
@@ -37,8 +38,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents with their ids and number of ids."""
-    return sentencepiece_scan.encode(docs).withColumn("n_tokens", F.size("ids").cast("long"))
+    """All documents with their ids, number of ids, and whether decoding the ids gives the text back."""
+    return sentencepiece_scan.round_trips(docs)
 
 
 STAGES = [
