@@ -66,6 +66,18 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def step(df: DataFrame) -> DataFrame:
+    """`checkpointed`, for the steps of long iterations.
+
+    Spark frees the shuffles, broadcasts and compiled plans of ended jobs when the driver's garbage collector finds their handles
+    unused.  A driver with hundreds of small jobs collects late, so its memory, and the executors' disks, grow with the
+    number of steps; here it collects after each one.
+    """
+    out = checkpointed(df)
+    df.sparkSession._jvm.System.gc()
+    return out
+
+
 def remainder(doc_id: Column, modulus: int) -> Column:
     """crc32(doc_id as text) mod `modulus`; null for a null id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(modulus)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import checkpointed
+from marketlake.llm.common import step
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -18,28 +18,28 @@ def connected_components(edges: DataFrame) -> DataFrame:
     them.  Hub nodes are pre-aggregated map-side (`min`), and the joins may be split
     by adaptive execution; they are merge joins, so the driver builds no tables for tasks.  Each step is cut by a reliable checkpoint.
     """
-    links = checkpointed(
+    links = step(
         edges.where(F.col("a") != F.col("b"))
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     labels = None
     while not links.isEmpty():
         both = links.union(links.select("b", "a"))
-        hooks = checkpointed(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least"))
+        hooks = step(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least"))
                              .select("node", F.least("node", "least").alias("root")))
         while True:
             ahead = hooks.select(F.col("node").alias("root"), F.col("root").alias("next")).hint("merge")
-            step = checkpointed(hooks.join(ahead, "root").select("node", "root", "next"))
-            hooks = step.select("node", F.col("next").alias("root"))
-            if step.where("root != next").isEmpty():
+            moved = step(hooks.join(ahead, "root").select("node", "root", "next"))
+            hooks = moved.select("node", F.col("next").alias("root"))
+            if moved.where("root != next").isEmpty():
                 break
         if labels is None:
             labels = hooks.select("node", F.col("root").alias("component"))
         else:
-            labels = checkpointed(labels.join(hooks.withColumnRenamed("node", "component").hint("merge"), "component", "left").select(
+            labels = step(labels.join(hooks.withColumnRenamed("node", "component").hint("merge"), "component", "left").select(
                 "node", F.coalesce("root", "component").alias("component")))
         to_a = hooks.select(F.col("node").alias("a"), F.col("root").alias("x")).hint("merge")
         to_b = hooks.select(F.col("node").alias("b"), F.col("root").alias("y")).hint("merge")
-        links = checkpointed(
+        links = step(
             links.join(to_a, "a").join(to_b, "b").where(F.col("x") != F.col("y"))
             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
     if labels is None:

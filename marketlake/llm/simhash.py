@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import byte_values, checkpointed, pick, positional, prepare_python, spread, word_pieces
+from marketlake.llm.common import byte_values, pick, positional, prepare_python, spread, step, word_pieces
 from marketlake.llm.components import connected_components
 
 SHINGLE_WORDS = 4
@@ -165,10 +165,10 @@ def links_between(groups: DataFrame, max_bits: int) -> DataFrame:
 
 def fingerprint_components(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """(fp, grp): the component of every distinct fingerprint of `prints` (column fp)."""
-    distinct = checkpointed(prints.select("fp").distinct())
+    distinct = step(prints.select("fp").distinct())
     if max_bits >= 2:
         close = near_groups(distinct)
-        groups = checkpointed(distinct.join(close.withColumnRenamed("node", "fp").hint("merge"), "fp", "left").select(
+        groups = step(distinct.join(close.withColumnRenamed("node", "fp").hint("merge"), "fp", "left").select(
             "fp", F.coalesce("component", "fp").alias("grp")))
     else:
         groups = distinct.select("fp", F.col("fp").alias("grp"))
@@ -179,8 +179,8 @@ def fingerprint_components(prints: DataFrame, max_bits: int = MAX_BITS) -> DataF
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """One row per document: doc_id, fp, grp (component as a fingerprint), component_id (smallest doc_id)."""
-    prints = checkpointed(fingerprints(docs, shingle))
-    grouped = checkpointed(fingerprint_components(prints, max_bits))
+    prints = step(fingerprints(docs, shingle))
+    grouped = step(fingerprint_components(prints, max_bits))
     ids = prints.groupBy("fp").agg(F.min("doc_id").alias("least")).join(grouped.hint("merge"), "fp")
     first = ids.groupBy("grp").agg(F.min("least").alias("component_id"))
     names = grouped.join(first.hint("merge"), "grp").select("fp", "grp", "component_id")
@@ -202,7 +202,7 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int = MAX_
     """
     prints = near_duplicates(docs, shingle, max_bits)
     totals = prints.groupBy("doc_id").agg(F.count("*").alias("rows")).withColumnRenamed("doc_id", "id")
-    heads = checkpointed(prints.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    heads = step(prints.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
                          .groupBy("grp", "doc_id").agg(F.min("fp").alias("head_fp"))
                          .join(totals, F.col("doc_id").eqNullSafe(F.col("id")))
                          .select("grp", F.col("doc_id").alias("head"), "head_fp", "rows"))
