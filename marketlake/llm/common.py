@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -66,6 +67,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """`df` as a compressed table in the shared checkpoint folder, read back: smaller than `checkpointed`, but dealt anew when it is read."""
+    spark = df.sparkSession
+    place = f"{checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(place)
+    return spark.read.parquet(place)
+
+
 def step(df: DataFrame) -> DataFrame:
     """`checkpointed`, for the steps of long iterations.
 

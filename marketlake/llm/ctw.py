@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import byte_values, checkpointed, pick, prepare_python, remainder, word_pieces
+from marketlake.llm.common import byte_values, checkpointed, pick, prepare_python, remainder, word_pieces, written
 
 DEPTH = 5
 TOP = 2
@@ -352,7 +352,7 @@ def gram_scores(counted: DataFrame, depth: int = DEPTH) -> DataFrame:
             for k in range(0, len(gram), 1 << 17):
                 yield pa.RecordBatch.from_arrays([pa.array(x[k:k + (1 << 17)]) for x in (gram, m, score)], ["gram", "m", "score"])
 
-    return checkpointed(dealt.mapInArrow(descend, "gram long, m long, score double"))
+    return written(dealt.mapInArrow(descend, "gram long, m long, score double"))
 
 
 class Lookup:
@@ -421,7 +421,7 @@ def score_texts(docs: DataFrame, held_out: Column) -> DataFrame:
     places = table.agg(F.coalesce(F.sum("m"), F.lit(0))).first()[0]
     most = table.where(F.col("m") >= max(1, -(-places // FREQUENT_GRAMS))).select("gram", "score").toPandas()
     held = spark.sparkContext.broadcast(Lookup(most["gram"].to_numpy(np.int64), most["score"].to_numpy(np.float64)))
-    words = checkpointed(word_counts(training))
+    words = written(word_counts(training))
     tokens, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     often = words.where((F.col("c") >= max(1, -(-tokens // FREQUENT))) & (F.length("word") <= LONGEST_SENT)).toPandas()
     sent = spark.sparkContext.broadcast({bytes(w): int(c) for w, c in zip(often["word"], often["c"])})
@@ -451,9 +451,9 @@ def score_texts(docs: DataFrame, held_out: Column) -> DataFrame:
                 ["doc_id", "held_out", "n_tokens", "n_often", "base", "part", "n_bytes", "grams", "rare"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    scored = checkpointed(rows.mapInArrow(
+    scored = written(rows.mapInArrow(
         run, f"doc_id {kind}, held_out boolean, n_tokens long, n_often long, base double, part double, "
-             "n_bytes long, grams array<long>, rare array<struct<word: binary, n: long>>")).withColumn("row", F.monotonically_increasing_id())
+             "n_bytes long, grams array<long>, rare array<struct<word: binary, n: long>>").withColumn("row", F.monotonically_increasing_id()))
     rare = scored.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.n").join(words, "word").groupBy(
         "row").agg(F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("more"), F.sum("n").alias("n_rare"))
     deep = scored.select("row", F.explode("grams").alias("gram")).join(table.select("gram", F.col("score").alias("s")), "gram").groupBy(
