@@ -13,7 +13,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from marketlake.plans import core, gold
 from marketlake.plans.staging import build_staging
@@ -146,22 +146,34 @@ class _InPlace:
         """Nothing to do: each table's write was its own transaction."""
 
 
-def _materialize(refresh, models: Mapping[str, DataFrame], buckets: int | None, parallel: int = 1) -> dict[str, DataFrame]:
+Counts = dict[str, dict[str, int]]
+
+
+def _materialize(refresh, models: Mapping[str, DataFrame], buckets: int | None, parallel: int = 1,
+                 measure: bool = False) -> tuple[dict[str, DataFrame], Counts]:
     """Write the models of one layer; they are independent, so up to
     `parallel` write jobs are submitted at once (Spark runs jobs from several
-    driver threads concurrently, filling executors during each job's tail)."""
+    driver threads concurrently, filling executors during each job's tail).
+    With `measure`, also the counts of each model's `row_metrics`."""
     from concurrent.futures import ThreadPoolExecutor
 
+    from marketlake.plans.quality import row_metrics
+
     def write(item):
         name, df = item
         bucket = ("order_key", buckets) if buckets and name in ORDER_BUCKETED else None
-        return name, refresh.write(name, df, bucket_by=bucket,
-                                   table=f"{name}_{hashlib.sha256(refresh.folder.encode()).hexdigest()[:8]}")
+        metrics = row_metrics(name) if measure else []
+        seen = Observation(name) if metrics else None
+        table = refresh.write(name, df, bucket_by=bucket, observe=(seen, metrics) if seen else None,
+                              table=f"{name}_{hashlib.sha256(refresh.folder.encode()).hexdigest()[:8]}")
+        return name, table, seen.get if seen else {}
 
     if parallel <= 1:
-        return dict(map(write, models.items()))
-    with ThreadPoolExecutor(max_workers=parallel) as pool:
-        return dict(pool.map(write, models.items()))
+        done = list(map(write, models.items()))
+    else:
+        with ThreadPoolExecutor(max_workers=parallel) as pool:
+            done = list(pool.map(write, models.items()))
+    return {n: t for n, t, _ in done}, {n: c for n, _, c in done if c}
 
 
 Layer = Callable[[Mapping[str, DataFrame]], Mapping[str, DataFrame]]
@@ -171,20 +183,26 @@ def publish(spark: SparkSession, layers: Sequence[Layer], out_dir: str, fmt: str
             gate: bool = True, buckets: int = 0, parallel: int = 4) -> dict[str, DataFrame]:
     """Write the tables of each layer, built from the layers before it, check them, and publish all of them at once.
 
-    Tables go into a version folder that no reader sees (`sources.lake`).  The checks read that version; only
+    Tables go into a version folder that no reader sees (`sources.lake`).  Checks of single rows are counted by the writes
+    themselves, unique keys from that version's key columns (with Delta, all checks read the tables); only
     if they pass (or without `gate`) is it committed.  A build that fails in a task, is killed, or fails a check
     leaves every published table as it was; `QualityError` then names the folder with the refused tables and their report.
     """
-    from marketlake.plans.quality import QualityError, assert_passed, run_checks
+    from marketlake.plans.quality import QualityError, assert_passed, measured_report, run_checks
     from marketlake.sources.lake import Lake
     from marketlake.sources.sinks import default_format
     fmt = fmt or default_format(spark)
     refresh = _InPlace(out_dir, fmt) if fmt == "delta" else Lake(spark, out_dir, fmt).refresh()
     tables: dict[str, DataFrame] = {}
+    counts: Counts = {}
+    measure = checks and fmt != "delta"
     for layer in layers:
-        tables.update(_materialize(refresh, layer(tables), buckets, parallel))
+        written, seen = _materialize(refresh, layer(tables), buckets, parallel, measure)
+        tables.update(written)
+        counts.update(seen)
     if checks:
-        tables["quality_report"] = refresh.write("quality_report", run_checks(tables))
+        report = measured_report(spark, counts, tables) if measure else run_checks(tables)
+        tables["quality_report"] = refresh.write("quality_report", report)
         if gate:
             try:
                 assert_passed(tables["quality_report"])

@@ -19,7 +19,7 @@ from marketlake.functions.expressions import STATE_BY_NATION, amount_sum, exact_
 from marketlake.operators import bitmaps
 from marketlake.operators.digests import compare_tables
 from marketlake.plans import core, cube, gold, quality, scenario
-from marketlake.plans.build import Models, publish
+from marketlake.plans.build import Models, publish, run_pipeline
 from marketlake.plans.staging import build_staging
 from marketlake.session import checkpoint_dir
 from marketlake.sources.catalog import SOURCES
@@ -77,6 +77,12 @@ def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.run_checks({name: m[name] for name in m})
 
 
+def quality_at_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report that a whole build publishes beside its tables: checks of single rows counted by the writes."""
+    root = f"{checkpoint_dir(spark).rstrip('/')}/marketlake-build-{uuid.uuid4().hex}"
+    return run_pipeline(spark, bronze_from_testdata(spark, sf_dir), root, fmt="parquet", gate=False)["quality_report"]
+
+
 def optimizer_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.optimizer_violations(models(spark, sf_dir)["gold_executive_overview"])
 
@@ -343,6 +349,7 @@ QUERIES: dict[str, Query] = {
     "atomic_refresh": atomic_refresh,
     # data quality
     "quality_report": quality_report,
+    "quality_at_write": quality_at_write,
     "optimizer_violations": optimizer_violations,
     "optimizer_violations_planted": planted_violations,
 }

@@ -660,7 +660,7 @@ def oracle_queries() -> dict[str, str]:
     """Full DuckDB statement per registered query (all CTEs prepended)."""
     with_clause = "WITH " + ",\n".join(f"{name} AS ({sql})" for name, sql in CTES) + "\n"
     final = dict(FINAL)
-    final["quality_report"] = _quality_sql()
+    final["quality_report"] = final["quality_at_write"] = _quality_sql()
     final["bronze_manifest"] = _manifest_sql()
     final["atomic_refresh"] = _refresh_sql()
     return {name: with_clause + sql for name, sql in final.items()}

@@ -69,3 +69,38 @@ def test_accounting_invariants_on_smoke_tables(spark):
     diff = orders.join(per_order, "order_key", "left").filter(
         F.abs(F.coalesce("v", F.lit(0.0)) - F.col("total_order_value")) > 0.005)
     assert diff.count() == 0
+
+
+BAD_ORDERS = [("o1", "c1", "Late"), ("o1", None, "Lost"), (None, "c", "Meh"), ("o3", "c", "Meh"), ("o4", "c", None)]
+
+
+@pytest.mark.parametrize("buckets", [0, 3])
+def test_checks_measured_by_the_writes(spark, tmpdir_fresh, buckets):
+    from marketlake.plans.build import publish
+    orders = spark.createDataFrame(BAD_ORDERS, "order_key string, customer_key string, delivery_performance_status string")
+    ex = spark.createDataFrame([("o1", "SP", 5, 10.0, 6, 6.5), (None, "SP", 5, 10.0, 3, -1.0), ("o3", None, 5, 10.0, 5, 1.0)],
+                               "order_key string, customer_state string, actual_shipping_days int, actual_freight double, "
+                               "optimized_shipping_days int, optimized_freight double")
+    layers = [lambda t: {"fct_orders": orders.repartition(3), "stg_sellers": spark.createDataFrame([], "seller_key string")},
+              lambda t: {"gold_executive_overview": ex, "unchecked": t["fct_orders"]}]
+    tables = publish(spark, layers, tmpdir_fresh, "parquet", gate=False, buckets=buckets)
+    report = tables.pop("quality_report")
+    assert sorted(report.collect()) == sorted(quality.run_checks(tables).collect())
+    got = {r.check_name: r.violations for r in report.collect()}
+    assert got["accepted_values__fct_orders__delivery_performance_status"] == 2 and got["unique__fct_orders__order_key"] == 1
+    assert got["valid_optimizer_outputs__gold_executive_overview__*"] == 2 and got["unique__stg_sellers__seller_key"] == 0
+
+
+def test_measured_report_reads_only_keys(spark):
+    """Clean tables are read for their unique keys alone, in one exchange of keys."""
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").selectExpr(
+        "string(o_orderkey) order_key", "string(o_custkey) customer_key", "'Late' delivery_performance_status")
+    place = __import__("tempfile").mkdtemp(prefix="marketlake-test-")
+    orders.write.parquet(f"{place}/orders")
+    table = spark.read.parquet(f"{place}/orders")
+    counts = {"fct_orders": {n: 0 for n in quality._row_checks("fct_orders")}, "stg_orders": {n: 0 for n in quality._row_checks("stg_orders")}}
+    report = quality.measured_report(spark, counts, {"fct_orders": table, "stg_orders": table})
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    schemas = {s.split(">")[0] for s in plan.split("ReadSchema: struct<")[1:]}
+    assert schemas == {"order_key:string"} and plan.count("hashpartitioning(check") == 1
+    assert {r.violations for r in report.collect()} == {0} and report.count() == 7
