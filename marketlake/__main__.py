@@ -31,6 +31,7 @@ from marketlake.session import configure, local_session
 from marketlake.sources.catalog import SOURCES
 from marketlake.sources.csv import read_bronze_all
 from marketlake.sources.lake import Lake
+from marketlake.sources.ledger import land_changed
 from marketlake.sources.sinks import default_format, ingest_bronze, read_bronze_tables
 
 
@@ -78,6 +79,10 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--landing", required=True)
     p.add_argument("--bronze", required=True)
     p.add_argument("--file", action="append", help=file_help + "; used as a glob pattern")
+    p = sub.add_parser("sync", help="make the bronze tables equal to the landing folder; only new and changed files are read")
+    p.add_argument("--landing", required=True)
+    p.add_argument("--bronze", required=True)
+    p.add_argument("--file", action="append", help=file_help)
     p = sub.add_parser("build")
     p.add_argument("--landing")
     p.add_argument("--file", action="append", help=file_help)
@@ -110,6 +115,11 @@ def main(argv: list[str] | None = None) -> int:
         for name in SOURCES:
             print(name, land_new_files(spark, args.landing, args.bronze, name, pattern=files.get(name)))
         return 0
+    if args.command == "sync":
+        report = land_changed(spark, args.landing, args.bronze, _files(args)).cache()
+        report.groupBy("source", "state").count().orderBy("source", "state").show(100, truncate=False)
+        report.where("error is not null").show(100, truncate=False)
+        return 0 if report.where("state = 'failed'").isEmpty() else 1
     if args.command == "build":
         if not (args.landing or args.bronze):
             parser.error("build needs --landing or --bronze")

@@ -24,6 +24,7 @@ from marketlake.plans.staging import build_staging
 from marketlake.session import checkpoint_dir
 from marketlake.sources.catalog import SOURCES
 from marketlake.sources.lake import Lake
+from marketlake.sources.ledger import land_changed
 from marketlake.sources.ranges import read_csv
 from marketlake.sources.sinks import ingest_bronze, read_bronze_tables
 from marketlake.sources.testdata import bronze_from_testdata
@@ -87,6 +88,23 @@ def optimizer_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.optimizer_violations(models(spark, sf_dir)["gold_executive_overview"])
 
 
+def _landing_texts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The bronze frames as their landing files hold them."""
+    bronze = bronze_from_testdata(spark, sf_dir)
+    return {n: bronze[n].select(*[F.col(c).cast("string").alias(c) for c in s.columns]) for n, s in SOURCES.items()}
+
+
+def _write_landing(texts: dict[str, DataFrame], landing: str, mode: str = "errorifexists") -> None:
+    def write(item):
+        name, rows = item
+        (rows.write.mode(mode).option("header", "true").option("quote", '"').option("escape", '"')
+         .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
+         .csv(f"{landing}/{SOURCES[name].file_name}"))
+
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        list(pool.map(write, texts.items()))
+
+
 def bronze_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing round trip: rows landed from each source, and how many differ.
 
@@ -96,17 +114,8 @@ def bronze_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     should not be there.
     """
     root = f"{checkpoint_dir(spark).rstrip('/')}/marketlake-landing-{uuid.uuid4().hex}"
-    bronze = bronze_from_testdata(spark, sf_dir)
-    texts = {n: bronze[n].select(*[F.col(c).cast("string").alias(c) for c in s.columns]) for n, s in SOURCES.items()}
-
-    def write(item):
-        name, src = item
-        (texts[name].write.option("header", "true").option("quote", '"').option("escape", '"')
-         .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
-         .csv(f"{root}/landing/{src.file_name}"))
-
-    with ThreadPoolExecutor(max_workers=4) as pool:
-        list(pool.map(write, SOURCES.items()))
+    texts = _landing_texts(spark, sf_dir)
+    _write_landing(texts, f"{root}/landing")
     # Spark writes a folder of part files per source; the readers take folders.
     ingest_bronze(spark, f"{root}/landing", f"{root}/bronze", fmt="parquet")
     bronze_tables = read_bronze_tables(spark, f"{root}/bronze", "parquet")
@@ -114,6 +123,30 @@ def bronze_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_tables(pairs).withColumnRenamed("name", "source")
 
 
+def landing_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two landings with a ledger: all sources, then after the sellers' files were replaced and the payments got further files.
+
+    One row a source: what the second landing did to its files, rows before and after, and how the landed rows differ
+    from those that the folder then holds.
+    """
+    root = f"{checkpoint_dir(spark).rstrip('/')}/marketlake-ledger-{uuid.uuid4().hex}"
+    texts = _landing_texts(spark, sf_dir)
+    landing, bronze_dir = f"{root}/landing", f"{root}/bronze"
+    _write_landing(texts, landing)
+    first = land_changed(spark, landing, bronze_dir, fmt="parquet")
+    moved = texts["sellers"].withColumn("seller_city", F.concat(F.lit("new "), "seller_city"))
+    _write_landing({"sellers": moved}, landing, "overwrite")
+    _write_landing({"order_payments": texts["order_payments"]}, landing, "append")
+    second = land_changed(spark, landing, bronze_dir, fmt="parquet")
+    held = {**texts, "sellers": moved, "order_payments": texts["order_payments"].unionAll(texts["order_payments"])}
+    landed = read_bronze_tables(spark, bronze_dir, "parquet")
+    differing = compare_tables({name: (landed[name], held[name], list(src.columns)) for name, src in SOURCES.items()})
+    before = first.groupBy("source").agg(F.sum("rows").alias("rows_before"))
+    states = second.groupBy("source").agg(F.array_join(F.sort_array(F.collect_set("state")), ",").alias("file_states"))
+    return (differing.withColumnRenamed("name", "source").join(before, "source").join(states, "source")
+            .select("source", "file_states", "rows_before", "rows", "rows_missing", "rows_extra"))
+
+
 #: Split size of `csv_by_ranges`: small enough that the smallest tables have several ranges a file.
 RANGE_BYTES = 1 << 20
 
@@ -345,6 +378,7 @@ QUERIES: dict[str, Query] = {
         lambda m: scenario.corridor_display(scenario.corridor_top_k(_filtered(m), _routes(m)))),
     # sources and sinks
     "bronze_manifest": bronze_manifest,
+    "landing_ledger": landing_ledger,
     "csv_by_ranges": csv_by_ranges,
     "atomic_refresh": atomic_refresh,
     # data quality

@@ -25,8 +25,13 @@ def read_bronze(spark: SparkSession, folder: str, name: str,
     reader; multi-line CSVs (reviews), which that reader takes one task a file, are read by byte ranges
     (`ranges.read_csv`; `range_bytes` bounds them, the session's split size if not given).
     """
+    return read_files(spark, name, f"{folder.rstrip('/')}/{file_name or SOURCES[name].file_name}", range_bytes)
+
+
+def read_files(spark: SparkSession, name: str, path: str | list[str], range_bytes: int | None = None,
+               file_column: str | None = None) -> DataFrame:
+    """The bronze frame of one source from files or folders that have one header; `file_column` names each row's file."""
     src = SOURCES[name]
-    path = f"{folder.rstrip('/')}/{file_name or src.file_name}"
 
     def reader():
         out = spark.read.option("header", "true").option("mode", "PERMISSIVE")
@@ -38,11 +43,11 @@ def read_bronze(spark: SparkSession, folder: str, name: str,
     if missing := [c for c in src.columns if c not in header]:
         raise ValueError(f"{path}: no column {', '.join(missing)}")
     if src.options.get("multiLine") == "true":
-        rows = read_csv(spark, path, header, src.options, corrupt=CORRUPT, range_bytes=range_bytes)
-        return rows.select(*src.columns, CORRUPT)
+        rows = read_csv(spark, path, header, src.options, corrupt=CORRUPT, range_bytes=range_bytes, file_column=file_column)
+        return rows.select(*src.columns, CORRUPT, *([file_column] if file_column else []))
     schema = StructType([StructField(c, StringType()) for c in [*header, CORRUPT]])
     return (reader().schema(schema).option("enforceSchema", "false").option("columnNameOfCorruptRecord", CORRUPT)
-            .csv(path).select(*src.columns, CORRUPT))
+            .csv(path).select(*src.columns, CORRUPT, *([F.col("_metadata.file_path").alias(file_column)] if file_column else [])))
 
 
 def read_bronze_all(spark: SparkSession, folder: str,

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 Range = tuple[str, int]
 
 
-def _lines(spark: SparkSession, path: str, pattern: str | None) -> DataFrame:
+def _lines(spark: SparkSession, path: str | list[str], pattern: str | None) -> DataFrame:
     """(file, start, value): physical lines, in order within each input split (file, start)."""
     reader = spark.read.option("lineSep", "\n")
     if pattern:
@@ -137,7 +137,7 @@ def _pieces(lines: DataFrame, states: dict[Range, tuple[bool, int]]) -> DataFram
     return lines.mapInArrow(run, _PIECES)
 
 
-def read_records(spark: SparkSession, path: str, pattern: str | None = None, range_bytes: int | None = None) -> DataFrame:
+def read_records(spark: SparkSession, path: str | list[str], pattern: str | None = None, range_bytes: int | None = None) -> DataFrame:
     """(file, first, record): the records of quoted CSV files as text; first: the first record of its file (the header).
 
     `range_bytes` bounds the ranges of this read (the session's `spark.sql.files.maxPartitionBytes` if not given).
@@ -158,11 +158,12 @@ def read_records(spark: SparkSession, path: str, pattern: str | None = None, ran
     return records.where(F.length("record") > 0)
 
 
-def read_csv(spark: SparkSession, path: str, columns: list[str], options: dict[str, str] | None = None, pattern: str | None = None,
-             corrupt: str | None = None, range_bytes: int | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str | list[str], columns: list[str], options: dict[str, str] | None = None, pattern: str | None = None,
+             corrupt: str | None = None, range_bytes: int | None = None, file_column: str | None = None) -> DataFrame:
     """The string columns (in file order) of quoted, multi-line CSV files with a header line, read by ranges.
 
-    A file with another header is an error.  With `corrupt`, rows with too few or too many fields keep their raw text in that column.
+    A file with another header is an error.  With `corrupt`, rows with too few or too many fields keep their raw text in that column;
+    `file_column` names the file of each row.
     """
     records = read_records(spark, path, pattern, range_bytes)
     names = [*columns, *([corrupt] if corrupt else [])]
@@ -174,4 +175,4 @@ def read_csv(spark: SparkSession, path: str, columns: list[str], options: dict[s
     wrong = F.raise_error(F.concat(F.lit(f"header is not {','.join(columns)}: "), "file")).cast("boolean")
     same = F.array(*[F.col("r").getField(c) for c in columns]) == F.array(*[F.lit(c) for c in columns])
     own = rows.where(F.when(~F.col("first"), F.lit(True)).when(same, F.lit(False)).otherwise(wrong))
-    return own.select(*[F.col("r").getField(c).alias(c) for c in names])
+    return own.select(*[F.col("r").getField(c).alias(c) for c in names], *([F.col("file").alias(file_column)] if file_column else []))

@@ -36,8 +36,9 @@ def land_new_files(spark: SparkSession, landing: str, bronze_dir: str, name: str
     stream = reader.csv(landing).withColumn("_source_file", F.col("_metadata.file_name"))
     target = f"{bronze_dir.rstrip('/')}/{name}"
     owned = exists(spark, f"{target}/_spark_metadata")
-    if not owned and (exists(spark, target) or name in Lake(spark, bronze_dir).commit().tables):
-        raise ValueError(f"{target} belongs to a full ingest")
+    seen = Lake(spark, bronze_dir).commit()
+    if not owned and (exists(spark, target) or name in seen.tables or seen.parts(name)):
+        raise ValueError(f"{target} belongs to a full ingest or to landing with a ledger")
     landed = spark.read.schema(schema).parquet
     before = landed(target).count() if owned else 0
     ckpt = checkpoint or f"{bronze_dir.rstrip('/')}/_landing/{name}"

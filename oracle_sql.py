@@ -648,6 +648,13 @@ def _manifest_sql() -> str:
 
 
 
+def _ledger_sql() -> str:
+    states, copies = {"sellers": "new,removed", "order_payments": "new,unchanged"}, {"order_payments": 2}
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS source, '{states.get(name, 'unchanged')}' AS file_states, count(*) AS rows_before, "
+        f"{copies.get(name, 1)} * count(*) AS rows, 0::BIGINT AS rows_missing, 0::BIGINT AS rows_extra FROM {t}" for name, t in FILES.items())
+
+
 def _refresh_sql() -> str:
     tables = {"stg_order_items": "price", "fct_orders": "total_order_value", "gold_payment_analysis": "total_associated_order_gmv"}
     steps = (("built", 1), ("task failed", 1), ("check failed", 1), ("repeated", 2))
@@ -662,5 +669,6 @@ def oracle_queries() -> dict[str, str]:
     final = dict(FINAL)
     final["quality_report"] = final["quality_at_write"] = _quality_sql()
     final["bronze_manifest"] = _manifest_sql()
+    final["landing_ledger"] = _ledger_sql()
     final["atomic_refresh"] = _refresh_sql()
     return {name: with_clause + sql for name, sql in final.items()}
