@@ -21,12 +21,14 @@ from marketlake.operators.digests import compare_tables
 from marketlake.plans import core, cube, gold, quality, scenario
 from marketlake.plans.build import Models, publish, run_pipeline
 from marketlake.plans.staging import build_staging
-from marketlake.session import checkpoint_dir
+from marketlake.session import checkpoint_dir, configure
 from marketlake.sources.catalog import SOURCES
+from marketlake.sources.csv import CORRUPT, read_bronze_all
+from marketlake.sources.inference import infer_types
 from marketlake.sources.lake import Lake
 from marketlake.sources.ledger import land_changed
 from marketlake.sources.ranges import read_csv
-from marketlake.sources.sinks import ingest_bronze, read_bronze_tables
+from marketlake.sources.sinks import ingest_bronze, read_bronze_tables, register_views
 from marketlake.sources.testdata import bronze_from_testdata
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -123,6 +125,13 @@ def bronze_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_tables(pairs).withColumnRenamed("name", "source")
 
 
+def inferred_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The type of every column of the nine sources, inferred over their whole landing files."""
+    landing = f"{checkpoint_dir(spark).rstrip('/')}/marketlake-inference-{uuid.uuid4().hex}"
+    _write_landing(_landing_texts(spark, sf_dir), landing)
+    return infer_types({name: df.drop(CORRUPT) for name, df in read_bronze_all(spark, landing).items()})
+
+
 def landing_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two landings with a ledger: all sources, then after the sellers' files were replaced and the payments got further files.
 
@@ -206,6 +215,17 @@ def atomic_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def mart_by_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What hubs save by state, asked in SQL of a mart exposed as a view."""
+    session = spark.newSession()      # its views are its own
+    configure(session)
+    register_views({"gold_executive_overview": models(session, sf_dir)["gold_executive_overview"]})
+    return session.sql("""
+        SELECT customer_state, count(*) AS faster_lines, count(DISTINCT order_key) AS faster_orders,
+               max(actual_shipping_days - optimized_shipping_days) AS most_days_saved
+        FROM gold_executive_overview WHERE optimized_shipping_days < actual_shipping_days GROUP BY customer_state""")
+
+
 def _scenario(fn: Callable[[Models], DataFrame]) -> Query:
     return lambda spark, sf_dir: fn(models(spark, sf_dir))
 
@@ -378,7 +398,9 @@ QUERIES: dict[str, Query] = {
         lambda m: scenario.corridor_display(scenario.corridor_top_k(_filtered(m), _routes(m)))),
     # sources and sinks
     "bronze_manifest": bronze_manifest,
+    "inferred_types": inferred_types,
     "landing_ledger": landing_ledger,
+    "mart_by_view": mart_by_view,
     "csv_by_ranges": csv_by_ranges,
     "atomic_refresh": atomic_refresh,
     # data quality

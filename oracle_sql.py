@@ -620,6 +620,10 @@ SELECT order_key, 'baseline' AS leg, seller_lat AS src_lat, seller_lon AS src_lo
   customer_lat AS dst_lat, customer_lon AS dst_lon FROM gold_spatial_routing
 UNION ALL
 SELECT order_key, 'optimized', hub_lat, hub_lon, customer_lat, customer_lon FROM gold_spatial_routing""",
+    "mart_by_view": """
+SELECT customer_state, count(*) AS faster_lines, count(DISTINCT order_key) AS faster_orders,
+  max(actual_shipping_days - optimized_shipping_days) AS most_days_saved
+FROM gold_executive_overview WHERE optimized_shipping_days < actual_shipping_days GROUP BY customer_state""",
     "quality_report": None,  # built below
     "optimizer_violations": VIOLATIONS.format(t="gold_executive_overview"),
     "optimizer_violations_planted": VIOLATIONS.format(t="""(
@@ -648,6 +652,43 @@ def _manifest_sql() -> str:
 
 
 
+# Columns of each source, as the file contract names them.
+COLUMNS = {
+    "customers": ["customer_id", "customer_unique_id", "customer_zip_code_prefix", "customer_city", "customer_state"],
+    "geolocation": ["geolocation_zip_code_prefix", "geolocation_lat", "geolocation_lng", "geolocation_city", "geolocation_state"],
+    "order_items": ["order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date", "price", "freight_value"],
+    "order_payments": ["order_id", "payment_sequential", "payment_type", "payment_installments", "payment_value"],
+    "order_reviews": ["review_id", "order_id", "review_score", "review_comment_title", "review_comment_message",
+                      "review_creation_date", "review_answer_timestamp"],
+    "orders": ["order_id", "customer_id", "order_status", "order_purchase_timestamp", "order_approved_at",
+               "order_delivered_carrier_date", "order_delivered_customer_date", "order_estimated_delivery_date"],
+    "category_translation": ["product_category_name", "product_category_name_english"],
+    "products": ["product_id", "product_category_name", "product_name_lenght", "product_description_lenght", "product_photos_qty",
+                 "product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm"],
+    "sellers": ["seller_id", "seller_zip_code_prefix", "seller_city", "seller_state"],
+}
+
+
+def _inference_sql() -> str:
+    whole, number = "-?(0|[1-9][0-9]*)", "-?(0|[1-9][0-9]*)([.][0-9]+)?([eE][-+]?[0-9]+)?"
+    time = "[0-9]{4}-[0-9]{2}-[0-9]{2}( [0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]{1,6})?)?"
+
+    def column(source: str, i: int, c: str) -> str:
+        is_long = f"regexp_full_match({c}, '{whole}') AND TRY_CAST({c} AS BIGINT) IS NOT NULL"
+        is_double = f"({is_long} OR NOT regexp_full_match({c}, '{whole}') AND regexp_full_match({c}, '{number}') AND isfinite(TRY_CAST({c} AS DOUBLE)))"
+        return f"""SELECT '{source}' AS source, {i} AS position, '{c}' AS column_name,
+          CASE WHEN count({c}) = 0 THEN 'void'
+               WHEN bool_and(lower({c}) IN ('true', 'false')) THEN 'boolean'
+               WHEN bool_and({is_long} AND TRY_CAST({c} AS INTEGER) IS NOT NULL) THEN 'int'
+               WHEN bool_and({is_long}) THEN 'long'
+               WHEN bool_and({is_double}) THEN 'double'
+               WHEN bool_and(regexp_full_match({c}, '{time}') AND TRY_CAST({c} AS TIMESTAMP) IS NOT NULL) THEN 'timestamp'
+               ELSE 'string' END AS inferred_type,
+          count({c}) AS filled, count(*) FILTER (regexp_full_match({c}, '-?0[0-9]+')) AS leading_zeros
+        FROM {FILES[source]} WHERE {c} IS NOT NULL"""
+    return " UNION ALL ".join(column(s, i, c) for s, cs in COLUMNS.items() for i, c in enumerate(cs))
+
+
 def _ledger_sql() -> str:
     states, copies = {"sellers": "new,removed", "order_payments": "new,unchanged"}, {"order_payments": 2}
     return " UNION ALL ".join(
@@ -669,6 +710,7 @@ def oracle_queries() -> dict[str, str]:
     final = dict(FINAL)
     final["quality_report"] = final["quality_at_write"] = _quality_sql()
     final["bronze_manifest"] = _manifest_sql()
+    final["inferred_types"] = _inference_sql()
     final["landing_ledger"] = _ledger_sql()
     final["atomic_refresh"] = _refresh_sql()
     return {name: with_clause + sql for name, sql in final.items()}
