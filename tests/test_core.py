@@ -1,7 +1,11 @@
 """Core dimensional models on small hand-made staging frames."""
+import re
 from datetime import date, datetime
 
+from conftest import bronze, settings
 from marketlake.plans import core
+from marketlake.plans.staging import stg_order_reviews
+from marketlake.session import configure
 
 
 def _orders(spark, rows):
@@ -118,3 +122,50 @@ def test_amounts_below_a_cent_are_kept(spark):
     items = spark.createDataFrame([("a", "s", 1.005, 0.004)], "order_key string, seller_key string, price double, freight_value double")
     r = core.fct_orders(orders, items).first()
     assert (r.total_item_revenue, r.total_freight_cost, r.total_order_value) == (1.005, 0.004, 1.009)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_splits_bound_the_memory_of_a_task(spark):
+    keys = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes")
+    session = spark.newSession()
+    with settings(session, {}):
+        for k in keys:
+            session.conf.unset(k)
+        configure(session)
+        assert [int(session.conf.get(k).removesuffix("MB")) <= 16 for k in keys] == [True, True]
+    session.conf.set(keys[0], "64MB")
+    assert configure(session).conf.get(keys[0]) == "64MB"          # what the cluster sets holds
+
+
+def test_sellers_of_an_order_need_one_exchange(spark):
+    orders = _orders(spark, [dict(order_key="a"), dict(order_key="b"), dict(order_key="c"), dict(order_key=None)])
+    items = spark.createDataFrame([("a", "s", 1.0, 0.5), ("a", "s", 2.0, 0.5), ("a", "t", 3.0, None), ("a", None, 4.0, 0.0),
+                                   ("b", None, 5.0, 1.0), (None, "s", 9.0, 9.0)],
+                                  "order_key string, seller_key string, price double, freight_value double")
+    out = core.fct_orders(orders, items)
+    assert not re.search(r"hashpartitioning\(order_key#\d+, seller_key", _plan(out))
+    got = {r.order_key: (r.total_items_ordered, r.unique_sellers_count, r.total_item_revenue, r.total_freight_cost) for r in out.collect()}
+    assert got == {"a": (4, 2, 10.0, 1.0), "b": (1, 0, 5.0, 1.0), "c": (0, 0, 0.0, 0.0), None: (0, 0, 0.0, 0.0)}
+    assert dict(out.dtypes)["unique_sellers_count"] == "bigint"
+
+
+def test_review_messages_are_dealt_once(spark):
+    raw = bronze(spark, "order_reviews", [
+        dict(review_id="r1", order_id="a", review_score=1, review_comment_message="x", review_creation_date="2018-01-02"),
+        dict(review_id="r1", order_id="b", review_score=2, review_comment_message="y", review_creation_date="2018-01-03"),
+        dict(review_id="r2", order_id="a", review_score=3, review_comment_message="z", review_creation_date="2018-01-03"),
+        dict(review_id="r3", order_id="none", review_score=4), dict(review_id="r4", review_score=5),
+        dict(order_id="a", review_score=1), dict(order_id="none", review_score=1), dict(review_score=2)])
+    orders = _orders(spark, [dict(order_key="a", customer_key="c1"), dict(order_key="b", customer_key="c2"), dict(order_key="b", customer_key="c3"),
+                             dict(order_key="b", customer_key=None), dict(order_key=None, customer_key="c9")])
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}):
+        for reviews in (stg_order_reviews(raw), stg_order_reviews(raw).unionByName(stg_order_reviews(raw))):
+            out = core.fct_order_reviews(reviews, orders)
+            expected = reviews.join(orders.select("order_key", "customer_key"), "order_key", "left")
+            columns = ["review_key", "order_key", "customer_key", "review_score", "comment_message"]
+            assert sorted(map(str, out.select(*columns).collect())) == sorted(map(str, expected.select(*columns).collect()))
+        keyed = core.fct_order_reviews(stg_order_reviews(raw), orders).where("review_key is not null")
+        assert re.search(r"ReusedExchange \[review_key[^\]]*comment_message", _plan(keyed))
