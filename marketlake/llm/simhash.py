@@ -213,6 +213,9 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int = MAX_
     alone = heads.where((F.col("rows") == 1) & F.col("head").isNotNull())
     shared = heads.where((F.col("rows") > 1) | F.col("head").isNull())
     one = by.join(alone.select("head"), key == F.col("head"), "left_semi")
+    if shared.isEmpty():
+        # every id stands on one row: the driver need not plan and compile the rest
+        return one.toDF(*columns)
     unclear = by.join(shared.select("head").distinct(), key == F.col("head"), "left_semi").unionByName(by.where(key.isNull()))
     marked = _with_print(unclear, own[columns.index("text")], shingle)
     some = marked.join(shared, marked[own[columns.index("doc_id")]].eqNullSafe(F.col("head"))

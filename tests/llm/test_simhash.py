@@ -108,3 +108,10 @@ def test_keep_one_when_an_id_has_several_texts(docs, sample):
     rows = [(5, a), (5, a), (5, b), (5, b), (None, b), (6, c), (6, c), (6, d), (7, e), (8, near), (8, f)]
     got = [(r[0], r[1]) for r in simhash.keep_one(docs(rows)).collect()]
     assert sorted(got) == sorted([(5, a), (5, b), (6, c), (6, d), (7, e), (8, f)])
+
+
+def test_keep_one_of_unique_ids_needs_no_second_look(docs, sample):
+    texts = [t for _, t in sample if t and len(t) > 300][:3]
+    kept = simhash.keep_one(docs([(4, texts[0]), (2, texts[0]), (7, texts[1]), (9, texts[2])]))
+    assert "row_number" not in kept._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r[0] for r in kept.collect()) == [2, 7, 9]
