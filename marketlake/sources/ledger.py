@@ -10,7 +10,8 @@ folder, has one row for each landed file: size, time of change, number of rows,
 Unchanged files are not read, and their parts are neither read nor written again.  Readers see the landing whole or not at all, and one that
 fails or is killed is repeated by the next one, which finds the same ledger.
 
-A file of a source is one whose name, or that of a folder above it below the landing folder, ends with the source's file name.  All files that
+A file of a source is one whose name, or that of a folder above it below the landing folder, ends with the source's file name,
+or with that name and `.gz` (compressed).  All files that
 a landing reads of a source have one header; a source with a file of another header, or without a declared column, fails
 as a whole: its rows stay as they were, its files are tried again by the next landing, and the other sources land.  Files that are gone lose their
 rows, unless no file of their source is left (as with a fresh ingest, a missing source keeps its table).  A file
@@ -46,10 +47,10 @@ def list_files(spark: SparkSession, landing: str, files: Mapping[str, str]) -> D
     names = F.split(F.substring("path", len(root) + 1, 1 << 30), "/")
 
     def named(end: str) -> Column:
-        return F.exists(names, lambda part: part.endswith(end))
+        return F.exists(names, lambda part: part.endswith(end) | part.endswith(f"{end}.gz"))
 
     source = F.coalesce(*[F.when(named(end), F.lit(source)) for source, end in files.items()])
-    found = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").load(landing))
+    found = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{csv,csv.gz}").load(landing))
     return found.select(source.alias("source"), F.col("_metadata.file_path").alias("file"), "path", F.col("length").alias("bytes"),
                         F.col("modificationTime").alias("modified"))
 

@@ -104,3 +104,27 @@ def test_gone_files_failures_and_owners(spark, folders):
     ingest_bronze(spark, land, other, fmt="parquet")
     with pytest.raises(ValueError, match="full ingest"):
         ledger.land_changed(spark, land, other)
+
+
+def test_compressed_files_land(spark, folders):
+    import gzip
+
+    land, bronze, put = folders
+    with gzip.open(os.path.join(land, "a_sellers.csv.gz"), "wt") as f:
+        f.write(SELLERS + "s1,01037,a,SP\n")
+    put("b_sellers.csv", SELLERS + "s2,02000,b,SP\n")
+    with gzip.open(os.path.join(land, "order_reviews.csv.gz"), "wt") as f:
+        f.write(REVIEWS + 'r1,o1,5,,"two\nlines, ""quoted""",,\n')
+    assert _land(spark, land, bronze) == {("sellers", "a_sellers.csv.gz"): ("new", 1, 0), ("sellers", "b_sellers.csv"): ("new", 1, 0),
+                                          ("order_reviews", "order_reviews.csv.gz"): ("new", 1, 0)}
+    assert _rows(spark, bronze, "sellers", "seller_id") == ["s1", "s2"]
+    assert _rows(spark, bronze, "order_reviews", "review_comment_message") == ['two\nlines, "quoted"']
+
+
+def test_landing_files_of_the_queries_are_compressed_and_bounded(spark, tmpdir_fresh, monkeypatch):
+    from marketlake.plans import registry
+    monkeypatch.setattr(registry, "LANDING_ROWS", 10)
+    rows = spark.range(25).selectExpr("cast(id as string) seller_id", "'01000' seller_zip_code_prefix", "'a\n' seller_city", "'SP' seller_state")
+    registry._write_landing({"sellers": rows.coalesce(1)}, tmpdir_fresh)
+    files = [n for n in os.listdir(os.path.join(tmpdir_fresh, "sellers.csv")) if n.startswith("part-")]
+    assert len(files) == 3 and all(n.endswith(".csv.gz") for n in files)
