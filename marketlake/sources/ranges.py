@@ -16,7 +16,8 @@ Records are then parsed by Spark (`from_csv`) with the declared options, in the
 
 Quotes must be as in RFC 4180: a quote inside a quoted field is doubled, and fields that are not quoted hold none.  A file whose
 last record does not close is an error.  A record ends with LF or CRLF; blank lines between records are skipped, as
-Spark's reader does.  Line breaks inside quotes stay as they are.  Compressed files that cannot be split are one range.
+Spark's reader does.  Line breaks inside quotes stay as they are.  Compressed files that cannot be split are one range each: if all
+are, no state needs to be known before, and steps 1 and 2 are left out.  Records are grouped only if some cross ranges.
 """
 
 from __future__ import annotations
@@ -31,6 +32,9 @@ from pyspark.sql import functions as F
 
 Range = tuple[str, int]
 
+#: Ends of the names of compressed files that Spark does not split.
+WHOLE_FILES = (".gz",)
+
 
 def _lines(spark: SparkSession, path: str | list[str], pattern: str | None) -> DataFrame:
     """(file, start, value): physical lines, in order within each input split (file, start)."""
@@ -90,8 +94,11 @@ def range_states(lines: DataFrame, quote: str = '"') -> dict[Range, tuple[bool,
 _PIECES = "file string, owner long, start long, first boolean, whole boolean, record string"
 
 
-def _pieces(lines: DataFrame, states: dict[Range, tuple[bool, int]]) -> DataFrame:
-    """(file, owner, start, first, whole, record): whole records, and the parts of those that cross ranges, with the range they start in."""
+def _pieces(lines: DataFrame, states: dict[Range, tuple[bool, int]] | None) -> DataFrame:
+    """(file, owner, start, first, whole, record): whole records, and the parts of those that cross ranges, with the range they start in.
+
+    Without `states`, each range is a whole file, and a record that is open at its end is an error.
+    """
     sent = lines.sparkSession.sparkContext.broadcast(states)
 
     def rows(key: Range, owner: int, whole: bool, first: list[bool], records: list) -> pa.RecordBatch:
@@ -105,6 +112,8 @@ def _pieces(lines: DataFrame, states: dict[Range, tuple[bool, int]]) -> DataFram
         key, inside, owner, head, fresh, held = None, False, 0, False, False, []
 
         def rest() -> Iterator[pa.RecordBatch]:
+            if held and sent.value is None:
+                raise ValueError(f"{key[0]}: the last record has an open quote")
             if held:                                   # goes on in the next range
                 yield rows(key, owner if head else key[1], False, [fresh], ["\n".join(held)])
 
@@ -112,7 +121,7 @@ def _pieces(lines: DataFrame, states: dict[Range, tuple[bool, int]]) -> DataFram
             if own != key:
                 yield from rest()
                 key, held = own, []
-                inside, owner = sent.value[own]
+                inside, owner = (False, own[1]) if sent.value is None else sent.value[own]
                 head, fresh = inside, own[1] == 0 and not inside     # head: the open record started before this range
             through = (inside + np.cumsum(quotes)) % 2
             ends = np.flatnonzero(through == 0)
@@ -137,11 +146,17 @@ def _pieces(lines: DataFrame, states: dict[Range, tuple[bool, int]]) -> DataFram
     return lines.mapInArrow(run, _PIECES)
 
 
+def _trimmed(records: DataFrame) -> DataFrame:
+    """Records without the CR of a CRLF end, and without blank lines; only records with a CR are searched for one at the end."""
+    record = F.when(F.col("record").contains("\r"), F.regexp_replace("record", "\r$", "")).otherwise(F.col("record"))
+    return records.withColumn("record", record).where(F.col("record") != "")
+
+
 def read_records(spark: SparkSession, path: str | list[str], pattern: str | None = None, range_bytes: int | None = None) -> DataFrame:
     """(file, first, record): the records of quoted CSV files as text; first: the first record of its file (the header).
 
     `range_bytes` bounds the ranges of this read (the session's `spark.sql.files.maxPartitionBytes` if not given).
-    The summaries are taken when this is called; the records when the result runs, from the same ranges.
+    The summaries are taken when this is called (none are needed if no file can be split); the records when the result runs, from the same ranges.
     """
     if range_bytes:
         spark = spark.newSession()
@@ -149,13 +164,15 @@ def read_records(spark: SparkSession, path: str | list[str], pattern: str | None
         spark.conf.set("spark.sql.files.openCostInBytes", "0")
         spark.conf.set("spark.sql.files.minPartitionNum", "1")
     lines = _lines(spark, path, pattern)
-    pieces = _pieces(lines, range_states(lines))
+    states = None if all(f.endswith(WHOLE_FILES) for f in lines.inputFiles()) else range_states(lines)
+    pieces = _pieces(lines, states)
     whole = pieces.where("whole").select("file", "first", "record")
+    if not any(inside for inside, _ in (states or {}).values()):
+        return _trimmed(whole)
     crossing = pieces.where("not whole").groupBy("file", "owner").agg(
         F.max("first").alias("first"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("start", "record"))), lambda p: p["record"]), "\n").alias("record"))
     joined = crossing.select("file", "first", "record")
-    records = whole.unionByName(joined).withColumn("record", F.regexp_replace("record", "\r$", ""))
-    return records.where(F.length("record") > 0)
+    return _trimmed(whole.unionByName(joined))
 
 
 def read_csv(spark: SparkSession, path: str | list[str], columns: list[str], options: dict[str, str] | None = None, pattern: str | None = None,

@@ -82,3 +82,28 @@ def test_reviews_are_read_by_ranges(spark, tmpdir_fresh):
     frame = csv_src.read_bronze(spark, tmpdir_fresh, "order_reviews", range_bytes=2000)
     assert sorted(map(tuple, frame.drop(csv_src.CORRUPT).collect())) == sorted(map(tuple, rows))
     assert frame.filter(F.col(csv_src.CORRUPT).isNotNull()).count() == 0
+
+
+def test_compressed_files_are_read_once(spark, tmpdir_fresh, monkeypatch):
+    """Files that cannot be split need no states, and no record crosses ranges; an open quote stays an error."""
+    import gzip
+
+    from marketlake.sources import ranges
+    rows = [[str(i), f'two\r\nlines, "{i}"', "x"] for i in range(30)]
+    for n in range(2):
+        with open(_file(tmpdir_fresh, f"{n}.csv", rows), "rb") as plain, gzip.open(f"{tmpdir_fresh}/{n}.csv.gz", "wb") as packed:
+            packed.write(plain.read())
+    with gzip.open(os.path.join(tmpdir_fresh, "broken.gz"), "wt") as f:
+        f.write('k,t,u\n1,"open,3\n4,5,6\n')
+    monkeypatch.setattr(ranges, "range_states", None)
+    got = read_csv(spark, tmpdir_fresh, ["k", "t", "u"], pattern="*.csv.gz", range_bytes=64)
+    assert sorted(tuple(r) for r in got.collect()) == sorted([tuple(r) for r in rows] * 2)
+    assert "Aggregate" not in got._jdf.queryExecution().optimizedPlan().toString()
+    with pytest.raises(Exception, match="open quote"):
+        read_csv(spark, os.path.join(tmpdir_fresh, "broken.gz"), ["k", "t", "u"]).collect()
+
+
+def test_records_are_grouped_only_if_some_cross_ranges(spark, tmpdir_fresh):
+    path = _file(tmpdir_fresh, "one.csv", [["1", "a\nb", "x"]])
+    assert "Aggregate" not in read_records(spark, path)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" in read_records(spark, path, range_bytes=9)._jdf.queryExecution().optimizedPlan().toString()
