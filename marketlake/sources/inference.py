@@ -2,7 +2,7 @@
 
 Each value is given the set of types that hold it without loss, as a mask of bits; the types of a column are the intersection of its values'
 sets, and its type the narrowest one left.  Intersection is `bit_and`: it is order-free and mergeable, so one partial
-aggregate over all rows infers all columns of a source and one row a task is exchanged.  Rules for a value:
+aggregate over all values infers all columns of all sources and one row a column and task is exchanged.  Rules for a value:
 
 * `boolean`: true or false, in any case;
 * `int`, `long`, `double`: decimal numbers within range.  A number with a leading zero (`01037`) is a string, and so
@@ -38,14 +38,18 @@ def _bits(*names: str) -> Column:
 
 def fitting_types(value: Column) -> Column:
     """The mask of the types that hold a text without loss; null for null."""
-    integer = (F.when(value.try_cast("int").isNotNull(), _bits("int", "long", "double"))
-               .when(value.try_cast("bigint").isNotNull(), _bits("long", "double")).otherwise(_bits()))
     finite = F.abs(value.try_cast("double")) < F.lit(float("inf"))
+    whole = value.try_cast("bigint")     # a failed cast is an exception, so only of what is written as an integer
+    integer = (F.when(whole.between(-(1 << 31), (1 << 31) - 1), _bits("int", "long", "double"))
+               .when(whole.isNotNull(), _bits("long", "double")).otherwise(_bits()))
+    # The first byte tells texts from numbers and times, so that long texts meet no pattern.
     return (F.when(value.isNull(), F.lit(None).cast("int"))
+            .when((value < "-") | (value >= ":"),
+                  F.when((F.octet_length(value) <= 5) & F.lower(value).isin("true", "false"), _bits("boolean")).otherwise(_bits()))
+            .when((F.substring(value, 5, 1) == "-") & value.rlike(TIMESTAMP),
+                  F.when(value.try_cast("timestamp_ntz").isNotNull(), _bits("timestamp")).otherwise(_bits()))
             .when(value.rlike(INTEGER), integer)
             .when(value.rlike(NUMBER), F.when(finite, _bits("double")).otherwise(_bits()))
-            .when(value.rlike(TIMESTAMP), F.when(value.try_cast("timestamp_ntz").isNotNull(), _bits("timestamp")).otherwise(_bits()))
-            .when(F.lower(value).isin("true", "false"), _bits("boolean"))
             .otherwise(_bits()))
 
 
@@ -59,13 +63,19 @@ def infer_types(frames: Mapping[str, DataFrame]) -> DataFrame:
 
     filled: values that are not null; leading_zeros: integers among them that start with a zero.  An empty frame has `void` columns.
     """
-    def one(source: str, df: DataFrame) -> DataFrame:
-        stats = [F.struct(F.lit(i).alias("position"), F.lit(c).alias("column_name"), F.bit_and(fitting_types(F.col(c))).alias("mask"),
-                          F.count(c).alias("filled"), F.count_if(F.col(c).rlike(LEADING_ZERO)).alias("leading_zeros"))
-                 for i, c in enumerate(df.columns)]
-        return df.agg(F.array(*stats).alias("s")).select(F.lit(source).alias("source"), F.explode("s").alias("s")).select("source", "s.*")
-
-    rows = reduce(DataFrame.unionByName, [one(source, df) for source, df in frames.items()])
+    # One value a row, so that the rules are compiled once and not once a column.
+    values = reduce(DataFrame.unionByName, [
+        df.select(F.lit(source).alias("source"), F.posexplode(F.array(*[F.col(c) for c in df.columns])).alias("position", "value"))
+        for source, df in frames.items()])
+    value = F.col("value")
+    found = values.groupBy("source", "position").agg(
+        F.bit_and(fitting_types(value)).alias("mask"), F.count(value).alias("filled"),
+        F.count_if((value >= "-") & (value < "1") & value.rlike(LEADING_ZERO)).alias("leading_zeros"))
+    columns = values.sparkSession.createDataFrame(
+        [(source, i, c) for source, df in frames.items() for i, c in enumerate(df.columns)], "source string, position int, column_name string")
+    none = F.lit(0).cast("long")
+    rows = (columns.join(found, ["source", "position"], "left")
+            .withColumns({c: F.coalesce(c, none) for c in ("filled", "leading_zeros")}))
     return rows.select("source", "position", "column_name", _narrowest(F.coalesce("mask", F.lit(0))).alias("inferred_type"),
                        "filled", "leading_zeros")
 

@@ -40,3 +40,17 @@ def test_typed_frame_keeps_every_value(spark):
     assert got.first() == ("01037", 5, 1.5, datetime.datetime(2018, 1, 2, 3, 4, 5), None)
     empty = df.limit(0)
     assert {r.inferred_type for r in infer_types({"e": empty}).collect()} == {"void"}
+
+
+def test_all_columns_from_one_aggregate(spark):
+    """One row a column of each frame, columns without rows too, from one exchange; leading zeros counted, short cuts exact."""
+    values = spark.createDataFrame([("007", "-0", "TRUE", "2020-01-02"), ("-01", "12", "false", None)], "a string, b string, c string, d string")
+    numbers = spark.createDataFrame([("1.5e-3", "-9223372036854775808"), ("7", "2147483648")], "f string, g string")
+    empty = spark.createDataFrame([], "e string")
+    out = infer_types({"full": values, "numbers": numbers, "empty": empty})
+    rows = {(r.source, r.position, r.column_name): (r.inferred_type, r.filled, r.leading_zeros) for r in out.collect()}
+    assert rows == {("full", 0, "a"): ("string", 2, 2), ("full", 1, "b"): ("int", 2, 0), ("full", 2, "c"): ("boolean", 2, 0),
+                    ("full", 3, "d"): ("timestamp", 1, 0), ("numbers", 0, "f"): ("double", 2, 0),
+                    ("numbers", 1, "g"): ("long", 2, 0), ("empty", 0, "e"): ("void", 0, 0)}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") == 1
