@@ -113,6 +113,15 @@ def test_concurrent_layered_build_equals_lazy_models(spark, tmpdir_fresh):
         assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty(), name
 
 
+def _shuffle_bytes(plan) -> int:
+    """Bytes written by every shuffle in an executed (adaptive) plan."""
+    cls = plan.getClass().getSimpleName()
+    inner = plan.executedPlan() if cls == "AdaptiveSparkPlanExec" else plan.plan() if cls.endswith("QueryStageExec") else None
+    children = plan.children()
+    return (int(plan.metrics().apply("shuffleBytesWritten").value()) if cls == "ShuffleExchangeExec" else 0) + (
+        _shuffle_bytes(inner) if inner is not None else 0) + sum(_shuffle_bytes(children.apply(i)) for i in range(children.size()))
+
+
 def _shuffle_records(plan) -> list[int]:
     """`records written` of every shuffle in an executed (adaptive) plan."""
     out = []

@@ -104,3 +104,33 @@ def test_measured_report_reads_only_keys(spark):
     schemas = {s.split(">")[0] for s in plan.split("ReadSchema: struct<")[1:]}
     assert schemas == {"order_key:string"} and plan.count("hashpartitioning(check") == 1
     assert {r.violations for r in report.collect()} == {0} and report.count() == 7
+
+
+def test_report_deals_no_message_of_a_single_version(spark, tmpdir_fresh):
+    """Messages cross no exchange but that of reviews with several versions, neither for the report nor for the text mart."""
+    from pyspark.sql import functions as F
+
+    from conftest import settings
+    from marketlake.plans.build import Models
+    from test_plans import _shuffle_bytes
+    texts = F.concat(*[F.sha2(F.concat("id", F.lit(f"/{i}")).cast("string"), 512) for i in range(20)])
+    key = F.when(F.col("id") < 3, F.lit("twice")).otherwise(F.concat(F.lit("r"), F.col("id").cast("string")))
+    order = (F.col("id") % 40).cast("string")
+    spark.range(0, 600, 1, 4).select(
+        key.alias("review_id"), order.alias("order_id"), F.lit("4").alias("review_score"), F.lit(None).cast("string").alias("review_comment_title"),
+        texts.alias("review_comment_message"), F.lit("2018-01-02 00:00:00").alias("review_creation_date"),
+        F.lit("2018-01-03 00:00:00").alias("review_answer_timestamp")).write.parquet(f"{tmpdir_fresh}/r")
+    raw = spark.read.parquet(f"{tmpdir_fresh}/r")
+    orders = spark.range(30).select(F.col("id").cast("string").alias("order_id"), F.lit("c").alias("customer_id"), F.lit("delivered").alias("order_status"), *[
+        F.lit("2018-01-01 00:00:00").alias(c) for c in ("order_purchase_timestamp", "order_approved_at", "order_delivered_carrier_date",
+                                                        "order_delivered_customer_date", "order_estimated_delivery_date")])
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}):
+        m = Models({"order_reviews": raw, "orders": orders.unionByName(orders.where("order_id = '7'"))})
+        marts = ("stg_order_reviews", "fct_order_reviews", "gold_review_text_signals")
+        report = quality.run_checks({n: m[n] for n in marts})
+        got = {r.check_name: r.violations for r in report.collect()}
+        moved = _shuffle_bytes(report._jdf.queryExecution().executedPlan())
+        mart = m["gold_review_text_signals"].first()
+    assert set(got.values()) == {0, 15} and got["unique__fct_order_reviews__review_key"] == 15      # the reviews of order 7, which stands there twice
+    assert (mart.total_reviews_count, mart.reviews_with_written_comments_count) == (613, 613)
+    assert moved < 300_000                      # the messages of 600 reviews are 1.5 MB

@@ -70,3 +70,19 @@ def test_seller_and_translation_dedup(spark):
     assert staging.stg_sellers(sellers).count() == 1
     tr = bronze(spark, "category_translation", [dict(product_category_name="beleza_saude", product_category_name_english="health_beauty")] * 3)
     assert staging.stg_category_translation(tr).count() == 1
+
+
+def test_wide_dedup_equals_keep_first(spark, monkeypatch):
+    """Repeated, null and tied keys, with a map of keys large and small enough that unrelated keys share slots."""
+    from pyspark.sql import functions as F
+
+    from marketlake.operators import dedup
+    i = F.col("id")
+    rows = spark.range(3000).select(F.when(i % 97 != 0, F.concat(F.lit("k"), (i % 2500).cast("string"))).alias("key"), (i % 3).alias("at"),
+                                    F.repeat(F.lit("text"), (i % 5).cast("int")).alias("text"))
+    rows = rows.unionByName(rows.where("at = 1"))
+    expected = sorted(map(str, dedup.keep_first(rows, ["key"], [F.col("at").desc_nulls_last()]).collect()))
+    for slots in (1 << 26, 1 << 15):
+        monkeypatch.setattr(dedup, "KEY_SLOTS", slots)
+        got = dedup.keep_first_wide(rows, ["key"], [F.col("at").desc_nulls_last()])
+        assert sorted(map(str, got.collect())) == expected and got.columns == rows.columns
