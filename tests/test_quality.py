@@ -134,3 +134,18 @@ def test_report_deals_no_message_of_a_single_version(spark, tmpdir_fresh):
     assert set(got.values()) == {0, 15} and got["unique__fct_order_reviews__review_key"] == 15      # the reviews of order 7, which stands there twice
     assert (mart.total_reviews_count, mart.reviews_with_written_comments_count) == (613, 613)
     assert moved < 300_000                      # the messages of 600 reviews are 1.5 MB
+
+
+def test_sellers_are_built_from_written_facts(spark, tmpdir_fresh, monkeypatch):
+    from conftest import SF_SMOKE
+    from marketlake.plans import core
+    from marketlake.plans.build import run_pipeline
+    from marketlake.sources.testdata import bronze_from_testdata
+    model, read = core.int_seller_performance, []
+
+    def seen(items, orders):
+        read.append([{f.split("/")[-2] for f in df.inputFiles()} for df in (items, orders)])
+        return model(items, orders)
+    monkeypatch.setattr(core, "int_seller_performance", seen)
+    tables = run_pipeline(spark, bronze_from_testdata(spark, SF_SMOKE), tmpdir_fresh, gate=False)
+    assert [{"fct_order_items"}, {"fct_orders"}] in read and tables["int_seller_performance"].count() > 0
