@@ -1,5 +1,6 @@
 import random
 
+import pytest
 import xxhash
 
 from marketlake.llm import simhash
@@ -81,6 +82,35 @@ def test_contraction_follows_a_long_chain(spark):
     assert got == {**{i: 0 for i in range(301)}, 600: 600, 601: 600}
 
 
+def test_few_edges_take_few_jobs(spark):
+    """The driver's memory grows with its jobs: ten a round before, about six rounds for this chain."""
+    edges = spark.createDataFrame([(i, i + 1) for i in range(300)], "a long, b long")
+    spark.sparkContext.setJobGroup("components", "components")
+    got = {r.node: r.component for r in connected_components(edges).collect()}
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert got == {i: 0 for i in range(301)}
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("components")) <= 12
+
+
+@pytest.mark.parametrize("task_edges", [5, 1000])
+def test_rounds_and_one_task_agree(spark, task_edges):
+    rng = random.Random(7)
+    pairs = [(rng.randrange(60), rng.randrange(60)) for _ in range(45)] + [(200, 201), (202, 201), (None, 3)]
+    least = {n: n for p in pairs if None not in p and p[0] != p[1] for n in p}
+    for _ in least:
+        for a, b in pairs:
+            if a in least and b in least and a != b:
+                least[a] = least[b] = min(least[a], least[b])
+    edges = spark.createDataFrame(pairs, "a long, b long")
+    assert {r.node: r.component for r in connected_components(edges, task_edges).collect()} == least
+    if task_edges == 5:
+        return
+    assert connected_components(edges.limit(0), task_edges).count() == 0
+    text = {f"{n:03d}": f"{c:03d}" for n, c in least.items()}
+    named = edges.selectExpr("lpad(string(a), 3, '0') as a", "lpad(string(b), 3, '0') as b")
+    assert {r.node: r.component for r in connected_components(named, task_edges).collect()} == text
+
+
 def test_query_edges(spark, docs, sample):
     text = sample[0][1]
     rows = [(5, text), (3, text), (3, text), (None, text), (9, None), (8, ""), (7, " \n\t"), (None, "alone here it is"), (11, "some other words")]
