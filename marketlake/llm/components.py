@@ -1,4 +1,4 @@
-"""Connected components of an edge list by repeated contraction."""
+"""Connected components of an edge list by repeated contraction, the last edges in one task."""
 
 from __future__ import annotations
 
